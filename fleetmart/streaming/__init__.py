@@ -1,0 +1,2 @@
+"""Empty on purpose: the feature set is batch only, with a high-water mark as its incremental notion
+(see ``fleetmart.operators.changes``)."""
