@@ -36,8 +36,12 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], order: list[Col
     return merged.select(*columns)
 
 
-def differing(target: DataFrame, batch: DataFrame, keys: list[str], update: list[str]) -> DataFrame:
-    """Rows of the batch whose key is in the target with other values (NULL-safe) in the ``update`` columns."""
-    other = target.select(*keys, *[F.col(c).alias(f"_{c}") for c in update])
-    test = reduce(Column.__or__, [~F.col(c).eqNullSafe(F.col(f"_{c}")) for c in update])
-    return batch.join(other, keys).filter(test).select(*batch.columns)
+def append_delta(batch: DataFrame, target: DataFrame, keys: list[str], order: list[Column | str],
+                 refresh: list[str]) -> DataFrame:
+    """The part of a batch that changes the target, in one join: rows with a new key, and, marked ``refreshes``, rows
+    whose key is known with another value in a ``refresh`` column (NULL-safe)."""
+    known = target.select(*keys, F.lit(True).alias("_known"), *[F.col(c).alias(f"_{c}") for c in refresh])
+    differs = reduce(Column.__or__, [~F.col(c).eqNullSafe(F.col(f"_{c}")) for c in refresh], F.lit(False))
+    paired = first_rows(batch, keys, order).join(known, keys, "left")
+    touched = paired.filter(F.col("_known").isNull() | differs)
+    return touched.select(*batch.columns, F.col("_known").isNotNull().alias("refreshes"))

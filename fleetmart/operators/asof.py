@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.expressions import instant
+from ..session import cut_lineage
 from .lookup import fits_broadcast, lookup_join
 
 VERSIONS_PER_KEY = 64
@@ -40,9 +41,10 @@ def version_at_event(rows: DataFrame, dim: DataFrame, on: str, take: dict[str, s
     """Look up the version valid at the time in column ``at`` of each row; NULL where there is none.
 
     Versions of a key do not overlap. A dimension of checked size, with few versions per key, is broadcast. Otherwise
-    rows and versions are sorted together per key and time slice, and each row takes the last version before it; the
-    version a slice starts with is carried in from a summary of one row per key and slice. No row meets more than one
-    version, and a hot key is spread over its slices.
+    the distinct pairs of key and time are answered first: sorted together with the versions per key and time slice,
+    each takes the last version before it, and the version a slice starts with is carried in from a summary of one row
+    per key and slice. The rows then look up their answer. No row meets more than one version; a hot key shrinks to its
+    distinct times, these are spread over slices, and a hot pair is split off by the lookup.
     """
     versions = dim.filter(F.col("valid_from") <= F.col("valid_to")).select(
         F.col("source_id").alias(on), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"),
@@ -60,25 +62,26 @@ def version_at_event(rows: DataFrame, dim: DataFrame, on: str, take: dict[str, s
             F.col(f"r.{at}").cast("timestamp_ntz"), F.col("v._from"), F.col("v._to"), inclusive)
         return rows.alias("r").join(v, match, "left").select("r.*", *[f"v.{n}" for n in take])
 
-    payload = F.struct(F.col("_to"), *[F.col(n) for n in take])
-    starts = versions.select(
-        on, F.date_trunc(grain, F.col("_from")).cast("timestamp_ntz").alias("_slice"), F.col("_from").alias("_t"),
-        payload.alias("_version"), F.lit(None).cast(rows.schema).alias("_row"))
-    facts = rows.filter(F.col(on).isNotNull() & F.col(at).isNotNull()).select(
-        on, F.date_trunc(grain, moment).cast("timestamp_ntz").alias("_slice"), moment.alias("_t"),
-        F.lit(None).cast(starts.schema["_version"].dataType).alias("_version"), F.struct(*rows.columns).alias("_row"))
-    both = starts.unionByName(facts)
-    slices = both.groupBy(on, "_slice").agg(F.max_by("_version", F.when(F.col("_row").isNull(), F.col("_t"))).alias("_last"))
+    return _carry(rows.withColumn("_t", moment), versions, on, list(take), inclusive, grain).drop("_t")
+
+
+def _carry(rows: DataFrame, versions: DataFrame, on: str, take: list[str], inclusive: bool, grain: str) -> DataFrame:
+    points = rows.filter(F.col(on).isNotNull() & F.col("_t").isNotNull()).select(on, "_t").distinct()
+    payload = F.struct("_to", *take)
+    starts = versions.select(on, F.col("_from").alias("_t"), payload.alias("_version"))
+    empty = F.lit(None).cast(starts.schema["_version"].dataType)
+    both = starts.withColumn("_point", F.lit(False)).unionByName(
+        points.withColumns({"_version": empty, "_point": F.lit(True)}))
+    both = both.withColumn("_slice", F.date_trunc(grain, F.col("_t")).cast("timestamp_ntz"))
+    newest = F.max_by("_version", F.when(~F.col("_point"), F.col("_t")))
     earlier = Window.partitionBy(on).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = slices.select(on, "_slice", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
-    # At equal times a version start sorts before the rows it covers.
-    running = Window.partitionBy(on, "_slice").orderBy("_t", F.col("_row").isNotNull()).rowsBetween(
+    carried = both.groupBy(on, "_slice").agg(newest.alias("_last")).select(
+        on, "_slice", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+    # At equal times the start of a version sorts before the point it covers.
+    running = Window.partitionBy(on, "_slice").orderBy("_t", "_point").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    placed = both.withColumn("_here", F.last("_version", ignorenulls=True).over(running))
-    found = placed.filter(F.col("_row").isNotNull()).join(carried, [on, "_slice"], "left").select(
-        "_t", "_row", F.coalesce("_here", "_carried").alias("_v"))
+    placed = both.withColumn("_here", F.last("_version", ignorenulls=True).over(running)).filter("_point")
+    found = placed.join(carried, [on, "_slice"], "left").withColumn("_v", F.coalesce("_here", "_carried"))
     inside = (F.col("_t") <= F.col("_v._to")) if inclusive else (F.col("_t") < F.col("_v._to"))
-    matched = found.select("_row.*", *[F.when(inside, F.col(f"_v.{n}")).alias(n) for n in take])
-    keyless = rows.filter(F.col(on).isNull() | F.col(at).isNull())
-    return matched.unionByName(
-        keyless.select("*", *[F.lit(None).cast(matched.schema[n].dataType).alias(n) for n in take]))
+    answers = found.filter(inside).select(on, "_t", *[F.col(f"_v.{n}").alias(n) for n in take])
+    return lookup_join(rows, cut_lineage(answers), [on, "_t"])

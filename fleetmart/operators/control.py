@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import schema as S
 
 
+FAILED_RUN = "ETL_FULL"  # fixed value: the table name of an error row
+
+
 def control_rows(spark: SparkSession, rows: list[tuple], start: int) -> DataFrame:
     """Control rows (source_table, last_etl_time, status, records_processed, error_message), numbered after start."""
     return spark.createDataFrame([(start + i, *row) for i, row in enumerate(rows, 1)], S.ETL_CONTROL.struct)
@@ -19,7 +22,7 @@ def success(table: str, batch_ts: datetime, records: int) -> tuple:
 
 
 def failure(batch_ts: datetime, message: str) -> tuple:
-    return "ETL_FULL", batch_ts, "ERROR", None, message
+    return FAILED_RUN, batch_ts, "ERROR", None, message
 
 
 def latest_runs(control: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from .quality import apply_defaults, column_checks
 from .surrogate import highest, number_rows
 
 REASON = "reject_reason"
+CORRUPT = "_corrupt_record"  # text of a row that did not parse, if staging keeps such rows
 
 
 class ConstraintViolation(ValueError):
@@ -42,9 +43,11 @@ class Load:
 
     def rejects(self) -> DataFrame:
         """Reject log: feed, row number, reason and the raw row."""
-        raw = F.to_json(F.struct(*self.feed.names), {"ignoreNullFields": "false"}).alias("raw")
+        raw = F.to_json(F.struct(*self.feed.names), {"ignoreNullFields": "false"})
+        if CORRUPT in self.judged.columns:
+            raw = F.coalesce(CORRUPT, raw)
         return self.judged.filter(F.col(REASON).isNotNull()).select(
-            F.lit(self.feed.name).alias("feed"), "seq", F.col(REASON).alias("reason"), raw)
+            F.lit(self.feed.name).alias("feed"), "seq", F.col(REASON).alias("reason"), raw.alias("raw"))
 
     def outcome(self) -> DataFrame:
         """Row counts: accepted, and rejected by reason."""
@@ -65,8 +68,9 @@ def outcome(judged: DataFrame, feed: str) -> DataFrame:
 
 
 def _judge(rows: DataFrame, table: S.Table, misses: list[tuple[Column, str]]) -> DataFrame:
-    """Reasons that one row shows by itself: lookup misses in the given order, then column constraints."""
-    return rows.withColumn(REASON, first_reason(misses + column_checks(table, rows.columns)))
+    """Reasons that one row shows by itself: one given while staging, lookup misses in their order, constraints."""
+    own = first_reason(misses + column_checks(table, rows.columns))
+    return rows.withColumn(REASON, F.coalesce(REASON, own) if REASON in rows.columns else own)
 
 
 def _reject_repeats(rows: DataFrame, keys: list[str], code: str, existing: DataFrame) -> DataFrame:

@@ -22,19 +22,20 @@ def rental_totals(rentals: DataFrame, payments: DataFrame) -> DataFrame:
     )
 
 
-def payment_rollup(payments: DataFrame) -> DataFrame:
-    """Per rental: sum of its payments and the ordered list of distinct methods, cut to the column width.
+def method_lists(payments: DataFrame) -> DataFrame:
+    """Per rental the ordered list of distinct methods, cut to the column width.
 
-    Payments are first combined per rental and method, which also spreads a rental with very many payments. Of the
-    ranked methods only those that can show in the cut list are collected.
+    The rank limit is applied before the shuffle by rental as well, and only methods that can show are collected.
     """
-    by_method = payments.groupBy("transaction_id", "payment_method").agg(F.sum("amount").alias("amount"))
-    rank = F.row_number().over(Window.partitionBy("transaction_id").orderBy(F.asc_nulls_last("payment_method")))
-    shown = F.when(F.col("_rank") <= METHODS_NEEDED, F.col("payment_method"))
-    rolled = by_method.withColumn("_rank", rank).groupBy("transaction_id").agg(
-        money(F.sum("amount")).alias("payment_amount"),
-        F.array_sort(F.collect_list(shown)).alias("_methods"),
-    )
-    listed = F.left(F.array_join("_methods", SEPARATOR), F.lit(METHOD_LIMIT))
-    return rolled.select(
-        "transaction_id", "payment_amount", F.when(F.size("_methods") > 0, listed).alias("payment_method"))
+    distinct = payments.filter(F.col("payment_method").isNotNull()).select("transaction_id", "payment_method").distinct()
+    first = F.row_number().over(Window.partitionBy("transaction_id").orderBy("payment_method"))
+    shown = distinct.withColumn("_rank", first).filter(F.col("_rank") <= METHODS_NEEDED)
+    listed = F.array_join(F.array_sort(F.collect_list("payment_method")), SEPARATOR)
+    return shown.groupBy("transaction_id").agg(F.left(listed, F.lit(METHOD_LIMIT)).alias("payment_method"))
+
+
+def payment_rollup(payments: DataFrame) -> DataFrame:
+    """Per rental: sum of its payments and the list of its methods. A rental with very many payments is combined on the
+    map side in both branches; they meet partitioned by rental, which the join with the rentals uses again."""
+    sums = payments.groupBy("transaction_id").agg(money(F.sum("amount")).alias("payment_amount"))
+    return sums.join(method_lists(payments), "transaction_id", "left")

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schema as S
 from ..functions.expressions import changed, high_date, instant
@@ -72,13 +72,6 @@ def closed_versions(dim: DataFrame) -> DataFrame:
     return dim.filter(F.col("valid_to") != high_date())
 
 
-def _unique_source(source: DataFrame) -> DataFrame:
-    """Fail the job if a key comes twice, instead of closing one version twice."""
-    n = F.count(F.lit(1)).over(Window.partitionBy("source_id"))
-    once = F.assert_true(F.col("_n") == 1, F.lit("source holds a key more than once")).isNull()
-    return source.withColumn("_n", n).filter(once).drop("_n")
-
-
 def scd2_delta(current: DataFrame, source: DataFrame, spec: Dimension, batch_ts: datetime | str,
                rules: Versioning = CLOSE_AND_INSERT) -> DataFrame:
     """Versions this batch closes (``closing`` true, surrogate kept) or opens (surrogate NULL).
@@ -88,7 +81,6 @@ def scd2_delta(current: DataFrame, source: DataFrame, spec: Dimension, batch_ts:
     """
     now = instant(batch_ts)
     key = spec.table.primary_key
-    source = _unique_source(source)
     if fits_broadcast(source):
         current = current.join(F.broadcast(source.select("source_id")), "source_id", "left_semi")
     pair = source.alias("s").join(current.alias("c"), F.col("s.source_id") == F.col("c.source_id"), "left")
@@ -119,6 +111,16 @@ def scd2_delta(current: DataFrame, source: DataFrame, spec: Dimension, batch_ts:
     return touched.select(rows.alias("v")).select("v.*")
 
 
+def delta_counts(delta: DataFrame) -> tuple[int, int]:
+    """Closed and opened versions. A source holding a key twice would close or open it twice: that is an error."""
+    found = delta.groupBy("closing").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("source_id").alias("keys")).collect()
+    if any(r["n"] != r["keys"] for r in found):
+        raise ValueError("the source of a dimension holds a key more than once")
+    counts = {r["closing"]: r["n"] for r in found}
+    return counts.get(True, 0), counts.get(False, 0)
+
+
 def number_versions(delta: DataFrame, spec: Dimension, start: int) -> DataFrame:
     """Delta rows in table layout, opened versions numbered after ``start`` in the order of their source ids."""
     key = spec.table.primary_key
@@ -131,5 +133,6 @@ def scd2_merge(dim: DataFrame, source: DataFrame, spec: Dimension, batch_ts: dat
     """The whole dimension after the batch. Closed history passes through unread by the join."""
     key = spec.table.primary_key
     delta = cut_lineage(scd2_delta(current_versions(dim), source, spec, batch_ts, rules))
+    delta_counts(delta)
     kept = dim.join(delta.filter("closing").select(key), key, "left_anti")
     return kept.select(*spec.table.names).unionByName(number_versions(delta, spec, highest(dim, key)))

@@ -23,7 +23,7 @@ from ..sources.catalog import parquet_tables, register
 from ..sources.csv_feed import read_feed
 from ..sources.warehouse import Warehouse
 from .etl import HISTORICAL, SOUND, Rules, run_etl
-from .standin import given, role, with_roles
+from .standin import FILE_ORDER, given, role, with_roles
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -366,7 +366,8 @@ _VEHICLE_JUDGED = """
     , judged AS (
         SELECT f.*, t.vehicle_type_id, b.branch_id,
                CASE WHEN t.vehicle_type_id IS NULL THEN 'unknown_vehicle_type'
-                    WHEN b.branch_id IS NULL THEN 'unknown_branch' END AS miss
+                    WHEN b.branch_id IS NULL THEN 'unknown_branch'
+                    WHEN length(f.license_plate) > 20 THEN 'length:license_plate' END AS miss
         FROM f_vehicle f LEFT JOIN r_vehicle_type t ON f.vehicle_type_name = t.type_name
         LEFT JOIN r_branch b ON f.branch_name = b.name),
     numbered AS (
@@ -431,8 +432,8 @@ def load_rentals(spark, folder):
         "transaction_id")
 
 
-@registered("""
-    , feed AS (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey) AS seq FROM f_payment),
+@registered(f"""
+    , feed AS (SELECT *, row_number() OVER (ORDER BY {", ".join(FILE_ORDER)}) AS seq FROM f_payment),
     rentals AS (SELECT vehicle_id, rental_start_date, min(transaction_id) AS transaction_id
                 FROM r_rental GROUP BY ALL),
     judged AS (SELECT f.*, v.vehicle_id, r.transaction_id FROM feed f
@@ -448,8 +449,8 @@ def load_rentals(spark, folder):
 def load_payments_csv(spark, folder):
     """The whole way of a feed: files, positional typed reading, line numbers, lookups, ids."""
     path = _scratch(spark, "payments")
-    order = ["l_orderkey", "l_partkey", "l_suppkey"]
-    role(spark, folder, "f_payment").orderBy(*order).drop(*order).write.option("header", True).csv(path)
+    rows = role(spark, folder, "f_payment").orderBy(*FILE_ORDER).select(*S.PAYMENT_FEED.names)
+    rows.write.option("header", True).csv(path)
     load = ingest.load_payments(
         read_feed(spark, path, S.PAYMENT_FEED), S.PAYMENT.empty(spark), role(spark, folder, "r_rental"),
         role(spark, folder, "r_vehicle"), BATCH)
@@ -844,7 +845,7 @@ def _oltp(spark, folder) -> dict[str, DataFrame]:
 
 def _changed_oltp(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """A later state: some customers and branches changed, payments of one kind doubled."""
-    later = instant("2002-01-15 00:00:00")
+    later = instant("2024-06-15 00:00:00")
     moved = F.col("last_name") == "BUILDING"
     customers = tables["customer"].withColumns({
         "address": F.when(moved, F.lit("moved")).otherwise(F.col("address")),
@@ -859,8 +860,8 @@ def _changed_oltp(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def _runs(spark, folder, rules: Rules) -> Warehouse:
     warehouse = Warehouse(spark, _scratch(spark, "warehouse"))
     tables = _oltp(spark, folder)
-    run_etl(warehouse, tables, BATCH, rules, "1995-01-01")
-    run_etl(warehouse, _changed_oltp(tables), datetime(2002, 2, 1), rules, "1995-01-01")
+    run_etl(warehouse, tables, datetime(2024, 6, 1), rules, "1995-01-01")
+    run_etl(warehouse, _changed_oltp(tables), datetime(2024, 7, 1), rules, "1995-01-01")
     return warehouse
 
 
@@ -870,22 +871,18 @@ def _control_result(warehouse: Warehouse) -> DataFrame:
 
 
 _ETL_ROLES = "r_customer r_branch r_employee r_vehicle_type r_vehicle r_rental r_payment r_maintenance"
-# Events lie in 2024, outside the calendar of these runs only from its end on: it reaches 5 years ahead.
 _ETL_SQL = """
     , rentals AS (SELECT * FROM r_rental WHERE vehicle_id IS NOT NULL),
     keyed AS (SELECT DISTINCT customer_id, vehicle_id, employee_id, rental_start_date, rental_end_date FROM rentals),
     moved AS (SELECT * FROM r_customer WHERE last_name = 'BUILDING'),
     log AS (
-        SELECT '2002-01-01 00:00:00' AS t, 'vehicle_type' AS s, (SELECT count(*) FROM r_vehicle_type) AS n
-        UNION ALL SELECT '2002-01-01 00:00:00', 'branch', (SELECT count(*) FROM r_branch)
-        UNION ALL SELECT '2002-01-01 00:00:00', 'customer', (SELECT count(*) FROM r_customer)
-        UNION ALL SELECT '2002-01-01 00:00:00', 'vehicle', (SELECT count(*) FROM r_vehicle)
-        UNION ALL SELECT '2002-01-01 00:00:00', 'employee', (SELECT count(*) FROM r_employee)
-        UNION ALL SELECT '2002-01-01 00:00:00', 'maintenance',
-            (SELECT count(*) FROM r_maintenance WHERE service_date <= DATE '2007-01-01')
-        UNION ALL SELECT '2002-02-01 00:00:00', 'vehicle_type', 0
-        UNION ALL SELECT '2002-02-01 00:00:00', 'maintenance',
-            (SELECT count(*) FROM r_maintenance WHERE service_date <= DATE '2007-01-01')
+        SELECT '2024-06-01 00:00:00' AS t, 'vehicle_type' AS s, (SELECT count(*) FROM r_vehicle_type) AS n
+        UNION ALL SELECT '2024-06-01 00:00:00', 'branch', (SELECT count(*) FROM r_branch)
+        UNION ALL SELECT '2024-06-01 00:00:00', 'customer', (SELECT count(*) FROM r_customer)
+        UNION ALL SELECT '2024-06-01 00:00:00', 'vehicle', (SELECT count(*) FROM r_vehicle)
+        UNION ALL SELECT '2024-06-01 00:00:00', 'employee', (SELECT count(*) FROM r_employee)
+        UNION ALL SELECT '2024-07-01 00:00:00', 'vehicle_type', 0
+        UNION ALL SELECT '2024-07-01 00:00:00', 'maintenance', 0
         {more})
     SELECT s AS source_table, t AS last_etl_time, 'SUCCESS' AS status, CAST(n AS BIGINT) AS records_processed,
            CAST(NULL AS VARCHAR) AS error_message
@@ -893,26 +890,29 @@ _ETL_SQL = """
 
 
 @registered(_ETL_SQL.format(more="""
-        UNION ALL SELECT '2002-01-01 00:00:00', 'rental_transaction', (SELECT count(*) FROM keyed)
-        UNION ALL SELECT '2002-02-01 00:00:00', 'branch', (SELECT count(*) FROM r_branch WHERE location = 'Region 1')
-        UNION ALL SELECT '2002-02-01 00:00:00', 'customer', (SELECT count(*) FROM moved)
-        UNION ALL SELECT '2002-02-01 00:00:00', 'vehicle', 0
-        UNION ALL SELECT '2002-02-01 00:00:00', 'employee', 0
-        UNION ALL SELECT '2002-02-01 00:00:00', 'rental_transaction', 0"""), _ETL_ROLES)
+        UNION ALL SELECT '2024-06-01 00:00:00', 'maintenance',
+            (SELECT count(DISTINCT (vehicle_id, service_date, service_type)) FROM r_maintenance)
+        UNION ALL SELECT '2024-06-01 00:00:00', 'rental_transaction', (SELECT count(*) FROM keyed)
+        UNION ALL SELECT '2024-07-01 00:00:00', 'branch', (SELECT count(*) FROM r_branch WHERE location = 'Region 1')
+        UNION ALL SELECT '2024-07-01 00:00:00', 'customer', (SELECT count(*) FROM moved)
+        UNION ALL SELECT '2024-07-01 00:00:00', 'vehicle', 0
+        UNION ALL SELECT '2024-07-01 00:00:00', 'employee', 0
+        UNION ALL SELECT '2024-07-01 00:00:00', 'rental_transaction', 0"""), _ETL_ROLES)
 def etl_runs_historical(spark, folder):
     """Two whole loads under the historical rules; the control rows tell what each changed."""
     return _control_result(_runs(spark, folder, HISTORICAL))
 
 
 @registered(_ETL_SQL.format(more="""
-        UNION ALL SELECT '2002-01-01 00:00:00', 'rental_transaction', (SELECT count(*) FROM rentals)
-        UNION ALL SELECT '2002-02-01 00:00:00', 'branch', (SELECT 2 * count(*) FROM r_branch
+        UNION ALL SELECT '2024-06-01 00:00:00', 'maintenance', (SELECT count(*) FROM r_maintenance)
+        UNION ALL SELECT '2024-06-01 00:00:00', 'rental_transaction', (SELECT count(*) FROM rentals)
+        UNION ALL SELECT '2024-07-01 00:00:00', 'branch', (SELECT 2 * count(*) FROM r_branch
                                                            WHERE location = 'Region 1')
-        UNION ALL SELECT '2002-02-01 00:00:00', 'customer', (SELECT 2 * count(*) FROM moved)
-        UNION ALL SELECT '2002-02-01 00:00:00', 'vehicle', 0
-        UNION ALL SELECT '2002-02-01 00:00:00', 'employee', (SELECT 2 * count(*) FROM r_employee e JOIN r_branch b
+        UNION ALL SELECT '2024-07-01 00:00:00', 'customer', (SELECT 2 * count(*) FROM moved)
+        UNION ALL SELECT '2024-07-01 00:00:00', 'vehicle', 0
+        UNION ALL SELECT '2024-07-01 00:00:00', 'employee', (SELECT 2 * count(*) FROM r_employee e JOIN r_branch b
             ON e.branch_id = b.branch_id WHERE location = 'Region 1')
-        UNION ALL SELECT '2002-02-01 00:00:00', 'rental_transaction',
+        UNION ALL SELECT '2024-07-01 00:00:00', 'rental_transaction',
             (SELECT count(DISTINCT transaction_id) FROM r_payment WHERE payment_method LIKE 'method RF%')"""), _ETL_ROLES)
 def etl_runs(spark, folder):
     """Two whole loads under the sound rules."""

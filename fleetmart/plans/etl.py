@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schema as S
 from ..functions.expressions import EPOCH
 from ..operators import facts, scd2
-from ..operators.append import differing, insert_if_absent
+from ..operators.append import append_delta
 from ..operators.calendar import date_span, missing_dates
 from ..operators.changes import changed_since, watermark
-from ..operators.control import control_rows, failure, success
+from ..operators.control import FAILED_RUN, control_rows, failure, success
 from ..operators.lookup import lookup_join
 from ..operators.surrogate import number_rows
 from ..session import cut_lineage
@@ -47,8 +50,8 @@ HISTORICAL = Rules(scd2.CLOSE_ONLY, "batch", natural_keys=False, refresh=False,
 SOUND = Rules(scd2.Versioning(reopen=True, gap=0, first_from=EPOCH), "event", natural_keys=True, refresh=True,
               resolve=True, inclusive=False)
 
-# Types and branches come before the tables that refer to them.
-DIMENSIONS = (scd2.VEHICLE_TYPE, scd2.BRANCH, scd2.CUSTOMER, scd2.VEHICLE, scd2.EMPLOYEE)
+# Types and branches come before the tables that refer to them; the tables of one step do not depend on each other.
+DIMENSIONS = ((scd2.VEHICLE_TYPE, scd2.BRANCH), (scd2.CUSTOMER, scd2.VEHICLE, scd2.EMPLOYEE))
 REFERENCES = {"vehicle_type_id": S.DIM_VEHICLE_TYPE, "branch_id": S.DIM_BRANCH}
 
 
@@ -61,7 +64,7 @@ class Run:
         self.number = warehouse.last_commit() + 1
         self.control = warehouse.read("etl_control")
         self.entries: list[tuple] = []
-        self.log: list[tuple] = []
+        self.log: dict[str, tuple] = {}
 
     def read(self, table: str, parts: list[str] | None = None) -> DataFrame:
         return self.wh.read(table, parts, self.entries)
@@ -93,17 +96,17 @@ class Run:
         current = self.read(table, [CURRENT])
         delta = cut_lineage(
             scd2.scd2_delta(current, self._extract(spec), spec, self.batch_ts, self.rules.versioning))
-        counts = {r["closing"]: r["count"] for r in delta.groupBy("closing").count().collect()}
-        if counts:
+        closed, opened = scd2.delta_counts(delta)
+        if closed or opened:
             versions = scd2.number_versions(delta, spec, self.wh.highest(table))
-            if counts.get(True):
-                closed = scd2.closed_versions(versions)
-                kept = current.join(closed.select(key), key, "left_anti").select(*spec.table.names)
-                self.write(table, closed, F.lit(CLOSED))
+            if closed:
+                gone = scd2.closed_versions(versions)
+                kept = current.join(gone.select(key), key, "left_anti").select(*spec.table.names)
+                self.write(table, gone, F.lit(CLOSED))
                 self.write(table, kept.unionByName(scd2.current_versions(versions)), F.lit(CURRENT), replaces=True)
             else:
                 self.write(table, versions, F.lit(CURRENT))
-        self.log.append(success(spec.source.name, self.batch_ts, sum(counts.values())))
+        self.log[spec.source.name] = success(spec.source.name, self.batch_ts, closed + opened)
 
     def _fact(self, source: str, table: str, rows: DataFrame, keys: list[str], date: str, update: list[str]) -> None:
         """Append the facts the table lacks; with ``update``, rewrite only the months in which known facts changed."""
@@ -111,49 +114,65 @@ class Run:
         month = F.floor(F.col(date) / 100)
         if self.rules.natural_keys:
             keys = ["source_id"]
-        batch = cut_lineage(facts.resolved(rows, declared.unique[0]).drop("unresolved"))
-        known = self.read(table)
-        fresh = insert_if_absent(batch, known, keys, ["source_id"])
-        fresh = cut_lineage(number_rows(fresh, "source_id", declared.primary_key, self.wh.highest(table)))
-        records = fresh.count()
-        if update and self.rules.refresh:
-            late = cut_lineage(differing(known, batch, keys, update).select(*keys, *update, month.alias("_month")))
-            changes = {r["_month"]: r["count"] for r in late.groupBy("_month").count().collect()}
-            if changes:
-                months = list(changes)
-                new = late.select(*keys, *[F.col(c).alias(f"_{c}") for c in update], F.lit(True).alias("_late"))
-                fixed = [
-                    F.when(F.col("_late"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in update else F.col(c)
-                    for c in declared.names
-                ]
-                rewritten = self.read(table, [str(m) for m in months]).join(new, keys, "left").select(*fixed)
-                added = fresh.filter(month.isin(months)).select(*declared.names)
-                self.write(table, rewritten.unionByName(added), month, replaces=True)
-                fresh = fresh.filter(~month.isin(months))
-                records += sum(changes.values())
-        self.write(table, fresh, month)
-        self.log.append(success(source, self.batch_ts, records))
-
-    def facts(self) -> None:
+        batch = facts.resolved(rows, list(declared.unique[0])).drop("unresolved")
+        refresh = update if self.rules.refresh else []
+        delta = cut_lineage(append_delta(batch, self.read(table), keys, ["source_id"], refresh))
+        counts = delta.groupBy("refreshes", month.alias("month")).count().collect()
+        fresh = number_rows(
+            delta.filter(~F.col("refreshes")), "source_id", declared.primary_key, self.wh.highest(table))
+        months = [r["month"] for r in counts if r["refreshes"]]
+        if months:
+            new = delta.filter("refreshes").select(
+                *keys, F.lit(True).alias("_late"), *[F.col(c).alias(f"_{c}") for c in update])
+            fixed = [
+                F.when(F.col("_late"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in update else F.col(c)
+                for c in declared.names
+            ]
+            old = self.read(table, [str(m) for m in months])
+            added = fresh.filter(month.isin(months)).select(*declared.names)
+            self.write(table, old.join(new, keys, "left").select(*fixed).unionByName(added), month, replaces=True)
+            fresh = fresh.filter(~month.isin(months))
+        if any(not r["refreshes"] and r["month"] not in months for r in counts):
+            self.write(table, fresh, month)
+        self.log[source] = success(source, self.batch_ts, sum(r["count"] for r in counts))
+
+    def rentals(self) -> None:
         rules = self.rules
-        parts = [CURRENT] if rules.asof == "batch" else None
-        customers, vehicles, employees = (
-            self.read(t, parts) for t in ("dim_customer", "dim_vehicle", "dim_employee"))
-        dates = self.read("dim_date")
-        rentals = facts.resolve_rentals(
-            self.sources["rental_transaction"], self.sources["payment"], customers, vehicles, employees, dates,
-            self.batch_ts, rules.asof, rules.inclusive)
-        rentals = rentals.withColumn("payment_amount", F.col("payment_amount").cast(S.PRICE))
-        self._fact("rental_transaction", "fact_rental_transactions", rentals, facts.RENTAL_KEY,
-                   "rental_start_date_id", PAYMENT_COLUMNS)
-        services = facts.resolve_maintenance(
-            self.sources["maintenance"], vehicles, dates, self.batch_ts, rules.asof, rules.inclusive)
-        self._fact("maintenance", "fact_maintenance", services, facts.MAINTENANCE_KEY, "maintenance_date_id", [])
-
-    def commit(self) -> None:
-        rows = control_rows(self.spark, self.log, self.wh.highest("etl_control"))
+        rows = facts.resolve_rentals(
+            self.sources["rental_transaction"], self.sources["payment"], self._versions("dim_customer"),
+            self._versions("dim_vehicle"), self._versions("dim_employee"), self.read("dim_date"), self.batch_ts,
+            rules.asof, rules.inclusive)
+        rows = rows.withColumn("payment_amount", F.col("payment_amount").cast(S.PRICE))
+        self._fact("rental_transaction", "fact_rental_transactions", rows, facts.RENTAL_KEY, "rental_start_date_id",
+                   PAYMENT_COLUMNS)
+
+    def maintenance(self) -> None:
+        rules = self.rules
+        rows = facts.resolve_maintenance(
+            self.sources["maintenance"], self._versions("dim_vehicle"), self.read("dim_date"), self.batch_ts,
+            rules.asof, rules.inclusive)
+        self._fact("maintenance", "fact_maintenance", rows, facts.MAINTENANCE_KEY, "maintenance_date_id", [])
+
+    def _versions(self, table: str) -> DataFrame:
+        """The versions a fact may meet: at the batch time only the current ones."""
+        return self.read(table, [CURRENT] if self.rules.asof == "batch" else None)
+
+    def commit(self) -> list[tuple]:
+        log = [self.log[name] for name in LOGGED if name in self.log]
+        rows = control_rows(self.spark, log, self.wh.highest("etl_control"))
         self.entries += self.wh.write("etl_control", rows.coalesce(1), self.number)
         self.wh.commit(self.entries)
+        return log
+
+
+LOGGED = ("vehicle_type", "branch", "customer", "vehicle", "employee", "rental_transaction", "maintenance", FAILED_RUN)
+
+
+def _together(*steps: Callable[[], None]) -> None:
+    """Submit independent steps at once, so that small tables do not leave the cluster idle."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            done.result()
 
 
 def run_etl(warehouse: Warehouse, sources: dict[str, DataFrame], batch_ts: datetime, rules: Rules = SOUND,
@@ -165,14 +184,13 @@ def run_etl(warehouse: Warehouse, sources: dict[str, DataFrame], batch_ts: datet
     """
     run = Run(warehouse, sources, batch_ts, rules)
     try:
-        run.dates(calendar_start)
-        for spec in DIMENSIONS:
-            run.dimension(spec)
-        run.facts()
-        run.commit()
+        first, second = ([partial(run.dimension, spec) for spec in step] for step in DIMENSIONS)
+        _together(partial(run.dates, calendar_start), *first)
+        _together(*second)
+        _together(run.rentals, run.maintenance)
+        return run.commit()
     except Exception as error:
         failed = Run(warehouse, sources, batch_ts, rules)
-        failed.log = [failure(batch_ts, str(error))]
+        failed.log[FAILED_RUN] = failure(batch_ts, str(error))
         failed.commit()
         raise
-    return run.log

@@ -113,9 +113,9 @@ ROLES |= {
         LEFT JOIN (SELECT l_orderkey, min(l_partkey) AS partkey, min(l_suppkey) AS suppkey
                    FROM {{lineitem}} GROUP BY l_orderkey) l ON o.o_orderkey = l.l_orderkey
         LEFT JOIN {{part}} p ON l.partkey = p.p_partkey LEFT JOIN {{supplier}} s ON l.suppkey = s.s_suppkey""",
-    # Its row numbers come from reading it as files, in the order of the three keys.
+    # Its row numbers come from reading it as files, in the order of FILE_ORDER.
     "f_payment": """
-        SELECT l_orderkey, l_partkey, l_suppkey, 'Customer ' || CAST(o_custkey AS VARCHAR(20)) AS customer_name,
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_tax, 'Customer ' || CAST(o_custkey AS VARCHAR(20)) AS customer_name,
                'P' || CAST(l_partkey AS VARCHAR(20)) AS vehicle_license_plate, CAST(o_orderdate AS DATE) AS rental_start_date,
                CAST(l_shipdate AS DATE) AS payment_date, CAST(l_extendedprice AS DECIMAL(10,2)) AS amount,
                'method ' || l_returnflag AS payment_method
@@ -127,6 +127,8 @@ ROLES |= {
         FROM {{events}} LEFT JOIN {{part}} ON user_id = p_partkey""",
 }
 
+FILE_ORDER = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "payment_date", "amount", "payment_method", "l_tax"]
+
 
 def role(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A role as a DataFrame over the Parquet files of ``folder``."""

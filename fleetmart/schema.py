@@ -167,3 +167,8 @@ STAR = {t.name: t for t in (
     DIM_CUSTOMER, DIM_BRANCH, DIM_EMPLOYEE, DIM_VEHICLE_TYPE, DIM_VEHICLE, DIM_DATE, FACT_RENTAL,
     FACT_MAINTENANCE, ETL_CONTROL,
 )}
+
+# Rows a load did not take, with the reason and the row as it came.
+REJECTS = Table("rejects", (
+    _text("feed"), Col("seq", ID), _text("reason"), _text("raw"),
+), "seq")

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from .. import schema as S
+from ..operators.ingest import CORRUPT, REASON
+from ..operators.lookup import lookup_join
 from ..operators.quality import column_checks
 from ..session import cut_lineage
 
-CORRUPT = "_corrupt_record"
-
 
 def scan_csv(spark: SparkSession, path: str | list[str], table: S.Table, strict: bool = True,
              multi_line: bool = False) -> DataFrame:
@@ -31,7 +31,7 @@ def number_lines(scan: DataFrame) -> DataFrame:
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(
         "_file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    placed = scan.join(offsets, ["_file", "_block"])
+    placed = lookup_join(scan, offsets, ["_file", "_block"])
     seq = F.col("_line") - F.col("_first") + F.col("_offset") + 1
     return placed.withColumn("seq", seq.cast("long")).drop("_file", "_block", "_line", "_first", "_offset")
 
@@ -53,5 +53,5 @@ def read_feed(spark: SparkSession, path: str | list[str], table: S.Table, strict
         return number_lines(cut_lineage(scan))
     reasons = [F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed"))]
     reasons += [F.when(failed, F.lit(code)) for failed, code in checks]
-    staged = cut_lineage(scan.withColumn("reject_reason", F.coalesce(*reasons)))
+    staged = cut_lineage(scan.withColumn(REASON, F.coalesce(*reasons)))
     return number_lines(staged)

@@ -21,21 +21,25 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str, tables: dict[str, S.Table] | None = None):
         self.spark, self.root, self.tables = spark, root.rstrip("/"), tables or S.STAR
 
-    def _commits(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(COMMIT).parquet(f"{self.root}/_commits")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], COMMIT)
+        self._log: list[tuple] | None = None
+
+    def _commits(self) -> list[tuple]:
+        """All committed entries: a list of folders, a few per table and run, read once."""
+        if self._log is None:
+            try:
+                self._log = [tuple(r) for r in self.spark.read.schema(COMMIT).parquet(f"{self.root}/_commits").collect()]
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                self._log = []
+        return self._log
 
     def last_commit(self) -> int:
-        return self._commits().agg(F.coalesce(F.max("commit"), F.lit(0))).first()[0]
+        return max((commit for commit, *_ in self._commits()), default=0)
 
     def highest(self, table: str) -> int:
         """Greatest surrogate key committed, taken from the commits instead of the data."""
-        rows = self._commits().filter(F.col("table") == table)
-        return rows.agg(F.coalesce(F.max("top"), F.lit(0))).first()[0]
+        return max((top for _, name, *_, top in self._commits() if name == table), default=0)
 
     def read(self, table: str, parts: list[str] | None = None, pending: list[tuple] = ()) -> DataFrame:
         """Rows of a table, or of some parts: per part, the last replacement and what was added since.
@@ -43,13 +47,12 @@ class Warehouse:
         ``pending`` adds the entries of a run that is not committed yet.
         """
         declared = self.tables[table]
-        rows = self._commits().unionByName(self.spark.createDataFrame(list(pending), COMMIT))
-        rows = rows.filter(F.col("table") == table)
-        if parts is not None:
-            rows = rows.filter(F.col(PART).isin(parts))
-        base = rows.filter("replaces").groupBy(PART).agg(F.max("commit").alias("_base"))
-        live = rows.join(base, PART, "left").filter(F.col("commit") >= F.coalesce("_base", F.lit(0)))
-        paths = [r["path"] for r in live.select("path").distinct().orderBy("path").collect()]
+        entries = [e for e in (*self._commits(), *pending) if e[1] == table and (parts is None or e[2] in parts)]
+        base: dict[str, int] = {}
+        for commit, _, part, replaces, *_ in entries:
+            if replaces:
+                base[part] = max(commit, base.get(part, 0))
+        paths = sorted({path for commit, _, part, _, path, *_ in entries if commit >= base.get(part, 0)})
         if not paths:
             return declared.empty(self.spark)
         return self.spark.read.schema(declared.struct).parquet(*[f"{self.root}/{p}" for p in paths])
@@ -74,3 +77,4 @@ class Warehouse:
         """Publish: a single file, written last."""
         rows = self.spark.createDataFrame(entries, COMMIT)
         rows.coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
+        self._log = None
