@@ -13,13 +13,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schema as S
 from ..functions.expressions import availability
+from ..session import cut_lineage
 from .dedupe import mark_winners
-from .lookup import first_reason, lookup_join, natural_key
+from .lookup import first_reason, lookup_join, resolve
 from .quality import apply_defaults, column_checks
 from .surrogate import highest, number_rows
 
 REASON = "reject_reason"
 CORRUPT = "_corrupt_record"  # text of a row that did not parse, if staging keeps such rows
+PLATE = {"vehicle_license_plate": "license_plate"}
 
 
 class ConstraintViolation(ValueError):
@@ -68,9 +70,12 @@ def outcome(judged: DataFrame, feed: str) -> DataFrame:
 
 
 def _judge(rows: DataFrame, table: S.Table, misses: list[tuple[Column, str]]) -> DataFrame:
-    """Reasons that one row shows by itself: one given while staging, lookup misses in their order, constraints."""
+    """Reasons that one row shows by itself: one given while staging, lookup misses in their order, constraints.
+
+    The result is written out: repeats and numbers are found in several passes that should not look up again.
+    """
     own = first_reason(misses + column_checks(table, rows.columns))
-    return rows.withColumn(REASON, F.coalesce(REASON, own) if REASON in rows.columns else own)
+    return cut_lineage(rows.withColumn(REASON, F.coalesce(REASON, own) if REASON in rows.columns else own))
 
 
 def _reject_repeats(rows: DataFrame, keys: list[str], code: str, existing: DataFrame) -> DataFrame:
@@ -96,9 +101,8 @@ def load_customers(feed: DataFrame, customer: DataFrame, batch_ts: datetime | st
 def load_vehicles(feed: DataFrame, vehicle: DataFrame, vehicle_type: DataFrame, branch: DataFrame,
                   batch_ts: datetime | str) -> Load:
     """Vehicles; type and branch by name, the first row of a plate wins. A repeated plate still uses up an id."""
-    rows = lookup_join(feed, natural_key(vehicle_type, {"vehicle_type_name": "type_name"}, "vehicle_type_id"),
-                       ["vehicle_type_name"])
-    rows = lookup_join(rows, natural_key(branch, {"branch_name": "name"}, "branch_id"), ["branch_name"])
+    rows = resolve(feed, vehicle_type, {"vehicle_type_name": "type_name"}, "vehicle_type_id")
+    rows = resolve(rows, branch, {"branch_name": "name"}, "branch_id")
     rows = rows.withColumn("rental_availability", availability(F.col("rental_status_text")))
     rows = _judge(rows, S.VEHICLE, [
         (F.col("vehicle_type_id").isNull(), "unknown_vehicle_type"), (F.col("branch_id").isNull(), "unknown_branch"),
@@ -111,14 +115,11 @@ def load_vehicles(feed: DataFrame, vehicle: DataFrame, vehicle_type: DataFrame,
 def load_rentals(feed: DataFrame, rental: DataFrame, customer: DataFrame, vehicle: DataFrame, employee: DataFrame,
                  batch_ts: datetime | str) -> Load:
     """Rentals; customer and employee by name, vehicle by plate. Same vehicle and dates is a repeat."""
-    customers = natural_key(
-        customer, {"customer_first_name": "first_name", "customer_last_name": "last_name"}, "customer_id")
-    vehicles = natural_key(vehicle, {"vehicle_license_plate": "license_plate"}, "vehicle_id")
-    employees = natural_key(
-        employee, {"employee_first_name": "first_name", "employee_last_name": "last_name"}, "employee_id")
-    rows = lookup_join(feed, customers, ["customer_first_name", "customer_last_name"])
-    rows = lookup_join(rows, vehicles, ["vehicle_license_plate"])
-    rows = lookup_join(rows, employees, ["employee_first_name", "employee_last_name"])
+    rows = resolve(
+        feed, customer, {"customer_first_name": "first_name", "customer_last_name": "last_name"}, "customer_id")
+    rows = resolve(rows, vehicle, PLATE, "vehicle_id")
+    rows = resolve(
+        rows, employee, {"employee_first_name": "first_name", "employee_last_name": "last_name"}, "employee_id")
     rows = _judge(rows, S.RENTAL, [
         (F.col("customer_id").isNull(), "unknown_customer"), (F.col("vehicle_id").isNull(), "unknown_vehicle"),
         (F.col("employee_id").isNull(), "unknown_employee"),
@@ -132,18 +133,16 @@ def load_payments(feed: DataFrame, payment: DataFrame, rental: DataFrame, vehicl
                   batch_ts: datetime | str, idempotent: bool = False) -> Load:
     """Payments; vehicle by plate, rental by vehicle and start date. Loading a file again adds its payments again,
     unless ``idempotent``, which drops payments equal in every column to one the target has."""
-    vehicles = natural_key(vehicle, {"vehicle_license_plate": "license_plate"}, "vehicle_id")
-    rentals = natural_key(
-        rental, {"vehicle_id": "vehicle_id", "rental_start_date": "rental_start_date"}, "transaction_id")
-    rows = lookup_join(feed, vehicles, ["vehicle_license_plate"])
-    rows = lookup_join(rows, rentals, ["vehicle_id", "rental_start_date"])
+    rows = resolve(feed, vehicle, PLATE, "vehicle_id")
+    rows = resolve(
+        rows, rental, {"vehicle_id": "vehicle_id", "rental_start_date": "rental_start_date"}, "transaction_id")
     rows = _judge(rows, S.PAYMENT, [
         (F.col("vehicle_id").isNull(), "unknown_vehicle"), (F.col("transaction_id").isNull(), "unknown_rental"),
     ])
     if idempotent:
         same = ["transaction_id", "payment_date", "amount", "payment_method"]
         known = payment.select(*same).distinct().withColumn("_known", F.lit(True))
-        rows = lookup_join(rows, known, same).withColumn(
+        rows = lookup_join(rows, known, same, counted=payment).withColumn(
             REASON, F.coalesce(REASON, F.when(F.col("_known"), F.lit("duplicate_payment")))).drop("_known")
     judged = _number(rows, S.PAYMENT, payment, F.col(REASON).isNull())
     return Load(S.PAYMENT, S.PAYMENT_FEED, judged, batch_ts)
@@ -151,8 +150,7 @@ def load_payments(feed: DataFrame, payment: DataFrame, rental: DataFrame, vehicl
 
 def load_maintenance(feed: DataFrame, maintenance: DataFrame, vehicle: DataFrame, batch_ts: datetime | str) -> Load:
     """Maintenance; vehicle by plate. Same vehicle, day and service type is a repeat."""
-    vehicles = natural_key(vehicle, {"vehicle_license_plate": "license_plate"}, "vehicle_id")
-    rows = lookup_join(feed, vehicles, ["vehicle_license_plate"])
+    rows = resolve(feed, vehicle, PLATE, "vehicle_id")
     rows = _judge(rows, S.MAINTENANCE, [(F.col("vehicle_id").isNull(), "unknown_vehicle")])
     judged = _reject_repeats(rows, ["vehicle_id", "service_date", "service_type"], "duplicate_maintenance", maintenance)
     judged = _number(judged, S.MAINTENANCE, maintenance, F.col(REASON).isNull())

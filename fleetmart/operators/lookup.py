@@ -13,8 +13,9 @@ HOT_KEYS = 1_000  # keys outside the k most frequent ones hold less than 1/k of
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Count rows, no further than one past the limit, with every column pruned."""
-    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
+    """Whether df has at most that many rows. Reads partitions one after another and stops past the limit, so a large
+    table costs no more than its first partitions."""
+    return df.select(F.lit(1).alias("one")).offset(max_rows).isEmpty()
 
 
 def any_null(names: list[str]) -> Column:
@@ -22,14 +23,16 @@ def any_null(names: list[str]) -> Column:
 
 
 def lookup_join(rows: DataFrame, lookup: DataFrame, on: list[str], bounded: bool = False,
-                max_rows: int = BROADCAST_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
+                counted: DataFrame | None = None, max_rows: int = BROADCAST_ROWS,
+                hot_keys: int = HOT_KEYS) -> DataFrame:
     """Left join to a lookup that is unique on its key; every row comes back exactly once.
 
     A lookup of checked size is broadcast and the rows never move (``bounded`` skips the check for lookups whose size
-    is fixed by construction). A larger one is joined by shuffle, but first the most frequent keys of ``rows`` are
-    taken out and joined by broadcast, so no task receives a hot key; rows without a key need no join at all.
+    is fixed by construction; ``counted`` is a table with at least as many rows as the lookup that is cheaper to
+    check). A larger one is joined by shuffle, but first the most frequent keys of ``rows`` are taken out and joined by
+    broadcast, so no task receives a hot key; rows without a key need no join at all.
     """
-    if bounded or fits_broadcast(lookup, max_rows):
+    if bounded or fits_broadcast(lookup if counted is None else counted, max_rows):
         return rows.join(F.broadcast(lookup), on, "left")
     keyed = rows.filter(~any_null(on))
     hot = cut_lineage(
@@ -45,14 +48,19 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, on: list[str], bounded: bool
     return reduce(DataFrame.unionByName, parts)
 
 
-def natural_key(table: DataFrame, key: dict[str, str], id_column: str, into: str | None = None) -> DataFrame:
+def natural_key(table: DataFrame, key: dict[str, str], id_column: str) -> DataFrame:
     """Lookup from a natural key to an id; of several matches the least id is taken.
 
     ``key`` maps the column name on the feed side to the column of ``table``.
     """
-    renamed = table.select(*[F.col(c).alias(f) for f, c in key.items()], F.col(id_column).alias(into or id_column))
+    renamed = table.select(*[F.col(c).alias(f) for f, c in key.items()], id_column)
     names = list(key)
-    return renamed.filter(~any_null(names)).groupBy(*names).agg(F.min(into or id_column).alias(into or id_column))
+    return renamed.filter(~any_null(names)).groupBy(*names).agg(F.min(id_column).alias(id_column))
+
+
+def resolve(rows: DataFrame, table: DataFrame, key: dict[str, str], id_column: str) -> DataFrame:
+    """Add the id a natural key names in ``table``, NULL where it names none."""
+    return lookup_join(rows, natural_key(table, key, id_column), list(key), counted=table)
 
 
 def first_reason(checks: list[tuple[Column, str]]) -> Column:

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import cut_lineage
+
 WIDTH = 1_000_000
 
 
 def _offsets(sizes: DataFrame, width: int) -> DataFrame:
     """Rows before each range, from ranges with their row counts. Ids may be sparse, with nearly as many ranges as rows,
     so the running sum is taken in blocks of ranges and then over the blocks: 64-bit ids fill few of those."""
-    blocked = sizes.withColumn("_block", F.floor(F.col("_range") / F.lit(width)))
+    blocked = sizes.withColumn("_block", F.expr(f"_range div {width}"))
     up_to = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocked.groupBy("_block").agg(F.sum("_n").alias("_n")).select(
         "_block", F.coalesce(F.sum("_n").over(up_to), F.lit(0)).alias("_blocks_before"))
@@ -26,18 +28,19 @@ def number_rows(rows: DataFrame, by: str, into: str, start: int = 0, where: Colu
 
     Rows are cut into ranges of ``width`` consecutive values of ``by``: as values are unique, no range holds more rows
     than that, and the range of a row depends on the row alone, so a recomputed task gives the same numbers. The
-    offsets come from one count per range. Rows failing ``where`` stay and get no number.
+    offsets come from one count per range. Rows failing ``where`` stay and get no number. ``rows`` is read twice: cut
+    its lineage first if it is expensive.
     """
     counted = F.lit(1) if where is None else F.when(where, 1).otherwise(0)
-    cut = rows.withColumn("_range", F.floor(F.col(by) / F.lit(width)))
-    offsets = _offsets(cut.groupBy("_range").agg(F.sum(counted).alias("_n")), width)
+    cut = rows.withColumn("_range", F.expr(f"`{by}` div {width}"))
+    sizes = cut_lineage(cut.groupBy("_range").agg(F.sum(counted).alias("_n")))
     within = Window.partitionBy("_range").orderBy(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # The window has partitioned the rows by range already; only the offsets move for the join.
     running = cut.withColumn("_running", F.sum(counted).over(within))
     number = (F.col("_running") + F.col("_offset") + F.lit(start)).cast("long")
     if where is not None:
         number = F.when(where, number)
-    return running.join(offsets, "_range").withColumn(into, number).drop("_range", "_running", "_offset")
+    return running.join(_offsets(sizes, width), "_range").withColumn(into, number).drop("_range", "_running", "_offset")
 
 
 def highest(table: DataFrame, key: str) -> int:

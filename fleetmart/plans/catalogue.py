@@ -16,9 +16,9 @@ from ..operators.calendar import date_rows
 from ..operators.changes import apply_updates, changed_since, watermark, watermarks
 from ..operators.control import latest_runs
 from ..operators.dedupe import first_rows
-from ..operators.lookup import first_reason, lookup_join, natural_key
+from ..operators.lookup import first_reason, resolve
 from ..operators.surrogate import number_rows
-from ..session import shared_dir
+from ..session import cut_lineage, shared_dir
 from ..sources.catalog import parquet_tables, register
 from ..sources.csv_feed import read_feed
 from ..sources.warehouse import Warehouse
@@ -172,7 +172,7 @@ def _fact_maintenance(spark, folder):
 @registered(f", {_FACT_RENTAL} SELECT * REPLACE (row_number() OVER (ORDER BY source_id) AS transaction_id) FROM fact",
             _STAR_ROLES)
 def fact_rental(spark, folder):
-    return number_rows(_fact_rental(spark, folder), "source_id", "transaction_id")
+    return number_rows(cut_lineage(_fact_rental(spark, folder)), "source_id", "transaction_id")
 
 
 @registered(f", {_DATES}, {_FACT_MAINTENANCE} SELECT * FROM service", _STAR_ROLES)
@@ -285,9 +285,8 @@ def key_lookup_rejects(spark, folder):
         F.when((F.col("l_linestatus") == "F") & (F.col("l_tax") > 0.05), "nobody").otherwise(email).alias("email"),
         F.concat(F.when(F.col("l_returnflag") == "R", "p").otherwise("P"), F.col("l_partkey").cast("string")).alias(
             "plate"))
-    rows = lookup_join(rows, natural_key(role(spark, folder, "r_employee"), {"email": "email"}, "employee_id"), ["email"])
-    rows = lookup_join(
-        rows, natural_key(role(spark, folder, "r_vehicle"), {"plate": "license_plate"}, "vehicle_id"), ["plate"])
+    rows = resolve(rows, role(spark, folder, "r_employee"), {"email": "email"}, "employee_id")
+    rows = resolve(rows, role(spark, folder, "r_vehicle"), {"plate": "license_plate"}, "vehicle_id")
     return rows.select("l_orderkey", "l_partkey", "l_suppkey", "employee_id", "vehicle_id", first_reason([
         (F.col("employee_id").isNull(), "unknown_employee"), (F.col("vehicle_id").isNull(), "unknown_vehicle"),
     ]).alias("reject_reason"))
@@ -404,6 +403,33 @@ def load_outcome(spark, folder):
     return _vehicle_load(spark, folder).outcome()
 
 
+@registered(_VEHICLE_JUDGED + """
+    SELECT 'vehicle_feed' AS feed, seq, coalesce(miss, 'duplicate_license_plate') AS reason
+    FROM numbered WHERE miss IS NOT NULL OR rank > 1""", "f_vehicle r_vehicle_type r_branch")
+def reject_log(spark, folder):
+    return _vehicle_load(spark, folder).rejects().select("feed", "seq", "reason")
+
+
+@registered("""
+    SELECT row_number() OVER (ORDER BY event_id) AS seq,
+           CASE WHEN event_type = 'error' THEN NULL ELSE CAST(value AS DECIMAL(10,2)) END AS maintenance_cost,
+           CASE WHEN event_type IN ('error', 'signup') THEN 'malformed'
+                WHEN event_type = 'view' THEN 'length:vehicle_license_plate' END AS reject_reason
+    FROM events""")
+def csv_malformed_rows(spark, folder):
+    """A feed in which one kind of rows has a bad number, one lacks a field and one has an over-long plate."""
+    path = _scratch(spark, "services")
+    kind = F.col("event_type")
+    plate = F.when(kind == "view", F.lpad(F.col("user_id").cast("string"), 21, "0")).otherwise(F.col("user_id").cast("string"))
+    cost = F.when(kind == "error", "none").otherwise(F.col("value").cast("decimal(10,2)").cast("string"))
+    line = F.concat_ws(",", plate, F.date_format("ts", "yyyy-MM-dd"), kind, cost)
+    rows = given(spark, folder, "events").orderBy("event_id").select(
+        F.when(kind == "signup", line).otherwise(F.concat(line, F.lit(",x"))).alias("value"))
+    rows.write.text(path)
+    return read_feed(spark, path, S.MAINTENANCE_FEED, strict=False, header=False).select(
+        "seq", "maintenance_cost", "reject_reason")
+
+
 @registered("""
     , judged AS (
         SELECT f.*, c.customer_id, v.vehicle_id, e.employee_id,
@@ -635,6 +661,25 @@ def scd2_close_and_insert(spark, folder):
     return _scd2_result(spark, folder, scd2.CLOSE_AND_INSERT)
 
 
+@registered(", " + _SCD2_INPUT.format(gap=1, reopen="").replace("opened AS (", """first_run AS (""").replace("""
+    SELECT customer_id, source_id, last_name, phone_number, strftime""", """,
+    opened AS (
+        SELECT * FROM first_run
+        UNION ALL
+        SELECT greatest((SELECT max(customer_id) FROM first_run), (SELECT max(customer_id) FROM existing))
+                   + row_number() OVER (ORDER BY customer_id), customer_id, last_name, phone_number,
+               TIMESTAMP '2002-01-02 00:00:00', TIMESTAMP '9999-12-31 00:00:00', TRUE
+        FROM joined WHERE changed)
+    SELECT customer_id, source_id, last_name, phone_number, strftime""", 1), "r_customer")
+def scd2_close_only_next_run(spark, folder):
+    """The run after a change opens the versions that the first one only closed."""
+    dim, source = _scd2_input(spark, folder)
+    dim = scd2.scd2_merge(dim, source, scd2.CUSTOMER, BATCH, scd2.CLOSE_ONLY)
+    dim = scd2.scd2_merge(dim, source, scd2.CUSTOMER, datetime(2002, 1, 2), scd2.CLOSE_ONLY)
+    return dim.select("customer_id", "source_id", "last_name", "phone_number", _stamp("valid_from"), _stamp("valid_to"),
+                      "is_active")
+
+
 # The other four dimensions: first load from the tables, then a changed source.
 def _two_runs(spark, folder, spec: scd2.Dimension, name: str, change: dict[str, Column], show: list[str]):
     source = spec.extract(role(spark, folder, name))

@@ -111,7 +111,7 @@ class Run:
     def _fact(self, source: str, table: str, rows: DataFrame, keys: list[str], date: str, update: list[str]) -> None:
         """Append the facts the table lacks; with ``update``, rewrite only the months in which known facts changed."""
         declared = S.STAR[table]
-        month = F.floor(F.col(date) / 100)
+        month = F.expr(f"{date} div 100")
         if self.rules.natural_keys:
             keys = ["source_id"]
         batch = facts.resolved(rows, list(declared.unique[0])).drop("unresolved")

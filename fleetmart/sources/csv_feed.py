@@ -12,14 +12,14 @@ from ..session import cut_lineage
 
 
 def scan_csv(spark: SparkSession, path: str | list[str], table: S.Table, strict: bool = True,
-             multi_line: bool = False) -> DataFrame:
+             multi_line: bool = False, header: bool = True) -> DataFrame:
     """Typed scan of one file, folder or pattern. The header is skipped and its names are ignored.
 
     ``strict`` fails the job on a bad value or a wrong number of fields; otherwise such rows keep their text in
     ``_corrupt_record``. ``multi_line`` allows line breaks in quoted fields, at the price of one task per file.
     """
     struct = table.struct if strict else T.StructType([*table.struct.fields, T.StructField(CORRUPT, T.StringType())])
-    reader = spark.read.schema(struct).option("header", True).option("escape", '"').option("multiLine", multi_line)
+    reader = spark.read.schema(struct).option("header", header).option("escape", '"').option("multiLine", multi_line)
     reader = reader.option("mode", "FAILFAST" if strict else "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     return reader.csv(path)
 
@@ -37,13 +37,13 @@ def number_lines(scan: DataFrame) -> DataFrame:
 
 
 def read_feed(spark: SparkSession, path: str | list[str], table: S.Table, strict: bool = True,
-              multi_line: bool = False) -> DataFrame:
+              multi_line: bool = False, header: bool = True) -> DataFrame:
     """Stage a feed: parse every column once, check lengths, number the lines.
 
     Staging is written out, so the parse checks cover all columns whatever is read later, and a retried stage sees the
     same rows. With ``strict=False`` the column ``reject_reason`` marks rows that do not parse or are too long.
     """
-    scan = scan_csv(spark, path, table, strict, multi_line).select(
+    scan = scan_csv(spark, path, table, strict, multi_line, header).select(
         "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_line"))
     checks = column_checks(table, table.names)

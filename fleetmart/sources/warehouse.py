@@ -59,10 +59,14 @@ class Warehouse:
 
     def write(self, table: str, rows: DataFrame, commit: int, part: Column | None = None,
               replaces: bool = False) -> list[tuple]:
-        """Write rows of a table by part; returns the entries to commit, none if there were no rows."""
+        """Write rows of a table by part; returns the entries to commit, none if there were no rows.
+
+        Rows are rebalanced by part at run time: few files for a small part, several tasks for a large one.
+        """
         declared = self.tables[table]
         folder = f"{table}/batch={commit}-{'replace' if replaces else 'add'}"
         laid = rows.select(*declared.names, (F.lit(WHOLE) if part is None else part).cast("string").alias(PART))
+        laid = laid.hint("rebalance", PART)
         laid.write.mode("overwrite").partitionBy(PART).parquet(f"{self.root}/{folder}")
         key = declared.primary_key
         stored = T.StructType([declared.struct[key], T.StructField(PART, T.StringType())])
