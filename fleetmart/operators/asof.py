@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.expressions import instant
 from ..session import cut_lineage
-from .lookup import fits_broadcast, lookup_join
+from .lookup import Step, fits_broadcast, prepare_lookup
 
 VERSIONS_PER_KEY = 64
 
@@ -21,30 +21,30 @@ def valid_at(dim: DataFrame, at: datetime | str, inclusive: bool = True) -> Data
     return dim.filter((F.col("valid_from") <= moment) & (moment < F.col("valid_to")))
 
 
-def version_at_batch(rows: DataFrame, dim: DataFrame, on: str, take: dict[str, str], at: datetime | str,
-                     inclusive: bool = True) -> DataFrame:
-    """Look up the version valid at the batch time; columns are NULL where the key has none.
+def prepare_at_batch(base: DataFrame, dim: DataFrame, on: str, take: dict[str, str], at: datetime | str,
+                     inclusive: bool = True) -> Step:
+    """A step that looks up the version valid at the batch time; columns are NULL where the key has none.
 
-    ``take`` maps result names to columns of the dimension; ``on`` is the column of ``rows`` holding the source id.
+    ``take`` maps result names to columns of the dimension; ``on`` is the column of the rows holding the source id.
     """
     versions = valid_at(dim, at, inclusive)
     lookup = versions.select(F.col("source_id").alias(on), *[F.col(c).alias(n) for n, c in take.items()])
-    return lookup_join(rows, lookup, [on])
+    return prepare_lookup(base, lookup, [on])
 
 
 def _covers(at: Column, start: Column, end: Column, inclusive: bool) -> Column:
     return (start <= at) & ((at <= end) if inclusive else (at < end))
 
 
-def version_at_event(rows: DataFrame, dim: DataFrame, on: str, take: dict[str, str], at: str,
-                     inclusive: bool = True, grain: str = "DAY", strategy: str = "auto") -> DataFrame:
-    """Look up the version valid at the time in column ``at`` of each row; NULL where there is none.
+def prepare_at_event(base: DataFrame, dim: DataFrame, on: str, take: dict[str, str], at: str,
+                     inclusive: bool = True, grain: str = "DAY", strategy: str = "auto") -> Step:
+    """A step that looks up the version valid at the time in column ``at`` of each row; NULL where there is none.
 
     Versions of a key do not overlap. A dimension of checked size, with few versions per key, is broadcast. Otherwise
-    the distinct pairs of key and time are answered first: sorted together with the versions per key and time slice,
-    each takes the last version before it, and the version a slice starts with is carried in from a summary of one row
-    per key and slice. The rows then look up their answer. No row meets more than one version; a hot key shrinks to its
-    distinct times, these are spread over slices, and a hot pair is split off by the lookup.
+    the distinct pairs of key and time in ``base`` are answered first: sorted together with the versions per key and
+    time slice, each takes the last version before it, and the version a slice starts with is carried in from a summary
+    of one row per key and slice. The rows then look up their answer. No row meets more than one version; a hot key
+    shrinks to its distinct times, these are spread over slices, and a hot pair is split off by the lookup.
     """
     versions = dim.filter(F.col("valid_from") <= F.col("valid_to")).select(
         F.col("source_id").alias(on), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"),
@@ -55,33 +55,34 @@ def version_at_event(rows: DataFrame, dim: DataFrame, on: str, take: dict[str, s
         narrow = fits_broadcast(versions) and (
             versions.groupBy(on).agg(F.count(F.lit(1)).alias("n")).agg(most).first()[0] is not False)
         strategy = "broadcast" if narrow else "carry"
-    moment = F.col(at).cast("timestamp_ntz")
-    if strategy == "broadcast":
-        v = F.broadcast(versions).alias("v")
+    if strategy == "carry":
+        answers = cut_lineage(_answers(base, versions, on, at, list(take), inclusive, grain))
+        return prepare_lookup(base, answers, [on, at])
+
+    def step(rows: DataFrame) -> DataFrame:
         match = (F.col(f"r.{on}") == F.col(f"v.{on}")) & _covers(
             F.col(f"r.{at}").cast("timestamp_ntz"), F.col("v._from"), F.col("v._to"), inclusive)
-        return rows.alias("r").join(v, match, "left").select("r.*", *[f"v.{n}" for n in take])
+        return rows.alias("r").join(F.broadcast(versions).alias("v"), match, "left").select(
+            "r.*", *[f"v.{n}" for n in take])
 
-    return _carry(rows.withColumn("_t", moment), versions, on, list(take), inclusive, grain).drop("_t")
+    return step
 
 
-def _carry(rows: DataFrame, versions: DataFrame, on: str, take: list[str], inclusive: bool, grain: str) -> DataFrame:
-    points = rows.filter(F.col(on).isNotNull() & F.col("_t").isNotNull()).select(on, "_t").distinct()
+def _answers(base: DataFrame, versions: DataFrame, on: str, at: str, take: list[str], inclusive: bool,
+             grain: str) -> DataFrame:
+    points = base.dropna(subset=[on, at]).select(on, at).distinct().withColumn("_t", F.col(at).cast("timestamp_ntz"))
     payload = F.struct("_to", *take)
     starts = versions.select(on, F.col("_from").alias("_t"), payload.alias("_version"))
-    empty = F.lit(None).cast(starts.schema["_version"].dataType)
-    both = starts.withColumn("_point", F.lit(False)).unionByName(
-        points.withColumns({"_version": empty, "_point": F.lit(True)}))
+    both = starts.unionByName(points, allowMissingColumns=True)
     both = both.withColumn("_slice", F.date_trunc(grain, F.col("_t")).cast("timestamp_ntz"))
-    newest = F.max_by("_version", F.when(~F.col("_point"), F.col("_t")))
+    newest = F.max_by("_version", F.when(F.col(at).isNull(), F.col("_t")))
     earlier = Window.partitionBy(on).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = both.groupBy(on, "_slice").agg(newest.alias("_last")).select(
         on, "_slice", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
-    # At equal times the start of a version sorts before the point it covers.
-    running = Window.partitionBy(on, "_slice").orderBy("_t", "_point").rowsBetween(
+    # At equal times the start of a version, which has no point, sorts before the point it covers.
+    running = Window.partitionBy(on, "_slice").orderBy("_t", F.asc_nulls_first(at)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    placed = both.withColumn("_here", F.last("_version", ignorenulls=True).over(running)).filter("_point")
+    placed = both.withColumn("_here", F.last("_version", ignorenulls=True).over(running)).filter(F.col(at).isNotNull())
     found = placed.join(carried, [on, "_slice"], "left").withColumn("_v", F.coalesce("_here", "_carried"))
     inside = (F.col("_t") <= F.col("_v._to")) if inclusive else (F.col("_t") < F.col("_v._to"))
-    answers = found.filter(inside).select(on, "_t", *[F.col(f"_v.{n}").alias(n) for n in take])
-    return lookup_join(rows, cut_lineage(answers), [on, "_t"])
+    return found.filter(inside).select(on, at, *[F.col(f"_v.{n}").alias(n) for n in take])

@@ -6,24 +6,25 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from .asof import version_at_batch, version_at_event
-from .lookup import first_reason, lookup_join
+from .asof import prepare_at_batch, prepare_at_event
+from .lookup import Step, first_reason, in_turn, prepare_lookup
 from .rollups import payment_rollup
 
 RENTAL_KEY = ["customer_id", "vehicle_id", "employee_id", "rental_start_date_id", "rental_end_date_id"]
 MAINTENANCE_KEY = ["vehicle_id", "maintenance_date_id", "service_type"]
 
 
-def _version(rows: DataFrame, dim: DataFrame, on: str, take: dict[str, str], batch_ts, asof: str, at: str,
-             inclusive: bool) -> DataFrame:
+def _prepare_version(base: DataFrame, dim: DataFrame, on: str, key: str, batch_ts, asof: str, at: str,
+                     inclusive: bool) -> Step:
     if asof == "batch":
-        return version_at_batch(rows, dim, on, take, batch_ts, inclusive)
-    return version_at_event(rows, dim, on, take, at, inclusive)
+        return prepare_at_batch(base, dim, on, {key: key}, batch_ts, inclusive)
+    return prepare_at_event(base, dim, on, {key: key}, at, inclusive)
 
 
-def _date(rows: DataFrame, dim_date: DataFrame, on: str, into: str) -> DataFrame:
+def _prepare_date(base: DataFrame, dim_date: DataFrame, on: str, into: str) -> Step:
     # One row per calendar day: bounded by construction.
-    return lookup_join(rows, dim_date.select(F.col("full_date").alias(on), F.col("date_id").alias(into)), [on], True)
+    lookup = dim_date.select(F.col("full_date").alias(on), F.col("date_id").alias(into))
+    return prepare_lookup(base, lookup, [on], bounded=True)
 
 
 def resolve_rentals(rentals: DataFrame, payments: DataFrame, customers: DataFrame, vehicles: DataFrame,
@@ -33,31 +34,37 @@ def resolve_rentals(rentals: DataFrame, payments: DataFrame, customers: DataFram
 
     ``asof='batch'`` takes the versions valid at the batch time, ``'event'`` those valid at the rental start.
     """
-    rows = rentals.select(
+    base = rentals.select(
         F.col("transaction_id").alias("source_id"), F.col("customer_id").alias("source_customer"),
         F.col("vehicle_id").alias("source_vehicle"), F.col("employee_id").alias("source_employee"),
         "rental_start_date", "rental_end_date",
     )
+    roles = ((customers, "source_customer", "customer_id"), (vehicles, "source_vehicle", "vehicle_id"),
+             (employees, "source_employee", "employee_id"))
+    rows = in_turn(
+        base,
+        *[_prepare_version(base, dim, on, key, batch_ts, asof, "rental_start_date", inclusive)
+          for dim, on, key in roles],
+        _prepare_date(base, dim_date, "rental_start_date", "rental_start_date_id"),
+        _prepare_date(base, dim_date, "rental_end_date", "rental_end_date_id"),
+    )
     paid = payment_rollup(payments).withColumnRenamed("transaction_id", "source_id")
-    rows = rows.join(paid, "source_id", "left")
-    for dim, on, key in ((customers, "source_customer", "customer_id"), (vehicles, "source_vehicle", "vehicle_id"),
-                         (employees, "source_employee", "employee_id")):
-        rows = _version(rows, dim, on, {key: key}, batch_ts, asof, "rental_start_date", inclusive)
-    rows = _date(rows, dim_date, "rental_start_date", "rental_start_date_id")
-    rows = _date(rows, dim_date, "rental_end_date", "rental_end_date_id")
-    return rows.withColumn("unresolved", first_reason([(F.col(k).isNull(), k) for k in RENTAL_KEY]))
+    return rows.join(paid, "source_id", "left").withColumn(
+        "unresolved", first_reason([(F.col(k).isNull(), k) for k in RENTAL_KEY]))
 
 
 def resolve_maintenance(maintenance: DataFrame, vehicles: DataFrame, dim_date: DataFrame, batch_ts: datetime | str,
                         asof: str = "batch", inclusive: bool = True) -> DataFrame:
     """Every maintenance row with its dimension keys; ``unresolved`` names the first missing key."""
-    rows = maintenance.select(
+    base = maintenance.select(
         F.col("maintenance_id").alias("source_id"), F.col("vehicle_id").alias("source_vehicle"), "service_date",
         "service_type", "maintenance_cost", "notes",
     )
-    rows = _version(rows, vehicles, "source_vehicle", {"vehicle_id": "vehicle_id"}, batch_ts, asof, "service_date",
-                    inclusive)
-    rows = _date(rows, dim_date, "service_date", "maintenance_date_id")
+    rows = in_turn(
+        base,
+        _prepare_version(base, vehicles, "source_vehicle", "vehicle_id", batch_ts, asof, "service_date", inclusive),
+        _prepare_date(base, dim_date, "service_date", "maintenance_date_id"),
+    )
     return rows.withColumn("unresolved", first_reason([(F.col(k).isNull(), k) for k in MAINTENANCE_KEY[:2]]))
 
 

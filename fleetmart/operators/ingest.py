@@ -15,7 +15,7 @@ from .. import schema as S
 from ..functions.expressions import availability
 from ..session import cut_lineage
 from .dedupe import mark_winners
-from .lookup import first_reason, lookup_join, resolve
+from .lookup import first_reason, in_turn, lookup_join, prepare_key
 from .quality import apply_defaults, column_checks
 from .surrogate import highest, number_rows
 
@@ -101,8 +101,11 @@ def load_customers(feed: DataFrame, customer: DataFrame, batch_ts: datetime | st
 def load_vehicles(feed: DataFrame, vehicle: DataFrame, vehicle_type: DataFrame, branch: DataFrame,
                   batch_ts: datetime | str) -> Load:
     """Vehicles; type and branch by name, the first row of a plate wins. A repeated plate still uses up an id."""
-    rows = resolve(feed, vehicle_type, {"vehicle_type_name": "type_name"}, "vehicle_type_id")
-    rows = resolve(rows, branch, {"branch_name": "name"}, "branch_id")
+    rows = in_turn(
+        feed,
+        prepare_key(feed, vehicle_type, {"vehicle_type_name": "type_name"}, "vehicle_type_id"),
+        prepare_key(feed, branch, {"branch_name": "name"}, "branch_id"),
+    )
     rows = rows.withColumn("rental_availability", availability(F.col("rental_status_text")))
     rows = _judge(rows, S.VEHICLE, [
         (F.col("vehicle_type_id").isNull(), "unknown_vehicle_type"), (F.col("branch_id").isNull(), "unknown_branch"),
@@ -115,11 +118,14 @@ def load_vehicles(feed: DataFrame, vehicle: DataFrame, vehicle_type: DataFrame,
 def load_rentals(feed: DataFrame, rental: DataFrame, customer: DataFrame, vehicle: DataFrame, employee: DataFrame,
                  batch_ts: datetime | str) -> Load:
     """Rentals; customer and employee by name, vehicle by plate. Same vehicle and dates is a repeat."""
-    rows = resolve(
-        feed, customer, {"customer_first_name": "first_name", "customer_last_name": "last_name"}, "customer_id")
-    rows = resolve(rows, vehicle, PLATE, "vehicle_id")
-    rows = resolve(
-        rows, employee, {"employee_first_name": "first_name", "employee_last_name": "last_name"}, "employee_id")
+    customer_key = {"customer_first_name": "first_name", "customer_last_name": "last_name"}
+    employee_key = {"employee_first_name": "first_name", "employee_last_name": "last_name"}
+    rows = in_turn(
+        feed,
+        prepare_key(feed, customer, customer_key, "customer_id"),
+        prepare_key(feed, vehicle, PLATE, "vehicle_id"),
+        prepare_key(feed, employee, employee_key, "employee_id"),
+    )
     rows = _judge(rows, S.RENTAL, [
         (F.col("customer_id").isNull(), "unknown_customer"), (F.col("vehicle_id").isNull(), "unknown_vehicle"),
         (F.col("employee_id").isNull(), "unknown_employee"),
@@ -133,9 +139,9 @@ def load_payments(feed: DataFrame, payment: DataFrame, rental: DataFrame, vehicl
                   batch_ts: datetime | str, idempotent: bool = False) -> Load:
     """Payments; vehicle by plate, rental by vehicle and start date. Loading a file again adds its payments again,
     unless ``idempotent``, which drops payments equal in every column to one the target has."""
-    rows = resolve(feed, vehicle, PLATE, "vehicle_id")
-    rows = resolve(
-        rows, rental, {"vehicle_id": "vehicle_id", "rental_start_date": "rental_start_date"}, "transaction_id")
+    rows = prepare_key(feed, vehicle, PLATE, "vehicle_id")(feed)
+    rental_key = {"vehicle_id": "vehicle_id", "rental_start_date": "rental_start_date"}
+    rows = prepare_key(rows, rental, rental_key, "transaction_id")(rows)
     rows = _judge(rows, S.PAYMENT, [
         (F.col("vehicle_id").isNull(), "unknown_vehicle"), (F.col("transaction_id").isNull(), "unknown_rental"),
     ])
@@ -150,7 +156,7 @@ def load_payments(feed: DataFrame, payment: DataFrame, rental: DataFrame, vehicl
 
 def load_maintenance(feed: DataFrame, maintenance: DataFrame, vehicle: DataFrame, batch_ts: datetime | str) -> Load:
     """Maintenance; vehicle by plate. Same vehicle, day and service type is a repeat."""
-    rows = resolve(feed, vehicle, PLATE, "vehicle_id")
+    rows = prepare_key(feed, vehicle, PLATE, "vehicle_id")(feed)
     rows = _judge(rows, S.MAINTENANCE, [(F.col("vehicle_id").isNull(), "unknown_vehicle")])
     judged = _reject_repeats(rows, ["vehicle_id", "service_date", "service_type"], "duplicate_maintenance", maintenance)
     judged = _number(judged, S.MAINTENANCE, maintenance, F.col(REASON).isNull())

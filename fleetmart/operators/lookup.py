@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,6 +11,9 @@ from ..session import cut_lineage
 
 BROADCAST_ROWS = 200_000  # lookups carry a key and a few narrow columns, so this stays in the tens of megabytes
 HOT_KEYS = 1_000  # keys outside the k most frequent ones hold less than 1/k of the rows each
+SPREAD = 1 << 20
+
+Step = Callable[[DataFrame], DataFrame]
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -22,30 +26,46 @@ def any_null(names: list[str]) -> Column:
     return reduce(Column.__or__, [F.col(n).isNull() for n in names])
 
 
-def lookup_join(rows: DataFrame, lookup: DataFrame, on: list[str], bounded: bool = False,
-                counted: DataFrame | None = None, max_rows: int = BROADCAST_ROWS,
-                hot_keys: int = HOT_KEYS) -> DataFrame:
-    """Left join to a lookup that is unique on its key; every row comes back exactly once.
+def in_turn(rows: DataFrame, *steps: Step) -> DataFrame:
+    return reduce(lambda done, step: step(done), steps, rows)
+
+
+def prepare_lookup(base: DataFrame, lookup: DataFrame, on: list[str], bounded: bool = False,
+                   counted: DataFrame | None = None, max_rows: int = BROADCAST_ROWS,
+                   hot_keys: int = HOT_KEYS) -> Step:
+    """A step that left joins rows to a lookup unique on its key; every row comes back exactly once.
 
     A lookup of checked size is broadcast and the rows never move (``bounded`` skips the check for lookups whose size
     is fixed by construction; ``counted`` is a table with at least as many rows as the lookup that is cheaper to
-    check). A larger one is joined by shuffle, but first the most frequent keys of ``rows`` are taken out and joined by
-    broadcast, so no task receives a hot key; rows without a key need no join at all.
+    check). A larger one is joined by shuffle. Then rows with one of the most frequent keys take their values from a
+    small broadcast, and they and the rows without a key are spread over all tasks of that shuffle.
+
+    ``base`` holds the keys of the rows to come. Steps over one base can be prepared together and applied in turn:
+    finding the hot keys then reads the key columns of the base, not the result of the steps before.
     """
     if bounded or fits_broadcast(lookup if counted is None else counted, max_rows):
-        return rows.join(F.broadcast(lookup), on, "left")
-    keyed = rows.filter(~any_null(on))
-    hot = cut_lineage(
-        keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), *on).limit(hot_keys).select(*on)
-    )
-    hot_lookup = lookup.join(F.broadcast(hot), on, "left_semi")
+        return lambda rows: rows.join(F.broadcast(lookup), on, "left")
+    hot = base.filter(~any_null(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).orderBy(
+        F.desc("_n"), *on).limit(hot_keys).select(*on)
     added = [c for c in lookup.columns if c not in on]
-    parts = (
-        keyed.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(hot_lookup), on, "left"),
-        keyed.join(F.broadcast(hot), on, "left_anti").join(lookup, on, "left"),
-        rows.filter(any_null(on)).select("*", *[F.lit(None).cast(lookup.schema[c].dataType).alias(c) for c in added]),
-    )
-    return reduce(DataFrame.unionByName, parts)
+    values = lookup.join(F.broadcast(hot), on, "left_semi").select(*on, *[F.col(c).alias(f"_hot_{c}") for c in added])
+    values = cut_lineage(hot.join(F.broadcast(values), on, "left").withColumn("_hot", F.lit(True)))
+    cold = lookup.withColumn("_spread", F.lit(0))
+
+    def step(rows: DataFrame) -> DataFrame:
+        apart = F.col("_hot").isNotNull() | any_null(on)
+        spread = F.when(apart, F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD)) + 1).otherwise(0).cast("int")
+        marked = rows.join(F.broadcast(values), on, "left").withColumn("_spread", spread)
+        joined = marked.join(cold, [*on, "_spread"], "left")
+        return joined.select(*rows.columns, *[
+            F.when(F.col("_hot"), F.col(f"_hot_{c}")).otherwise(F.col(c)).alias(c) for c in added])
+
+    return step
+
+
+def lookup_join(rows: DataFrame, lookup: DataFrame, on: list[str], **options) -> DataFrame:
+    """One lookup, prepared on the rows themselves."""
+    return prepare_lookup(rows, lookup, on, **options)(rows)
 
 
 def natural_key(table: DataFrame, key: dict[str, str], id_column: str) -> DataFrame:
@@ -58,9 +78,9 @@ def natural_key(table: DataFrame, key: dict[str, str], id_column: str) -> DataFr
     return renamed.filter(~any_null(names)).groupBy(*names).agg(F.min(id_column).alias(id_column))
 
 
-def resolve(rows: DataFrame, table: DataFrame, key: dict[str, str], id_column: str) -> DataFrame:
-    """Add the id a natural key names in ``table``, NULL where it names none."""
-    return lookup_join(rows, natural_key(table, key, id_column), list(key), counted=table)
+def prepare_key(base: DataFrame, table: DataFrame, key: dict[str, str], id_column: str) -> Step:
+    """A step that adds the id a natural key names in ``table``, NULL where it names none."""
+    return prepare_lookup(base, natural_key(table, key, id_column), list(key), counted=table)
 
 
 def first_reason(checks: list[tuple[Column, str]]) -> Column:

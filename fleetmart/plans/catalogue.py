@@ -16,7 +16,7 @@ from ..operators.calendar import date_rows
 from ..operators.changes import apply_updates, changed_since, watermark, watermarks
 from ..operators.control import latest_runs
 from ..operators.dedupe import first_rows
-from ..operators.lookup import first_reason, resolve
+from ..operators.lookup import first_reason, in_turn, prepare_key
 from ..operators.surrogate import number_rows
 from ..session import cut_lineage, shared_dir
 from ..sources.catalog import parquet_tables, register
@@ -52,6 +52,11 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/fleetmart/{name}-{uuid.uuid4().hex}"
 
 
+def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A role written out, where it is expensive to derive and stands for a table that is read more than once."""
+    return cut_lineage(role(spark, folder, name))
+
+
 # --- rollups and reports ------------------------------------------------------------------------
 @registered("""
     SELECT r.transaction_id, r.customer_id, r.vehicle_id, r.employee_id, r.rental_start_date, r.rental_end_date,
@@ -154,7 +159,7 @@ def _dim_date(spark, folder, *more: str):
 
 def _fact_rental(spark, folder):
     rows = facts.resolve_rentals(
-        role(spark, folder, "r_rental"), role(spark, folder, "r_payment"), role(spark, folder, "d_customer"),
+        _table(spark, folder, "r_rental"), role(spark, folder, "r_payment"), role(spark, folder, "d_customer"),
         role(spark, folder, "d_vehicle"), role(spark, folder, "d_employee"), _dim_date(spark, folder), BATCH)
     batch = facts.resolved(rows, facts.RENTAL_KEY)
     return first_rows(batch, facts.RENTAL_KEY, ["source_id"]).select(
@@ -193,7 +198,7 @@ def fact_maintenance(spark, folder):
     GROUP BY ALL""", _STAR_ROLES)
 def fact_unresolved(spark, folder):
     rows = facts.resolve_rentals(
-        role(spark, folder, "r_rental"), role(spark, folder, "r_payment"), role(spark, folder, "d_customer"),
+        _table(spark, folder, "r_rental"), role(spark, folder, "r_payment"), role(spark, folder, "d_customer"),
         role(spark, folder, "d_vehicle"), role(spark, folder, "d_employee"), _dim_date(spark, folder), BATCH)
     outcome = F.coalesce("unresolved", F.lit("resolved"))
     return rows.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("rentals"))
@@ -285,8 +290,11 @@ def key_lookup_rejects(spark, folder):
         F.when((F.col("l_linestatus") == "F") & (F.col("l_tax") > 0.05), "nobody").otherwise(email).alias("email"),
         F.concat(F.when(F.col("l_returnflag") == "R", "p").otherwise("P"), F.col("l_partkey").cast("string")).alias(
             "plate"))
-    rows = resolve(rows, role(spark, folder, "r_employee"), {"email": "email"}, "employee_id")
-    rows = resolve(rows, role(spark, folder, "r_vehicle"), {"plate": "license_plate"}, "vehicle_id")
+    rows = in_turn(
+        rows,
+        prepare_key(rows, role(spark, folder, "r_employee"), {"email": "email"}, "employee_id"),
+        prepare_key(rows, role(spark, folder, "r_vehicle"), {"plate": "license_plate"}, "vehicle_id"),
+    )
     return rows.select("l_orderkey", "l_partkey", "l_suppkey", "employee_id", "vehicle_id", first_reason([
         (F.col("employee_id").isNull(), "unknown_employee"), (F.col("vehicle_id").isNull(), "unknown_vehicle"),
     ]).alias("reject_reason"))
@@ -451,7 +459,7 @@ def csv_malformed_rows(spark, folder):
     FROM ranked""", "f_rental r_customer r_vehicle r_employee")
 def load_rentals(spark, folder):
     load = ingest.load_rentals(
-        role(spark, folder, "f_rental"), S.RENTAL.empty(spark), role(spark, folder, "r_customer"),
+        _table(spark, folder, "f_rental"), S.RENTAL.empty(spark), role(spark, folder, "r_customer"),
         role(spark, folder, "r_vehicle"), role(spark, folder, "r_employee"), BATCH)
     return load.judged.select(
         "seq", "customer_id", "vehicle_id", "employee_id", "rental_start_date", "rental_end_date", "reject_reason",
@@ -758,11 +766,11 @@ def scd2_vehicle_type(spark, folder):
     FROM r_rental r JOIN r_vehicle_versions v ON r.vehicle_id = v.source_id
         AND TIMESTAMP '1998-06-15 12:00:00' BETWEEN v.valid_from AND v.valid_to""", "r_rental r_vehicle_versions")
 def asof_batch_join(spark, folder):
-    rows = role(spark, folder, "r_rental").select("transaction_id", F.col("vehicle_id").alias("source_vehicle"))
-    versions = role(spark, folder, "r_vehicle_versions")
-    return asof.version_at_batch(
-        rows, versions, "source_vehicle", {"vehicle_id": "vehicle_id"}, "1998-06-15 12:00:00").dropna(
-        subset=["vehicle_id"])
+    rows = _table(spark, folder, "r_rental").select("transaction_id", F.col("vehicle_id").alias("source_vehicle"))
+    versions = _table(spark, folder, "r_vehicle_versions")
+    step = asof.prepare_at_batch(
+        rows, versions, "source_vehicle", {"vehicle_id": "vehicle_id"}, "1998-06-15 12:00:00")
+    return step(rows).dropna(subset=["vehicle_id"])
 
 
 _ASOF_EVENT = """
@@ -772,11 +780,12 @@ _ASOF_EVENT = """
 
 
 def _asof_event(spark, folder, strategy):
-    rows = role(spark, folder, "r_rental").select(
+    rows = _table(spark, folder, "r_rental").select(
         "transaction_id", F.col("vehicle_id").alias("source_vehicle"), "rental_start_date")
-    return asof.version_at_event(
-        rows, role(spark, folder, "r_vehicle_versions"), "source_vehicle", {"vehicle_id": "vehicle_id"},
-        "rental_start_date", strategy=strategy).dropna(subset=["vehicle_id"])
+    step = asof.prepare_at_event(
+        rows, _table(spark, folder, "r_vehicle_versions"), "source_vehicle", {"vehicle_id": "vehicle_id"},
+        "rental_start_date", strategy=strategy)
+    return step(rows).dropna(subset=["vehicle_id"])
 
 
 @registered(_ASOF_EVENT, "r_rental r_vehicle_versions")

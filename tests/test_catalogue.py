@@ -7,6 +7,7 @@ from conftest import plan_of
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import table
+from fleetmart.operators import asof, lookup, scd2
 from fleetmart.plans.standin import GIVEN
 
 FOLDER = "/root/testdata/sf0.001"
@@ -31,6 +32,17 @@ def test_query(spark, duck, name):
     assert table(result.collect(), result.columns) == table(cursor.fetchall(), columns)
 
 
+@pytest.mark.parametrize("name", [
+    "key_lookup_rejects", "load_vehicles", "load_rentals", "load_payments_csv", "load_maintenance", "fact_rental",
+    "fact_maintenance", "asof_batch_join", "scd2_close_only", "scd2_vehicle", "etl_runs", "warehouse_report",
+])
+def test_query_when_nothing_may_be_broadcast(spark, duck, monkeypatch, name):
+    """The ways taken for tables beyond the size check."""
+    for module in (lookup, asof, scd2):
+        monkeypatch.setattr(module, "fits_broadcast", lambda *_: False)
+    test_query(spark, duck, name)
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from fleetmart import schema as S
 from fleetmart.operators import insights, quality, rollups
 from fleetmart.operators.append import append_delta, insert_if_absent, upsert
-from fleetmart.operators.asof import version_at_batch, version_at_event
+from fleetmart.operators.asof import prepare_at_batch, prepare_at_event
 from fleetmart.operators.changes import apply_updates, changed_since, watermark
 from fleetmart.operators.control import control_rows, failure, latest_runs, success
 from fleetmart.operators.dedupe import first_rows, mark_winners
@@ -140,8 +140,7 @@ def test_event_versions_match_brute_force(spark, inclusive, grain):
         versions, "source_id long, valid_from timestamp_ntz, valid_to timestamp_ntz, name string")
     table = spark.createDataFrame(facts, "id long, k long, at timestamp_ntz")
     for strategy in ("broadcast", "carry"):
-        joined = version_at_event(table, dim, "k", {"version": "name"}, "at", inclusive, grain, strategy)
-        assert joined.columns[:3] == ["id", "k", "at"] or strategy == "carry"
+        joined = prepare_at_event(table, dim, "k", {"version": "name"}, "at", inclusive, grain, strategy)(table)
         assert sorted(rows(joined, "id", "version"), key=lambda r: r[0]) == [expected(f) for f in facts]
 
 
@@ -153,7 +152,7 @@ def test_batch_version(spark):
     table = spark.createDataFrame([(1,), (2,), (3,)], "k long")
 
     def at(moment, inclusive=True):
-        return rows(version_at_batch(table, dim, "k", {"sk": "sk"}, moment, inclusive))
+        return rows(prepare_at_batch(table, dim, "k", {"sk": "sk"}, moment, inclusive)(table))
 
     assert at(datetime(2020, 6, 1)) == [(1, 10), (2, 12), (3, None)]
     assert at(datetime(2022, 1, 1)) == [(1, 11), (2, None), (3, None)]
