@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.expressions import instant
 from ..session import cut_lineage
-from .lookup import Step, fits_broadcast, prepare_lookup
+from .lookup import Step, any_null, fits_broadcast, prepare_lookup
 
 VERSIONS_PER_KEY = 64
 
@@ -70,7 +70,7 @@ def prepare_at_event(base: DataFrame, dim: DataFrame, on: str, take: dict[str, s
 
 def _answers(base: DataFrame, versions: DataFrame, on: str, at: str, take: list[str], inclusive: bool,
              grain: str) -> DataFrame:
-    points = base.dropna(subset=[on, at]).select(on, at).distinct().withColumn("_t", F.col(at).cast("timestamp_ntz"))
+    points = base.filter(~any_null([on, at])).select(on, at).distinct().withColumn("_t", F.col(at).cast("timestamp_ntz"))
     payload = F.struct("_to", *take)
     starts = versions.select(on, F.col("_from").alias("_t"), payload.alias("_version"))
     both = starts.unionByName(points, allowMissingColumns=True)

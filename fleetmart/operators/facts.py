@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from .asof import prepare_at_batch, prepare_at_event
-from .lookup import Step, first_reason, in_turn, prepare_lookup
+from .lookup import Step, any_null, first_reason, in_turn, prepare_lookup
 from .rollups import payment_rollup
 
 RENTAL_KEY = ["customer_id", "vehicle_id", "employee_id", "rental_start_date_id", "rental_end_date_id"]
@@ -70,4 +70,4 @@ def resolve_maintenance(maintenance: DataFrame, vehicles: DataFrame, dim_date: D
 
 def resolved(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Rows with all keys. Stated on the keys themselves, so the left lookups above turn into inner joins."""
-    return rows.dropna(subset=keys)
+    return rows.filter(~any_null(keys))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schema as S
 from ..functions.expressions import instant
+from .lookup import any_null
 
 
 def column_checks(table: S.Table, available: list[str]) -> list[tuple[Column, str]]:
@@ -53,7 +54,7 @@ def row_rules(rows: DataFrame, table: str, checks: list[tuple[Column, str]]) ->
 
 def unique_rule(rows: DataFrame, table: str, keys: list[str], rule: str = "unique") -> DataFrame:
     """Rows beyond the first of each key. Keys holding a NULL never collide."""
-    sizes = rows.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    sizes = rows.filter(~any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     extra = sizes.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("violations"))
     return _one(table, f"{rule}:{','.join(keys)}", extra)
 

@@ -148,7 +148,7 @@ _FACT_MAINTENANCE = """
                                            ORDER BY m.maintenance_id) = 1)"""
 
 
-def _dim_date(spark, folder, *more: str):
+def _days(spark, folder):
     """Days from the first to the last order or event; the span is read from the tables."""
     orders = given(spark, folder, "orders").agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"))
     events = given(spark, folder, "events").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
@@ -157,6 +157,10 @@ def _dim_date(spark, folder, *more: str):
     return date_rows(span, "lo", "hi")
 
 
+def _dim_date(spark, folder):
+    return cut_lineage(_days(spark, folder))
+
+
 def _fact_rental(spark, folder):
     rows = facts.resolve_rentals(
         _table(spark, folder, "r_rental"), role(spark, folder, "r_payment"), role(spark, folder, "d_customer"),
@@ -268,7 +272,7 @@ def labelled_report(spark, folder):
            CAST(quarter(full_date) AS INTEGER) AS quarter, rpad(strftime(full_date, '%A'), 9, ' ') AS day_of_week
     FROM dates""")
 def date_dimension(spark, folder):
-    return _dim_date(spark, folder)
+    return _days(spark, folder)
 
 
 # --- lookups, first row wins, idempotent append ---------------------------------------------------
@@ -890,7 +894,7 @@ def _oltp(spark, folder) -> dict[str, DataFrame]:
         "employee": role(spark, folder, "r_employee"),
         "vehicle_type": role(spark, folder, "r_vehicle_type"),
         "vehicle": role(spark, folder, "r_vehicle").withColumn("last_modified", touched),
-        "rental_transaction": role(spark, folder, "r_rental").filter("vehicle_id IS NOT NULL").withColumn(
+        "rental_transaction": _table(spark, folder, "r_rental").filter("vehicle_id IS NOT NULL").withColumn(
             "last_modified", touched),
         "payment": role(spark, folder, "r_payment"),
         "maintenance": role(spark, folder, "r_maintenance"),
