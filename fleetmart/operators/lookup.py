@@ -38,7 +38,9 @@ def prepare_lookup(base: DataFrame, lookup: DataFrame, on: list[str], bounded: b
     A lookup of checked size is broadcast and the rows never move (``bounded`` skips the check for lookups whose size
     is fixed by construction; ``counted`` is a table with at least as many rows as the lookup that is cheaper to
     check). A larger one is joined by shuffle. Then rows with one of the most frequent keys take their values from a
-    small broadcast, and they and the rows without a key are spread over all tasks of that shuffle.
+    small broadcast, and they and the rows without a key are spread over all tasks of that shuffle by a hash of the
+    whole row, which is the same when a task runs again. (Rows equal in every column stay together; all callers here
+    carry a row id.)
 
     ``base`` holds the keys of the rows to come. Steps over one base can be prepared together and applied in turn:
     finding the hot keys then reads the key columns of the base, not the result of the steps before.
@@ -50,7 +52,8 @@ def prepare_lookup(base: DataFrame, lookup: DataFrame, on: list[str], bounded: b
     added = [c for c in lookup.columns if c not in on]
     values = lookup.join(F.broadcast(hot), on, "left_semi").select(*on, *[F.col(c).alias(f"_hot_{c}") for c in added])
     values = cut_lineage(hot.join(F.broadcast(values), on, "left").withColumn("_hot", F.lit(True)))
-    cold = lookup.withColumn("_spread", F.lit(0))
+    # Always 0, but not as a literal: that would be folded into the join condition and no longer partition the rows.
+    cold = lookup.withColumn("_spread", F.pmod(F.xxhash64(*on), F.lit(1)).cast("int"))
 
     def step(rows: DataFrame) -> DataFrame:
         apart = F.col("_hot").isNotNull() | any_null(on)

@@ -37,6 +37,22 @@ def test_lookup_small_and_large_agree(hot):
         assert rows(large, "id", "k", "v") == expected
 
 
+def test_large_lookup_spreads_hot_and_keyless_rows(spark, hot):
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        joined = lookup_join(hot[0], hot[1], ["k"], max_rows=10, hot_keys=5)
+        sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        plain = hot[0].join(hot[1], "k", "left").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(r["count"] for r in sizes) == 3000
+    assert max(r["count"] for r in sizes) < 600 and max(r["count"] for r in plain) > 1000
+
+
 def test_lookup_by_two_columns(spark):
     table = spark.createDataFrame([(1, "a", "x"), (2, "a", None), (3, "b", "x")], "id long, p string, q string")
     lookup = spark.createDataFrame([("a", "x", 10)], "p string, q string, v long")
