@@ -2,24 +2,41 @@
 
 from __future__ import annotations
 
+import os
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetmart.llm.langid import identify_held_out
 from fleetmart.llm.packing import pack_sequences
+from fleetmart.llm.toxicity import flag_toxic
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    # Python workers import this library from where the driver does, if it isn't installed for them
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return identify_held_out(_table(spark, folder, "documents"))
+
+
 def packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_sequences(_table(spark, folder, "documents"), BYTE_BPE)
 
 
+def toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return flag_toxic(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 QUERIES = {
+    "op3_language_id": language_id,
     "op6_packing": packing,
+    "op10_toxicity": toxicity,
 }
 
 STATEMENTS: dict[str, str] = {}
