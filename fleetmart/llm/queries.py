@@ -7,8 +7,10 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetmart.llm.jaccardjoin import near_duplicates
 from fleetmart.llm.langid import identify_held_out
 from fleetmart.llm.packing import pack_sequences
+from fleetmart.llm.sharding import shard_by_bytes
 from fleetmart.llm.toxicity import flag_toxic
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,17 +27,27 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify_held_out(_table(spark, folder, "documents"))
 
 
+def sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return shard_by_bytes(_table(spark, folder, "documents"))
+
+
 def packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_sequences(_table(spark, folder, "documents"), BYTE_BPE)
 
 
+def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(_table(spark, folder, "documents"))
+
+
 def toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return flag_toxic(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
 QUERIES = {
     "op3_language_id": language_id,
+    "op5_sharding": sharding,
     "op6_packing": packing,
+    "op8_jaccard_join": jaccard_join,
     "op10_toxicity": toxicity,
 }
 
