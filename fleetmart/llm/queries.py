@@ -7,9 +7,13 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetmart.llm.graphsearch import nearest
+from fleetmart.llm.hamming import sign_codes, top_k
 from fleetmart.llm.jaccardjoin import near_duplicates
 from fleetmart.llm.langid import identify_held_out
+from fleetmart.llm.maintext import extract
 from fleetmart.llm.packing import pack_sequences
+from fleetmart.llm.secretscan import scan_corpus
 from fleetmart.llm.sharding import shard_by_bytes
 from fleetmart.llm.toxicity import flag_toxic
 
@@ -27,6 +31,15 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify_held_out(_table(spark, folder, "documents"))
 
 
+def hamming_search(spark: SparkSession, folder: str) -> DataFrame:
+    codes = sign_codes(_table(spark, folder, "embeddings"))
+    return top_k(codes, codes.where("vec_id % 50 = 0"))
+
+
+def main_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(_table(spark, folder, "pages"))
+
+
 def sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard_by_bytes(_table(spark, folder, "documents"))
 
@@ -35,20 +48,51 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_sequences(_table(spark, folder, "documents"), BYTE_BPE)
 
 
+def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_corpus(_table(spark, folder, "documents"))
+
+
 def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
 
+def graph_search(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return flag_toxic(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
 QUERIES = {
+    "op1_hamming_search": hamming_search,
     "op3_language_id": language_id,
+    "op4_main_text": main_texts,
     "op5_sharding": sharding,
     "op6_packing": packing,
+    "op7_secret_scan": secret_scan,
     "op8_jaccard_join": jaccard_join,
+    "op9_graph_search": graph_search,
     "op10_toxicity": toxicity,
 }
 
-STATEMENTS: dict[str, str] = {}
+STATEMENTS: dict[str, str] = {
+    "op1_hamming_search": """
+        WITH codes AS (
+            SELECT vec_id, array_to_string([CASE WHEN x > 0 THEN '1' ELSE '0' END FOR x IN embedding], '') AS code
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) = 64
+              AND len([1 FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = 64
+              AND len([1 FOR x IN embedding IF x <> 0]) > 0
+        ), pairs AS (
+            SELECT DISTINCT q.vec_id AS query_id, c.vec_id, hamming(q.code, c.code) AS distance
+            FROM codes q JOIN codes c ON c.vec_id <> q.vec_id
+            WHERE q.vec_id % 50 = 0
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS place FROM pairs
+        )
+        SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, CAST(distance AS INTEGER) AS distance
+        FROM ranked WHERE place <= 10
+    """,
+}
