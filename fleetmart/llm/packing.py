@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetmart.llm.textarrays import Chunk, chunks, class_table, span_hashes
+from fleetmart.llm.textarrays import Chunk, IdCache, chunks, class_table
 
 WINDOW = 2048
 BLOCK_DOCUMENTS = 512
@@ -137,49 +137,15 @@ class PieceEncoder:
         if order != sorted(order) or max(ranks.values()) != len(ranks) - 1:
             raise ValueError("ids do not follow the order of merges")
         self.core = tiktoken.Encoding("ids", pat_str=r"[\s\S]", mergeable_ranks=ranks, special_tokens={})._core_bpe
-        self._clear()
-
-    def _clear(self) -> None:
-        self.keys, self.at, self.size = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-        self.pool, self.used = np.empty(1 << 16, np.uint32), 0
-
-    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
-        if self.keys.size > CACHED_PIECES:
-            self._clear()
-        ids = [self.core.encode_single_piece(p) for p in pieces]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum()))
-        while self.used + flat.size > self.pool.size:
-            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
-        self.pool[self.used:self.used + flat.size] = flat
-        begin = self.used + np.cumsum(size) - size
-        self.used += flat.size
-        where = np.searchsorted(self.keys, keys)
-        self.keys, self.at, self.size = (np.insert(x, where, y) for x, y in (
-            (self.keys, keys), (self.at, begin), (self.size, size)))
+        self.cache = IdCache(CACHED_PIECES)
+
+    def _ids(self, pieces: list[bytes]) -> list[list[int]]:
+        return [self.core.encode_single_piece(p) for p in pieces]
 
     def encode(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the chunk, and where each row's begin (one more entry than rows)."""
         edges = _boundaries(chunk)
-        begin, end = edges[:-1], edges[1:]
-        if not begin.size:
-            return np.empty(0, np.uint32), np.zeros(chunk.last - chunk.first + 1, np.int64)
-        keys, first, which = np.unique(span_hashes(chunk.cps, begin, end), return_index=True, return_inverse=True)
-        for _ in range(2):
-            where = np.minimum(np.searchsorted(self.keys, keys), max(0, self.keys.size - 1))
-            new = np.flatnonzero(self.keys[where] != keys) if self.keys.size else np.arange(keys.size)
-            if not new.size:
-                break
-            if self.keys.size > CACHED_PIECES:
-                self._clear()
-                new = np.arange(keys.size)
-            low, high = chunk.byte_at[begin[first[new]]], chunk.byte_at[end[first[new]]]
-            raw = chunk.raw.tobytes()
-            self._learn(keys[new], [raw[a:b] for a, b in zip(low.tolist(), high.tolist())])
-        size = self.size[where][which]
-        ends = np.cumsum(size)
-        flat = np.arange(ends[-1]) + np.repeat(self.at[where][which] - (ends - size), size)
-        return self.pool[flat], np.concatenate([[0], ends])[np.searchsorted(begin, chunk.starts)]
+        return self.cache.encoded(chunk, chunk.cps, edges[:-1], edges[1:], chunk.starts, self._ids)
 
 
 def _byte_alphabet() -> dict[str, int]:

@@ -6,6 +6,7 @@ import os
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetmart.llm.graphsearch import nearest
 from fleetmart.llm.hamming import sign_codes, top_k
@@ -13,11 +14,13 @@ from fleetmart.llm.jaccardjoin import near_duplicates
 from fleetmart.llm.langid import identify_held_out
 from fleetmart.llm.maintext import extract
 from fleetmart.llm.packing import pack_sequences
+from fleetmart.llm.pieces import encode
 from fleetmart.llm.secretscan import scan_corpus
 from fleetmart.llm.sharding import shard_by_bytes
 from fleetmart.llm.toxicity import flag_toxic
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -27,6 +30,14 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def piece_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids, their number, and the check sum and length of the text that they decode to."""
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    return encode(documents, PIECES).select(
+        "doc_id", "ids", "n_tokens", F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),
+        F.length("decoded").cast("long").alias("decoded_chars"))
+
+
 def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify_held_out(_table(spark, folder, "documents"))
 
@@ -67,6 +78,7 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_hamming_search": hamming_search,
+    "op2_piece_encoding": piece_encoding,
     "op3_language_id": language_id,
     "op4_main_text": main_texts,
     "op5_sharding": sharding,

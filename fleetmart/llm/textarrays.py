@@ -5,7 +5,7 @@ All helpers work on chunks of a bounded number of bytes; one text is never divid
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -138,3 +138,55 @@ def words(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     cps = lower_table()[chunk.cps]
     begin, end = runs(class_table(r"[\p{L}\p{M}\p{N}_]")[cps] == 1, chunk.starts)
     return begin, end, span_hashes(cps, begin, end), np.searchsorted(begin, chunk.starts)
+
+
+class IdCache:
+    """The ids of spans, worked out once for each distinct span and kept up to a number of spans."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys, self.at, self.size = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.pool, self.used = np.empty(1 << 16, np.uint32), 0
+
+    def _learn(self, keys: np.ndarray, ids: list[list[int]]) -> None:
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum()))
+        while self.used + flat.size > self.pool.size:
+            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
+        self.pool[self.used:self.used + flat.size] = flat
+        begin = self.used + np.cumsum(size) - size
+        self.used += flat.size
+        where = np.searchsorted(self.keys, keys)
+        self.keys, self.at, self.size = (np.insert(x, where, y) for x, y in (
+            (self.keys, keys), (self.at, begin), (self.size, size)))
+
+    def encoded(self, chunk: Chunk, cps: np.ndarray, begin: np.ndarray, end: np.ndarray, starts: np.ndarray,
+                make: Callable[[list[bytes]], list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all spans one after the other, and where those of each row begin, whose first code points are starts.
+
+        cps may be the chunk's code points with others inserted; make gets the UTF-8 bytes of the spans it has to encode.
+        """
+        if not begin.size:
+            return np.empty(0, np.uint32), np.zeros(starts.size, np.int64)
+        keys, first, which = np.unique(span_hashes(cps, begin, end), return_index=True, return_inverse=True)
+        for _ in range(2):
+            where = np.minimum(np.searchsorted(self.keys, keys), max(0, self.keys.size - 1))
+            new = np.flatnonzero(self.keys[where] != keys) if self.keys.size else np.arange(keys.size)
+            if not new.size:
+                break
+            if self.keys.size > self.most:
+                self._clear()
+                new = np.arange(keys.size)
+            if cps is chunk.cps:
+                raw, byte_at = chunk.raw.tobytes(), chunk.byte_at
+                spans = [raw[a:b] for a, b in zip(byte_at[begin[first[new]]].tolist(), byte_at[end[first[new]]].tolist())]
+            else:
+                spans = [cps[a:b].tobytes().decode("utf-32-le").encode() for a, b in zip(begin[first[new]], end[first[new]])]
+            self._learn(keys[new], make(spans))
+        size = self.size[where][which]
+        ends = np.cumsum(size)
+        flat = np.arange(ends[-1]) + np.repeat(self.at[where][which] - (ends - size), size)
+        return self.pool[flat], np.concatenate([[0], ends])[np.searchsorted(begin, starts)]
