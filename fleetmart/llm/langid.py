@@ -193,6 +193,25 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
         _predicted(broadcast), SCHEMA)
 
 
+def _identified(broadcast, most_unexplained: float):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = broadcast.value
+        for batch in batches:
+            keep = [np.zeros(0, bool)]
+            for chunk in chunks(batch.column("text")):
+                shares, has_letter = mixtures(model, chunk)
+                keep.append(has_letter & bool(model.languages) & (shares[:, -1] <= most_unexplained))
+            yield batch.filter(pa.array(np.concatenate(keep)))
+
+    return task
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, most_unexplained: float) -> DataFrame:
+    """The rows of docs, with all columns, whose text has a letter and of which the background explains no more than that."""
+    broadcast = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.mapInArrow(_identified(broadcast, most_unexplained), docs.schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a document is kept from learning; null ids are neither learned from nor held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

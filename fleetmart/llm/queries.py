@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import os
-
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from fleetmart.llm.graphsearch import nearest
 from fleetmart.llm.hamming import sign_codes, top_k
+from fleetmart.llm.inputs import BYTE_BPE, PIECES, table
 from fleetmart.llm.jaccardjoin import near_duplicates
 from fleetmart.llm.langid import identify_held_out
 from fleetmart.llm.maintext import extract
@@ -19,61 +18,50 @@ from fleetmart.llm.secretscan import scan_corpus
 from fleetmart.llm.sharding import shard_by_bytes
 from fleetmart.llm.toxicity import flag_toxic
 
-BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
-PIECES = public_tokenizers.path("piece_bpe_32k.model")
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    # Python workers import this library from where the driver does, if it isn't installed for them
-    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
 
 def piece_encoding(spark: SparkSession, folder: str) -> DataFrame:
     """Ids, their number, and the check sum and length of the text that they decode to."""
-    documents = _table(spark, folder, "documents").select("doc_id", "text")
-    return encode(documents, PIECES).select(
+    return encode(table(spark, folder, "documents"), PIECES).select(
         "doc_id", "ids", "n_tokens", F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),
         F.length("decoded").cast("long").alias("decoded_chars"))
 
 
 def language_id(spark: SparkSession, folder: str) -> DataFrame:
-    return identify_held_out(_table(spark, folder, "documents"))
+    return identify_held_out(table(spark, folder, "documents"))
 
 
 def hamming_search(spark: SparkSession, folder: str) -> DataFrame:
-    codes = sign_codes(_table(spark, folder, "embeddings"))
+    codes = sign_codes(table(spark, folder, "embeddings"))
     return top_k(codes, codes.where("vec_id % 50 = 0"))
 
 
 def main_texts(spark: SparkSession, folder: str) -> DataFrame:
-    return extract(_table(spark, folder, "pages"))
+    return extract(table(spark, folder, "pages"))
 
 
 def sharding(spark: SparkSession, folder: str) -> DataFrame:
-    return shard_by_bytes(_table(spark, folder, "documents"))
+    return shard_by_bytes(table(spark, folder, "documents"))
 
 
 def packing(spark: SparkSession, folder: str) -> DataFrame:
-    return pack_sequences(_table(spark, folder, "documents"), BYTE_BPE)
+    return pack_sequences(table(spark, folder, "documents"), BYTE_BPE)
 
 
 def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return scan_corpus(_table(spark, folder, "documents"))
+    return scan_corpus(table(spark, folder, "documents"))
 
 
 def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(_table(spark, folder, "documents"))
+    return near_duplicates(table(spark, folder, "documents"))
 
 
 def graph_search(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = _table(spark, folder, "embeddings")
+    vectors = table(spark, folder, "embeddings")
     return nearest(vectors, vectors.where("vec_id % 100 = 0"))
 
 
 def toxicity(spark: SparkSession, folder: str) -> DataFrame:
-    return flag_toxic(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return flag_toxic(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
 QUERIES = {
@@ -87,6 +75,7 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join,
     "op9_graph_search": graph_search,
     "op10_toxicity": toxicity,
+    "pipeline": corpus_pipeline.run,
 }
 
 STATEMENTS: dict[str, str] = {

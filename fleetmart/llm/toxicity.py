@@ -263,6 +263,24 @@ def score(docs: DataFrame, model: ChainModel) -> DataFrame:
         _scored(broadcast), "doc_id long, " + ", ".join(f"p_{c} double" for c in model.categories))
 
 
+def _cleaned(broadcast, threshold: float):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = broadcast.value
+        common = _common(model.known)
+        for batch in batches:
+            keep = [np.zeros(0, bool)]
+            keep += [model.probabilities(chunk, common)[:, -1] < threshold for chunk in chunks(batch.column("text"))]
+            yield batch.filter(pa.array(np.concatenate(keep)))
+
+    return task
+
+
+def keep_clean(docs: DataFrame, model: ChainModel, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, with all columns, whose last category is less probable than the threshold."""
+    broadcast = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.mapInArrow(_cleaned(broadcast, threshold), docs.schema)
+
+
 def with_categories(labels: DataFrame) -> DataFrame:
     """The categories of the labels table in the order of the chain: low quality, then toxic."""
     return labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
