@@ -39,6 +39,8 @@ SMALL_BUCKET = 256
 #: A large bucket that keeps this part of its parent is compared, not split further.
 STANDS = 0.6
 DEEPEST = 12
+#: Texts compared at once: by their minimum hashes, and by their sets.
+ALIKE_BLOCK = 2048
 BLOCK = 512
 #: Candidate texts up to which their ids are broadcast (16 bytes each).
 BROADCAST_TEXTS = 1_000_000
@@ -146,14 +148,16 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
 
 def _linked(alike: np.ndarray) -> np.ndarray:
     """The first member of each member's component in a symmetric relation."""
-    label = np.arange(alike.shape[0])
-    reach = alike | np.eye(alike.shape[0], dtype=bool)
-    while True:
-        new = np.where(reach, label[None, :], alike.shape[0]).min(axis=1)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
+    label = np.full(alike.shape[0], -1)
+    for first in range(alike.shape[0]):
+        if label[first] >= 0:
+            continue
+        label[first] = first
+        reached = np.array([first])
+        while reached.size:
+            reached = np.flatnonzero(alike[reached].any(axis=0) & (label < 0))
+            label[reached] = first
+    return label
 
 
 def _looks_alike(similarity: float):
@@ -182,12 +186,12 @@ def _looks_alike(similarity: float):
     return task
 
 
-def _blocks(df: DataFrame, size: str, keys: list[str]) -> DataFrame:
-    """Members of a group in columns i <= j: every pair of members meets in a block of about 2 BLOCK members at most.
+def _blocks(df: DataFrame, size: str, keys: list[str], block: int) -> DataFrame:
+    """Members of a group in columns i <= j: every pair of members meets in a block of about 2 block members at most.
 
-    A group up to BLOCK is one block; each member of a larger one is repeated once per BLOCK members.
+    A group up to block is one block; each member of a larger one is repeated once per block members.
     """
-    parts = F.ceil(F.col(size) / BLOCK).cast("int")
+    parts = F.ceil(F.col(size) / block).cast("int")
     own = F.pmod(F.xxhash64("node", F.lit("block")), parts).cast("int")
     spread = df.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     return (spread.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
@@ -213,7 +217,7 @@ def candidates(nodes: DataFrame, similarity: float = SIMILARITY, recall: float =
         held = staged(frontier.select("path", "node")
                       .join(buckets.select("path", "size", stands.alias("stands")), "path")
                       .join(nodes, "node"))
-        edges = staged(_blocks(held.where("stands").drop("stands"), "size", ["path"])
+        edges = staged(_blocks(held.where("stands").drop("stands"), "size", ["path"], ALIKE_BLOCK)
                        .select("path", "i", "j", "node", "minima").mapInArrow(_looks_alike(similarity), "a long, b long"))
         found = edges if found is None else found.union(edges)
         if not held.where("NOT stands").limit(1).count():
@@ -304,7 +308,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     sets = (texts.join(wanted, "node").where(F.col("doc_id").eqNullSafe(F.col("first_id")))
             .select("node", "component", "size", "text")
             .mapInArrow(_sets, "node long, component long, size long, shingles binary"))
-    verified = staged(_blocks(sets, "size", ["component"]).select("component", "i", "j", "own", "node", "shingles")
+    verified = staged(_blocks(sets, "size", ["component"], BLOCK).select("component", "i", "j", "own", "node", "shingles")
                       .mapInArrow(_verified(similarity), "a long, b long, links long"))
     roots = components(verified.select("a", "b"))
     links = verified.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
