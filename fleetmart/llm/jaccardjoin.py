@@ -35,7 +35,7 @@ RECALL = 0.9999
 COORDINATES = 64
 #: Children of a bucket in which a pair at the threshold is expected to meet again.
 BRANCHES = 2.0
-SMALL_BUCKET = 256
+SMALL_BUCKET = 1024
 #: A large bucket that keeps this part of its parent is compared, not split further.
 STANDS = 0.6
 DEEPEST = 12
