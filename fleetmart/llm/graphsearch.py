@@ -155,7 +155,8 @@ def _searched(k: int, beam: int):
                         columns["embedding"].append(queries["embedding"].iat[q])
                         columns["score"].append(d)
                         columns["vec_id"].append(v)
-        return pd.DataFrame(columns)
+        return pd.DataFrame({"embedding": pd.Series(columns["embedding"], dtype=object),
+                             "score": pd.Series(columns["score"], dtype=float), "vec_id": pd.Series(columns["vec_id"], dtype="int64")})
 
     return task
 

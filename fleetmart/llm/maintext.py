@@ -232,12 +232,13 @@ def main_text(page: str | None) -> str:
     if not root.chars:
         return ""
     best = max(nodes, key=lambda n: n.sum)  # the first of equal ones
-    whole = best
-    while whole is not None and whole.tag not in WHOLE:
-        whole = whole.parent
+    whole, up = None, best
+    while up is not None:
+        whole = up if up.tag in WHOLE else whole
+        up = up.parent
+    if whole is None:  # the subtree may hold an article instead of lying in one
+        whole = max((n for n in nodes if n.tag in WHOLE and not n.parent.inside and n.chars), key=lambda n: n.chars, default=None)
     if whole is not None:
-        while whole.parent is not None and whole.parent.inside:
-            whole = whole.parent
         chosen = {id(whole)}
     else:
         way = [best]

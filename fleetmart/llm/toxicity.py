@@ -27,7 +27,7 @@ BEGINNINGS = (4, 5, 6, 7, 8)
 FEATURES = 4_096
 LEAST_DOCUMENTS = 4
 #: Standard errors by which a feature's frequency must differ between the classes.
-LEAST_APART = 4.0
+LEAST_APART = 3.5
 FOLDS = 3
 STEPS = 250
 RIDGE = 0.1

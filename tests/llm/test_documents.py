@@ -1,0 +1,263 @@
+import collections
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import regex
+from pyspark.sql import functions as F
+
+from fleetmart.llm import components, jaccardjoin, langid, secretscan, toxicity
+from fleetmart.llm.textarrays import chunks
+
+
+# language ID
+
+def test_held_out_languages_are_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = langid.identify_held_out(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(got) == docs.count()
+    held = [r for r in got if r["held_out"]]
+    assert {r["doc_id"] for r in held} == {r["doc_id"] for r in got if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0}
+    assert sum(r["lang"] == r["lang_pred"] for r in held) >= 0.98 * len(held)
+    assert all(0 <= r["score"] <= 1 for r in got)
+
+
+def trained(docs_of, spark):
+    words = {"aa": "lorem ipsum dolor sit amet", "bb": "zwei kräftige bäume stehen dort", "cc": "ñandú quiere comer hierba"}
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice(words[x].split()) for _ in range(40)), x) for i, x in enumerate(list(words) * 20)]
+    return langid.learn(spark.createDataFrame([*rows, (90, None, "aa"), (91, "text", None)], "doc_id long, text string, lang string")), words
+
+
+def test_language_edges_and_mixtures(spark, docs_of):
+    model, words = trained(docs_of, spark)
+    assert model.languages == ["aa", "bb", "cc"]
+    mixed = " ".join([words["aa"]] * 10 + [words["bb"]] * 10)
+    rows = [(1, words["bb"]), (2, None), (3, ""), (4, "123 !?"), (5, "́"), (6, "i"), (7, mixed), (8, words["cc"] * 3000), (1, words["bb"]),
+            (None, words["aa"])]
+    got = langid.identify(docs_of(rows), model).collect()
+    by = {r["doc_id"]: r for r in got}
+    assert len(got) == len(rows) and [r["lang_pred"] for r in got if r["doc_id"] == 1] == ["bb", "bb"]
+    assert all(by[i]["lang_pred"] == "und" and by[i]["score"] == 0 for i in (2, 3, 4, 5))
+    assert by[6]["lang_pred"] in model.languages and by[8]["lang_pred"] == "cc" and by[None]["lang_pred"] == "aa"
+    assert sorted(by[7]["languages"]) == ["aa", "bb"] and sum(by[7]["proportions"]) == pytest.approx(1)
+    assert 0.3 < by[7]["score"] < 0.75 and by[1]["languages"] == ["bb"]
+    assert langid.identify(docs_of([]), model).count() == 0
+    kept = langid.keep_identified(docs_of(rows), model, 0.9)
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 1, 7, 8] or 6 in {r["doc_id"] for r in kept.collect()}
+    assert kept.schema == docs_of(rows).schema
+
+
+def test_mixture_shares_equal_a_plain_computation(spark, docs_of):
+    model, words = trained(docs_of, spark)
+    text = " ".join([words["aa"]] * 6 + [words["cc"]] * 3)
+    chunk = next(chunks(pa.array([text])))
+    _, cell, _ = langid.trigrams(chunk)
+    share = np.full(4, 0.25)
+    for _ in range(langid.ROUNDS):
+        part = model.likelihood[cell] * share
+        share = (part / part.sum(axis=1, keepdims=True)).mean(axis=0)
+    got, _ = langid.mixtures(model, chunk)
+    assert np.argsort(-got[0])[:2].tolist() == np.argsort(-share)[:2].tolist() == [0, 2]
+    assert got[0][0] == pytest.approx(share[0], abs=0.1)
+
+
+def test_nothing_learned(spark, docs_of):
+    none = langid.learn(spark.createDataFrame([], "doc_id long, text string, lang string"))
+    assert [r["lang_pred"] for r in langid.identify(docs_of([(1, "text")]), none).collect()] == ["und"]
+
+
+# toxicity
+
+def test_toxic_documents_are_found(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    got = toxicity.flag_toxic(docs, labels)
+    assert got.count() == docs.count()
+    seen = got.withColumnRenamed("toxic", "flag").join(labels, "doc_id").collect()
+    clean = [r for r in seen if not r["toxic"]]
+    assert sum(r["flag"] for r in clean) <= 0.01 * len(clean)
+    assert sum(r["flag"] for r in seen if r["toxic"]) >= 0.8 * sum(r["toxic"] for r in seen)
+
+
+def test_chain_beats_none_on_held_out_and_feeds_forward(spark, docs_of):
+    rng = random.Random(4)
+    plain, bad = [f"word{k}" for k in range(60)], ["nasty", "vile", "awful"]
+    rows, labels = [], []
+    for i in range(400):
+        toxic = int(rng.random() < 0.3)
+        text = [rng.choice(plain) for _ in range(30)] + [rng.choice(bad) for _ in range(2 * toxic)]
+        rows.append((i, " ".join(text)))
+        labels.append((i, 1 - toxic, toxic))
+    labels += [(0, None, 1), (500, 1, 0), (1, 1 - labels[1][2], labels[1][2])]
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    docs = docs_of(rows)
+    model = toxicity.learn(docs, toxicity.with_categories(table.where("doc_id < 300")), toxicity.CATEGORIES)
+    width = model.known.size
+    assert [w.size for w in model.weights] == [width + 2, width + 3]  # the second sees the first's probability
+    got = {r["doc_id"]: r["p_toxic"] for r in toxicity.score(docs, model).collect()}
+    assert all((got[i] >= 0.5) == bool(t) for i, _, t in labels if 300 <= i < 400)
+    edges = docs_of([(1, None), (2, ""), (None, "nasty vile"), (3, "word1 " * 20000 + "nasty vile awful"), (3, "word1")])
+    by = [(r["doc_id"], r["p_toxic"]) for r in toxicity.score(edges, model).collect()]
+    assert len(by) == 5 and dict(by)[1] == 0 and dict(by)[None] > 0.5
+    assert toxicity.score(docs.limit(0), model).count() == 0
+    kept = toxicity.keep_clean(docs, model, 0.5)
+    assert kept.schema == docs.schema and kept.count() == sum(p < 0.5 for p in got.values())
+
+
+def test_chain_without_labels(spark, docs_of):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    model = toxicity.learn(docs_of([(1, "a b")]), toxicity.with_categories(none), toxicity.CATEGORIES)
+    assert [round(r["p_toxic"], 6) for r in toxicity.score(docs_of([(1, "a b")]), model).collect()] == [0]
+
+
+def test_model_scores_equal_a_plain_sum(spark, docs_of):
+    chunk = next(chunks(pa.array(["Nasty nasty words", "", "other"])))
+    row, feature = toxicity.features(chunk)
+    known = np.unique(feature[row == 0])
+    rng = np.random.default_rng(1)
+    model = toxicity.ChainModel(["a", "b"], known, [rng.normal(size=known.size + 2), rng.normal(size=known.size + 3)])
+    got = model.probabilities(chunk, toxicity._common(known))
+    for k, n in enumerate((3, 0, 1)):
+        dense = [np.log1p(n)]
+        own = set(feature[row == k].tolist())
+        for c, w in enumerate(model.weights):
+            logit = sum(w[j] for j, f in enumerate(known) if f in own) + np.dot(dense, w[known.size:-1]) + w[-1]
+            assert got[k, c] == pytest.approx(1 / (1 + np.exp(-logit)))
+            dense.append(got[k, c])
+
+
+# n-gram Jaccard join
+
+def brute_join(rows, similarity=0.8):
+    sets, copies = {}, collections.Counter()
+    for i, t in rows:
+        w = regex.findall(r"[\p{L}\p{M}\p{N}_]+", (t or "").lower())
+        if w:
+            sets[t] = frozenset(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4)))
+            copies[t] += 1
+    texts, root, links = sorted(sets), {t: t for t in sets}, collections.Counter()
+
+    def find(t):
+        while root[t] != t:
+            t = root[t]
+        return t
+
+    for a in range(len(texts)):
+        for b in range(a + 1, len(texts)):
+            x, y = sets[texts[a]], sets[texts[b]]
+            if len(x & y) >= similarity * len(x | y) - 1e-9:
+                links[texts[a]] += 1
+                links[texts[b]] += 1
+                root[find(texts[a])] = find(texts[b])
+    first = {}
+    for i, t in rows:
+        if t in sets and i is not None:
+            first[find(t)] = min(i, first.get(find(t), i))
+    return sorted(((i, first.get(find(t)), links[t], copies[t]) if t in sets else (i, i, 0, 1) for i, t in rows), key=str)
+
+
+def planted(rng):
+    vocabulary = [f"w{k}" for k in range(400)]
+    passage = [rng.choice(vocabulary) for _ in range(60)]
+    rows = []
+    for g in range(12):
+        base = [rng.choice(vocabulary) for _ in range(rng.choice([3, 30, 120]))]
+        for _ in range(rng.choice([1, 2, 5])):
+            text = list(base)
+            for _ in range(rng.choice([0, 1, 3])):
+                text[rng.randrange(len(text))] = rng.choice(vocabulary)
+            rows.append(" ".join(text))
+    for _ in range(60):  # a passage that many share
+        rows.append(" ".join(passage + [rng.choice(vocabulary) for _ in range(60)]))
+    large = [rng.choice(vocabulary) for _ in range(150)]
+    for _ in range(120):  # a large group of near copies
+        text = list(large)
+        text[rng.randrange(150)] = rng.choice(vocabulary)
+        rows.append(" ".join(text))
+    rows += [rows[0]] * 4 + ["", None, "!!", "One two, THREE", "one two three", "long " * 5000]
+    return [(i, t) for i, t in enumerate(rows)] + [(None, rows[1]), (2, rows[2])]
+
+
+def test_join_equals_brute_force(spark, docs_of, monkeypatch):
+    rows = planted(random.Random(9))
+    for small_bucket, blocks in ((256, 512), (8, 16)):
+        monkeypatch.setattr(jaccardjoin, "SMALL_BUCKET", small_bucket)
+        monkeypatch.setattr(jaccardjoin, "BLOCK", blocks)
+        monkeypatch.setattr(jaccardjoin, "ALIKE_BLOCK", blocks)
+        got = jaccardjoin.near_duplicates(docs_of(rows))
+        assert sorted(map(tuple, got.collect()), key=str) == brute_join(rows)
+
+
+def test_join_by_a_shuffle_gives_the_same(spark, docs_of, monkeypatch):
+    rows = planted(random.Random(10))[:80]
+    monkeypatch.setattr(jaccardjoin, "BROADCAST_TEXTS", 0)
+    assert sorted(map(tuple, jaccardjoin.near_duplicates(docs_of(rows)).collect()), key=str) == brute_join(rows)
+
+
+def test_join_of_nothing(spark, docs_of):
+    assert jaccardjoin.near_duplicates(docs_of([])).count() == 0
+    assert [tuple(r) for r in jaccardjoin.near_duplicates(docs_of([(4, None)])).collect()] == [(4, 4, 0, 1)]
+
+
+def test_more_recall_takes_more_runs():
+    assert 1 <= jaccardjoin.runs_needed(0.5) < jaccardjoin.runs_needed(0.99) < jaccardjoin.runs_needed(0.99999)
+
+
+def test_components_of_long_paths(spark):
+    edges = [(k, k + 1) for k in range(100)] + [(200, 201), (300, 300), (None, 5)] + [(1000, 1000 + k) for k in range(1, 50)]
+    got = dict(map(tuple, components.components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert all(got[k] == 0 for k in range(101)) and got[201] == 200 and got[300] == 300 and got[1049] == 1000
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# secret scans
+
+SECRET = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
+
+
+def secret_docs(docs_of, n=60):
+    rng = random.Random(6)
+    hexes = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(n)]
+    rows = []
+    for i, h in enumerate(hexes):
+        rows.append((3 * i, f'some words here\napi token = "{h}" more words'))
+        rows.append((3 * i + 1, f"see commit sha {h[::-1]} and mail me.{i}123456@mail{i}.example.com at 10.20.30.{i}00"))
+        rows.append((3 * i + 2, f"card 49{i:02d}123412341234 path /usr/lib/python3.{i}/site-packages2 version2release{i}"))
+    return docs_of(rows), hexes
+
+
+def test_secrets_are_told_from_other_findings(spark, docs_of):
+    docs, hexes = secret_docs(docs_of)
+    forest = secretscan.learn(docs)
+    new = docs_of([(1, f'password: "{SECRET}"'), (2, f"commit {SECRET}"), (3, "4111111111111111 192.168.100.200"), (4, None), (5, ""),
+                   (1, f'password: "{SECRET}"'), (6, "x " * 40000 + f"secret_key='{SECRET}'"), (None, "nothing here")])
+    got = secretscan.scan(new, forest).collect()
+    assert sorted((r["doc_id"], r["is_secret"]) for r in got) == [(1, True), (1, True), (2, False), (3, False), (3, False), (6, True)]
+    one = next(r for r in got if r["doc_id"] == 1)
+    assert (one["start"], one["end"]) == (11, 51) and 0 <= one["score"] <= 1
+    clean = {r["doc_id"]: r["text"] for r in secretscan.redact(new, forest).collect()}
+    assert clean[1] == 'password: "[SECRET]"' and clean[2] == f"commit {SECRET}" and clean[4] is None and clean[5] == ""
+    assert clean[6].endswith("secret_key='[SECRET]'") and secretscan.redact(new, forest).schema == new.schema
+    assert secretscan.scan(docs.limit(0), forest).count() == 0 and secretscan.learn(docs.limit(0)) is None
+
+
+def test_forest_learns_from_given_findings(spark, docs_of):
+    docs, _ = secret_docs(docs_of)
+    found = secretscan.candidates(docs)
+    given = found.select("doc_id", "start", (F.col("doc_id") % 3 == 1).alias("is_secret"))  # the other way round
+    forest = secretscan.learn(docs, given)
+    got = secretscan.scan(docs, forest).collect()
+    assert sum(r["is_secret"] == (r["doc_id"] % 3 == 1) for r in got) >= 0.95 * len(got)
+
+
+def test_planted_secrets_of_the_corpus(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {(r["doc_id"], r["start"], r["end"]) for r in secretscan.scan_corpus(docs).where("is_secret").collect()}
+    want = set()
+    for r in docs.collect():
+        for m in regex.finditer(r'(?i)token = "([0-9a-f]{40})"', r["text"] or ""):
+            want.add((r["doc_id"], m.start(1), m.end(1)))
+    assert want and got == want
