@@ -37,11 +37,14 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], order: list[Col
 
 
 def append_delta(batch: DataFrame, target: DataFrame, keys: list[str], order: list[Column | str],
-                 refresh: list[str]) -> DataFrame:
+                 refresh: list[str], carried: dict[str, Column] | None = None) -> DataFrame:
     """The part of a batch that changes the target, in one join: rows with a new key, and, marked ``refreshes``, rows
-    whose key is known with another value in a ``refresh`` column (NULL-safe)."""
-    known = target.select(*keys, F.lit(True).alias("_known"), *[F.col(c).alias(f"_{c}") for c in refresh])
+    whose key is known with another value in a ``refresh`` column (NULL-safe). ``carried`` names what the target row
+    gives along, NULL for new keys."""
+    carried = carried or {}
+    known = target.select(*keys, F.lit(True).alias("_known"), *[F.col(c).alias(f"_{c}") for c in refresh],
+                          *[value.alias(name) for name, value in carried.items()])
     differs = reduce(Column.__or__, [~F.col(c).eqNullSafe(F.col(f"_{c}")) for c in refresh], F.lit(False))
     paired = first_rows(batch, keys, order).join(known, keys, "left")
     touched = paired.filter(F.col("_known").isNull() | differs)
-    return touched.select(*batch.columns, F.col("_known").isNotNull().alias("refreshes"))
+    return touched.select(*batch.columns, F.col("_known").isNotNull().alias("refreshes"), *carried)

@@ -40,13 +40,17 @@ def prepare_at_event(base: DataFrame, dim: DataFrame, on: str, take: dict[str, s
                      inclusive: bool = True, grain: str = "DAY", strategy: str = "auto") -> Step:
     """A step that looks up the version valid at the time in column ``at`` of each row; NULL where there is none.
 
-    Versions of a key do not overlap. A dimension of checked size, with few versions per key, is broadcast. Otherwise
+    The answer is the last version of the key that starts no later than the row's time, if it still covers that time;
+    of versions with one start the one with the later end, then the greater values in ``take``. So versions that
+    overlap, touch or start together give one answer, and empty versions (half-open, start equal to end) none,
+    whichever way is taken. A dimension of checked size, with few versions per key, is broadcast. Otherwise
     the distinct pairs of key and time in ``base`` are answered first: sorted together with the versions per key and
     time slice, each takes the last version before it, and the version a slice starts with is carried in from a summary
     of one row per key and slice. The rows then look up their answer. No row meets more than one version; a hot key
     shrinks to its distinct times, these are spread over slices, and a hot pair is split off by the lookup.
     """
-    versions = dim.filter(F.col("valid_from") <= F.col("valid_to")).select(
+    lasting = F.col("valid_from") <= F.col("valid_to") if inclusive else F.col("valid_from") < F.col("valid_to")
+    versions = dim.filter(lasting).select(
         F.col("source_id").alias(on), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"),
         *[F.col(c).alias(n) for n, c in take.items()],
     )
@@ -59,10 +63,16 @@ def prepare_at_event(base: DataFrame, dim: DataFrame, on: str, take: dict[str, s
         answers = cut_lineage(_answers(base, versions, on, at, list(take), inclusive, grain))
         return prepare_lookup(base, answers, [on, at])
 
+    # A version counts up to the start of the next one; with equal starts only the last has any time left.
+    following = F.lead("_from").over(Window.partitionBy(on).orderBy("_from", "_to", *take))
+    apart = versions.withColumn("_next", following)
+
     def step(rows: DataFrame) -> DataFrame:
+        moment = F.col(f"r.{at}").cast("timestamp_ntz")
         match = (F.col(f"r.{on}") == F.col(f"v.{on}")) & _covers(
-            F.col(f"r.{at}").cast("timestamp_ntz"), F.col("v._from"), F.col("v._to"), inclusive)
-        return rows.alias("r").join(F.broadcast(versions).alias("v"), match, "left").select(
+            moment, F.col("v._from"), F.col("v._to"), inclusive) & (
+            F.col("v._next").isNull() | (moment < F.col("v._next")))
+        return rows.alias("r").join(F.broadcast(apart).alias("v"), match, "left").select(
             "r.*", *[f"v.{n}" for n in take])
 
     return step
@@ -75,12 +85,12 @@ def _answers(base: DataFrame, versions: DataFrame, on: str, at: str, take: list[
     starts = versions.select(on, F.col("_from").alias("_t"), payload.alias("_version"))
     both = starts.unionByName(points, allowMissingColumns=True)
     both = both.withColumn("_slice", F.date_trunc(grain, F.col("_t")).cast("timestamp_ntz"))
-    newest = F.max_by("_version", F.when(F.col(at).isNull(), F.col("_t")))
+    newest = F.max_by("_version", F.when(F.col(at).isNull(), F.struct("_t", "_version")))
     earlier = Window.partitionBy(on).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = both.groupBy(on, "_slice").agg(newest.alias("_last")).select(
         on, "_slice", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
     # At equal times the start of a version, which has no point, sorts before the point it covers.
-    running = Window.partitionBy(on, "_slice").orderBy("_t", F.asc_nulls_first(at)).rowsBetween(
+    running = Window.partitionBy(on, "_slice").orderBy("_t", F.asc_nulls_first(at), "_version").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     placed = both.withColumn("_here", F.last("_version", ignorenulls=True).over(running)).filter(F.col(at).isNotNull())
     found = placed.join(carried, [on, "_slice"], "left").withColumn("_v", F.coalesce("_here", "_carried"))

@@ -35,7 +35,10 @@ def changed_since(source: DataFrame, mark: datetime | str, overlap: str | None =
 def apply_updates(base: DataFrame, updates: DataFrame, key: str, batch_ts: datetime | str,
                   stamp: str = "last_modified") -> DataFrame:
     """Set the columns of ``updates`` on the rows they name. A touched row gets the batch time as its stamp, even if no
-    value differs; the others keep theirs. ``updates`` is unique on the key."""
+    value differs; the others keep theirs. ``updates`` must be unique on the key: a key given twice, or none, is an
+    error, raised here."""
+    if updates.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | F.col(key).isNull()).limit(1).count():
+        raise ValueError(f"the updates hold a {key} more than once, or none")
     given = [c for c in updates.columns if c != key]
     renamed = updates.select(key, *[F.col(c).alias(f"_{c}") for c in given], F.lit(True).alias("_touched"))
     hit = F.coalesce(F.col("_touched"), F.lit(False))

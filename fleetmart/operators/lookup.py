@@ -9,17 +9,29 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage
 
-BROADCAST_ROWS = 200_000  # lookups carry a key and a few narrow columns, so this stays in the tens of megabytes
-HOT_KEYS = 1_000  # keys outside the k most frequent ones hold less than 1/k of the rows each
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
+HOT_SHARE = 4  # a key is hot if it holds more than this part of what a task of the shuffle takes on average: 1 in 4
 SPREAD = 1 << 20
 
 Step = Callable[[DataFrame], DataFrame]
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether df has at most that many rows. Reads partitions one after another and stops past the limit, so a large
-    table costs no more than its first partitions."""
-    return df.select(F.lit(1).alias("one")).offset(max_rows).isEmpty()
+def _width(df: DataFrame) -> Column:
+    """Bytes of a row, about: the text as it is, 8 for everything else."""
+    parts = [F.coalesce(F.octet_length(c), F.lit(0)).cast("long") if kind == "string" else F.lit(8).cast("long")
+             for c, kind in df.dtypes]
+    return reduce(Column.__add__, parts, F.lit(16).cast("long"))
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether df has at most that many rows and bytes. Reads partitions one after another and stops past the limit of
+    rows, so a large table costs no more than its first partitions."""
+    if not df.select(F.lit(1).alias("one")).offset(max_rows).isEmpty():
+        return False
+    if not any(kind == "string" for _, kind in df.dtypes):
+        return True
+    return (df.agg(F.sum(_width(df))).first()[0] or 0) <= max_bytes
 
 
 def any_null(names: list[str]) -> Column:
@@ -31,14 +43,13 @@ def in_turn(rows: DataFrame, *steps: Step) -> DataFrame:
 
 
 def prepare_lookup(base: DataFrame, lookup: DataFrame, on: list[str], bounded: bool = False,
-                   counted: DataFrame | None = None, max_rows: int = BROADCAST_ROWS,
-                   hot_keys: int = HOT_KEYS) -> Step:
+                   counted: DataFrame | None = None, max_rows: int = BROADCAST_ROWS) -> Step:
     """A step that left joins rows to a lookup unique on its key; every row comes back exactly once.
 
     A lookup of checked size is broadcast and the rows never move (``bounded`` skips the check for lookups whose size
     is fixed by construction; ``counted`` is a table with at least as many rows as the lookup that is cheaper to
-    check). A larger one is joined by shuffle. Then rows with one of the most frequent keys take their values from a
-    small broadcast, and they and the rows without a key are spread over all tasks of that shuffle by a hash of the
+    check). A larger one is joined by shuffle. Then rows with a key that holds more than a quarter of an average task's
+    share take their values from a small broadcast (there are at most four such keys per task), and they and the rows without a key are spread over all tasks of that shuffle by a hash of the
     whole row, which is the same when a task runs again. (Rows equal in every column stay together; all callers here
     carry a row id.)
 
@@ -47,8 +58,10 @@ def prepare_lookup(base: DataFrame, lookup: DataFrame, on: list[str], bounded: b
     """
     if bounded or fits_broadcast(lookup if counted is None else counted, max_rows):
         return lambda rows: rows.join(F.broadcast(lookup), on, "left")
-    hot = base.filter(~any_null(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).orderBy(
-        F.desc("_n"), *on).limit(hot_keys).select(*on)
+    tasks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sizes = cut_lineage(base.filter(~any_null(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("_n")))
+    total = sizes.agg(F.sum("_n")).first()[0] or 0
+    hot = sizes.filter(F.col("_n") > max(1, total // (HOT_SHARE * tasks))).select(*on)
     added = [c for c in lookup.columns if c not in on]
     values = lookup.join(F.broadcast(hot), on, "left_semi").select(*on, *[F.col(c).alias(f"_hot_{c}") for c in added])
     values = cut_lineage(hot.join(F.broadcast(values), on, "left").withColumn("_hot", F.lit(True)))

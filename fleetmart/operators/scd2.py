@@ -130,9 +130,11 @@ def number_versions(delta: DataFrame, spec: Dimension, start: int) -> DataFrame:
 
 def scd2_merge(dim: DataFrame, source: DataFrame, spec: Dimension, batch_ts: datetime | str,
                rules: Versioning = CLOSE_AND_INSERT) -> DataFrame:
-    """The whole dimension after the batch. Closed history passes through unread by the join."""
+    """The whole dimension after the batch. Closed history takes no part in any join; the source is read once."""
     key = spec.table.primary_key
-    delta = cut_lineage(scd2_delta(current_versions(dim), source, spec, batch_ts, rules))
-    delta_counts(delta)
-    kept = dim.join(delta.filter("closing").select(key), key, "left_anti")
-    return kept.select(*spec.table.names).unionByName(number_versions(delta, spec, highest(dim, key)))
+    current = current_versions(dim)
+    delta = cut_lineage(scd2_delta(current, cut_lineage(source), spec, batch_ts, rules))
+    closed, _ = delta_counts(delta)
+    kept = current.join(delta.filter("closing").select(key), key, "left_anti") if closed else current
+    return closed_versions(dim).unionByName(kept).select(*spec.table.names).unionByName(
+        number_versions(delta, spec, highest(dim, key)))

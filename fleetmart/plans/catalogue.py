@@ -350,10 +350,9 @@ def upsert_known(spark, folder):
     return upsert(target, batch, ["vehicle_id", "service_type"], ["maintenance_id"], ["maintenance_cost"])
 
 
-@registered("SELECT *, row_number() OVER (ORDER BY o_orderkey) + 500 AS order_sk FROM orders WHERE o_orderstatus <> 'P'")
+@registered("SELECT *, row_number() OVER (ORDER BY o_orderkey) + 500 AS order_sk FROM orders")
 def surrogate_keys(spark, folder):
-    rows = given(spark, folder, "orders").filter(F.col("o_orderstatus") != "P")
-    return number_rows(rows, "o_orderkey", "order_sk", start=500)
+    return number_rows(given(spark, folder, "orders"), "o_orderkey", "order_sk", start=500)
 
 
 # --- loaders ------------------------------------------------------------------------------------
@@ -416,10 +415,11 @@ def load_outcome(spark, folder):
 
 
 @registered(_VEHICLE_JUDGED + """
-    SELECT 'vehicle_feed' AS feed, seq, coalesce(miss, 'duplicate_license_plate') AS reason
+    SELECT 'vehicle_feed' AS feed, seq, coalesce(miss, 'duplicate_license_plate') AS reason, license_plate, make
     FROM numbered WHERE miss IS NOT NULL OR rank > 1""", "f_vehicle r_vehicle_type r_branch")
 def reject_log(spark, folder):
-    return _vehicle_load(spark, folder).rejects().select("feed", "seq", "reason")
+    return _vehicle_load(spark, folder).rejects().select(
+        "feed", "seq", "reason", *[F.get_json_object("raw", f"$.{c}").alias(c) for c in ("license_plate", "make")])
 
 
 @registered("""
@@ -803,6 +803,49 @@ def asof_event_join_large(spark, folder):
     return _asof_event(spark, folder, "carry")
 
 
+_ASOF_EDGES = """
+    , versions AS (
+        SELECT p_partkey AS source_id, make_timestamp(1990 + p_size % 8, 1, 1, 0, 0, 0) AS valid_from,
+               make_timestamp(1990 + p_size % 8 + n % 3, 1, 1, 0, 0, 0) AS valid_to, p_partkey * 10 + n AS vehicle_id
+        FROM part CROSS JOIN (SELECT unnest([0, 1, 2, 4]) AS n)
+        UNION ALL SELECT p_partkey, TIMESTAMP '1994-01-01 00:00:00', TIMESTAMP '1996-07-01 00:00:00', p_partkey * 10 + 5
+        FROM part WHERE p_partkey % 2 = 0),
+    points AS (SELECT DISTINCT l_partkey, l_shipdate FROM lineitem),
+    started AS (
+        SELECT l_partkey, l_shipdate, v.*, row_number() OVER (
+            PARTITION BY l_partkey, l_shipdate ORDER BY valid_from DESC, valid_to DESC, vehicle_id DESC) AS place
+        FROM points JOIN versions v ON l_partkey = source_id AND valid_from <= l_shipdate AND valid_from < valid_to)
+    SELECT l_orderkey, l_linenumber, vehicle_id FROM lineitem JOIN started USING (l_partkey, l_shipdate)
+    WHERE place = 1 AND l_shipdate < valid_to"""
+
+
+def _asof_edges(spark, folder, strategy):
+    """Versions that are empty, touch, overlap and start together; each row meets the last to start, or none."""
+    year = F.lit(1990) + F.col("p_size") % 8
+    part, number = given(spark, folder, "part"), F.explode(F.array(*map(F.lit, (0, 1, 2, 4)))).alias("n")
+    first = part.select("p_partkey", year.alias("y"), number).select(
+        F.col("p_partkey").alias("source_id"), F.expr("make_timestamp_ntz(y, 1, 1, 0, 0, 0)").alias("valid_from"),
+        F.expr("make_timestamp_ntz(y + n % 3, 1, 1, 0, 0, 0)").alias("valid_to"),
+        (F.col("p_partkey") * 10 + F.col("n")).alias("vehicle_id"))
+    second = part.filter("p_partkey % 2 = 0").select(
+        "p_partkey", F.lit("1994-01-01").cast("timestamp_ntz"), F.lit("1996-07-01").cast("timestamp_ntz"),
+        F.col("p_partkey") * 10 + 5)
+    rows = given(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("part"), "l_shipdate")
+    step = asof.prepare_at_event(rows, first.union(second), "part", {"vehicle_id": "vehicle_id"}, "l_shipdate",
+                                 inclusive=False, strategy=strategy)
+    return step(rows).dropna(subset=["vehicle_id"]).select("l_orderkey", "l_linenumber", "vehicle_id")
+
+
+@registered("WITH nothing AS (SELECT 1)" + _ASOF_EDGES)
+def asof_version_edges(spark, folder):
+    return _asof_edges(spark, folder, "broadcast")
+
+
+@registered("WITH nothing AS (SELECT 1)" + _ASOF_EDGES)
+def asof_version_edges_large(spark, folder):
+    return _asof_edges(spark, folder, "carry")
+
+
 # --- data quality -----------------------------------------------------------------------------------
 @registered("""
     SELECT "table", rule, CAST(violations AS BIGINT) AS violations FROM (
@@ -886,7 +929,7 @@ def source_catalog(spark, folder):
 
 # --- whole warehouse --------------------------------------------------------------------------------
 def _oltp(spark, folder) -> dict[str, DataFrame]:
-    """The roles as operational tables. Rentals without a vehicle do not exist there: the key is required."""
+    """The roles as operational tables. Some rentals name no vehicle, some vehicles a branch that does not exist."""
     touched = instant("2001-12-01 00:00:00")
     return {
         "customer": role(spark, folder, "r_customer").withColumn("last_modified", touched),
@@ -894,8 +937,7 @@ def _oltp(spark, folder) -> dict[str, DataFrame]:
         "employee": role(spark, folder, "r_employee"),
         "vehicle_type": role(spark, folder, "r_vehicle_type"),
         "vehicle": role(spark, folder, "r_vehicle").withColumn("last_modified", touched),
-        "rental_transaction": _table(spark, folder, "r_rental").filter("vehicle_id IS NOT NULL").withColumn(
-            "last_modified", touched),
+        "rental_transaction": _table(spark, folder, "r_rental").withColumn("last_modified", touched),
         "payment": role(spark, folder, "r_payment"),
         "maintenance": role(spark, folder, "r_maintenance"),
     }
@@ -931,13 +973,14 @@ def _control_result(warehouse: Warehouse) -> DataFrame:
 _ETL_ROLES = "r_customer r_branch r_employee r_vehicle_type r_vehicle r_rental r_payment r_maintenance"
 _ETL_SQL = """
     , rentals AS (SELECT * FROM r_rental WHERE vehicle_id IS NOT NULL),
+    vehicles AS (SELECT * FROM r_vehicle WHERE branch_id IN (SELECT branch_id FROM r_branch)),
+    placed AS (SELECT * FROM r_rental WHERE vehicle_id IN (SELECT vehicle_id FROM vehicles)),
     keyed AS (SELECT DISTINCT customer_id, vehicle_id, employee_id, rental_start_date, rental_end_date FROM rentals),
     moved AS (SELECT * FROM r_customer WHERE last_name = 'BUILDING'),
     log AS (
         SELECT '2024-06-01 00:00:00' AS t, 'vehicle_type' AS s, (SELECT count(*) FROM r_vehicle_type) AS n
         UNION ALL SELECT '2024-06-01 00:00:00', 'branch', (SELECT count(*) FROM r_branch)
         UNION ALL SELECT '2024-06-01 00:00:00', 'customer', (SELECT count(*) FROM r_customer)
-        UNION ALL SELECT '2024-06-01 00:00:00', 'vehicle', (SELECT count(*) FROM r_vehicle)
         UNION ALL SELECT '2024-06-01 00:00:00', 'employee', (SELECT count(*) FROM r_employee)
         UNION ALL SELECT '2024-07-01 00:00:00', 'vehicle_type', 0
         UNION ALL SELECT '2024-07-01 00:00:00', 'maintenance', 0
@@ -948,6 +991,7 @@ _ETL_SQL = """
 
 
 @registered(_ETL_SQL.format(more="""
+        UNION ALL SELECT '2024-06-01 00:00:00', 'vehicle', (SELECT count(*) FROM r_vehicle)
         UNION ALL SELECT '2024-06-01 00:00:00', 'maintenance',
             (SELECT count(DISTINCT (vehicle_id, service_date, service_type)) FROM r_maintenance)
         UNION ALL SELECT '2024-06-01 00:00:00', 'rental_transaction', (SELECT count(*) FROM keyed)
@@ -962,8 +1006,10 @@ def etl_runs_historical(spark, folder):
 
 
 @registered(_ETL_SQL.format(more="""
-        UNION ALL SELECT '2024-06-01 00:00:00', 'maintenance', (SELECT count(*) FROM r_maintenance)
-        UNION ALL SELECT '2024-06-01 00:00:00', 'rental_transaction', (SELECT count(*) FROM rentals)
+        UNION ALL SELECT '2024-06-01 00:00:00', 'vehicle', (SELECT count(*) FROM vehicles)
+        UNION ALL SELECT '2024-06-01 00:00:00', 'maintenance',
+            (SELECT count(*) FROM r_maintenance WHERE vehicle_id IN (SELECT vehicle_id FROM vehicles))
+        UNION ALL SELECT '2024-06-01 00:00:00', 'rental_transaction', (SELECT count(*) FROM placed)
         UNION ALL SELECT '2024-07-01 00:00:00', 'branch', (SELECT 2 * count(*) FROM r_branch
                                                            WHERE location = 'Region 1')
         UNION ALL SELECT '2024-07-01 00:00:00', 'customer', (SELECT 2 * count(*) FROM moved)
@@ -971,14 +1017,91 @@ def etl_runs_historical(spark, folder):
         UNION ALL SELECT '2024-07-01 00:00:00', 'employee', (SELECT 2 * count(*) FROM r_employee e JOIN r_branch b
             ON e.branch_id = b.branch_id WHERE location = 'Region 1')
         UNION ALL SELECT '2024-07-01 00:00:00', 'rental_transaction',
-            (SELECT count(DISTINCT transaction_id) FROM r_payment WHERE payment_method LIKE 'method RF%')"""), _ETL_ROLES)
+            (SELECT count(DISTINCT transaction_id) FROM r_payment JOIN placed USING (transaction_id)
+             WHERE payment_method LIKE 'method RF%')"""), _ETL_ROLES)
 def etl_runs(spark, folder):
     """Two whole loads under the sound rules."""
     return _control_result(_runs(spark, folder, SOUND))
 
 
-@registered("""
-    , rentals AS (SELECT * FROM r_rental WHERE vehicle_id IS NOT NULL),
+_VEHICLES = "vehicles AS (SELECT * FROM r_vehicle WHERE branch_id IN (SELECT branch_id FROM r_branch))"
+
+
+@registered(f"""
+    , {_VEHICLES}
+    SELECT 'vehicle' AS feed, vehicle_id AS seq, 'unknown_branch_id' AS reason,
+           CAST(branch_id AS VARCHAR) AS raw_branch
+    FROM r_vehicle WHERE branch_id NOT IN (SELECT branch_id FROM r_branch)
+    UNION ALL SELECT 'rental_transaction', transaction_id, 'unresolved_vehicle_id', NULL FROM r_rental
+    WHERE vehicle_id IS NULL OR vehicle_id NOT IN (SELECT vehicle_id FROM vehicles)
+    UNION ALL SELECT 'maintenance', maintenance_id, 'unresolved_vehicle_id', NULL FROM r_maintenance
+    WHERE vehicle_id NOT IN (SELECT vehicle_id FROM vehicles)""", _ETL_ROLES)
+def etl_rejects(spark, folder):
+    """What two sound loads leave out, each row once, with the reason."""
+    rejects = _runs(spark, folder, SOUND).read(S.REJECTS.name)
+    return rejects.select("feed", "seq", "reason", F.get_json_object("raw", "$.branch_id").alias("raw_branch"))
+
+
+@registered(f"""
+    , {_VEHICLES}
+    SELECT 'vehicle' AS dim, v.vehicle_id AS source_id, v.make AS name, b.branch_id AS branch,
+           b.location <> 'Region 1' AS branch_active, TRUE AS is_active
+    FROM vehicles v JOIN r_branch b USING (branch_id)
+    UNION ALL SELECT 'employee', employee_id, first_name, b.branch_id, TRUE, TRUE
+    FROM r_employee e JOIN r_branch b USING (branch_id)
+    UNION ALL SELECT 'employee', employee_id, first_name, b.branch_id, FALSE, FALSE
+    FROM r_employee e JOIN r_branch b USING (branch_id) WHERE b.location = 'Region 1'""", _ETL_ROLES)
+def etl_dimensions(spark, folder):
+    """All versions of vehicles and employees after two sound loads, with the branch version they point at."""
+    warehouse = _runs(spark, folder, SOUND)
+    branches = warehouse.read("dim_branch").select(
+        "branch_id", F.col("source_id").alias("branch"), F.col("is_active").alias("branch_active"))
+    parts = [warehouse.read(f"dim_{dim}").withColumnRenamed(name, "name").join(branches, "branch_id").select(
+        F.lit(dim).alias("dim"), "source_id", "name", "branch", "branch_active", "is_active")
+        for dim, name in (("vehicle", "make"), ("employee", "first_name"))]
+    return parts[0].unionByName(parts[1])
+
+
+@registered(f"""
+    , {_VEHICLES},
+    moved AS (SELECT transaction_id, vehicle_id,
+                     rental_start_date + CASE WHEN transaction_id % 7 = 0 THEN 45 ELSE 0 END AS s,
+                     rental_end_date + CASE WHEN transaction_id % 7 IN (0, 1) THEN 60 ELSE 0 END AS e
+              FROM r_rental),
+    paid AS (SELECT transaction_id, sum(CASE WHEN payment_method LIKE 'method RF%' THEN 2 * amount ELSE amount END) AS a
+             FROM r_payment GROUP BY transaction_id)
+    SELECT 'rental' AS fact, transaction_id AS source_id, CAST(strftime(s, '%Y%m%d') AS INTEGER) AS day,
+           CAST(strftime(e, '%Y%m%d') AS INTEGER) AS last_day, CAST(a AS DECIMAL(24,2)) AS amount
+    FROM moved LEFT JOIN paid USING (transaction_id) WHERE vehicle_id IN (SELECT vehicle_id FROM vehicles)
+    UNION ALL SELECT 'maintenance', maintenance_id, CAST(strftime(service_date, '%Y%m%d') AS INTEGER), NULL,
+           CAST(maintenance_cost + CASE WHEN maintenance_id % 5 = 0 THEN 1 ELSE 0 END AS DECIMAL(24,2))
+    FROM r_maintenance WHERE vehicle_id IN (SELECT vehicle_id FROM vehicles)""", _ETL_ROLES)
+def fact_refresh(spark, folder):
+    """Facts follow their source rows: moved start and end dates, late payments, a corrected cost."""
+    warehouse = Warehouse(spark, _scratch(spark, "warehouse"))
+    tables = _oltp(spark, folder)
+    run_etl(warehouse, tables, datetime(2024, 6, 1), SOUND, "1995-01-01")
+    later = _changed_oltp(tables)
+    part = F.col("transaction_id") % 7
+    later["rental_transaction"] = tables["rental_transaction"].withColumns({
+        "rental_start_date": F.date_add("rental_start_date", F.when(part == 0, 45).otherwise(0)),
+        "rental_end_date": F.date_add("rental_end_date", F.when(part < 2, 60).otherwise(0))})
+    again = F.when(F.col("maintenance_id") % 5 == 0, 1).otherwise(0)
+    later["maintenance"] = tables["maintenance"].withColumn(
+        "maintenance_cost", (F.col("maintenance_cost") + again).cast(S.PRICE))
+    run_etl(warehouse, later, datetime(2024, 7, 1), SOUND, "1995-01-01")
+    rentals = warehouse.read("fact_rental_transactions").select(
+        F.lit("rental").alias("fact"), "source_id", F.col("rental_start_date_id").alias("day"),
+        F.col("rental_end_date_id").alias("last_day"), money(F.col("payment_amount")).alias("amount"))
+    services = warehouse.read("fact_maintenance").select(
+        F.lit("maintenance").alias("fact"), "source_id", F.col("maintenance_date_id").alias("day"),
+        F.lit(None).cast("int").alias("last_day"), money(F.col("maintenance_cost")).alias("amount"))
+    return rentals.unionByName(services)
+
+
+@registered(f"""
+    , {_VEHICLES},
+    rentals AS (SELECT * FROM r_rental WHERE vehicle_id IN (SELECT vehicle_id FROM vehicles)),
     paid AS (SELECT transaction_id, sum(CASE WHEN payment_method LIKE 'method RF%' THEN 2 * amount ELSE amount END) AS a
              FROM r_payment GROUP BY transaction_id)
     SELECT t.type_name AS vehicle_type, CAST(year(r.rental_start_date) AS INTEGER) AS year, count(*) AS rental_count,

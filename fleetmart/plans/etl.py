@@ -6,7 +6,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -17,15 +17,14 @@ from ..operators.append import append_delta
 from ..operators.calendar import date_span, missing_dates
 from ..operators.changes import changed_since, watermark
 from ..operators.control import FAILED_RUN, control_rows, failure, success
-from ..operators.lookup import lookup_join
+from ..operators.lookup import first_reason, lookup_join
 from ..operators.surrogate import number_rows
-from ..session import cut_lineage
+from ..session import cut_lineage, staging
 from ..sources.warehouse import Warehouse
 
 CURRENT, CLOSED = "current", "closed"
 CALENDAR_START = "2023-01-01"
 CALENDAR_AHEAD_MONTHS = 60
-PAYMENT_COLUMNS = ["payment_amount", "payment_method"]
 
 
 @dataclass(frozen=True)
@@ -34,8 +33,9 @@ class Rules:
 
     ``versioning``: see scd2.Versioning. ``asof``: dimension version at the batch time or at the event.
     ``natural_keys``: facts are unique per source row instead of per combination of surrogates.
-    ``refresh``: payments that arrive late update the fact. ``resolve``: references between dimensions hold surrogates
-    instead of source ids. ``inclusive``: a version is valid up to and including its valid_to.
+    ``refresh``: a fact follows every change of its source row and of its payments, also into another month.
+    ``resolve``: references between dimensions hold surrogates instead of source ids. ``report``: rows a load leaves out
+    for an unknown reference go to the reject log. ``inclusive``: a version is valid up to and including its valid_to.
     """
 
     versioning: scd2.Versioning
@@ -44,11 +44,13 @@ class Rules:
     refresh: bool
     resolve: bool
     inclusive: bool
+    report: bool
 
 
-HISTORICAL = Rules(scd2.CLOSE_ONLY, "batch", natural_keys=False, refresh=False, resolve=False, inclusive=True)
+HISTORICAL = Rules(scd2.CLOSE_ONLY, "batch", natural_keys=False, refresh=False, resolve=False, inclusive=True,
+                   report=False)
 SOUND = Rules(scd2.Versioning(reopen=True, gap=0, first_from=EPOCH), "event", natural_keys=True, refresh=True,
-              resolve=True, inclusive=False)
+              resolve=True, inclusive=False, report=True)
 
 # Types and branches come before the tables that refer to them; the tables of one step do not depend on each other.
 DIMENSIONS = ((scd2.VEHICLE_TYPE, scd2.BRANCH), (scd2.CUSTOMER, scd2.VEHICLE, scd2.EMPLOYEE))
@@ -58,19 +60,22 @@ REFERENCES = {"vehicle_type_id": S.DIM_VEHICLE_TYPE, "branch_id": S.DIM_BRANCH}
 class Run:
     """One load of the warehouse. Steps collect entries; nothing is visible before ``commit``."""
 
-    def __init__(self, warehouse: Warehouse, sources: dict[str, DataFrame], batch_ts: datetime, rules: Rules):
-        self.wh, self.sources, self.batch_ts, self.rules = warehouse, sources, batch_ts, rules
+    def __init__(self, warehouse: Warehouse, sources: dict[str, DataFrame], batch_ts: datetime, rules: Rules,
+                 overlap: str | None = None):
+        self.wh, self.sources, self.batch_ts, self.rules, self.overlap = warehouse, sources, batch_ts, rules, overlap
         self.spark: SparkSession = warehouse.spark
         self.number = warehouse.last_commit() + 1
         self.control = warehouse.read("etl_control")
         self.entries: list[tuple] = []
         self.log: dict[str, tuple] = {}
+        self.left_out: list[DataFrame] = []
 
     def read(self, table: str, parts: list[str] | None = None) -> DataFrame:
         return self.wh.read(table, parts, self.entries)
 
-    def write(self, table: str, rows: DataFrame, part: Column | None = None, replaces: bool = False) -> None:
-        self.entries += self.wh.write(table, rows, self.number, part, replaces)
+    def write(self, table: str, rows: DataFrame, part: Column | None = None, replaces: bool = False,
+              emptied: list[str] = ()) -> None:
+        self.entries += self.wh.write(table, rows, self.number, part, replaces, emptied)
 
     def dates(self, start: str) -> None:
         end = F.add_months(F.lit(self.batch_ts.date()), CALENDAR_AHEAD_MONTHS)
@@ -80,16 +85,37 @@ class Run:
     def _extract(self, spec: scd2.Dimension) -> DataFrame:
         source = self.sources[spec.source.name]
         if spec.incremental:
-            source = changed_since(source, watermark(self.control, spec.source.name).first()[0])
-        rows = spec.extract(source)
+            source = changed_since(source, watermark(self.control, spec.source.name).first()[0], self.overlap)
+        rows = cut_lineage(spec.extract(source))  # a live source is read once
         if self.rules.resolve:
+            unknown = []
             for column in [c for c in REFERENCES if c in spec.business and c != spec.source.primary_key]:
                 target = REFERENCES[column]
                 lookup = self.read(target.name, [CURRENT]).select(
-                    F.col("source_id").alias(column), F.col(target.primary_key).alias("_key"))
-                rows = lookup_join(rows, lookup, [column]).withColumn(column, F.col("_key")).drop("_key")
+                    F.col("source_id").alias(column), F.col(target.primary_key).alias(f"_{column}"))
+                rows = lookup_join(rows, lookup, [column])
+                unknown.append((F.col(column).isNotNull() & F.col(f"_{column}").isNull(), f"unknown_{column}"))
+            if unknown:
+                rows = cut_lineage(rows.withColumn("_reason", first_reason(unknown)))
+                self.leave_out(spec.source.name, rows.filter(F.col("_reason").isNotNull()), "_reason", spec.business)
+                found = [F.col(f"_{c}").alias(c) if f"_{c}" in rows.columns else F.col(c) for c in ["source_id", *spec.business]]
+                rows = rows.filter(F.col("_reason").isNull()).select(*found)
         return rows
 
+    def leave_out(self, feed: str, rows: DataFrame, reason: str, shown: list[str]) -> None:
+        """Note rows that a load does not take, with the reason and the row as it came."""
+        if self.rules.report:
+            self.left_out.append(rows.select(
+                F.lit(feed).alias("feed"), F.col("source_id").cast("long").alias("seq"), F.col(reason).alias("reason"),
+                F.to_json(F.struct(*shown)).alias("raw")))
+
+    def rejects(self) -> None:
+        """Log what was left out, once for each row and reason over all runs."""
+        if self.left_out:
+            found = reduce(DataFrame.unionByName, self.left_out)
+            known = self.read(S.REJECTS.name).select("feed", "seq", "reason")
+            self.write(S.REJECTS.name, found.join(known, ["feed", "seq", "reason"], "left_anti"))
+
     def dimension(self, spec: scd2.Dimension) -> None:
         """Closed versions are only ever added; the current ones are rewritten only if some were closed."""
         table, key = spec.table.name, spec.table.primary_key
@@ -108,29 +134,31 @@ class Run:
                 self.write(table, versions, F.lit(CURRENT))
         self.log[spec.source.name] = success(spec.source.name, self.batch_ts, closed + opened)
 
-    def _fact(self, source: str, table: str, rows: DataFrame, keys: list[str], date: str, update: list[str]) -> None:
-        """Append the facts the table lacks; with ``update``, rewrite only the months in which known facts changed."""
+    def _fact(self, source: str, table: str, rows: DataFrame, keys: list[str], date: str) -> None:
+        """Append the facts the table lacks. Known facts whose source row or payments changed are replaced, in the month
+        they lay in and in the month they move to; no other month is read again."""
         declared = S.STAR[table]
-        month = F.expr(f"{date} div 100")
+        key, month = declared.primary_key, F.expr(f"{date} div 100")
         if self.rules.natural_keys:
             keys = ["source_id"]
+        rows = cut_lineage(rows)
+        self.leave_out(source, rows.filter("unresolved IS NOT NULL").withColumn(
+            "unresolved", F.concat(F.lit("unresolved_"), "unresolved")), "unresolved",
+            [c for c in rows.columns if c not in ("source_id", "unresolved")])
         batch = facts.resolved(rows, list(declared.unique[0])).drop("unresolved")
-        refresh = update if self.rules.refresh else []
-        delta = cut_lineage(append_delta(batch, self.read(table), keys, ["source_id"], refresh))
-        counts = delta.groupBy("refreshes", month.alias("month")).count().collect()
+        refresh = [c for c in declared.names if c not in (key, "source_id")] if self.rules.refresh else []
+        carried = {"_old_key": F.col(key), "_old_month": month}
+        delta = cut_lineage(append_delta(batch, self.read(table), keys, ["source_id"], refresh, carried))
+        counts = delta.groupBy("refreshes", month.alias("month"), "_old_month").count().collect()
         fresh = number_rows(
-            delta.filter(~F.col("refreshes")), "source_id", declared.primary_key, self.wh.highest(table))
-        months = [r["month"] for r in counts if r["refreshes"]]
+            delta.filter(~F.col("refreshes")).drop("_old_key", "_old_month"), "source_id", key, self.wh.highest(table))
+        months = sorted({m for r in counts if r["refreshes"] for m in (r["month"], r["_old_month"])})
         if months:
-            new = delta.filter("refreshes").select(
-                *keys, F.lit(True).alias("_late"), *[F.col(c).alias(f"_{c}") for c in update])
-            fixed = [
-                F.when(F.col("_late"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in update else F.col(c)
-                for c in declared.names
-            ]
-            old = self.read(table, [str(m) for m in months])
+            new = delta.filter("refreshes").withColumn(key, F.col("_old_key")).select(*declared.names)
+            old = self.read(table, [str(m) for m in months]).join(new.select(*keys), keys, "left_anti")
             added = fresh.filter(month.isin(months)).select(*declared.names)
-            self.write(table, old.join(new, keys, "left").select(*fixed).unionByName(added), month, replaces=True)
+            self.write(table, old.select(*declared.names).unionByName(new).unionByName(added), month, replaces=True,
+                       emptied=[str(m) for m in months])
             fresh = fresh.filter(~month.isin(months))
         if any(not r["refreshes"] and r["month"] not in months for r in counts):
             self.write(table, fresh, month)
@@ -138,20 +166,21 @@ class Run:
 
     def rentals(self) -> None:
         rules = self.rules
+        rentals = cut_lineage(self.sources["rental_transaction"].select(
+            "transaction_id", "customer_id", "vehicle_id", "employee_id", "rental_start_date", "rental_end_date"))
+        payments = cut_lineage(self.sources["payment"].select("transaction_id", "amount", "payment_method"))
         rows = facts.resolve_rentals(
-            self.sources["rental_transaction"], self.sources["payment"], self._versions("dim_customer"),
-            self._versions("dim_vehicle"), self._versions("dim_employee"), self.read("dim_date"), self.batch_ts,
-            rules.asof, rules.inclusive)
+            rentals, payments, self._versions("dim_customer"), self._versions("dim_vehicle"),
+            self._versions("dim_employee"), self.read("dim_date"), self.batch_ts, rules.asof, rules.inclusive)
         rows = rows.withColumn("payment_amount", F.col("payment_amount").cast(S.PRICE))
-        self._fact("rental_transaction", "fact_rental_transactions", rows, facts.RENTAL_KEY, "rental_start_date_id",
-                   PAYMENT_COLUMNS)
+        self._fact("rental_transaction", "fact_rental_transactions", rows, facts.RENTAL_KEY, "rental_start_date_id")
 
     def maintenance(self) -> None:
         rules = self.rules
         rows = facts.resolve_maintenance(
-            self.sources["maintenance"], self._versions("dim_vehicle"), self.read("dim_date"), self.batch_ts,
+            cut_lineage(self.sources["maintenance"]), self._versions("dim_vehicle"), self.read("dim_date"), self.batch_ts,
             rules.asof, rules.inclusive)
-        self._fact("maintenance", "fact_maintenance", rows, facts.MAINTENANCE_KEY, "maintenance_date_id", [])
+        self._fact("maintenance", "fact_maintenance", rows, facts.MAINTENANCE_KEY, "maintenance_date_id")
 
     def _versions(self, table: str) -> DataFrame:
         """The versions a fact may meet: at the batch time only the current ones."""
@@ -176,19 +205,22 @@ def _together(*steps: Callable[[], None]) -> None:
 
 
 def run_etl(warehouse: Warehouse, sources: dict[str, DataFrame], batch_ts: datetime, rules: Rules = SOUND,
-            calendar_start: str = CALENDAR_START) -> list[tuple]:
-    """Load the warehouse once and return the control rows of the run.
+            calendar_start: str = CALENDAR_START, overlap: str | None = None) -> list[tuple]:
+    """Load the warehouse once and return the control rows of the run. ``overlap`` (an interval such as
+    ``'10 minutes'``) reads watermarked sources back behind their mark, for rows committed late.
 
     The whole run becomes visible at its end or not at all. On failure the error row is committed by itself, then the
     error is raised again.
     """
-    run = Run(warehouse, sources, batch_ts, rules)
+    run = Run(warehouse, sources, batch_ts, rules, overlap)
     try:
-        first, second = ([partial(run.dimension, spec) for spec in step] for step in DIMENSIONS)
-        _together(partial(run.dates, calendar_start), *first)
-        _together(*second)
-        _together(run.rentals, run.maintenance)
-        return run.commit()
+        with staging(warehouse.spark):
+            first, second = ([partial(run.dimension, spec) for spec in step] for step in DIMENSIONS)
+            _together(partial(run.dates, calendar_start), *first)
+            _together(*second)
+            _together(run.rentals, run.maintenance)
+            run.rejects()
+            return run.commit()
     except Exception as error:
         failed = Run(warehouse, sources, batch_ts, rules)
         failed.log[FAILED_RUN] = failure(batch_ts, str(error))

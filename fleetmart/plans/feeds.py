@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schema as S
-from ..operators import ingest
+from ..operators import ingest, quality
 from ..operators.changes import apply_updates
 from ..operators.rollups import rental_totals
 from ..seeds import seed_tables
-from ..session import cut_lineage
+from ..session import cut_lineage, staging
 from ..sources.csv_feed import read_feed
 from ..sources.warehouse import Warehouse
 
@@ -63,20 +64,33 @@ class Operations:
         Lookup misses and repeats go to the reject log. A row that breaks a column constraint fails the whole import,
         unless ``strict`` is off, which sends it to the log as well.
         """
-        feed = read_feed(self.spark, path, FEEDS[table], strict)
-        load = self._judge(table, feed, batch_ts, idempotent)
-        load = ingest.Load(load.table, load.feed, cut_lineage(load.judged), batch_ts)
-        if strict:
-            load.require_clean()
-        number = self.store.last_commit() + 1
-        entries = self.store.write(table, load.accepted(), number)
-        entries += self.store.write(S.REJECTS.name, load.rejects(), number)
-        if entries:
-            self.store.commit(entries)
-        return {r["outcome"]: r["rows"] for r in load.outcome().collect()}
+        with staging(self.spark):
+            feed = read_feed(self.spark, path, FEEDS[table], strict)
+            load = self._judge(table, feed, batch_ts, idempotent)
+            load = ingest.Load(load.table, load.feed, cut_lineage(load.judged), batch_ts)
+            if strict:
+                load.require_clean()
+            number = self.store.last_commit() + 1
+            entries = self.store.write(table, load.accepted(), number)
+            entries += self.store.write(S.REJECTS.name, load.rejects(), number)
+            if entries:
+                self.store.commit(entries)
+            return {r["outcome"]: r["rows"] for r in load.outcome().collect()}
 
     def update(self, table: str, updates: DataFrame, batch_ts: datetime) -> None:
-        """Set columns of the rows named in ``updates`` and stamp them."""
-        changed = apply_updates(self.read(table), updates, S.OLTP[table].primary_key, batch_ts)
+        """Set columns of the rows named in ``updates`` and stamp them. Updates that would break a declared rule of the
+        table's rows or its unique keys are refused as a whole."""
+        declared = S.OLTP[table]
+        with staging(self.spark):
+            self._update(declared, cut_lineage(updates), batch_ts)
+
+    def _update(self, declared: S.Table, updates: DataFrame, batch_ts: datetime) -> None:
+        table = declared.name
+        changed = cut_lineage(apply_updates(self.read(table), updates, declared.primary_key, batch_ts))
+        rules = [quality.row_rules(changed, table, quality.column_checks(declared, declared.names))]
+        rules += [quality.unique_rule(changed, table, list(keys)) for keys in declared.unique]
+        broken = reduce(DataFrame.unionByName, rules).filter("violations > 0").collect()
+        if broken:
+            raise ValueError("the updates break " + ", ".join(sorted(r["rule"] for r in broken)))
         number = self.store.last_commit() + 1
         self.store.commit(self.store.write(table, changed, number, replaces=True))

@@ -1,8 +1,9 @@
 """Star schema on Parquet with one commit per run.
 
-Every table writes under ``<root>/<table>/<batch>``. A run becomes visible by one last append to ``<root>/_commits``
-that lists the folders it wrote; readers use listed folders only, so a failed run leaves no trace in any table.
-A folder either adds to its part of a table or replaces what that part held. One run writes at a time.
+Every table writes under ``<root>/<table>/<batch>``. A run becomes visible by one last write to ``<root>/_commits`` that
+lists all folders readers use from then on; they take the newest list, so a failed run leaves no trace in any table, and
+the list is as long as there are live folders, not as there were runs. A folder either adds to its part of a table or
+replaces what that part held. One run writes at a time.
 """
 
 from __future__ import annotations
@@ -17,17 +18,28 @@ PART = "part"
 WHOLE = "all"
 
 
+def live(entries: list[tuple]) -> list[tuple]:
+    """Per table and part the last replacement and what was added since. Entries without rows only stand for a
+    replacement or a greatest key, and go."""
+    base: dict[tuple[str, str], int] = {}
+    for commit, table, part, replaces, *_ in entries:
+        if replaces:
+            base[table, part] = max(commit, base.get((table, part), 0))
+    return [e for e in entries if e[5] and e[0] >= base.get((e[1], e[2]), 0)]
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, tables: dict[str, S.Table] | None = None):
-        self.spark, self.root, self.tables = spark, root.rstrip("/"), tables or S.STAR
-
+        self.spark, self.root, self.tables = spark, root.rstrip("/"), tables or S.STAR | {S.REJECTS.name: S.REJECTS}
         self._log: list[tuple] | None = None
 
     def _commits(self) -> list[tuple]:
-        """All committed entries: a list of folders, a few per table and run, read once."""
+        """The entries of the newest commit: all live folders, read once."""
         if self._log is None:
             try:
-                self._log = [tuple(r) for r in self.spark.read.schema(COMMIT).parquet(f"{self.root}/_commits").collect()]
+                every = self.spark.read.schema(f"{COMMIT}, at long").parquet(f"{self.root}/_commits")
+                newest = every.agg(F.max("at")).first()[0]
+                self._log = [tuple(r) for r in every.filter(F.col("at") == newest).drop("at").collect()]
             except AnalysisException as error:
                 if error.getCondition() != "PATH_NOT_FOUND":
                     raise
@@ -48,18 +60,15 @@ class Warehouse:
         """
         declared = self.tables[table]
         entries = [e for e in (*self._commits(), *pending) if e[1] == table and (parts is None or e[2] in parts)]
-        base: dict[str, int] = {}
-        for commit, _, part, replaces, *_ in entries:
-            if replaces:
-                base[part] = max(commit, base.get(part, 0))
-        paths = sorted({path for commit, _, part, _, path, *_ in entries if commit >= base.get(part, 0)})
+        paths = sorted({e[4] for e in live(entries) if e[5]})
         if not paths:
             return declared.empty(self.spark)
         return self.spark.read.schema(declared.struct).parquet(*[f"{self.root}/{p}" for p in paths])
 
     def write(self, table: str, rows: DataFrame, commit: int, part: Column | None = None,
-              replaces: bool = False) -> list[tuple]:
-        """Write rows of a table by part; returns the entries to commit, none if there were no rows.
+              replaces: bool = False, emptied: list[str] = ()) -> list[tuple]:
+        """Write rows of a table by part; returns the entries to commit, none if there were no rows. Parts named in
+        ``emptied`` that get no rows are replaced by nothing.
 
         Rows are rebalanced by part at run time: few files for a small part, several tasks for a large one.
         """
@@ -72,13 +81,20 @@ class Warehouse:
         stored = T.StructType([declared.struct[key], T.StructField(PART, T.StringType())])
         written = self.spark.read.schema(stored).parquet(f"{self.root}/{folder}").groupBy(PART).agg(
             F.count(F.lit(1)).alias("rows"), F.max(key).cast("long").alias("top"))
-        return [
+        entries = [
             (commit, table, r[PART], replaces, f"{folder}/{PART}={r[PART]}", r["rows"], r["top"])
             for r in written.orderBy(PART).collect()
         ]
+        filled = {e[2] for e in entries}
+        return entries + [(commit, table, p, True, "", 0, 0) for p in emptied if p not in filled]
 
     def commit(self, entries: list[tuple]) -> None:
-        """Publish: a single file, written last."""
-        rows = self.spark.createDataFrame(entries, COMMIT)
-        rows.coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
+        """Publish: a single file, written last. The greatest key of a table stays known when its rows are gone."""
+        kept = live([*self._commits(), *entries])
+        tops = {t: max((e[6] or 0 for e in (*self._commits(), *entries) if e[1] == t), default=0) for t in {e[1] for e in (*self._commits(), *entries)}}
+        last = max((e[0] for e in entries), default=self.last_commit())
+        # one entry of each table carries its greatest key
+        kept += [(last, t, "", False, "", 0, top) for t, top in tops.items()]
+        rows = self.spark.createDataFrame(kept, COMMIT)
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/_commits/at={last}")
         self._log = None

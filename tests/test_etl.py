@@ -131,6 +131,76 @@ def test_sound_runs(spark, tmp_path):
     assert overlap.count() == 0
 
 
+def test_facts_follow_their_source_rows(spark, tmp_path):
+    wh, tables = Warehouse(spark, str(tmp_path)), oltp(spark)
+    run_etl(wh, tables, DAY[0])
+    # 92 is the only rental of February and moves to March with a late payment, 91 ends later, a cost is corrected
+    tables = changed(tables, "rental_transaction", 92, rental_start_date=date(2024, 3, 1), rental_end_date=date(2024, 3, 4))
+    tables = changed(tables, "rental_transaction", 91, rental_end_date=date(2024, 2, 20))
+    tables = changed(tables, "maintenance", 1, maintenance_cost=Decimal("99.00"))
+    tables["payment"] = tables["payment"].unionByName(spark.createDataFrame(
+        [(3, 92, date(2024, 3, 1), Decimal("7.00"), "Cash")], S.PAYMENT.struct))
+    log = counts(run_etl(wh, tables, DAY[1]))
+    assert log == NONE | {"rental_transaction": 2, "maintenance": 1}
+    fact = wh.read("fact_rental_transactions")
+    assert rows(fact, "source_id", "transaction_id", "rental_start_date_id", "rental_end_date_id", "payment_amount") == [
+        (91, 1, 20240131, 20240220, Decimal("120.00")), (92, 2, 20240301, 20240304, Decimal("7.00")),
+        (94, 3, 20240131, 20240203, None)]
+    assert wh.read("fact_rental_transactions", ["202402"]).count() == 0
+    assert rows(wh.read("fact_maintenance"), "source_id", "maintenance_cost") == [(1, Decimal("99.00")), (2, Decimal("11.00"))]
+    assert counts(run_etl(wh, tables, DAY[2])) == NONE
+    assert wh.highest("fact_rental_transactions") == 3
+
+
+def test_what_a_load_leaves_out_is_logged_once(spark, tmp_path):
+    wh, tables = Warehouse(spark, str(tmp_path)), oltp(spark)
+    tables = changed(tables, "vehicle", 72, branch_id=99)
+    assert counts(run_etl(wh, tables, DAY[0])) == FIRST | {"vehicle": 1, "rental_transaction": 2, "maintenance": 2}
+    expected = [("rental_transaction", 92, "unresolved_vehicle_id"), ("rental_transaction", 93, "unresolved_rental_start_date_id"),
+                ("vehicle", 72, "unknown_branch_id")]
+    assert rows(wh.read("rejects"), "feed", "seq", "reason") == expected
+    run_etl(wh, tables, DAY[1])
+    assert rows(wh.read("rejects"), "feed", "seq", "reason") == expected
+    # the branch turns up, and the vehicle with it
+    tables["branch"] = tables["branch"].unionByName(spark.createDataFrame([(99, "b9", "l9", None)], S.BRANCH.struct))
+    tables = changed(tables, "vehicle", 72, DAY[2], make="m")
+    log = counts(run_etl(wh, tables, DAY[3]))
+    assert log == NONE | {"branch": 1, "vehicle": 1, "rental_transaction": 1}
+
+
+def test_two_runs_at_one_batch_time(spark, tmp_path):
+    wh, tables = Warehouse(spark, str(tmp_path)), oltp(spark)
+    run_etl(wh, changed(tables, "customer", 51, DAY[0] - timedelta(hours=2), address="first"), DAY[0])
+    tables = changed(tables, "customer", 51, DAY[0] + timedelta(hours=1), address="second")
+    tables["rental_transaction"] = tables["rental_transaction"].unionByName(spark.createDataFrame(
+        [(k, 51, 71, 31, date(2024, 7, k), date(2024, 7, k + 1), DAY[1]) for k in (1, 2, 3)], S.RENTAL.struct))
+    assert counts(run_etl(wh, tables, DAY[0]))["rental_transaction"] == 3
+    last = wh.read("dim_customer").filter("source_id = 51 AND is_active").first()["customer_id"]
+    assert rows(wh.read("fact_rental_transactions").filter("source_id < 10"), "customer_id") == [(last,)] * 3
+
+
+def test_late_commits_are_read_by_an_overlap(spark, tmp_path):
+    wh, tables = Warehouse(spark, str(tmp_path)), oltp(spark)
+    run_etl(wh, tables, DAY[0])
+    late = changed(tables, "customer", 51, DAY[0] - timedelta(minutes=5), first_name="late")
+    assert counts(run_etl(wh, late, DAY[1]))["customer"] == 0
+    late = changed(tables, "customer", 51, DAY[1] - timedelta(minutes=5), first_name="late")
+    assert counts(run_etl(wh, late, DAY[2], overlap="1 minute"))["customer"] == 0
+    late = changed(tables, "customer", 51, DAY[2] - timedelta(minutes=5), first_name="late")
+    assert counts(run_etl(wh, late, DAY[3], overlap="1 hour"))["customer"] == 2
+
+
+def test_commits_list_live_folders_only(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    for k in range(1, 6):
+        day = spark.createDataFrame([(20240100 + k, None, None, None, None, None, None)], S.DIM_DATE.struct)
+        wh.commit(wh.write("dim_date", day, k, replaces=True))
+    assert rows(wh.read("dim_date"), "date_id") == [(20240105,)]
+    assert len([e for e in Warehouse(spark, str(tmp_path))._commits() if e[5]]) == 1
+    wh.commit(wh.write("dim_date", day.limit(0), 6, replaces=True, emptied=["all"]))
+    assert wh.read("dim_date").count() == 0 and wh.highest("dim_date") == 20240105 and wh.last_commit() == 6
+
+
 def test_failed_run_leaves_no_trace_but_its_error_row(spark, tmp_path):
     wh, tables = Warehouse(spark, str(tmp_path)), oltp(spark)
     run_etl(wh, tables, DAY[0])

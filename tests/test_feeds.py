@@ -125,6 +125,22 @@ def test_second_load_and_update(spark, loaded, tmp_path):
         (1, "Ann", NOW), (2, "Robert", later), (4, "Ann", NOW)]
 
 
+def test_updates_keep_the_rules(spark, tmp_path):
+    ops = Operations(spark, str(tmp_path / "oltp"))
+    ops.import_csv("customer", save(tmp_path, "customer", CUSTOMERS), NOW)
+    before = rows(ops.read("customer"))
+    for bad in ([(1, None)], [(1, "x" * 51)], [(1, "a"), (1, "b")]):
+        with pytest.raises(ValueError):
+            ops.update("customer", spark.createDataFrame(bad, "customer_id long, first_name string"), NOW)
+    assert rows(ops.read("customer")) == before
+
+
+def test_empty_fields_with_and_without_quotes(spark, tmp_path):
+    path = save(tmp_path, "empties", 'F,L,M,P,A\na,"",m1,,""\nb,l,m2,"",\n')
+    got = rows(read_feed(spark, path, S.CUSTOMER_FEED), "seq", "last_name", "phone_number", "address")
+    assert got == [(1, "", None, ""), (2, "l", "", None)]
+
+
 def test_broken_constraint_fails_the_whole_load(spark, tmp_path):
     ops = Operations(spark, str(tmp_path / "oltp"))
     ops.seed()

@@ -13,6 +13,7 @@ from fleetmart.operators.asof import prepare_at_batch, prepare_at_event
 from fleetmart.operators.changes import apply_updates, changed_since, watermark
 from fleetmart.operators.control import control_rows, failure, latest_runs, success
 from fleetmart.operators.dedupe import first_rows, mark_winners
+from fleetmart.operators import lookup as lookups
 from fleetmart.operators.lookup import fits_broadcast, lookup_join, natural_key
 from fleetmart.operators.surrogate import number_rows
 
@@ -29,11 +30,12 @@ def hot(spark):
     return table, lookup, expected
 
 
-def test_lookup_small_and_large_agree(hot):
+def test_lookup_small_and_large_agree(hot, monkeypatch):
     table, lookup, expected = hot
     assert rows(lookup_join(table, lookup, ["k"]), "id", "k", "v") == expected
-    for hot_keys in (1, 5, 1000):
-        large = lookup_join(table, lookup, ["k"], max_rows=10, hot_keys=hot_keys)
+    for tasks in (1, 8, 1000):
+        monkeypatch.setattr(lookups, "HOT_SHARE", tasks)
+        large = lookup_join(table, lookup, ["k"], max_rows=10)
         assert rows(large, "id", "k", "v") == expected
 
 
@@ -43,7 +45,7 @@ def test_large_lookup_spreads_hot_and_keyless_rows(spark, hot):
     try:
         for name, value in settings.items():
             spark.conf.set(name, value)
-        joined = lookup_join(hot[0], hot[1], ["k"], max_rows=10, hot_keys=5)
+        joined = lookup_join(hot[0], hot[1], ["k"], max_rows=10)
         sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
         plain = hot[0].join(hot[1], "k", "left").groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
@@ -160,6 +162,32 @@ def test_event_versions_match_brute_force(spark, inclusive, grain):
         assert sorted(rows(joined, "id", "version"), key=lambda r: r[0]) == [expected(f) for f in facts]
 
 
+@pytest.mark.parametrize("inclusive", [True, False])
+def test_event_versions_of_any_shape(spark, inclusive):
+    """Empty, touching, overlapping and equal-start versions: the last to start answers, in either way of joining."""
+    pick = random.Random(11)
+    day = datetime(2024, 1, 1)
+    versions = []
+    for key in range(12):
+        for n in range(6):
+            begin = day + timedelta(days=pick.randrange(8))
+            versions.append((key, begin, begin + timedelta(days=pick.choice([0, 0, 1, 3, 9])), f"{n}"))
+    facts = [(i, i % 13, day + timedelta(hours=12 * pick.randrange(36))) for i in range(400)]
+
+    def expected(fact):
+        i, key, at = fact
+        begun = [(b, e, n) for k, b, e, n in versions if k == key and b <= at and (b <= e if inclusive else b < e)]
+        last = max(begun, default=None)
+        covers = last and (at <= last[1] if inclusive else at < last[1])
+        return i, last[2] if covers else None
+
+    dim = spark.createDataFrame(versions, "source_id long, valid_from timestamp_ntz, valid_to timestamp_ntz, name string")
+    table = spark.createDataFrame(facts, "id long, k long, at timestamp_ntz")
+    for strategy in ("broadcast", "carry"):
+        joined = prepare_at_event(table, dim, "k", {"version": "name"}, "at", inclusive, "DAY", strategy)(table)
+        assert sorted(rows(joined, "id", "version"), key=lambda r: r[0]) == [expected(f) for f in facts]
+
+
 def test_batch_version(spark):
     dim = spark.createDataFrame([
         (1, 10, datetime(2020, 1, 1), datetime(2020, 12, 31)), (1, 11, datetime(2021, 1, 1), datetime(9999, 12, 31)),
@@ -235,6 +263,18 @@ def test_updates_stamp_touched_rows(spark):
     assert rows(apply_updates(base, updates, "id", now)) == [(1, "a", now), (2, None, now), (3, "c", old)]
 
 
+def test_updates_name_a_row_once(spark):
+    base = spark.createDataFrame([(1, "a", datetime(2024, 1, 1))], "id long, v string, last_modified timestamp_ntz")
+    for twice in ([(1, "x"), (1, "y")], [(None, "x")]):
+        with pytest.raises(ValueError, match="more than once"):
+            apply_updates(base, spark.createDataFrame(twice, "id long, v string"), "id", datetime(2024, 2, 1))
+
+
+def test_broadcast_is_checked_in_bytes(spark):
+    wide = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("text"))
+    assert fits_broadcast(wide) and not fits_broadcast(wide, max_bytes=50_000) and not fits_broadcast(wide, max_rows=99)
+
+
 def test_watermark_is_strict(spark):
     control = control_rows(spark, [success("a", datetime(2024, 1, 1), 3), failure(datetime(2024, 5, 1), "x"),
                                    ("a", datetime(2024, 2, 1), "ERROR", None, "y")], 4)
