@@ -96,4 +96,34 @@ STATEMENTS: dict[str, str] = {
         SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, CAST(distance AS INTEGER) AS distance
         FROM ranked WHERE place <= 10
     """,
+    "op8_jaccard_join": r"""
+        WITH RECURSIVE texts AS (
+            SELECT text, min(doc_id) AS id, count(*) AS copies, any_value(words) AS words
+            FROM (SELECT doc_id, text, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+') AS words FROM documents)
+            WHERE len(words) > 0 GROUP BY text
+        ), shingles AS (
+            SELECT DISTINCT id, array_to_string(list_slice(words, i, i + 4), ' ') AS shingle
+            FROM (SELECT id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM texts)
+        ), sizes AS (
+            SELECT id, count(*) AS size FROM shingles GROUP BY id
+        ), common AS (
+            SELECT a.id AS x, b.id AS y, count(*) AS both_have
+            FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.id <> b.id GROUP BY ALL
+        ), linked AS (
+            SELECT x, y FROM common JOIN sizes p ON p.id = x JOIN sizes q ON q.id = y
+            WHERE both_have >= 0.8 * (p.size + q.size - both_have)
+        ), reached AS (
+            SELECT id, id AS other FROM texts
+            UNION
+            SELECT id, y FROM reached JOIN linked ON other = x
+        ), classes AS (
+            SELECT id, min(other) AS class_id FROM reached GROUP BY id
+        ), counts AS (
+            SELECT x AS id, count(*) AS links FROM linked GROUP BY x
+        )
+        SELECT d.doc_id, coalesce(class_id, d.doc_id) AS class_id, CAST(coalesce(links, 0) AS BIGINT) AS links,
+               CAST(coalesce(copies, 1) AS BIGINT) AS copies
+        FROM documents d LEFT JOIN texts t ON d.text = t.text
+        LEFT JOIN classes c ON c.id = t.id LEFT JOIN counts n ON n.id = t.id
+    """,
 }
