@@ -14,6 +14,8 @@ from fleetmart.llm.staging import staged
 
 #: A document goes if the flat background explains more than this share of its trigrams.
 MOST_UNEXPLAINED = 0.9
+#: Ids of near duplicates up to which they are broadcast (8 bytes each).
+BROADCAST_IDS = 1_000_000
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,13 +34,17 @@ def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates, the one with the smallest doc_id; of repeated rows any one.
 
-    Rows without a doc_id go, as nothing names them.
+    Rows without a doc_id go, as nothing names them. Only ids of documents that go are sent to the texts, by broadcast up to
+    a bound; texts move only beyond it, or where a doc_id is repeated.
     """
     inputs.importable(spark)
-    first = staged(jaccardjoin.near_duplicates(docs).where(F.col("doc_id") == F.col("class_id")).select("doc_id"))
-    kept = docs.join(first.distinct(), "doc_id", "left_semi").select(*docs.columns)
-    repeated = first.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+    found = staged(jaccardjoin.near_duplicates(docs).where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.max(F.col("doc_id") == F.col("class_id")).alias("stays"), F.count(F.lit(1)).alias("rows")))
+    gone = found.where("NOT stays").select("doc_id")
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    kept = docs.where(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return kept.dropDuplicates(["doc_id"]) if found.where("rows > 1").limit(1).count() else kept
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
