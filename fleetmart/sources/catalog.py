@@ -7,6 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Tables that grow with the business; one task can't read them.
+GROWING = ("customer", "rental_transaction", "payment", "maintenance")
+
+
 def register(tables: dict[str, DataFrame], prefix: str = "") -> None:
     """Expose DataFrames as temporary views. A view adds no copy and no barrier: it is inlined into each query."""
     for name, rows in tables.items():
@@ -42,7 +46,11 @@ def jdbc_options(url: str, table: str, properties: dict[str, str] | None = None,
 def jdbc_tables(spark: SparkSession, url: str, names: list[str], schema: str = "public",
                 properties: dict[str, str] | None = None,
                 splits: dict[str, Split] | None = None) -> dict[str, DataFrame]:
-    """The named tables and views of a remote schema. Pass a split for every large one."""
+    """The named tables and views of a remote schema. Tables that grow with the business need a split: without one a
+    single task would read the whole table."""
+    missing = [name for name in names if name in GROWING and name not in (splits or {})]
+    if missing:
+        raise ValueError("pass a split for " + ", ".join(missing))
     return {
         name: spark.read.format("jdbc").options(
             **jdbc_options(url, f"{schema}.{name}", properties, (splits or {}).get(name))).load()

@@ -11,7 +11,7 @@ from conftest import rows
 from fleetmart import schema as S
 from fleetmart.operators.ingest import ConstraintViolation
 from fleetmart.plans.feeds import Operations
-from fleetmart.sources.catalog import Split, jdbc_options, register
+from fleetmart.sources.catalog import Split, jdbc_options, jdbc_tables, register
 from fleetmart.sources.csv_feed import read_feed
 
 NOW = datetime(2024, 6, 1, 12)
@@ -192,6 +192,11 @@ def test_remote_table_options():
     assert "partitionColumn" not in jdbc_options("jdbc:x:y", "public.branch")
 
 
+def test_large_remote_tables_need_a_split(spark):
+    with pytest.raises(ValueError, match="payment"):
+        jdbc_tables(spark, "jdbc:x:y", ["branch", "payment"])
+
+
 SAMPLES = os.environ.get("SAMPLE_FEEDS")
 
 
