@@ -29,7 +29,7 @@ from fleetmart.llm.textarrays import Chunk, IdCache, chunks, class_table
 
 WINDOW = 2048
 BLOCK_DOCUMENTS = 512
-CACHED_PIECES = 1_500_000
+CACHED_PIECES = 600_000
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 #: Sequences of one partition are numbered from here on times its number.
 PARTITION_SEQUENCES = 1 << 36

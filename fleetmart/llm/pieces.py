@@ -24,9 +24,9 @@ from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
 from fleetmart.llm.textarrays import Chunk, IdCache, chunks
 
 MARK = "▁"
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 600_000
 #: Pairs of pieces whose merging is remembered.
-CACHED_PAIRS = 2_000_000
+CACHED_PAIRS = 1_000_000
 #: By how much an unknown character scores below the lowest piece of a unigram model, a fixed value of such models.
 UNKNOWN_PENALTY = 10.0
 SCHEMA = "doc_id long, ids array<int>, n_tokens long, decoded string"

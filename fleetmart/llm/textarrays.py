@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 
-CHUNK_BYTES = 1_500_000
+CHUNK_BYTES = 400_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD2 = np.uint64(0xD6E8FEB86659FD93)
 _BASE = 0x2545F4914F6CDD1D | 1
