@@ -3,7 +3,8 @@
 Method: boilerplate that its element or name gives away is taken out of the tree. For every remaining node the characters
 per tag, adjusted for link characters and link tags, are its density; the subtree whose children's densities have the
 largest sum holds the article. The smallest density on the way from that subtree up to the body is the threshold from which
-other parts of that way count as well; an enclosing article or main element is taken as a whole.
+other parts of that way count as well; an enclosing article or main element is taken as a whole, with its like beside it from
+that threshold on. Articles below the subtree stand for it if they hold at least half of its text outside links.
 
 Every page is handled on its own, in one pass without a shuffle.
 """
@@ -236,16 +237,18 @@ def main_text(page: str | None) -> str:
     while up is not None:
         whole = up if up.tag in WHOLE else whole
         up = up.parent
-    if whole is None:  # the subtree may hold an article instead of lying in one
-        whole = max((n for n in nodes if n.tag in WHOLE and not n.parent.inside and n.chars), key=lambda n: n.chars, default=None)
-    if whole is not None:
-        chosen = {id(whole)}
-    else:
-        way = [best]
-        while way[-1].parent is not None:
-            way.append(way[-1].parent)
-        threshold = min(n.density for n in way)
-        chosen = {id(best)} | {id(c) for n in way[1:] for c in n.children if c not in way and c.density >= threshold}
+    way = [best]
+    while way[-1].parent is not None:
+        way.append(way[-1].parent)
+    threshold = min(n.density for n in way)
+    if whole is not None:  # with its like beside it
+        chosen = {id(whole)} | {id(c) for c in whole.parent.children if c.tag in WHOLE and c.density >= threshold}
+    else:  # the subtree may hold articles instead of lying in one
+        held = [n for n in _ordered(best) if n.tag in WHOLE and not n.parent.inside and n.chars]
+        if held and 2 * sum(n.chars - n.link_chars for n in held) >= best.chars - best.link_chars:
+            chosen = {id(n) for n in held}
+        else:
+            chosen = {id(best)} | {id(c) for n in way[1:] for c in n.children if c not in way and c.density >= threshold}
     out: list[str] = []
     for node in nodes:
         if id(node) in chosen:

@@ -92,6 +92,26 @@ def test_main_text_without_article_keeps_the_dense_part():
     assert maintext.main_text(page) == f"{body} {body}"
 
 
+STORY = " ".join(["A sentence of the story that goes on for a while."] * 8)
+TEASER = "<div class=cards><article><h3>Other news</h3><p>Short words of a card.</p></article></div>"
+
+
+@pytest.mark.parametrize("story", [f"<div><p>{STORY}</p><p>{STORY}</p><p>{STORY}</p></div>", f"<div>{STORY}<br>{STORY}<br>{STORY}</div>"])
+def test_an_article_elsewhere_does_not_replace_the_story(story):
+    for page in (f"<body>{story}{TEASER}</body>", f"<body>{TEASER}<div>{story}</div></body>"):
+        assert maintext.main_text(page).count(STORY) == 3
+
+
+def test_articles_side_by_side_are_all_taken():
+    parts = [f"Part {k}. {STORY}" for k in range(3)]
+    page = "".join(f"<article><p>{p}</p><p>{p}</p></article>" for p in parts)
+    text = " ".join(f"{p} {p}" for p in parts)
+    assert maintext.main_text(f"<body>{page}<p>tail</p></body>") == text
+    assert maintext.main_text(f"<body><div>{page}</div><p>tail</p></body>") == text
+    uneven = f"<article><p>{STORY}</p><p>{STORY}</p><p>{STORY}</p></article><article><p>{STORY}</p></article>"
+    assert maintext.main_text(f"<body>{uneven}</body>").count(STORY) == 4
+
+
 def test_pages_query(spark, small):
     pages = spark.read.parquet(f"{small}/pages.parquet").withColumn("text", F.lit("clash")).withColumn("n_chars", F.lit("clash"))
     got = maintext.extract(pages).collect()
