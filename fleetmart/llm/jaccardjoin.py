@@ -206,16 +206,19 @@ def candidates(nodes: DataFrame, similarity: float = SIMILARITY, recall: float =
     frontier = staged(nodes.mapInArrow(_split(runs_needed(recall), similarity), "path long, node long, parent long"))
     found = None
     for level in range(1, DEEPEST + 1):
-        # buckets with the same members are one; a combined hash stands for the members
-        buckets = (frontier.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.max("parent").alias("parent"),
-                                                F.bit_xor(F.xxhash64("node")).alias("members"))
-                   .where(F.col("size") > 1)
-                   .groupBy("size", "members").agg(F.min("path").alias("path"), F.max("parent").alias("parent")))
+        # buckets with the same members are compared as one; a combined hash stands for the members. To be split on they keep
+        # all their paths, as each may end without a child
         stands = (F.col("size") <= SMALL_BUCKET) | (F.col("size") >= STANDS * F.col("parent")) & (F.col("parent") > 0)
         if level == DEEPEST:
             stands = F.lit(True)
+        buckets = (frontier.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.max("parent").alias("parent"),
+                                                F.bit_xor(F.xxhash64("node")).alias("members"))
+                   .where(F.col("size") > 1)
+                   .groupBy("size", "members").agg(F.collect_list("path").alias("paths"), F.max("parent").alias("parent"))
+                   .select("size", "paths", stands.alias("stands")))
+        kept = F.when(F.col("stands"), F.array(F.array_min("paths"))).otherwise(F.col("paths"))
         held = staged(frontier.select("path", "node")
-                      .join(buckets.select("path", "size", stands.alias("stands")), "path")
+                      .join(buckets.select(F.explode(kept).alias("path"), "size", "stands"), "path")
                       .join(nodes, "node"))
         edges = staged(_blocks(held.where("stands").drop("stands"), "size", ["path"], ALIKE_BLOCK)
                        .select("path", "i", "j", "node", "minima").mapInArrow(_looks_alike(similarity), "a long, b long"))

@@ -191,6 +191,18 @@ def test_join_equals_brute_force(spark, docs_of, monkeypatch):
         assert sorted(map(tuple, got.collect()), key=str) == brute_join(rows)
 
 
+def test_large_classes_of_equal_shingles_stay_whole(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(jaccardjoin, "SMALL_BUCKET", 8)
+    rng = random.Random(11)
+    rows = []
+    for _ in range(150):  # each class is another draw of the hashes
+        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(12)]
+        rows += [(len(rows) + k, (" " * (k + 1)).join(words)) for k in range(12)]
+    got = jaccardjoin.near_duplicates(docs_of(rows)).collect()
+    assert len(got) == len(rows)
+    assert [tuple(r) for r in got if tuple(r) != (r["doc_id"], r["doc_id"] // 12 * 12, 11, 1)] == []
+
+
 def test_join_by_a_shuffle_gives_the_same(spark, docs_of, monkeypatch):
     rows = planted(random.Random(10))[:80]
     monkeypatch.setattr(jaccardjoin, "BROADCAST_TEXTS", 0)
