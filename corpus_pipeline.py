@@ -14,7 +14,7 @@ from fleetmart.llm.staging import staged
 
 #: A document goes if the flat background explains more than this share of its trigrams.
 MOST_UNEXPLAINED = 0.9
-#: Ids of near duplicates up to which they are broadcast (8 bytes each).
+#: Ids and text hashes of near duplicates up to which they are broadcast (16 bytes each).
 BROADCAST_IDS = 1_000_000
 
 
@@ -32,19 +32,34 @@ def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates, the one with the smallest doc_id; of repeated rows any one.
+    """One row of each class of near duplicates: the one with the smallest doc_id, or with none if no row of the class has
+    one; of several texts with that doc_id the one with the smallest hash, of rows equal in both any one.
 
-    Rows without a doc_id go, as nothing names them. Only ids of documents that go are sent to the texts, by broadcast up to
-    a bound; texts move only beyond it, or where a doc_id is repeated.
+    Texts without words are in no class and all stay. Only ids and text hashes of rows that go are sent to the texts, by
+    broadcast up to a bound; texts move only beyond it, or where both are repeated.
     """
     inputs.importable(spark)
-    found = staged(jaccardjoin.near_duplicates(docs).where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.max(F.col("doc_id") == F.col("class_id")).alias("stays"), F.count(F.lit(1)).alias("rows")))
-    gone = found.where("NOT stays").select("doc_id")
-    if gone.count() <= BROADCAST_IDS:
-        gone = F.broadcast(gone)
-    kept = docs.where(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti").select(*docs.columns)
-    return kept.dropDuplicates(["doc_id"]) if found.where("rows > 1").limit(1).count() else kept
+    found = staged(jaccardjoin.classed(docs).where(F.col("root").isNotNull()).groupBy("doc_id", "node").agg(
+        F.min("root").alias("root"), F.min("class_id").alias("class_id"), F.count(F.lit(1)).alias("rows")))
+    named = F.col("doc_id").eqNullSafe(F.col("class_id"))
+    first = staged(found.where(named).groupBy("root").agg(F.min("node").alias("node")))
+    gone = (found.where(~named).select("doc_id", "node")
+            .unionByName(found.where(named).join(first, ["root", "node"], "left_anti").select("doc_id", "node")))
+    kept = _matched(docs, gone, "left_anti")
+    repeated = found.where(named & (F.col("rows") > 1)).join(first, ["root", "node"], "left_semi").select("doc_id", "node")
+    if not repeated.limit(1).count():
+        return kept
+    once = _matched(kept, repeated, "left_semi").dropDuplicates(["doc_id", "text"])
+    return _matched(kept, repeated, "left_anti").unionByName(once)
+
+
+def _matched(docs: DataFrame, named: DataFrame, how: str) -> DataFrame:
+    """Rows of docs joined with (doc_id, hash of text) in named."""
+    if named.count() <= BROADCAST_IDS:
+        named = F.broadcast(named)
+    named = named.select(F.col("doc_id").alias("_named_id"), F.col("node").alias("_named_text"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_named_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_named_text"))
+    return docs.join(named, same, how)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

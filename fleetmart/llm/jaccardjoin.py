@@ -297,6 +297,12 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     own. Repeated rows are copies. A row without doc_id belongs to its class, which is named after the others; a class
     without any id has class_id null. An empty table gives no rows.
     """
+    return classed(docs, similarity, recall).select("doc_id", "class_id", "links", "copies")
+
+
+def classed(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """near_duplicates with two columns more: node, the hash of the row's text, and root, which tells the classes apart; root
+    is null for a text that is null or without words."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = texts.withColumn("node", F.xxhash64("text"))
     sketch = staged(texts.mapInArrow(_sketched, "doc_id long, node long, minima binary"))
@@ -320,8 +326,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
                       "copies", "first_id"))
     placed = staged(placed)
     named = placed.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    classes = placed.join(named, "root").select("node", "class_id", "links", "copies")
+    classes = placed.join(named, "root").select("node", "root", "class_id", "links", "copies")
     wordless = sketch.where(F.col("minima").isNull()).select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("links"), F.lit(1).cast("long").alias("copies"))
-    return (worded.select("doc_id", "node").join(classes, "node").select("doc_id", "class_id", "links", "copies")
+        "doc_id", "node", F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("class_id"),
+        F.lit(0).cast("long").alias("links"), F.lit(1).cast("long").alias("copies"))
+    return (worded.select("doc_id", "node").join(classes, "node").select("doc_id", "node", "root", "class_id", "links", "copies")
             .unionByName(wordless))

@@ -36,6 +36,22 @@ def test_stages_take_effect(spark):
     assert five.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
 
 
+def test_near_duplicates_go_by_text(spark, docs_of):
+    def text(k, change=0):
+        return " ".join(f"w{k}x{i}" for i in range(60)) + " changed" * change
+
+    rows = [(3, text(1)), (7, text(1, 1)), (7, text(2)), (None, text(3)), (None, text(1)), (None, text(4)), (None, text(4, 1)), (9, text(5)),
+            (9, text(5)), (11, text(6)), (11, text(6, 1)), (12, text(6)), (None, text(7)), (None, text(7)), (13, "!!"), (14, "!!"), (None, "??")]
+    docs = docs_of(rows)
+    got = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+    assert got.schema == docs.schema
+    kept = [(r["doc_id"], r["text"]) for r in got.collect()]
+    sure = [(3, text(1)), (7, text(2)), (None, text(3)), (9, text(5)), (None, text(7)), (13, "!!"), (14, "!!"), (None, "??")]
+    open_pairs = [{(None, text(4)), (None, text(4, 1))}, {(11, text(6)), (11, text(6, 1))}]
+    assert all(kept.count(x) == 1 for x in sure) and len(kept) == len(sure) + len(open_pairs)
+    assert all(len(pair & set(kept)) == 1 for pair in open_pairs)
+
+
 def test_stages_take_empty_documents(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
