@@ -1,7 +1,7 @@
 """Secret scans with a random forest against false findings.
 
-Method: candidates are runs of at least 12 characters that keys and tokens are made of, with a digit among them. A random
-forest tells secrets from identifiers, numbers, addresses and paths by their length, character transitions, the share that
+Method: candidates are runs of at least 12 characters that keys and tokens are made of, with a digit among them; a name before
+an equals sign is cut off and read as the neighbouring word. A random forest tells secrets from identifiers, numbers, addresses and paths by their length, character transitions, the share that
 words of the document cover, path shape and the neighbouring words. It is trained on labelled findings; where none are
 given, strict format rules label the clear cases of the corpus and leave the rest to the forest.
 
@@ -38,16 +38,23 @@ HARMLESS = re.compile(r"sha\d*|md5|commit|checksum|digest|hash|uuid|guid|isbn|ph
 #: Beginnings of well-known key formats, fixed values.
 KNOWN_FORMATS = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}$|gh[pousr]_[0-9A-Za-z]{30,}$|xox[abprs]-[0-9A-Za-z-]{10,}$|sk_live_[0-9A-Za-z]{16,}$|"
                            r"AIza[0-9A-Za-z_-]{30,}$|eyJ[0-9A-Za-z_-]{10,}\.[0-9A-Za-z_-]{10,}\.")
+WORD = re.compile(r"[^\W\d_]{4,}")
 FEATURES = ["length", "digits", "upper", "lower", "distinct", "entropy", "transitions", "common_pairs", "words_cover", "slashes",
             "dots", "dashes", "path", "after_scheme", "at_sign", "hex", "quoted", "assigned", "credential_before",
             "harmless_before", "credential_after"]
 SCHEMA = "doc_id long, start long, end long, score double, is_secret boolean"
 
 
+def _pairs(word: str) -> set[str]:
+    return {word[i:i + 2] for i in range(len(word) - 1)}
+
+
 def spans(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     """Begin and end of the candidates in the chunk's code points."""
     cps = chunk.cps
-    begin, end = runs(class_table(r"[A-Za-z0-9+/=_.\-]")[cps] == 1, chunk.starts)
+    flags = class_table(r"[A-Za-z0-9+/_.\-]")[cps] == 1
+    begin, end = runs(flags, chunk.starts)
+    end = _padded(cps, flags, chunk.starts, begin, end)
     long = end - begin >= LEAST_LENGTH
     begin, end = begin[long], end[long]
     digits = np.concatenate([[0], np.cumsum((cps >= 48) & (cps <= 57))])
@@ -55,12 +62,29 @@ def spans(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     return begin[some], end[some]
 
 
+def _padded(cps: np.ndarray, flags: np.ndarray, starts: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Ends with the padding of base64: one or two equals signs that fill up four characters, with no value or quote behind."""
+    stop = starts[np.searchsorted(starts, begin, "right")]
+    goes_on = flags | np.isin(cps, [ord(c) for c in "=\"'`"])
+
+    def at(where: np.ndarray, what: np.ndarray) -> np.ndarray:
+        inside = where < stop
+        return inside & what[np.where(inside, where, 0)]
+
+    for size in (1, 2):
+        signs = np.logical_and.reduce([at(end + k, cps == ord("=")) for k in range(size)])
+        filled = signs & ((end - begin + size) % 4 == 0) & ~at(end + size, goes_on)
+        end = np.where(filled, end + size, end)
+    return end
+
+
 def _kind(c: str) -> str:
     return "d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "o"
 
 
-def described(text: str, begin: int, end: int, words: set[str], pairs: set[str]) -> list[float]:
-    """The features of a candidate. words, pairs: the document's ordinary words of 4 letters and more, and their letter pairs."""
+def described(text: str, begin: int, end: int, words: Counter[str], pairs: Counter[str]) -> list[float]:
+    """The features of a candidate. words, pairs: how often the document has each word of 4 letters and more, and how many of
+    these words each letter pair is in; what only the candidate itself brings in doesn't count."""
     value = text[begin:end]
     n = len(value)
     before, after = text[max(0, begin - CONTEXT):begin], text[end:end + CONTEXT]
@@ -68,9 +92,12 @@ def described(text: str, begin: int, end: int, words: set[str], pairs: set[str])
     counts = Counter(value)
     low = value.lower()
     letters = [low[i:i + 2] for i in range(n - 1) if low[i:i + 2].isalpha()]
+    own_words = Counter(WORD.findall(low))
+    alone = {w for w, times in own_words.items() if words[w] <= times}
+    own_pairs = Counter(p for w in alone if w in words for p in _pairs(w))
     covered, i = 0, 0
     while i < n:
-        size = next((k for k in range(min(16, n - i), 3, -1) if low[i:i + k] in words), 0)
+        size = next((k for k in range(min(16, n - i), 3, -1) if low[i:i + k] in words and low[i:i + k] not in alone), 0)
         covered += size
         i += size or 1
     own = re.split(r"\W+", before.rstrip(" \t\"'`=:([{<>"))
@@ -80,7 +107,7 @@ def described(text: str, begin: int, end: int, words: set[str], pairs: set[str])
         math.log(n), kinds.count("d") / n, kinds.count("u") / n, kinds.count("l") / n, len(counts) / n,
         -sum(c / n * math.log2(c / n) for c in counts.values()),
         sum(a != b for a, b in zip(kinds, kinds[1:])) / max(1, n - 1),
-        sum(p in pairs for p in letters) / max(1, len(letters)), covered / n,
+        sum(pairs[p] > own_pairs[p] for p in letters) / max(1, len(letters)), covered / n,
         value.count("/") / n, value.count(".") / n, (value.count("-") + value.count("_")) / n,
         float(value.count("/") > 1 or value[:1] in "/."), float(before.endswith("://") or "://" in before[-12:]),
         float(after[:1] == "@" or before[-1:] == "@"), float(all(c in "0123456789abcdef" for c in low)),
@@ -110,12 +137,12 @@ def findings(chunk: Chunk) -> Iterator[tuple[int, int, int, str, list[float]]]:
     for row in np.unique(owner):
         start, stop = int(chunk.starts[row]), int(chunk.starts[row + 1])
         text = chunk.bytes_of(start, stop).decode("utf-8")
-        ordinary = {w for w in re.findall(r"[^\W\d_]{4,}", text.lower())}
-        pairs = {w[i:i + 2] for w in ordinary for i in range(len(w) - 1)}
+        ordinary = Counter(WORD.findall(text.lower()))
+        pairs = Counter(p for w in ordinary for p in _pairs(w))
         for a, b in zip(begin[owner == row] - start, end[owner == row] - start):
-            while b > a and text[b - 1] in ".-_=/":
+            while b > a and text[b - 1] in ".-_/":
                 b -= 1
-            while a < b and text[a] in ".-_=":
+            while a < b and text[a] in ".-_":
                 a += 1
             value = text[a:b]
             if len(value) >= LEAST_LENGTH and any(c.isdigit() for c in value):
