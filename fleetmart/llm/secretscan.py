@@ -1,7 +1,8 @@
 """Secret scans with a random forest against false findings.
 
 Method: candidates are runs of at least 12 characters that keys and tokens are made of, with a digit among them; a name before
-an equals sign is cut off and read as the neighbouring word. A random forest tells secrets from identifiers, numbers, addresses and paths by their length, character transitions, the share that
+an equals sign is cut off and read as the neighbouring word. Runs of a known format, passwords in addresses and what is
+assigned to a credential word are candidates at any length. A random forest tells secrets from identifiers, numbers, addresses and paths by their length, character transitions, the share that
 words of the document cover, path shape and the neighbouring words. It is trained on labelled findings; where none are
 given, strict format rules label the clear cases of the corpus and leave the rest to the forest.
 
@@ -33,7 +34,7 @@ THRESHOLD = 0.5
 REDACTED = "[SECRET]"
 #: Characters before and after a candidate in which neighbouring words are looked for.
 CONTEXT = 48
-CREDENTIAL = re.compile(r"token|secret|passw|passphrase|pwd|api_?key|apikey|access_?key|auth|bearer|credential|private|signature", re.I)
+CREDENTIAL = re.compile(r"token|secret|passw|passphrase|pwd|api_?key|apikey|access_?key|auth(?!or)|bearer|credential|private|signature", re.I)
 HARMLESS = re.compile(r"sha\d*|md5|commit|checksum|digest|hash|uuid|guid|isbn|phone|card|order|invoice|version|rev", re.I)
 #: Beginnings of well-known key formats, fixed values.
 KNOWN_FORMATS = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}$|gh[pousr]_[0-9A-Za-z]{30,}$|xox[abprs]-[0-9A-Za-z-]{10,}$|sk_live_[0-9A-Za-z]{16,}$|"
@@ -41,7 +42,10 @@ KNOWN_FORMATS = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}$|gh[pousr]_[0-9A-Za-z]{30
 WORD = re.compile(r"[^\W\d_]{4,}")
 FEATURES = ["length", "digits", "upper", "lower", "distinct", "entropy", "transitions", "common_pairs", "words_cover", "slashes",
             "dots", "dashes", "path", "after_scheme", "at_sign", "hex", "quoted", "assigned", "credential_before",
-            "harmless_before", "credential_after"]
+            "harmless_before", "credential_after", "userinfo", "blank_before"]
+#: A user and a colon in an address, before the password.
+USERINFO = re.compile(r"://[^\s/@:]*:$")
+ASSIGNED = re.compile(r"[=:]\s*[\"'`]?$")
 SCHEMA = "doc_id long, start long, end long, score double, is_secret boolean"
 
 
@@ -50,16 +54,23 @@ def _pairs(word: str) -> set[str]:
 
 
 def spans(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
-    """Begin and end of the candidates in the chunk's code points."""
+    """Begin and end, in the chunk's code points, of the runs that may be candidates."""
     cps = chunk.cps
     flags = class_table(r"[A-Za-z0-9+/_.\-]")[cps] == 1
     begin, end = runs(flags, chunk.starts)
     end = _padded(cps, flags, chunk.starts, begin, end)
     long = end - begin >= LEAST_LENGTH
-    begin, end = begin[long], end[long]
     digits = np.concatenate([[0], np.cumsum((cps >= 48) & (cps <= 57))])
-    some = digits[end] > digits[begin]
-    return begin[some], end[some]
+    taken = long & (digits[end] > digits[begin])
+    # runs in which a known format may begin, and those behind an equals sign or a colon
+    known = long & np.isin(cps[begin], [ord(c) for c in "Agxse.-_"])
+    start = chunk.starts[np.searchsorted(chunk.starts, begin, "right") - 1]
+    blank = class_table(r"[\s\"'`]")[cps] == 1
+    last = np.maximum.accumulate(np.where(blank, -1, np.arange(cps.size)))  # the last other character up to here
+    before = np.where(begin > 0, last[begin - 1], -1)
+    assigned = (before >= start) & np.isin(cps[before], [ord("="), ord(":")])
+    taken |= known | assigned
+    return begin[taken], end[taken]
 
 
 def _padded(cps: np.ndarray, flags: np.ndarray, starts: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -82,6 +93,22 @@ def _kind(c: str) -> str:
     return "d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "o"
 
 
+def _near(before: str) -> str:
+    """The last two words before a candidate."""
+    return " ".join(re.split(r"\W+", before.rstrip(" \t\"'`=:([{<>"))[-2:])
+
+
+def _password_in_address(before: str, after: str) -> bool:
+    return after[:1] == "@" and bool(USERINFO.search(before))
+
+
+def _by_evidence(text: str, begin: int, end: int) -> bool:
+    """Whether a run of any length is a candidate: a known format, a password in an address, or assigned to a credential word."""
+    before = text[max(0, begin - CONTEXT):begin]
+    return bool(KNOWN_FORMATS.match(text[begin:end])) or _password_in_address(before, text[end:end + 1]) or (
+        bool(ASSIGNED.search(before)) and bool(CREDENTIAL.search(_near(before))))
+
+
 def described(text: str, begin: int, end: int, words: Counter[str], pairs: Counter[str]) -> list[float]:
     """The features of a candidate. words, pairs: how often the document has each word of 4 letters and more, and how many of
     these words each letter pair is in; what only the candidate itself brings in doesn't count."""
@@ -100,9 +127,8 @@ def described(text: str, begin: int, end: int, words: Counter[str], pairs: Count
         size = next((k for k in range(min(16, n - i), 3, -1) if low[i:i + k] in words and low[i:i + k] not in alone), 0)
         covered += size
         i += size or 1
-    own = re.split(r"\W+", before.rstrip(" \t\"'`=:([{<>"))
+    near = _near(before)
     next_words = re.split(r"\W+", after)[:3]
-    near = " ".join(own[-2:])
     return [
         math.log(n), kinds.count("d") / n, kinds.count("u") / n, kinds.count("l") / n, len(counts) / n,
         -sum(c / n * math.log2(c / n) for c in counts.values()),
@@ -111,9 +137,10 @@ def described(text: str, begin: int, end: int, words: Counter[str], pairs: Count
         value.count("/") / n, value.count(".") / n, (value.count("-") + value.count("_")) / n,
         float(value.count("/") > 1 or value[:1] in "/."), float(before.endswith("://") or "://" in before[-12:]),
         float(after[:1] == "@" or before[-1:] == "@"), float(all(c in "0123456789abcdef" for c in low)),
-        float(before[-1:] in ("\"", "'", "`") and after[:1] == before[-1:]), float(bool(re.search(r"[=:]\s*[\"'`]?$", before))),
+        float(before[-1:] in ("\"", "'", "`") and after[:1] == before[-1:]), float(bool(ASSIGNED.search(before))),
         float(bool(CREDENTIAL.search(near))), float(bool(HARMLESS.search(near))),
-        float(any(CREDENTIAL.search(w) for w in next_words)),
+        float(any(CREDENTIAL.search(w) for w in next_words)), float(_password_in_address(before, after)),
+        float(before[-1:].isspace()),
     ]
 
 
@@ -121,8 +148,11 @@ def rule_label(value: str, described_as: list[float]) -> int:
     """1 for clear secrets, 0 for clearly harmless findings, -1 for what only the forest decides."""
     f = dict(zip(FEATURES, described_as))
     random = f["entropy"] >= 3 and f["distinct"] * len(value) >= 8 and f["words_cover"] < 0.5
-    if KNOWN_FORMATS.match(value) or (f["credential_before"] and f["assigned"] and random and len(value) >= 20):
+    given = f["credential_before"] and f["assigned"]
+    if KNOWN_FORMATS.match(value) or f["userinfo"] or (given and random and len(value) >= 20):
         return 1
+    if given:  # a short or plain password is open, a known word after a blank is prose
+        return 0 if f["blank_before"] and not f["digits"] and f["words_cover"] >= 0.999 else -1
     if f["digits"] + f["dots"] + f["dashes"] >= 0.999 or f["at_sign"] or f["after_scheme"] or f["words_cover"] >= 0.6 or (
             f["harmless_before"] and not f["credential_before"]) or f["entropy"] < 2.5:
         return 0
@@ -137,21 +167,26 @@ def findings(chunk: Chunk) -> Iterator[tuple[int, int, int, str, list[float]]]:
     for row in np.unique(owner):
         start, stop = int(chunk.starts[row]), int(chunk.starts[row + 1])
         text = chunk.bytes_of(start, stop).decode("utf-8")
-        ordinary = Counter(WORD.findall(text.lower()))
-        pairs = Counter(p for w in ordinary for p in _pairs(w))
+        ordinary = pairs = None
         for a, b in zip(begin[owner == row] - start, end[owner == row] - start):
             while b > a and text[b - 1] in ".-_/":
                 b -= 1
             while a < b and text[a] in ".-_":
                 a += 1
             value = text[a:b]
-            if len(value) >= LEAST_LENGTH and any(c.isdigit() for c in value):
+            if len(value) >= LEAST_LENGTH and any(c.isdigit() for c in value) or value and _by_evidence(text, int(a), int(b)):
+                if ordinary is None:
+                    ordinary = Counter(WORD.findall(text.lower()))
+                    pairs = Counter(p for w in ordinary for p in _pairs(w))
                 yield chunk.first + int(row), int(a), int(b), value, described(text, int(a), int(b), ordinary, pairs)
 
 
 class Forest:
     """Trees of splits (feature, limit) on bootstrap samples with random features at each split; scores are mean shares."""
 
+    #: Whether the labels came from the format rules, whose clear secrets then stand.
+    ruled = False
+
     def __init__(self, x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, seed: int = 7):
         rng = np.random.default_rng(seed)
         self.trees = [self._grown(x, y.astype(float), depth, rng, rng.integers(0, len(y), len(y))) for _ in range(trees)]
@@ -230,15 +265,20 @@ def learn(docs: DataFrame, labelled: DataFrame | None = None, learned_per_class:
     sample = (found.where(F.col("label") >= 0).withColumn("place", place).withColumn("rank", rank)
               .where(F.col("rank") <= learned_per_class).withColumn("all", F.lit(0)))
     forests = sample.groupBy("all").applyInPandas(_trained, "forest binary").collect()
-    return pickle.loads(forests[0]["forest"]) if forests else None
+    forest = pickle.loads(forests[0]["forest"]) if forests else None
+    if forest is not None:
+        forest.ruled = labelled is None
+    return forest
 
 
 def _judged(forest: Forest | None, found: list[tuple]) -> np.ndarray:
     if not found:
         return np.empty(0)
+    clear = np.array([float(rule_label(x[3], x[4]) == 1) for x in found])
     if forest is None:
-        return np.array([float(rule_label(x[3], x[4]) == 1) for x in found])
-    return forest.scores(np.array([x[4] for x in found]))
+        return clear
+    score = forest.scores(np.array([x[4] for x in found]))
+    return np.maximum(score, clear) if forest.ruled else score
 
 
 def _scanned(broadcast, threshold: float):
