@@ -1,9 +1,9 @@
 """The main text of web pages by composite text density.
 
-Method: boilerplate that its element or name gives away is taken out of the tree. For every remaining node the characters
+Method: boilerplate that its element or name gives away is taken out of the tree, by name only where most of the text is left. For every remaining node the characters
 per tag, adjusted for link characters and link tags, are its density; the subtree whose children's densities have the
 largest sum holds the article. The smallest density on the way from that subtree up to the body is the threshold from which
-other parts of that way count as well; an enclosing article or main element is taken as a whole, with its like beside it from
+other parts of that way, and text right in it, count as well; an enclosing article or main element is taken as a whole, with its like beside it from
 that threshold on. Articles below the subtree stand for it if they hold at least half of its text outside links.
 
 Every page is handled on its own, in one pass without a shuffle.
@@ -47,6 +47,12 @@ NAMES = frozenset(
     "pagination pager toolbar skip copyright legal contentinfo complementary dialog teaser outbrain taboola".split())
 OUTSIDE = frozenset("header masthead topbar".split())
 ARTICLE_NAMES = frozenset("ad ads advert advertisement sponsored promo comment comments reply replies related teaser".split())
+#: First parts of names that tell a state of a page.
+STATES = frozenset("has no with without hide show is not".split())
+#: What an element's names say: a part of a word is listed, all parts of a word are; or it goes without them.
+PARTLY, PURE, GONE = 1, 2, 3
+#: Shares of a page's text outside links from which a named element stays, by what its names say.
+STAYS = {PARTLY: 0.5, PURE: 0.9}
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^'\">]++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|</?[a-zA-Z][^>]*+\Z|</[^>]*+>", re.S)
@@ -56,36 +62,41 @@ _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "items", "inside", "chars", "link_chars", "tags", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "children", "items", "inside", "named", "chars", "link_chars", "tags", "link_tags", "density", "sum")
 
-    def __init__(self, tag: str, parent: Node | None, inside: bool):
-        self.tag, self.parent, self.inside = tag, parent, inside
+    def __init__(self, tag: str, parent: Node | None, inside: bool, named: int = 0):
+        self.tag, self.parent, self.inside, self.named = tag, parent, inside, named
         self.children: list[Node] = []
         self.items: list[str | Node] = []
 
 
-def boilerplate(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is no part of the article. inside: within an article or main element."""
+def boilerplate(tag: str, attributes: str, inside: bool) -> int:
+    """GONE if an element is no part of the article, PURE or PARTLY if its names say so, else 0. inside: within an article or
+    main element."""
     if tag in DROPPED or tag == "header" and not inside:
-        return True
+        return GONE
     if not attributes or tag in ("html", "body", "main"):
-        return False
-    names: set[str] = set()
+        return 0
+    found = 0
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return GONE
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return GONE
         if key in ("class", "id", "role"):
-            names.update(_PARTS.split(_CAMEL.sub("-", value).lower()))
-    if tag == "article":
-        return bool(names & ARTICLE_NAMES)
-    return bool(names & NAMES) or not inside and bool(names & OUTSIDE)
+            for word in value.split():
+                parts = [x for x in _PARTS.split(_CAMEL.sub("-", word).lower()) if x]
+                if parts and parts[0] in STATES:  # has-sidebar and no-comments say what is around
+                    continue
+                listed = [x in ARTICLE_NAMES if tag == "article" else x in NAMES or not inside and x in OUTSIDE for x in parts]
+                found = max(found, PURE if parts and all(listed) else PARTLY if any(listed) else 0)
+    return found
 
 
 def parsed(page: str) -> Node:
-    """The tree of a page without boilerplate; unclosed and misnested elements end as browsers end them, roughly."""
+    """The tree of a page without elements that go whatever their names; unclosed and misnested elements end as browsers end
+    them, roughly."""
     root = node = Node("html", None, False)
     skipped: list[str] = []  # open elements within boilerplate
     at = 0
@@ -135,7 +146,8 @@ def parsed(page: str) -> Node:
             node = _ended(node, ("p",))
         if tag in ENDS:
             node = _ended(node, ENDS[tag])
-        if boilerplate(tag, attributes, node.inside):
+        named = boilerplate(tag, attributes, node.inside)
+        if named == GONE or named and void:
             node.items.append(" ")
             if tag in RAW:
                 position = at = _raw_end(page, at, tag)
@@ -146,18 +158,49 @@ def parsed(page: str) -> Node:
             if tag not in INLINE:
                 node.items.append(" ")
             continue
-        node = _child(node, tag)
+        node = _child(node, tag, named)
     return root
 
 
+def prune(root: Node) -> None:
+    """Take out the elements that their names give away, but not where most of the page's text would go with them: an element
+    stays if its text outside links and outside named elements in it is a large share of the page's, with all around it. If
+    nothing would be left, all stay."""
+    nodes = _ordered(root)
+    if not any(n.named for n in nodes):
+        return
+    own: dict[int, int] = {}  # characters outside links by the nearest named element around them
+    holder = {id(root): (root, False)}
+    for node in nodes:
+        if node is not root:
+            around, linked = holder[id(node.parent)]
+            holder[id(node)] = (node if node.named else around, linked or node.tag == "a")
+        around, linked = holder[id(node)]
+        if not linked:
+            own[id(around)] = own.get(id(around), 0) + sum(len("".join(x.split())) for x in node.items if isinstance(x, str))
+    total = sum(own.values())
+    stay: set[int] = set()
+    for node in nodes:
+        if node.named and total and own.get(id(node), 0) >= STAYS[node.named] * total:
+            while node is not None and id(node) not in stay:
+                stay.add(id(node))
+                node = node.parent
+    if not own.get(id(root), 0) and not stay:
+        return
+    for node in nodes:
+        if any(c.named and id(c) not in stay for c in node.children):
+            node.items = [" " if isinstance(x, Node) and x.named and id(x) not in stay else x for x in node.items]
+            node.children = [c for c in node.children if not c.named or id(c) in stay]
+
+
 def _skip_ends(skipped: list[str], tag: str) -> None:
     """Inside boilerplate paragraphs and list items end as outside."""
     if skipped and (tag in CLOSES_P and skipped[-1] == "p" or skipped[-1] in ENDS.get(tag, ())) and len(skipped) > 1:
         skipped.pop()
 
 
-def _child(parent: Node, tag: str) -> Node:
-    child = Node(tag, parent, parent.inside or tag in WHOLE)
+def _child(parent: Node, tag: str, named: int = 0) -> Node:
+    child = Node(tag, parent, parent.inside or tag in WHOLE, named)
     parent.children.append(child)
     parent.items.append(child)
     return child
@@ -190,29 +233,64 @@ def _ordered(root: Node) -> list[Node]:
     return found
 
 
+def _count(node: Node) -> None:
+    own = sum(len("".join(x.split())) for x in node.items if isinstance(x, str))
+    node.chars = own + sum(c.chars for c in node.children)
+    node.tags = len(node.children) + sum(c.tags for c in node.children)
+    linked = node.tag == "a"
+    node.link_chars = node.chars if linked else sum(c.link_chars for c in node.children)
+    node.link_tags = sum(c.link_tags + (c.tag == "a") for c in node.children)
+
+
+def _dense(node: Node, root: Node) -> None:
+    share = root.link_chars / max(1, root.chars)
+    c, t, lc, lt = node.chars, max(1, node.tags), max(1, node.link_chars), max(1, node.link_tags)
+    if not c:
+        node.density = 0.0
+        return
+    base = math.log(c / max(1, c - node.link_chars) * node.link_chars + share * c + math.e)
+    node.density = c / t * math.log(max(1.0, c / lc * t / lt) + 1e-9) / math.log(max(base, 1.0) + 1e-9 + 1)
+
+
 def measure(root: Node) -> list[Node]:
     """Set every node's density and sum of its children's densities."""
     nodes = _ordered(root)
     for node in reversed(nodes):
-        own = sum(len("".join(x.split())) for x in node.items if isinstance(x, str))
-        node.chars = own + sum(c.chars for c in node.children)
-        node.tags = len(node.children) + sum(c.tags for c in node.children)
-        linked = node.tag == "a"
-        node.link_chars = node.chars if linked else sum(c.link_chars for c in node.children)
-        node.link_tags = sum(c.link_tags + (c.tag == "a") for c in node.children)
-    share = root.link_chars / max(1, root.chars)
+        _count(node)
     for node in nodes:
-        c, t, lc, lt = node.chars, max(1, node.tags), max(1, node.link_chars), max(1, node.link_tags)
-        if not c:
-            node.density = 0.0
-            continue
-        base = math.log(c / max(1, c - node.link_chars) * node.link_chars + share * c + math.e)
-        node.density = c / t * math.log(max(1.0, c / lc * t / lt) + 1e-9) / math.log(max(base, 1.0) + 1e-9 + 1)
+        _dense(node, root)
     for node in nodes:
         node.sum = sum(c.density for c in node.children) or node.density * 1e-3
     return nodes
 
 
+def _own_text(node: Node, way: set[int]) -> list[Node | list]:
+    """The children of a node, with its own text and the inline elements amid it as lists."""
+    found: list[Node | list] = []
+    run: list[str | Node] = []
+    for item in [*node.items, None]:
+        if isinstance(item, str) or item is not None and item.tag in INLINE and id(item) not in way:
+            run.append(item)
+            continue
+        if any(isinstance(x, str) and x.strip() for x in run):
+            found.append(run)
+        else:
+            found.extend(x for x in run if isinstance(x, Node))
+        run = []
+        if item is not None:
+            found.append(item)
+    return found
+
+
+def _text_density(run: list[str | Node], root: Node) -> float:
+    """The density of text that stands in no element of its own, as if it did."""
+    element = Node("p", None, False)
+    element.items, element.children = run, [x for x in run if isinstance(x, Node)]
+    _count(element)
+    _dense(element, root)
+    return element.density
+
+
 def _written(node: Node, out: list[str]) -> None:
     stack: list[Node | str] = [node]
     while stack:
@@ -229,6 +307,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parsed(page)
+    prune(root)
     nodes = measure(root)
     if not root.chars:
         return ""
@@ -250,10 +329,22 @@ def main_text(page: str | None) -> str:
         else:
             chosen = {id(best)} | {id(c) for n in way[1:] for c in n.children if c not in way and c.density >= threshold}
     out: list[str] = []
-    for node in nodes:
-        if id(node) in chosen:
-            _written(node, out)
+    on_way = {id(n) for n in way[1:]} if id(best) in chosen and whole is None else set()
+    stack: list[Node | list] = [root]
+    while stack:
+        item = stack.pop()
+        if isinstance(item, list):
+            if _text_density(item, root) >= threshold:
+                for part in item:
+                    out.append(part) if isinstance(part, str) else _written(part, out)
+                out.append(" ")
+        elif id(item) in chosen:
+            _written(item, out)
             out.append(" ")
+        elif id(item) in on_way:
+            stack.extend(reversed(_own_text(item, on_way | {id(best)})))
+        else:
+            stack.extend(reversed(item.children))
     return " ".join("".join(out).split())
 
 

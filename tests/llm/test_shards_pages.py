@@ -112,6 +112,29 @@ def test_articles_side_by_side_are_all_taken():
     assert maintext.main_text(f"<body>{uneven}</body>").count(STORY) == 4
 
 
+ASIDE = "<div class=sidebar><p>Side words of the page.</p></div>"
+
+
+@pytest.mark.parametrize("opening", [
+    "<div class='layout has-sidebar'>", "<div id=page class=no-sidebar>", "<div class='widget-post-content'>", "<article class='no-comments'>",
+    "<div class=widget>", "<div class='site-banner'><div class='x-widget-post'>"])
+def test_names_do_not_take_the_story(opening):
+    page = f"<body>{opening}<p>{STORY}</p><p>{STORY}</p>{ASIDE}{opening.count('<') * '</div>'}<div class=cookie-notice>We use them.</div></body>"
+    assert maintext.main_text(page) == f"{STORY} {STORY}"
+
+
+def test_named_elements_stay_if_nothing_else_is_there():
+    assert maintext.main_text(f"<div class=comments>{STORY}</div>") == STORY
+    assert maintext.main_text("<div class=comment>one <a href=x>two</a></div><div class=reply>three</div>") == "one two three"
+    many = "".join(f"<div class=comment><p>{STORY} {k}</p></div>" for k in range(9))
+    assert maintext.main_text(f"<div><p>{STORY}</p><p>{STORY}</p></div><div class=comments>{many}</div>") == f"{STORY} {STORY}"
+
+
+def test_text_right_in_an_ancestor_counts():
+    page = f"<body>First. {STORY} <b>bold</b> on<br>and {STORY}<div><p>{STORY}</p><p>{STORY}</p></div>{STORY} {STORY} Last.<p>x</p></body>"
+    assert maintext.main_text(page).startswith(f"First. {STORY} bold on and {STORY} {STORY} {STORY} {STORY} {STORY} Last.")
+
+
 def test_pages_query(spark, small):
     pages = spark.read.parquet(f"{small}/pages.parquet").withColumn("text", F.lit("clash")).withColumn("n_chars", F.lit("clash"))
     got = maintext.extract(pages).collect()
