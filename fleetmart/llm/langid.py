@@ -25,8 +25,9 @@ UNKNOWN = "und"
 DOCUMENTS_PER_LANGUAGE = 2_000
 ROUNDS = 8
 SET_ROUNDS = 12
-MOST_LANGUAGES = 4
-#: A language's share from which it is considered for the set.
+#: Sets of up to so many languages are tried for every text whose set is open.
+ALWAYS_TRIED = 4
+#: A language's share from which it is considered for the set; as many languages as have it are tried.
 LEAST_SHARE = 0.03
 #: What one more language costs, in units of the logarithm of the number of trigrams.
 PENALTY = 4.0
@@ -119,7 +120,6 @@ def mixtures(model: LanguageModel, chunk: Chunk) -> tuple[np.ndarray, np.ndarray
     # the set of languages, where it is open
     order = np.argsort(-share[:, :-1], axis=1, kind="stable")
     ranked = np.take_along_axis(share[:, :-1], order, axis=1)
-    most = min(MOST_LANGUAGES, width - 1)
     clear = ranked[:, 1] < LEAST_SHARE if width > 2 else np.ones(present.size, bool)
     chosen = np.zeros((present.size, width), bool)
     chosen[:, -1] = True
@@ -131,7 +131,13 @@ def mixtures(model: LanguageModel, chunk: Chunk) -> tuple[np.ndarray, np.ndarray
         p2, n2, size2 = p[wanted], n[wanted], size[open_rows]
         begin2 = np.cumsum(size2) - size2
         best = np.full(open_rows.size, -np.inf)
-        for k in range(1, most + 1):
+        tried = np.minimum(np.maximum((ranked[open_rows] >= LEAST_SHARE).sum(axis=1), ALWAYS_TRIED), width - 1)
+        for k in range(1, int(tried.max()) + 1):
+            if (more := tried >= k).sum() < open_rows.size:  # those with fewer languages are done
+                wanted = np.repeat(more, size2)
+                p2, n2, size2 = p2[wanted], n2[wanted], size2[more]
+                open_rows, best, tried = open_rows[more], best[more], tried[more]
+                begin2 = np.cumsum(size2) - size2
             mask = np.zeros((open_rows.size, width), bool)
             mask[:, -1] = True
             np.put_along_axis(mask, order[open_rows][:, :k], True, axis=1)

@@ -50,6 +50,18 @@ def test_language_edges_and_mixtures(spark, docs_of):
     assert kept.schema == docs_of(rows).schema
 
 
+def test_documents_in_many_languages(spark, docs_of):
+    rng = random.Random(5)
+    words = {f"l{k}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(12)] for k in range(7)}
+    rows = [(i, " ".join(rng.choice(words[x]) for _ in range(60)), x) for i, x in enumerate(list(words) * 20)]
+    model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts = [(n, " ".join(w for x in list(words)[:n] for w in words[x] * 5)) for n in range(1, 8)]
+    got = {r["doc_id"]: r for r in langid.identify(docs_of(texts), model).collect()}
+    for n in range(1, 8):
+        assert sorted(got[n]["languages"]) == list(words)[:n]
+        assert got[n]["score"] == pytest.approx(1 / n, abs=0.05) and sum(got[n]["proportions"]) == pytest.approx(1)
+
+
 def test_mixture_shares_equal_a_plain_computation(spark, docs_of):
     model, words = trained(docs_of, spark)
     text = " ".join([words["aa"]] * 6 + [words["cc"]] * 3)
