@@ -88,13 +88,9 @@ class Run:
             source = changed_since(source, watermark(self.control, spec.source.name).first()[0], self.overlap)
         rows = cut_lineage(spec.extract(source))  # a live source is read once
         if self.rules.resolve:
-            unknown = []
-            for column in [c for c in REFERENCES if c in spec.business and c != spec.source.primary_key]:
-                target = REFERENCES[column]
-                lookup = self.read(target.name, [CURRENT]).select(
-                    F.col("source_id").alias(column), F.col(target.primary_key).alias(f"_{column}"))
-                rows = lookup_join(rows, lookup, [column])
-                unknown.append((F.col(column).isNotNull() & F.col(f"_{column}").isNull(), f"unknown_{column}"))
+            if spec.incremental and self.rules.report:
+                rows = self._with_waiting(spec, rows)
+            rows, unknown = self._referring(spec, rows, self.read)
             if unknown:
                 rows = cut_lineage(rows.withColumn("_reason", first_reason(unknown)))
                 self.leave_out(spec.source.name, rows.filter(F.col("_reason").isNotNull()), "_reason", spec.business)
@@ -102,6 +98,31 @@ class Run:
                 rows = rows.filter(F.col("_reason").isNull()).select(*found)
         return rows
 
+    def _referring(self, spec: scd2.Dimension, rows: DataFrame, read: Callable[..., DataFrame]) -> tuple[DataFrame, list[tuple[Column, str]]]:
+        """Rows with the surrogates of their references, and a test and a reason for each reference that isn't known."""
+        unknown = []
+        for column in [c for c in REFERENCES if c in spec.business and c != spec.source.primary_key]:
+            target = REFERENCES[column]
+            lookup = read(target.name, [CURRENT]).select(
+                F.col("source_id").alias(column), F.col(target.primary_key).alias(f"_{column}"))
+            rows = lookup_join(rows, lookup, [column])
+            unknown.append((F.col(column).isNotNull() & F.col(f"_{column}").isNull(), f"unknown_{column}"))
+        return rows, unknown
+
+    def _with_waiting(self, spec: scd2.Dimension, rows: DataFrame) -> DataFrame:
+        """Also the rows behind the watermark that an earlier run left out and that none has taken since: those whose references
+        were not all known before this run, or that the dimension lacks."""
+        logged = self.read(S.REJECTS.name).filter((F.col("feed") == spec.source.name) & F.col("reason").startswith("unknown_"))
+        logged = logged.select(F.col("seq").alias("source_id")).distinct()
+        if not logged.limit(1).count():
+            return rows
+        old = spec.extract(self.sources[spec.source.name]).join(logged, "source_id", "left_semi")
+        old = cut_lineage(old.join(rows.select("source_id"), "source_id", "left_anti").select(*rows.columns))
+        held = self.wh.read(spec.table.name, [CURRENT]).select("source_id", F.lit(True).alias("_held"))
+        looked, unknown = self._referring(spec, old, self.wh.read)
+        waits = reduce(Column.__or__, [test for test, _ in unknown], F.col("_held").isNull())
+        return rows.unionByName(looked.join(held, "source_id", "left").filter(waits).select(*rows.columns))
+
     def leave_out(self, feed: str, rows: DataFrame, reason: str, shown: list[str]) -> None:
         """Note rows that a load does not take, with the reason and the row as it came."""
         if self.rules.report:

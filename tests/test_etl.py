@@ -239,3 +239,25 @@ def test_replacing_one_part_keeps_the_others(spark, tmp_path):
     assert rows(wh.read("dim_date", pending=pending), "date_id") == [
         (20240103,), (20240104,), (20240201,), (20240202,)]
     assert wh.highest("dim_date") == 20240201
+
+
+def test_a_branch_that_comes_one_run_late(spark, tmp_path):
+    wh, tables = Warehouse(spark, str(tmp_path)), oltp(spark)
+    early = tables | {"branch": tables["branch"].filter("branch_id <> 20")}
+    assert counts(run_etl(wh, early, DAY[0], SOUND))["vehicle"] == 1
+    assert current(wh, "dim_vehicle") == [(71,)]
+    log = counts(run_etl(wh, tables, DAY[1], SOUND))  # vehicle 72 keeps its old stamp
+    assert log["vehicle"] == 1 and current(wh, "dim_vehicle") == [(71,), (72,)]
+    assert (92,) in rows(wh.read("fact_rental_transactions"), "source_id")
+    assert counts(run_etl(wh, tables, DAY[2], SOUND)) == NONE
+    assert rows(wh.read("rejects").filter("feed = 'vehicle'"), "seq", "reason") == [(72, "unknown_branch_id")]
+
+
+def test_a_move_to_a_branch_that_comes_late(spark, tmp_path):
+    wh, tables = Warehouse(spark, str(tmp_path)), oltp(spark)
+    run_etl(wh, tables, DAY[0], SOUND)
+    tables = changed(tables, "vehicle", 72, DAY[0] + timedelta(hours=1), branch_id=30)
+    assert counts(run_etl(wh, tables, DAY[1], SOUND))["vehicle"] == 0
+    tables["branch"] = tables["branch"].unionByName(spark.createDataFrame([(30, "b3", "l3", None)], S.OLTP["branch"].struct))
+    assert counts(run_etl(wh, tables, DAY[2], SOUND))["vehicle"] == 2
+    assert counts(run_etl(wh, tables, DAY[3], SOUND)) == NONE
