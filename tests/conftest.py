@@ -21,13 +21,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def rows(df, *columns):
-    """Rows as a sorted list of tuples."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=str)

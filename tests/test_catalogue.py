@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from conftest import plan_of
+from helpers import plan_of
 
 from __spark_entry__ import entry
 from check import table

@@ -6,7 +6,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from fleetmart import schema as S
 from fleetmart.operators.ingest import ConstraintViolation

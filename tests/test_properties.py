@@ -4,7 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from fleetmart import schema as S
 from fleetmart.operators import ingest, scd2

@@ -1,7 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from fleetmart.functions.expressions import EPOCH
 from fleetmart.operators import scd2
