@@ -13,6 +13,7 @@ from fleetmart.llm.jaccardjoin import near_duplicates
 from fleetmart.llm.langid import identify_held_out
 from fleetmart.llm.maintext import extract
 from fleetmart.llm.packing import pack_sequences
+from fleetmart.llm.periodic import find_runs, run_digests, with_planted_periods
 from fleetmart.llm.pieces import encode
 from fleetmart.llm.secretscan import scan_corpus
 from fleetmart.llm.sharding import shard_by_bytes
@@ -64,6 +65,10 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return flag_toxic(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return run_digests(find_runs(with_planted_periods(table(spark, folder, "documents"))))
+
+
 QUERIES = {
     "op1_hamming_search": hamming_search,
     "op2_piece_encoding": piece_encoding,
@@ -75,6 +80,7 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join,
     "op9_graph_search": graph_search,
     "op10_toxicity": toxicity,
+    "op13_periodic_runs": periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -126,4 +132,48 @@ STATEMENTS: dict[str, str] = {
         FROM documents d LEFT JOIN texts t ON d.text = t.text
         LEFT JOIN classes c ON c.id = t.id LEFT JOIN counts n ON n.id = t.id
     """,
+    "op13_periodic_runs": r"""
+        WITH crc_table AS (
+            SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                                    lambda x, y: xor(x >> 1, 3988292384 * (x & 1))) ORDER BY i) AS t
+            FROM (SELECT unnest(range(0, 256)) AS i)
+        ), hashed AS (
+            SELECT doc_id, xor(list_reduce(list_prepend(4294967295, [CAST(ascii(c) AS BIGINT) FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]),
+                                           lambda x, c: xor(x >> 8, t[CAST(xor(x, c) & 255 AS BIGINT) + 1])), 4294967295) AS h,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents, crc_table
+        ), placed AS (
+            SELECT doc_id, w, len(w) AS n, coalesce(h % 10 = 0, false) AND len(w) > 0 AS planted, (h // 10) % greatest(len(w), 1) AS a,
+                   1 + (len(w) - (h // 10) % greatest(len(w), 1)) // (3 + (h // 10) % 8) AS p
+            FROM hashed
+        ), numbered AS (
+            SELECT doc_id, i, CASE WHEN planted AND i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END AS word
+            FROM (SELECT *, unnest(range(0, n)) AS i FROM placed)
+        ), equal AS (
+            SELECT x.doc_id, x.i, y.i - x.i AS q
+            FROM numbered x JOIN numbered y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i
+        ), islands AS (
+            SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal)
+            GROUP BY doc_id, q, island
+            HAVING count(*) + q >= greatest(24, 3 * q)
+        ), runs AS (
+            SELECT doc_id, start, length, min(q) AS period FROM islands GROUP BY ALL
+        ), listed AS (
+            SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+            FROM runs GROUP BY doc_id
+        ), best AS (
+            SELECT * FROM runs
+            QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) = 1
+        ), collapsed AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS words
+            FROM numbered m
+            WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.doc_id = m.doc_id AND m.i >= r.start + r.period AND m.i < r.start + r.length)
+            GROUP BY doc_id
+        )
+        SELECT d.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length,
+               CAST(period AS BIGINT) AS period, CAST((1000 * length) // period AS BIGINT) AS exponent_milli,
+               sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(words, '')) AS collapsed_sha256
+        FROM documents d LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN collapsed USING (doc_id)
+    """,
 }
