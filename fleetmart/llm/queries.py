@@ -15,6 +15,7 @@ from fleetmart.llm.maintext import extract
 from fleetmart.llm.packing import pack_sequences
 from fleetmart.llm.periodic import find_runs, run_digests, with_planted_periods
 from fleetmart.llm.pieces import encode
+from fleetmart.llm.ranked import ranked_search
 from fleetmart.llm.secretscan import scan_corpus
 from fleetmart.llm.sharding import shard_by_bytes
 from fleetmart.llm.toxicity import flag_toxic
@@ -65,6 +66,10 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return flag_toxic(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return run_digests(find_runs(with_planted_periods(table(spark, folder, "documents"))))
 
@@ -80,6 +85,7 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join,
     "op9_graph_search": graph_search,
     "op10_toxicity": toxicity,
+    "op12_ranked_search": lexical_search,
     "op13_periodic_runs": periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
@@ -132,6 +138,38 @@ STATEMENTS: dict[str, str] = {
         FROM documents d LEFT JOIN texts t ON d.text = t.text
         LEFT JOIN classes c ON c.id = t.id LEFT JOIN counts n ON n.id = t.id
     """,
+    "op12_ranked_search": r"""
+        WITH terms AS (
+            SELECT 'document' AS kind, doc_id AS id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term
+            FROM documents
+            UNION ALL
+            SELECT 'item', item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+'))
+            FROM benchmark
+        ), sizes AS (
+            SELECT id AS doc_id, count(*) AS n FROM terms WHERE kind = 'document' GROUP BY id
+        ), whole AS (
+            SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM sizes
+        ), asked AS (
+            SELECT DISTINCT id AS item_id, term FROM terms WHERE kind = 'item'
+        ), counted AS (
+            SELECT id AS doc_id, term, count(*) AS tf FROM terms
+            WHERE kind = 'document' AND term IN (SELECT term FROM asked) GROUP BY ALL
+        ), weighed AS (
+            SELECT term, CAST(floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM counted, whole GROUP BY term, nn
+        ), impacts AS (
+            SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // ll))) AS impact
+            FROM counted JOIN weighed USING (term) JOIN sizes USING (doc_id), whole
+        ), scored AS (
+            SELECT item_id, doc_id, CAST(sum(impact) AS BIGINT) AS score
+            FROM asked JOIN impacts USING (term) GROUP BY item_id, doc_id HAVING sum(impact) > 0
+        )
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM scored
+        QUALIFY rank <= 10
+    """,
     "op13_periodic_runs": r"""
         WITH crc_table AS (
             SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
