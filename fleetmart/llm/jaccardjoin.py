@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart.llm.components import components
+from fleetmart.llm.groups import blocks, common_counts, grouped, linked
 from fleetmart.llm.staging import staged
 from fleetmart.llm.textarrays import Chunk, chunks, mixed, span_hashes, words
 
@@ -127,39 +128,6 @@ def _split(runs: int, similarity: float):
     return task
 
 
-def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Consecutive rows with equal keys, in batches that come sorted by them."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(k).to_numpy() for k in keys]
-        cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
-        edges = [0, *cuts.tolist(), batch.num_rows]
-        for a, b in zip(edges[:-1], edges[1:]):
-            part = batch.slice(a, b - a)
-            if held and any(held[-1].column(k)[0] != part.column(k)[0] for k in keys):
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(part)
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _linked(alike: np.ndarray) -> np.ndarray:
-    """The first member of each member's component in a symmetric relation."""
-    label = np.full(alike.shape[0], -1)
-    for first in range(alike.shape[0]):
-        if label[first] >= 0:
-            continue
-        label[first] = first
-        reached = np.array([first])
-        while reached.size:
-            reached = np.flatnonzero(alike[reached].any(axis=0) & (label < 0))
-            label[reached] = first
-    return label
-
-
 def _looks_alike(similarity: float):
     """Edges (a, b) from members of a bucket's block to the first member of their component by estimated similarity."""
     # five standard deviations below the threshold
@@ -173,7 +141,7 @@ def _looks_alike(similarity: float):
             same = np.zeros((node.size, node.size), np.uint8)
             for k in range(COORDINATES):
                 same += minima[:, k, None] == minima[None, :, k]
-            first = _linked(same >= least)
+            first = linked(same >= least)
             moved = np.flatnonzero(first != np.arange(node.size))
             a.append(node[moved])
             b.append(node[first[moved]])
@@ -186,18 +154,6 @@ def _looks_alike(similarity: float):
     return task
 
 
-def _blocks(df: DataFrame, size: str, keys: list[str], block: int) -> DataFrame:
-    """Members of a group in columns i <= j: every pair of members meets in a block of about 2 block members at most.
-
-    A group up to block is one block; each member of a larger one is repeated once per block members.
-    """
-    parts = F.ceil(F.col(size) / block).cast("int")
-    own = F.pmod(F.xxhash64("node", F.lit("block")), parts).cast("int")
-    spread = df.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    return (spread.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-            .repartition(*(F.col(k) for k in (*keys, "i", "j"))).sortWithinPartitions(*keys, "i", "j"))
-
-
 def candidates(nodes: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """Edges (a, b) whose components hold every pair of nodes with the wanted similarity together, up to the recall.
 
@@ -220,7 +176,7 @@ def candidates(nodes: DataFrame, similarity: float = SIMILARITY, recall: float =
         held = staged(frontier.select("path", "node")
                       .join(buckets.select(F.explode(kept).alias("path"), "size", "stands"), "path")
                       .join(nodes, "node"))
-        edges = staged(_blocks(held.where("stands").drop("stands"), "size", ["path"], ALIKE_BLOCK)
+        edges = staged(blocks(held.where("stands").drop("stands"), "size", ["path"], ALIKE_BLOCK)
                        .select("path", "i", "j", "node", "minima").mapInArrow(_looks_alike(similarity), "a long, b long"))
         found = edges if found is None else found.union(edges)
         if not held.where("NOT stands").limit(1).count():
@@ -241,28 +197,6 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              ["node", "component", "size", "shingles"])
 
 
-def common_counts(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
-    """How many elements each two sets share."""
-    owner = np.repeat(np.arange(len(sets)), [s.size for s in sets])
-    element = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-    order = np.argsort(element, kind="stable")
-    element, owner = element[order], owner[order]
-    new = np.r_[True, element[1:] != element[:-1]][:element.size]
-    number = np.cumsum(new) - 1
-    shared = np.bincount(number, minlength=1)[number] > 1 if element.size else np.empty(0, bool)
-    owner, number = owner[shared], number[shared]
-    if number.size:
-        number = np.cumsum(np.r_[True, number[1:] != number[:-1]]) - 1
-    counts = np.zeros((len(sets), len(sets)), np.float32)
-    edges = np.searchsorted(number, np.arange(0, (number[-1] if number.size else -1) + columns + 1, columns))
-    for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
-        if b > a:
-            part = np.zeros((len(sets), number[b - 1] - k * columns + 1), np.float32)
-            part[owner[a:b], number[a:b] - k * columns] = 1
-            counts += part @ part.T
-    return counts.astype(np.int64)
-
-
 def _verified(similarity: float):
     """For the texts of a block that have links: their number within it, and the first text of their local component."""
 
@@ -281,7 +215,7 @@ def _verified(similarity: float):
             links = alike.sum(axis=1)
             some = np.flatnonzero(links)
             if some.size:
-                first = _linked(alike)
+                first = linked(alike)
                 yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(node[first[some]]), pa.array(links[some])],
                                                  ["a", "b", "links"])
 
@@ -317,7 +251,7 @@ def classed(docs: DataFrame, similarity: float = SIMILARITY, recall: float = REC
     sets = (texts.join(wanted, "node").where(F.col("doc_id").eqNullSafe(F.col("first_id")))
             .select("node", "component", "size", "text")
             .mapInArrow(_sets, "node long, component long, size long, shingles binary"))
-    verified = staged(_blocks(sets, "size", ["component"], BLOCK).select("component", "i", "j", "own", "node", "shingles")
+    verified = staged(blocks(sets, "size", ["component"], BLOCK).select("component", "i", "j", "own", "node", "shingles")
                       .mapInArrow(_verified(similarity), "a long, b long, links long"))
     roots = components(verified.select("a", "b"))
     links = verified.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))

@@ -18,6 +18,7 @@ from fleetmart.llm.pieces import encode
 from fleetmart.llm.ranked import ranked_search
 from fleetmart.llm.secretscan import scan_corpus
 from fleetmart.llm.sharding import shard_by_bytes
+from fleetmart.llm.tensorjoin import near_duplicates as tensored_duplicates
 from fleetmart.llm.toxicity import flag_toxic
 
 
@@ -66,6 +67,10 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return flag_toxic(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return tensored_duplicates(table(spark, folder, "documents"))
+
+
 def lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -85,6 +90,7 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join,
     "op9_graph_search": graph_search,
     "op10_toxicity": toxicity,
+    "op11_minhash_dedup": minhash_dedup,
     "op12_ranked_search": lexical_search,
     "op13_periodic_runs": periodic_runs,
     "pipeline": corpus_pipeline.run,
@@ -138,6 +144,32 @@ STATEMENTS: dict[str, str] = {
         FROM documents d LEFT JOIN texts t ON d.text = t.text
         LEFT JOIN classes c ON c.id = t.id LEFT JOIN counts n ON n.id = t.id
     """,
+    "op11_minhash_dedup": r"""
+        WITH RECURSIVE texts AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(list_slice(words, i, i + 4), ' ') AS shingle
+            FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM texts WHERE len(words) > 0)
+        ), sizes AS (
+            SELECT doc_id, count(*) AS size FROM shingles GROUP BY doc_id
+        ), common AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_have
+            FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+        ), linked AS (
+            SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+            WHERE 100 * both_have >= 85 * (p.size + q.size - both_have)
+        ), reached AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION
+            SELECT doc_id, y FROM reached JOIN linked ON other = x
+        ), least AS (
+            SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(coalesce(size, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+    """,
     "op12_ranked_search": r"""
         WITH terms AS (
             SELECT 'document' AS kind, doc_id AS id, unnest(regexp_extract_all(
