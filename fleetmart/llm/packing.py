@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -94,16 +95,16 @@ def shared_out(sizes: list[int], capacity: int) -> np.ndarray:
         windows += max(1, over * windows // (2 * capacity))
 
 
-def _boundaries(chunk: Chunk) -> np.ndarray:
-    """Starts of the pieces that the byte-level pre-tokenizer makes: an optional space with letters, digits or other
-    characters; contractions; white space."""
+def _boundaries(chunk: Chunk, starts: np.ndarray) -> np.ndarray:
+    """Starts of the pieces that the byte-level pre-tokenizer makes of the stretches that begin at starts: an optional space with
+    letters, digits or other characters; contractions; white space."""
     cps, n = chunk.cps, chunk.cps.size
     kind = class_table(r"\p{White_Space}", r"\p{L}", r"\p{N}")[cps]
     at = np.zeros(n + 1, bool)
     at[1:n] = kind[1:] != kind[:-1]
-    at[chunk.starts] = True
+    at[starts] = True
     last_of_text = np.zeros(n + 1, bool)
-    last_of_text[chunk.starts] = True
+    last_of_text[starts] = True
     space = kind == 1
     # a white space followed by something else in the same text goes its own way, a blank joins what follows
     ahead = np.flatnonzero(space[:-1] & ~space[1:] & ~last_of_text[1:n]) if n else np.empty(0, np.int64)
@@ -124,11 +125,17 @@ def _boundaries(chunk: Chunk) -> np.ndarray:
 
 
 class PieceEncoder:
-    """Ids of byte-level BPE, piece by piece, each distinct piece once. Special tokens in a text are ordinary text."""
+    """Ids of byte-level BPE, piece by piece, each distinct piece once. The file's added tokens are matched first."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            described = json.load(file)
+        model = described["model"]
+        added = described.get("added_tokens") or []
+        if any(t.get(flag) for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("added tokens are matched as they stand only")
+        self.added = {t["content"].encode(): [t["id"]] for t in added}
+        self.any_added = re.compile(b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if added else None
         shown = _byte_alphabet()
         ranks = {bytes(shown[c] for c in token): i for token, i in model["vocab"].items() if all(c in shown for c in token)}
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
@@ -140,11 +147,23 @@ class PieceEncoder:
         self.cache = IdCache(CACHED_PIECES)
 
     def _ids(self, pieces: list[bytes]) -> list[list[int]]:
-        return [self.core.encode_single_piece(p) for p in pieces]
+        return [self.added.get(p) or self.core.encode_single_piece(p) for p in pieces]
+
+    def _added_spans(self, chunk: Chunk) -> np.ndarray:
+        """Begin and end of the added tokens that stand in the chunk's texts, one after the other."""
+        if self.any_added is None or not self.any_added.search(chunk.raw):
+            return np.empty(0, np.int64)
+        edges = chunk.byte_at[chunk.starts].tolist()
+        raw = chunk.raw.tobytes()
+        found = [at for a, b in zip(edges[:-1], edges[1:]) for m in self.any_added.finditer(raw, a, b) for at in m.span()]
+        return np.searchsorted(chunk.byte_at, found)
 
     def encode(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the chunk, and where each row's begin (one more entry than rows)."""
-        edges = _boundaries(chunk)
+        spans = self._added_spans(chunk)
+        edges = _boundaries(chunk, np.union1d(chunk.starts, spans))
+        if spans.size:  # nothing is cut inside an added token
+            edges = edges[np.searchsorted(spans[::2], edges, "left") == np.searchsorted(spans[1::2], edges, "right")]
         return self.cache.encoded(chunk, chunk.cps, edges[:-1], edges[1:], chunk.starts, self._ids)
 
 
@@ -216,8 +235,8 @@ def pack_sequences(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, e
     """Pack the documents' tokens into windows; one row per piece, with_ids adds its ids.
 
     docs: doc_id, text; other columns are ignored. A null text counts as empty, and an empty one has the end id alone. Each row
-    is a document of its own, also if its doc_id is null or repeated. A text's ids are those of the byte-level BPE file,
-    special tokens taken as ordinary text, then end_id. An empty table gives no rows.
+    is a document of its own, also if its doc_id is null or repeated. A text's ids are those of the byte-level BPE file, whose
+    added tokens are one id each wherever they stand, then end_id. An empty table gives no rows.
     """
     schema = SCHEMA + (", ids array<int>" if with_ids else "")
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(

@@ -14,6 +14,10 @@ from fleetmart.llm.textarrays import chunks
 ODD = ["", "a", " ", "x ", "Hello  world   ", "  a b ", "a\tb\n\nc d \n", " 'tis he's they'll'd we've 're ' 's!'s '", "x'sy 'team 're'd",
        "ünï 漢字  12 34½ ٣ 🙂", "▁x▁y ▁", "<s> </s> <|endoftext|>", None, " " * 30 + "x", "a" * 300, "\x00\x01", "\n \n", "'", "don't 'T"]
 
+#: With the added token of the byte-level file, also cut in two at the edge of two texts.
+ADDED = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>x  <|endoftext|>", "it<|endoftext|>'s 're<|endoftext|>", "  <|endoftext|>  12", "<|endof", "text|>",
+         "<|<|endoftext|>|>", "é<|endoftext|>漢", "<|endoftext|", "<|EndOfText|>", "x\n<|endoftext|>\n\ny"]
+
 
 def texts(spark, small):
     return [r["text"] for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
@@ -57,8 +61,7 @@ def test_unigram_states_are_viterbis(tmp_path):
 
 def test_ids_equal_the_tokenizer(spark, small):
     tokenizer = Tokenizer.from_file(inputs.BYTE_BPE)
-    tokenizer.encode_special_tokens = True
-    rows = ODD + texts(spark, small)
+    rows = ODD + ADDED + texts(spark, small)
     column = pa.array(rows, pa.string())
     encode = packing.encoder(inputs.BYTE_BPE).encode
     for limit in (50, 10_000_000):
@@ -70,10 +73,9 @@ def test_ids_equal_the_tokenizer(spark, small):
 
 
 def test_packing_holds_every_id_once(spark, small, docs_of):
-    rows = list(enumerate(ODD + texts(spark, small))) + [(5, "again"), (5, "again"), (None, "no id"), (99_999, "word " * 9000)]
+    rows = list(enumerate(ODD + ADDED + texts(spark, small))) + [(5, "again"), (5, "again"), (None, "no id"), (99_999, "word " * 9000)]
     got = packing.pack_sequences(docs_of(rows), inputs.BYTE_BPE, window=256, with_ids=True).collect()
     tokenizer = Tokenizer.from_file(inputs.BYTE_BPE)
-    tokenizer.encode_special_tokens = True
     want = sorted((str(i), tuple(tokenizer.encode(t or "", add_special_tokens=False).ids + [1])) for i, t in rows)
     by_doc = {}
     for r in got:
