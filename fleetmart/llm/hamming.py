@@ -4,7 +4,7 @@ Method: a code is cut into segments of about log2(codes) bits, each indexed by i
 differ from its own in 0, 1, 2, ... bits. After radius r - 1 in all m segments and radius r in the first s of them every code
 within Hamming distance mr + s - 1 has been met: one that was not differs by more than r in those s and by r or more in the
 others. So at each radius a query probes just the segments that cover its kth distance so far, and is finished if these are
-not more than there are. Everything is joins and windows over DataFrames.
+not more than there are. Codes beyond that distance leave the join no more. Everything is joins and windows over DataFrames.
 """
 
 from __future__ import annotations
@@ -98,29 +98,31 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, bits: int =
     enough = min(k + 1, size["rows"] or 0)
     index = staged(segments.spread(distinct))
     number = len(segments)
-    active, best, finished = staged(asked.select("asked").distinct().withColumn("need", F.lit(number))), None, None
+    active, best, finished = staged(asked.select("asked").distinct().withColumn("need", F.lit(number)).withColumn("bound", F.lit(bits))), None, None
     nearest = Window.partitionBy("asked").orderBy("distance", "vec_id")
     for radius in range(segments.widest + 1):
         masks = segments.masks(spark, radius)
         if segments.size_at(radius) <= BROADCAST_MASKS:
             masks = F.broadcast(masks)
-        probes = (segments.spread(active.select("asked", "need", F.col("asked").alias("code")))
+        probes = (segments.spread(active.select("asked", "need", "bound", F.col("asked").alias("code")))
                   .where(F.col("seg") < F.col("need")).drop("code", "need").join(masks, "seg")
-                  .select("asked", "seg", F.col("key").bitwiseXOR(F.col("mask")).alias("key")))
-        met = (probes.join(index, ["seg", "key"]).where(segments.met_first(radius))
-               .select("asked", F.bit_count(F.col("asked").bitwiseXOR(F.col("code"))).alias("distance"),
-                       F.explode("vec_ids").alias("vec_id")))
+                  .select("asked", "bound", "seg", F.col("key").bitwiseXOR(F.col("mask")).alias("key")))
+        distance = F.bit_count(F.col("asked").bitwiseXOR(F.col("code")))
+        met = (probes.join(index, ["seg", "key"]).where((distance <= F.col("bound")) & segments.met_first(radius))
+               .select("asked", distance.alias("distance"), F.explode("vec_ids").alias("vec_id")))
         met = met if best is None else met.union(best)
         best = staged(met.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= k + 1).drop("place"))
         state = active.join(best.groupBy("asked").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("last")), "asked", "left")
         covered = F.col("last") <= number * radius + F.col("need") - 1
         done = (F.col("n") >= enough) & (covered | F.lit(enough == (size["rows"] or 0)))
         after = F.when(F.col("n") >= enough, F.least(F.lit(number), F.col("last") - number * (radius + 1) + 1)).otherwise(number)
+        bound = F.when(F.col("n") >= enough, F.col("last"))
         state = staged(state.select("asked", F.coalesce(done, F.lit(False)).alias("done"),
-                                    F.coalesce(after, F.lit(number)).cast("int").alias("need")))
+                                    F.coalesce(after, F.lit(number)).cast("int").alias("need"),
+                                    F.coalesce(bound, F.lit(bits)).cast("int").alias("bound")))
         some = best.join(state.where("done").select("asked"), "asked", "left_semi")
         finished = some if finished is None else finished.union(some)
-        active = state.where("NOT done").select("asked", "need")
+        active = state.where("NOT done").select("asked", "need", "bound")
         best = best.join(active.select("asked"), "asked", "left_semi")
         if not active.limit(1).count():
             break
