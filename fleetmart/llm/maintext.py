@@ -1,7 +1,6 @@
 """The main text of web pages by composite text density.
 
-Method: boilerplate that its element or name gives away is taken out of the tree, by name only where most of the text is left. For every remaining node the characters
-per tag, adjusted for link characters and link tags, are its density; the subtree whose children's densities have the
+Method: boilerplate that its element or name gives away is taken out of the tree. For every remaining node the characters per tag, adjusted for link characters and link tags, are its density; the subtree whose children's densities have the
 largest sum holds the article. The smallest density on the way from that subtree up to the body is the threshold from which
 other parts of that way, and text right in it, count as well; an enclosing article or main element is taken as a whole, with its like beside it from
 that threshold on. Articles below the subtree stand for it if they hold at least half of its text outside links.
@@ -38,21 +37,28 @@ ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
         "option": ("option",), "tbody": ("tr", "td", "th", "thead", "tbody"), "tfoot": ("tr", "td", "th", "tbody")}
 SCOPES = frozenset("html body table ul ol dl select article section div main td th".split())
 WHOLE = frozenset(("article", "main"))
-#: Parts of class and id names and roles of boilerplate; those in OUTSIDE count only outside an article.
+#: Within a form only these may stand around an article for it to count.
+FRAMES = frozenset("form div section span p".split())
+#: Parts of class and id names and roles of what is never part of an article: reader comments, notices, adverts; fixed values.
+NEVER = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promotion promotions outbrain taboola "
+    "comment comments commentlist disqus reply replies respond discussion cookie cookies consent gdpr notice notices "
+    "notification alert popup newsletter subscribe subscription signup login".split())
+#: Parts of names of what is around an article; those in OUTSIDE count only outside one. Such an element goes if the page has
+#: running text without it.
 NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promotion promotions banner nav "
-    "navbar navigation menu menubar breadcrumb breadcrumbs footer sidebar aside widget widgets related recommended "
-    "recommendations share sharing social comment comments commentlist disqus reply replies respond discussion cookie cookies "
-    "consent notice notices notification alert gdpr popup modal overlay newsletter subscribe subscription signup login search "
-    "pagination pager toolbar skip copyright legal contentinfo complementary dialog teaser outbrain taboola".split())
+    "banner nav navbar navigation menu menubar breadcrumb breadcrumbs footer sidebar aside widget widgets related recommended "
+    "recommendations share sharing social modal overlay search pagination pager toolbar skip copyright legal contentinfo "
+    "complementary dialog teaser".split())
 OUTSIDE = frozenset("header masthead topbar".split())
-ARTICLE_NAMES = frozenset("ad ads advert advertisement sponsored promo comment comments reply replies related teaser".split())
-#: First parts of names that tell a state of a page.
+ARTICLE_NAMES = frozenset("related teaser".split())
+#: Parts of names that tell a state: what stands behind the first, and what stands before the last, is no name of the element.
 STATES = frozenset("has no with without hide show is not".split())
-#: What an element's names say: a part of a word is listed, all parts of a word are; or it goes without them.
-PARTLY, PURE, GONE = 1, 2, 3
-#: Shares of a page's text outside links from which a named element stays, by what its names say.
-STAYS = {PARTLY: 0.5, PURE: 0.9}
+SET = frozenset("enabled disabled free open closed on off loaded visible hidden".split())
+#: What an element's names say: it goes if there is running text without it, or it goes.
+NAMED, GONE = 1, 2
+#: Characters other than white space of a block, outside links, from which on it is running text: a sentence.
+RUNNING = 40
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^'\">]++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|</?[a-zA-Z][^>]*+\Z|</[^>]*+>", re.S)
@@ -71,8 +77,8 @@ class Node:
 
 
 def boilerplate(tag: str, attributes: str, inside: bool) -> int:
-    """GONE if an element is no part of the article, PURE or PARTLY if its names say so, else 0. inside: within an article or
-    main element."""
+    """GONE if an element is never part of an article, NAMED if its names say that it stands around one, else 0. inside: within an
+    article or main element."""
     if tag in DROPPED or tag == "header" and not inside:
         return GONE
     if not attributes or tag in ("html", "body", "main"):
@@ -87,10 +93,14 @@ def boilerplate(tag: str, attributes: str, inside: bool) -> int:
         if key in ("class", "id", "role"):
             for word in value.split():
                 parts = [x for x in _PARTS.split(_CAMEL.sub("-", word).lower()) if x]
-                if parts and parts[0] in STATES:  # has-sidebar and no-comments say what is around
+                if parts and parts[-1] in SET:  # ads-enabled
                     continue
-                listed = [x in ARTICLE_NAMES if tag == "article" else x in NAMES or not inside and x in OUTSIDE for x in parts]
-                found = max(found, PURE if parts and all(listed) else PARTLY if any(listed) else 0)
+                state = next((k for k, x in enumerate(parts) if x in STATES), len(parts))  # has-sidebar, post-with-comments
+                for x in parts[:state]:
+                    if x in NEVER:
+                        return GONE
+                    if x in ARTICLE_NAMES if tag == "article" else x in NAMES or not inside and x in OUTSIDE:
+                        found = NAMED
     return found
 
 
@@ -121,9 +131,12 @@ def parsed(page: str) -> Node:
                 if tag in skipped:
                     while skipped.pop() != tag:
                         pass
-                elif tag in ("body", "html"):
-                    skipped.clear()
-                continue
+                    continue
+                if tag in INLINE or not _is_open(node, tag):
+                    if tag in ("body", "html"):
+                        skipped.clear()
+                    continue
+                skipped.clear()  # the end of an element around unclosed boilerplate ends that, too
             up = node
             while up is not root and up.tag != tag and (tag not in INLINE or up.tag in INLINE) and up.tag not in ("td", "th"):
                 up = up.parent
@@ -134,10 +147,13 @@ def parsed(page: str) -> Node:
         if skipped:
             if tag in RAW:
                 position = at = _raw_end(page, at, tag)
+            elif tag in WHOLE and set(skipped) <= FRAMES:  # a form around the whole page
+                skipped.clear()
             elif not void:
                 _skip_ends(skipped, tag)
                 skipped.append(tag)
-            continue
+            if skipped:
+                continue
         if tag in ("html", "body"):
             if tag == "body" and node is root:
                 node = _child(root, "body")
@@ -163,36 +179,47 @@ def parsed(page: str) -> Node:
 
 
 def prune(root: Node) -> None:
-    """Take out the elements that their names give away, but not where most of the page's text would go with them: an element
-    stays if its text outside links and outside named elements in it is a large share of the page's, with all around it. If
-    nothing would be left, all stay."""
+    """Take out the elements that their names give away. If the rest of the page has neither running text nor an article, those
+    stay that hold running text outside others of them, with what is around them; if none does, all stay. Then density decides."""
     nodes = _ordered(root)
     if not any(n.named for n in nodes):
         return
-    own: dict[int, int] = {}  # characters outside links by the nearest named element around them
-    holder = {id(root): (root, False)}
+    # characters outside links by the nearest block, and the nearest named element around that
+    running: dict[int, int] = {}
+    holder: dict[int, tuple[Node, Node, bool]] = {id(root): (root, root, False)}
+    article = False
     for node in nodes:
         if node is not root:
-            around, linked = holder[id(node.parent)]
-            holder[id(node)] = (node if node.named else around, linked or node.tag == "a")
-        around, linked = holder[id(node)]
+            around, block, linked = holder[id(node.parent)]
+            holder[id(node)] = (node if node.named else around, block if node.tag in INLINE else node, linked or node.tag == "a")
+        around, block, linked = holder[id(node)]
         if not linked:
-            own[id(around)] = own.get(id(around), 0) + sum(len("".join(x.split())) for x in node.items if isinstance(x, str))
-    total = sum(own.values())
+            running[id(block)] = running.get(id(block), 0) + sum(len("".join(x.split())) for x in node.items if isinstance(x, str))
+            article = article or around is root and node.inside and running[id(block)] > 0
+    runs = {id(holder[id(n)][0]) for n in nodes if running.get(id(n), 0) >= RUNNING}
     stay: set[int] = set()
-    for node in nodes:
-        if node.named and total and own.get(id(node), 0) >= STAYS[node.named] * total:
-            while node is not None and id(node) not in stay:
-                stay.add(id(node))
-                node = node.parent
-    if not own.get(id(root), 0) and not stay:
-        return
+    if not article and id(root) not in runs:
+        if not runs:
+            return
+        for node in nodes:
+            if node.named and id(node) in runs:
+                while node is not None and id(node) not in stay:
+                    stay.add(id(node))
+                    node = node.parent
     for node in nodes:
         if any(c.named and id(c) not in stay for c in node.children):
             node.items = [" " if isinstance(x, Node) and x.named and id(x) not in stay else x for x in node.items]
             node.children = [c for c in node.children if not c.named or id(c) in stay]
 
 
+def _is_open(node: Node, tag: str) -> bool:
+    while node.parent is not None:
+        if node.tag == tag:
+            return True
+        node = node.parent
+    return False
+
+
 def _skip_ends(skipped: list[str], tag: str) -> None:
     """Inside boilerplate paragraphs and list items end as outside."""
     if skipped and (tag in CLOSES_P and skipped[-1] == "p" or skipped[-1] in ENDS.get(tag, ())) and len(skipped) > 1:

@@ -1,5 +1,7 @@
+import math
 import random
 import zlib
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,11 +125,122 @@ def test_names_do_not_take_the_story(opening):
     assert maintext.main_text(page) == f"{STORY} {STORY}"
 
 
-def test_named_elements_stay_if_nothing_else_is_there():
-    assert maintext.main_text(f"<div class=comments>{STORY}</div>") == STORY
-    assert maintext.main_text("<div class=comment>one <a href=x>two</a></div><div class=reply>three</div>") == "one two three"
-    many = "".join(f"<div class=comment><p>{STORY} {k}</p></div>" for k in range(9))
-    assert maintext.main_text(f"<div><p>{STORY}</p><p>{STORY}</p></div><div class=comments>{many}</div>") == f"{STORY} {STORY}"
+LONG = "".join(f"<div><p>Reader {k} writes more than the story has words. {'And more and more. ' * 60}</p></div>" for k in range(5))
+
+
+@pytest.mark.parametrize("page", [
+    f"<article><p>{STORY}</p><p>{STORY}</p></article><div class='comment-list'>{LONG}</div>",
+    f"<article><p>{STORY}</p><p>{STORY}</p><div class='comment-list'>{LONG}</div></article>",
+    f"<article><p>{STORY}</p><p>{STORY}</p><ul class=replies><li>{LONG}<li>{LONG}</ul></article>",
+    f"<div><p>{STORY}</p><p>{STORY}</p></div><section class=comments>{LONG}</section>",
+    f"<div><p>{STORY}</p><p>{STORY}</p></div><section id='comments-section'><article class=comment>{LONG}</article></section>",
+    f"<div class='cookie-wall'>{LONG}</div><div><p>{STORY}</p><p>{STORY}</p></div>",
+    f"<div class='post-with-comments'><p>{STORY}</p><p>{STORY}</p></div><div class='ad-slot'>{LONG}</div>",
+    f"<div class='ads-enabled'><p>{STORY}</p><p>{STORY}</p></div><div class=sidebar>{LONG}</div>",
+])
+def test_comments_notices_and_adverts_stay_out_at_any_length(page):
+    assert maintext.main_text(f"<body>{page}</body>") == f"{STORY} {STORY}"
+
+
+def test_pages_of_nothing_but_boilerplate():
+    for name in ("comments", "reply", "cookie-wall", "advert"):
+        assert maintext.main_text(f"<body><div class={name}>{LONG}</div></body>") == ""
+    assert maintext.main_text(f"<div class=widget><p>{STORY}</p></div><div class=menu>a b</div>") == STORY
+    assert maintext.main_text("<div class=widget>a few words</div>") == "a few words"
+
+
+@pytest.mark.parametrize("opening", ["<nav><a href=/>Home</a>", "<button>go", "<aside>x", "<header><h1>Site", "<ul class=menu><li><a href=/>x</a>", "<footer><p>f"])
+def test_unclosed_boilerplate_ends_with_what_is_around_it(opening):
+    assert maintext.main_text(f"<body><div>{opening}</div><article><p>{STORY}</p></article></body>") == STORY
+    assert maintext.main_text(f"<body><div><div>{opening}</div></div><div><p>{STORY}</p><p>{STORY}</p></div></body>") == f"{STORY} {STORY}"
+
+
+def test_a_form_around_the_page_is_no_form():
+    page = f"<form id=f><div><input name=q><label>Search</label></div><div><article><p>{STORY}</p></article></div></form>"
+    assert maintext.main_text(f"<body>{page}</body>") == STORY
+    assert maintext.main_text(f"<body><form><p>{STORY}</p></form><div><p>{STORY} x</p></div></body>") == f"{STORY} x"
+
+
+class Plain(HTMLParser):
+    """Closed, well nested elements as [tag, children], texts as strings."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.open = [["html", []]]
+        self.feed(page)
+
+    def handle_starttag(self, tag, attributes):
+        self.open[-1][1].append([tag, []])
+        self.open.append(self.open[-1][1][-1])
+
+    def handle_endtag(self, tag):
+        self.open.pop()
+
+    def handle_data(self, text):
+        self.open[-1][1].append(text)
+
+
+def plainly(page):
+    """Composite text density as its definition says, by plain recursion: the texts of the subtree with the largest sum and
+    of its uncles from the threshold on."""
+    body = Plain(page).open[0]
+
+    def chars(n):
+        return len("".join(n.split())) if isinstance(n, str) else sum(map(chars, n[1]))
+
+    def link_chars(n):
+        return 0 if isinstance(n, str) else chars(n) if n[0] == "a" else sum(map(link_chars, n[1]))
+
+    def tags(n):
+        return 0 if isinstance(n, str) else sum(1 + tags(c) for c in n[1] if not isinstance(c, str))
+
+    def link_tags(n):
+        return 0 if isinstance(n, str) else sum((c[0] == "a") + link_tags(c) for c in n[1] if not isinstance(c, str))
+
+    def density(n):
+        c, t, lc, lt = chars(n), max(1, tags(n)), max(1, link_chars(n)), max(1, link_tags(n))
+        if not c:
+            return 0
+        base = math.log(c / max(1, c - link_chars(n)) * link_chars(n) + link_chars(body) / max(1, chars(body)) * c + math.e)
+        return c / t * math.log(max(1, c / lc * t / lt) + 1e-9) / math.log(base + 1 + 1e-9)
+
+    def summed(n):
+        return sum(density(c) for c in n[1] if not isinstance(c, str)) or density(n) / 1000
+
+    def below(n, way):
+        yield n, way
+        for c in n[1]:
+            if not isinstance(c, str):
+                yield from below(c, [*way, n])
+
+    best, way = max(below(body, []), key=lambda x: summed(x[0]))
+    threshold = min(map(density, [best, *way]))
+
+    def text(n):
+        return n if isinstance(n, str) else f" {''.join(map(text, n[1]))} "
+
+    def shown(n):
+        if n is best:
+            return text(n)
+        if not any(n is w for w in way):
+            return text(n) if density(n) >= threshold else ""
+        return " ".join(shown(c) for c in n[1] if not isinstance(c, str))
+
+    return " ".join(shown(body).split())
+
+
+def test_densities_equal_a_plain_computation():
+    rng = random.Random(7)
+
+    def block(depth):
+        if depth == 0 or rng.random() < 0.3:
+            words = " ".join(rng.choice(["story", "of", "words", "goes", "on", "a", "long"]) for _ in range(rng.choice([1, 4, 40, 120])))
+            link = f"<a href='x'>{words[:rng.choice([5, 40, 400])]}</a>" if rng.random() < 0.4 else ""
+            return f"<p>{words}</p>" if not link else f"<div>{link}</div>" if rng.random() < 0.5 else f"<div><p>{words}</p>{link}</div>"
+        return "<div>" + "".join(block(depth - 1) for _ in range(rng.randint(1, 4))) + "</div>"
+
+    pages = ["<body>" + "".join(block(4) for _ in range(rng.randint(1, 4))) + "</body>" for _ in range(150)]
+    assert [maintext.main_text(p) for p in pages] == [plainly(p) for p in pages]
 
 
 def test_text_right_in_an_ancestor_counts():
@@ -141,3 +254,5 @@ def test_pages_query(spark, small):
     assert len(got) == pages.count()
     assert all(r["n_chars"] == len(r["text"]) > 0 and "<" not in r["text"] for r in got)
     assert maintext.extract(pages.limit(0)).count() == 0
+    twice = maintext.extract(pages.limit(3).union(pages.limit(3))).collect()
+    assert len(twice) == 6 and len({(r["page_id"], r["text"]) for r in twice}) == 3
