@@ -2,13 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetmart.operators.lookup import fits_broadcast
+
+#: Rows of a key from which on they are joined by broadcast, at least; there are at most HOT_KEYS such keys.
+HOT_ROWS = 100_000
+HOT_KEYS = 10_000
+
+
+def matching(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows whose key is one of keys (a row each; n is the number of rows that have it), with the columns of keys. Keys of very
+    many rows are broadcast, so their rows don't meet in one task."""
+    size = keys.agg(F.max("n").alias("most"), F.sum("n").alias("all")).first()
+    least = max(HOT_ROWS, (size["all"] or 0) // HOT_KEYS)
+    if (size["most"] or 0) <= least:
+        return rows.join(keys, on)
+    hot = F.broadcast(keys.where(F.col("n") > least))
+    names = [on, *rows.drop(on).columns, *keys.drop(on).columns]
+    cold = rows.join(hot.select(on), on, "left_anti").join(keys, on)
+    return rows.join(hot, on).select(names).union(cold.select(names))
+
+
+def without(rows: DataFrame, gone: DataFrame, on: str) -> DataFrame:
+    """Rows whose key is not in gone, which is broadcast if it is small."""
+    return rows.join(F.broadcast(gone) if fits_broadcast(gone) else gone, on, "left_anti")
+
 
 def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Consecutive rows with equal keys, in batches that come sorted by them."""
@@ -43,6 +67,53 @@ def linked(alike: np.ndarray) -> np.ndarray:
     return label
 
 
+def matrix(column: pa.Array, width: int) -> np.ndarray:
+    """Minimum hashes, a row of so many for each value of a binary column."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, width)
+
+
+def alike_pairs(width: int, least: float) -> Callable:
+    """Of pairs a, b with their minimum hashes of_a, of_b those that agree in at least so many."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                same = (matrix(batch.column("of_a"), width) == matrix(batch.column("of_b"), width)).sum(axis=1) >= least
+                yield batch.select(["a", "b"]).filter(pa.array(same))
+
+    return task
+
+
+def alike_edges(width: int, least: float, keys: list[str], across: bool = False) -> Callable:
+    """For each group of rows by keys: edges (a, b) that connect the nodes whose minimum hashes agree in at least so many; with
+    across only those whose crowds differ."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for table in grouped(batches, keys):
+            node, minima = table.column("node").to_numpy(), matrix(table.column("minima").combine_chunks(), width)
+            same = np.zeros((node.size, node.size), np.uint8)
+            for k in range(width):
+                same += minima[:, k, None] == minima[None, :, k]
+            alike = same >= least
+            if across:
+                crowd = table.column("crowd").to_numpy()
+                alike &= crowd[:, None] != crowd[None, :]
+            first = linked(alike)
+            moved = np.flatnonzero(first != np.arange(node.size))
+            held.append((node[first[moved]], node[moved]))
+            if len(held) >= 1000:
+                yield edges(held)
+                held = []
+        if held:
+            yield edges(held)
+
+    def edges(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], ["a", "b"])
+
+    return task
+
+
 def blocks(df: DataFrame, size: str, keys: list[str], block: int) -> DataFrame:
     """Members of a group in columns i <= j: every pair of members meets in a block of about 2 block members at most.
 
@@ -55,6 +126,19 @@ def blocks(df: DataFrame, size: str, keys: list[str], block: int) -> DataFrame:
             .repartition(*(F.col(k) for k in (*keys, "i", "j"))).sortWithinPartitions(*keys, "i", "j"))
 
 
+def rest_blocks(df: DataFrame, rest: str, keys: list[str], block: int) -> DataFrame:
+    """Members of a group in columns i, j: every member for which the flag rest holds meets every other in a block.
+
+    The group's numbers are in columns n and n_rest. With few in the rest each member is repeated once or a few times.
+    """
+    chunk = F.xxhash64("node", F.lit("block"))
+    of_all, of_rest = (F.ceil(F.col(c) / block).cast("int") for c in ("n", "n_rest"))
+    every = df.withColumn("j", F.pmod(chunk, of_all).cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), of_rest - 1)))
+    some = (df.where(rest).withColumn("i", F.pmod(chunk, of_rest).cast("int"))
+            .withColumn("j", F.explode(F.sequence(F.lit(0), of_all - 1))))
+    return (every.unionByName(some).repartition(*(F.col(k) for k in (*keys, "i", "j"))).sortWithinPartitions(*keys, "i", "j"))
+
+
 def common_counts(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
     """How many elements each two sets share."""
     owner = np.repeat(np.arange(len(sets)), [s.size for s in sets])

@@ -5,10 +5,10 @@ Two texts are linked if the sets of their five-word shingles have a Jaccard simi
 1. A set has two small collections of half keys, each of a few minimum hashes. A table's key is a pair of half keys, one from
    either collection. So COLLECTION squared tables of 2 WIDTH hashes each need 2 WIDTH COLLECTION minimum hashes only. A pair
    meets in a table if some half key agrees in both collections: at the threshold all but about 1 in 200,000 do.
-2. Half keys that only one set has can't meet; table keys are formed from the others. Tables' buckets with the same members
-   count once.
-3. All members of a bucket are compared with its first by their minimum hashes, far below the threshold; those that look alike
-   form crowds. Only buckets that hold members of several crowds are compared in full.
+2. Sets are dealt by the half keys of the first collection that some other set has, and carry those of the second: the tables
+   of such a bucket are formed where it is read. The sets of a very large bucket are dealt by both.
+3. Members that meet in a table are compared by a few bits of each of their minimum hashes, in blocks; those that look alike,
+   far below the threshold, form crowds.
 4. Inside each crowd all pairs are verified with their full sets, in blocks. Only one edge a text and block leaves a task.
 
 Texts with equal sets are one set (64-bit hashes).
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart.llm.components import components
-from fleetmart.llm.groups import blocks, common_counts, grouped, linked
+from fleetmart.llm.groups import blocks, common_counts, grouped, linked, matching, matrix
 from fleetmart.llm.staging import staged
 from fleetmart.llm.textarrays import Chunk, chunks, mixed, runs, span_hashes
 from fleetmart.operators.lookup import lookup_join
@@ -37,12 +37,14 @@ PERCENT = 85
 COLLECTION = 10
 WIDTH = 2
 HASHES = 2 * COLLECTION * WIDTH
-#: Sets compared at once: by their minimum hashes, and by their elements.
-ALIKE_BLOCK = 1024
+#: Bits of each minimum hash in a signature, and hashes in each of its two numbers.
+BITS = 3
+FIELDS = HASHES // 2
+#: Sets compared at once: by their signatures, and by their elements.
+ALIKE_BLOCK = 512
+#: Sets with one half key from which on they are dealt by pairs of half keys.
+LARGE_BUCKET = 16_384
 BLOCK = 512
-#: Rows of a key from which on they are joined by broadcast, at least; there are at most HOT_KEYS such keys.
-HOT_ROWS = 100_000
-HOT_KEYS = 10_000
 #: Sets to be verified up to which their ids are broadcast (40 bytes each).
 BROADCAST_SETS = 500_000
 _ONE = np.uint64(1)
@@ -100,60 +102,82 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["doc_id", "text_hash", "node", "n_shingles", "minima"])
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, HASHES)
+def _half_keys(minima: np.ndarray) -> np.ndarray:
+    """The half keys of each row of minimum hashes, those of the first collection before those of the second."""
+    minima = minima.reshape(-1, 2 * COLLECTION, WIDTH)
+    key = np.zeros(minima.shape[:2], np.uint64) + np.arange(1, 2 * COLLECTION + 1, dtype=np.uint64)
+    for k in range(WIDTH):
+        key = mixed(key * np.uint64(0x9FB21C651E98DF25) + minima[:, :, k].astype(np.uint64))
+    return key
 
 
-def _half_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _first_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each half key of the first collection."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        minima = _matrix(batch.column("minima")).reshape(-1, 2 * COLLECTION, WIDTH)
-        key = np.zeros(minima.shape[:2], np.uint64) + np.arange(1, 2 * COLLECTION + 1, dtype=np.uint64)
-        for k in range(WIDTH):
-            key = mixed(key * np.uint64(0x9FB21C651E98DF25) + minima[:, :, k].astype(np.uint64))
-        side = np.tile(np.repeat(np.arange(2, dtype=np.int32), COLLECTION), minima.shape[0])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key.ravel().view(np.int64)), pa.array(side), pa.array(np.repeat(batch.column("node").to_numpy(), 2 * COLLECTION))],
-            ["key", "side", "node"])
-
-
-def _rows_of(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows whose key is one of keys (key, n, ...: a row each, n the number of rows that have it), with the columns of keys. Keys
-    of very many rows are broadcast, so their rows don't meet in one task."""
-    hot = keys.where(F.col("n") > max(HOT_ROWS, (keys.agg(F.sum("n")).first()[0] or 0) // HOT_KEYS))
-    if hot.isEmpty():
-        return rows.join(keys, "key")
-    hot = F.broadcast(hot)
-    names = ["key", *rows.drop("key").columns, *keys.drop("key").columns]
-    cold = rows.join(hot.select("key"), "key", "left_anti").join(keys, "key")
-    return rows.join(hot, "key").select(names).union(cold.select(names))
+        if batch.num_rows:
+            key = np.ascontiguousarray(_half_keys(matrix(batch.column("minima"), HASHES))[:, :COLLECTION]).ravel().view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.repeat(batch.column("node").to_numpy(), COLLECTION))], ["key", "node"])
 
 
-def _least_alike() -> float:
-    """Equal minimum hashes from which on sets look alike: five standard deviations below the threshold."""
-    share = PERCENT / 100
-    return HASHES * share - 5 * math.sqrt(HASHES * share * (1 - share))
+def _carried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The half keys of the second collection, and the low bits of all minimum hashes, side by side in two numbers."""
+    shift = (BITS * np.arange(FIELDS)).astype(np.uint64)
+    for batch in batches:
+        if batch.num_rows:
+            minima = matrix(batch.column("minima"), HASHES)
+            low = (minima & ((1 << BITS) - 1)).astype(np.uint64).reshape(-1, 2, FIELDS)
+            both = (low << shift).sum(axis=2, dtype=np.uint64).view(np.int64)
+            second = np.ascontiguousarray(_half_keys(minima)[:, COLLECTION:])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), pa.array([x.tobytes() for x in second], pa.binary())],
+                ["node", "sign0", "sign1", "second"])
 
 
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _second(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, COLLECTION)
+
+
+def _table_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each table: the key of both collections."""
     for batch in batches:
         if batch.num_rows:
-            same = (_matrix(batch.column("of_a")) == _matrix(batch.column("of_b"))).sum(axis=1) >= _least_alike()
-            yield batch.select(["a", "b"]).filter(pa.array(same))
+            first = batch.column("key").to_numpy().view(np.uint64)[:, None]
+            key = mixed(first * np.uint64(0xD6E8FEB86659FD93) + _second(batch.column("second"))).ravel().view(np.int64)
+            rows = pa.array(np.repeat(np.arange(batch.num_rows), COLLECTION))
+            yield pa.RecordBatch.from_arrays([pa.array(key), *(batch.column(c).take(rows) for c in ("node", "sign0", "sign1", "second"))],
+                                             ["key", "node", "sign0", "sign1", "second"])
+
+
+def _least_alike() -> float:
+    """Equal fields of signatures from which on sets look alike: five standard deviations below the threshold."""
+    share = PERCENT / 100
+    share += (1 - share) / (1 << BITS)  # other hashes agree in these bits by chance
+    return HASHES * share - 5 * math.sqrt(HASHES * share * (1 - share))
 
 
-def _alike_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges that connect the members of a block that look alike and are of different crowds."""
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges that connect the members of a block that meet in a table and whose signatures are alike, each with the first of its
+    local component."""
+    lowest = np.uint64(sum(1 << (BITS * k) for k in range(FIELDS)))
     for table in grouped(batches, ["key", "i", "j"]):
-        node, crowd = (table.column(c).to_numpy() for c in ("node", "crowd"))
-        minima = _matrix(table.column("minima").combine_chunks())
-        same = np.zeros((node.size, node.size), np.uint8)
-        for k in range(HASHES):
-            same += minima[:, k, None] == minima[None, :, k]
-        first = linked((same >= _least_alike()) & (crowd[:, None] != crowd[None, :]))
+        node = table.column("node").to_numpy()
+        order = np.argsort(node)
+        node, second = node[order], _second(table.column("second").combine_chunks())[order]
+        meet = np.zeros((node.size, node.size), bool)
+        for k in range(COLLECTION):
+            meet |= second[:, k, None] == second[None, :, k]
+        differ = np.zeros(meet.shape, np.uint8)
+        for name in ("sign0", "sign1"):
+            sign = table.column(name).to_numpy()[order].view(np.uint64)
+            apart = sign[:, None] ^ sign[None, :]
+            fields = apart.copy()
+            for k in range(1, BITS):
+                fields |= apart >> np.uint64(k)
+            differ += np.bitwise_count(fields & lowest)
+        first = linked(meet & (HASHES - differ >= _least_alike()))
         moved = np.flatnonzero(first != np.arange(node.size))
-        yield pa.RecordBatch.from_arrays([pa.array(node[first[moved]]), pa.array(node[moved])], ["a", "b"])
+        if moved.size:
+            yield pa.RecordBatch.from_arrays([pa.array(node[first[moved]]), pa.array(node[moved])], ["a", "b"])
 
 
 def crowds(nodes: DataFrame) -> DataFrame:
@@ -161,29 +185,21 @@ def crowds(nodes: DataFrame) -> DataFrame:
 
     nodes: node (different, not null) and its minima.
     """
-    halves = staged(nodes.mapInArrow(_half_keys, "key long, side int, node long"))
-    shared = _rows_of(halves, halves.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    sides = shared.groupBy("node").agg(*(F.collect_list(F.when(F.col("side") == s, F.col("key"))).alias(f"side{s}") for s in (0, 1)))
-    pairs = F.expr("flatten(transform(side0, x -> transform(side1, y -> xxhash64(x, y))))")
-    tables = staged(sides.select("node", F.explode(pairs).alias("key")))
-    buckets = staged(tables.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first"),
-                                               F.bit_xor(F.xxhash64("node")).alias("members"))
-                     .where("n > 1").groupBy("n", "members").agg(F.min("key").alias("key"), F.min("first").alias("first"))
-                     .select("key", "n", "first"))
-    met = staged(_rows_of(tables, buckets))
-    stars = staged(met.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct())
-    both = lookup_join(stars.join(nodes.select(F.col("node").alias("b"), F.col("minima").alias("of_b")), "b"),
-                       nodes.select(F.col("node").alias("a"), F.col("minima").alias("of_a")), ["a"])
-    alike = staged(both.select("a", "b", "of_a", "of_b").mapInArrow(_alike, "a long, b long"))
-    crowd = components(alike).select("node", F.col("root").alias("crowd"))
-    larger = staged(met.where("n > 2").join(crowd, "node", "left").select("key", "node", F.coalesce("crowd", "node").alias("crowd")))
-    several = staged(larger.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("crowd").alias("low"), F.max("crowd").alias("high"))
-                     .where("low <> high").select("key", "n"))
-    if several.isEmpty():
-        return crowd
-    across = blocks(_rows_of(larger, several).join(nodes.select("node", "minima"), "node"), "n", ["key"], ALIKE_BLOCK)
-    more = staged(across.select("key", "i", "j", "node", "crowd", "minima").mapInArrow(_alike_across, "a long, b long"))
-    return components(alike.union(more)).select("node", F.col("root").alias("crowd"))
+    rows = staged(nodes.mapInArrow(_first_keys, "key long, node long"))
+    keys = staged(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    carried = "node long, sign0 long, sign1 long, second binary"
+    met = matching(rows, keys, "key").join(nodes.mapInArrow(_carried, carried), "node").select("key", "n", "node", "sign0", "sign1", "second")
+    if (keys.agg(F.max("n")).first()[0] or 0) > LARGE_BUCKET:
+        met = staged(met)
+        tables = staged(met.where(F.col("n") > LARGE_BUCKET).mapInArrow(_table_keys, f"key long, {carried}"))
+        sizes = staged(tables.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+        met = met.where(F.col("n") <= LARGE_BUCKET).unionByName(matching(tables, sizes, "key"))
+    alike = (blocks(met, "n", ["key"], ALIKE_BLOCK).select("key", "i", "j", "node", "sign0", "sign1", "second")
+             .mapInArrow(_alike, "a long, b long"))
+    # what a set is linked with is linked with the least of that: far fewer different edges, as buckets share their first members
+    least = staged(alike.groupBy("b").agg(F.min("a").alias("a"), F.collect_set("a").alias("others")))
+    edges = least.select("a", "b").union(least.select("a", F.explode("others").alias("b")).where("a <> b").distinct())
+    return components(edges).select("node", F.col("root").alias("crowd"))
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

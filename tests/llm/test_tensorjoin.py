@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from fleetmart.llm import tensorjoin
+from fleetmart.llm import groups, tensorjoin
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -82,9 +82,10 @@ def test_components_equal_brute_force(spark, docs_of, seed, groups, members):
 def test_small_blocks_hot_keys_and_no_broadcast(spark, docs_of, monkeypatch):
     monkeypatch.setattr(tensorjoin, "ALIKE_BLOCK", 8)
     monkeypatch.setattr(tensorjoin, "BLOCK", 8)
-    monkeypatch.setattr(tensorjoin, "HOT_ROWS", 3)
-    monkeypatch.setattr(tensorjoin, "HOT_KEYS", 10)
+    monkeypatch.setattr(groups, "HOT_ROWS", 3)
+    monkeypatch.setattr(groups, "HOT_KEYS", 10)
     monkeypatch.setattr(tensorjoin, "BROADCAST_SETS", 0)
+    monkeypatch.setattr(tensorjoin, "LARGE_BUCKET", 5)
     rows = corpus(3, 3, 120) + ODD
     assert found(docs_of(rows)) == by_hand(rows)
 
