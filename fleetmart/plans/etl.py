@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schema as S
 from ..functions.expressions import EPOCH
-from ..operators import facts, scd2
+from ..operators import facts, fingerprint, scd2
 from ..operators.append import append_delta
 from ..operators.calendar import date_span, missing_dates
 from ..operators.changes import changed_since, watermark
 from ..operators.control import FAILED_RUN, control_rows, failure, success
+from ..operators.dedupe import first_rows
 from ..operators.lookup import first_reason, lookup_join
 from ..operators.surrogate import number_rows
 from ..session import cut_lineage, staging
@@ -88,41 +89,34 @@ class Run:
             source = changed_since(source, watermark(self.control, spec.source.name).first()[0], self.overlap)
         rows = cut_lineage(spec.extract(source))  # a live source is read once
         if self.rules.resolve:
-            if spec.incremental and self.rules.report:
-                rows = self._with_waiting(spec, rows)
-            rows, unknown = self._referring(spec, rows, self.read)
+            waiting = f"waiting_{spec.source.name}" if spec.incremental and self.rules.report else None
+            waiting = waiting if waiting in self.wh.tables else None
+            held = waiting and sum(self.wh.sizes(waiting))
+            if held:  # behind the watermark; a row that came again is newer
+                again = self.read(waiting).join(rows.select("source_id"), "source_id", "left_anti")
+                rows = rows.unionByName(again.select(*rows.columns))
+            rows, unknown = self._referring(spec, rows)
             if unknown:
                 rows = cut_lineage(rows.withColumn("_reason", first_reason(unknown)))
-                self.leave_out(spec.source.name, rows.filter(F.col("_reason").isNotNull()), "_reason", spec.business)
+                left = rows.filter(F.col("_reason").isNotNull())
+                self.leave_out(spec.source.name, left, "_reason", spec.business)
+                if waiting and (held or not left.isEmpty()):
+                    self.write(waiting, left, replaces=True, emptied=["all"])
                 found = [F.col(f"_{c}").alias(c) if f"_{c}" in rows.columns else F.col(c) for c in ["source_id", *spec.business]]
                 rows = rows.filter(F.col("_reason").isNull()).select(*found)
         return rows
 
-    def _referring(self, spec: scd2.Dimension, rows: DataFrame, read: Callable[..., DataFrame]) -> tuple[DataFrame, list[tuple[Column, str]]]:
+    def _referring(self, spec: scd2.Dimension, rows: DataFrame) -> tuple[DataFrame, list[tuple[Column, str]]]:
         """Rows with the surrogates of their references, and a test and a reason for each reference that isn't known."""
         unknown = []
         for column in [c for c in REFERENCES if c in spec.business and c != spec.source.primary_key]:
             target = REFERENCES[column]
-            lookup = read(target.name, [CURRENT]).select(
+            lookup = self.read(target.name, [CURRENT]).select(
                 F.col("source_id").alias(column), F.col(target.primary_key).alias(f"_{column}"))
             rows = lookup_join(rows, lookup, [column])
             unknown.append((F.col(column).isNotNull() & F.col(f"_{column}").isNull(), f"unknown_{column}"))
         return rows, unknown
 
-    def _with_waiting(self, spec: scd2.Dimension, rows: DataFrame) -> DataFrame:
-        """Also the rows behind the watermark that an earlier run left out and that none has taken since: those whose references
-        were not all known before this run, or that the dimension lacks."""
-        logged = self.read(S.REJECTS.name).filter((F.col("feed") == spec.source.name) & F.col("reason").startswith("unknown_"))
-        logged = logged.select(F.col("seq").alias("source_id")).distinct()
-        if not logged.limit(1).count():
-            return rows
-        old = spec.extract(self.sources[spec.source.name]).join(logged, "source_id", "left_semi")
-        old = cut_lineage(old.join(rows.select("source_id"), "source_id", "left_anti").select(*rows.columns))
-        held = self.wh.read(spec.table.name, [CURRENT]).select("source_id", F.lit(True).alias("_held"))
-        looked, unknown = self._referring(spec, old, self.wh.read)
-        waits = reduce(Column.__or__, [test for test, _ in unknown], F.col("_held").isNull())
-        return rows.unionByName(looked.join(held, "source_id", "left").filter(waits).select(*rows.columns))
-
     def leave_out(self, feed: str, rows: DataFrame, reason: str, shown: list[str]) -> None:
         """Note rows that a load does not take, with the reason and the row as it came."""
         if self.rules.report:
@@ -173,9 +167,16 @@ class Run:
         counts = delta.groupBy("refreshes", month.alias("month"), "_old_month").count().collect()
         fresh = number_rows(
             delta.filter(~F.col("refreshes")).drop("_old_key", "_old_month"), "source_id", key, self.wh.highest(table))
+        self._write_facts(table, delta, fresh, counts, keys, month)
+        self.log[source] = success(source, self.batch_ts, sum(r["count"] for r in counts))
+        if sum(self.wh.sizes(f"state_{source}")):  # holds no longer; built again from the facts when it is wanted
+            self.entries.append((self.number, f"state_{source}", "all", True, "", 0, 0))
+
+    def _write_facts(self, table: str, delta: DataFrame, fresh: DataFrame, counts: list, keys: list[str], month: Column) -> None:
+        declared = S.STAR[table]
         months = sorted({m for r in counts if r["refreshes"] for m in (r["month"], r["_old_month"])})
         if months:
-            new = delta.filter("refreshes").withColumn(key, F.col("_old_key")).select(*declared.names)
+            new = delta.filter("refreshes").withColumn(declared.primary_key, F.col("_old_key")).select(*declared.names)
             old = self.read(table, [str(m) for m in months]).join(new.select(*keys), keys, "left_anti")
             added = fresh.filter(month.isin(months)).select(*declared.names)
             self.write(table, old.select(*declared.names).unionByName(new).unionByName(added), month, replaces=True,
@@ -183,25 +184,92 @@ class Run:
             fresh = fresh.filter(~month.isin(months))
         if any(not r["refreshes"] and r["month"] not in months for r in counts):
             self.write(table, fresh, month)
+
+    def _follow(self, source: str, table: str, prints: DataFrame, resolve: Callable[[DataFrame | None], DataFrame], date: str) -> None:
+        """Bring the facts of those source rows up to date that are new, changed, open or may meet a version of this run.
+
+        ``resolve`` gives the rows whose source_id is in a table of ids, all for None. The state notes what each row looked like
+        and where its fact lies, so neither the other rows nor the facts are read. Facts change as in ``_fact``.
+        """
+        declared, state = S.STAR[table], f"state_{source}"
+        key, month = declared.primary_key, F.expr(f"{date} div 100")
+        values = [c for c in declared.names if c not in (key, "source_id")]
+        fact_print = F.xxhash64(*[F.col(c).cast(declared.struct[c].dataType) for c in values])
+        held, added = self.wh.sizes(state)
+        if held + added:
+            known = fingerprint.newest(self.read(state))
+        else:  # the first run, or facts from runs by other rules
+            known = self.read(table).groupBy("source_id").agg(
+                F.min(key).alias("fact_id"), F.min_by(month, key).alias("fact_month"), F.min_by(fact_print, key).alias("fact_print"))
+            known = known.withColumns({"fingerprint": F.lit(None).cast("long"), "open": F.lit(False)})
+        due = cut_lineage(fingerprint.due(prints, known, F.lit(self.batch_ts.date())))
+        rows = cut_lineage(resolve(due.select("source_id") if held + added else None))
+        self.leave_out(source, rows.filter("unresolved IS NOT NULL").withColumn(
+            "unresolved", F.concat(F.lit("unresolved_"), "unresolved")), "unresolved",
+            [c for c in rows.columns if c not in ("source_id", "unresolved")])
+        batch = first_rows(facts.resolved(rows, list(declared.unique[0])).drop("unresolved"), ["source_id"], ["source_id"])
+        told = due.select("source_id", "fingerprint", "known_print", F.col("fact_id").alias("_old_key"), F.col("fact_month").alias("_old_month"),
+                          F.col("fact_print").alias("_old_print"), F.col("open").alias("_old_open"))
+        found = batch.withColumns({"_new_month": month, "_new_print": fact_print, "_there": F.lit(True)})
+        paired = cut_lineage(told.join(found, "source_id", "left"))
+        delta = paired.filter("_there AND (_old_key IS NULL OR NOT _old_print <=> _new_print)").withColumn(
+            "refreshes", F.col("_old_key").isNotNull())
+        counts = delta.groupBy("refreshes", F.col("_new_month").alias("month"), "_old_month").count().collect()
+        fresh = cut_lineage(number_rows(
+            delta.filter(~F.col("refreshes")).select(*[c for c in batch.columns]), "source_id", key, self.wh.highest(table)))
+        self._write_facts(table, delta, fresh, counts, ["source_id"], month)
+        # rows as they were before are not noted again
+        noted = paired.join(fresh.select("source_id", F.col(key).alias("_fresh")), "source_id", "left").select(
+            "source_id", F.lit(self.number).cast("long").alias("run"), "fingerprint", F.coalesce("_fresh", "_old_key").alias("fact_id"),
+            F.coalesce("_new_month", "_old_month").cast("int").alias("fact_month"), F.coalesce("_new_print", "_old_print").alias("fact_print"),
+            F.col("_there").isNull().alias("open"), "known_print", "_old_open", "_old_print", "_there")
+        noted = cut_lineage(noted.filter(
+            "NOT (fingerprint <=> known_print AND open <=> _old_open AND (open OR fact_print <=> _old_print))").select(*S.STATE[state].names))
+        if not noted.isEmpty():
+            if added < held:
+                self.write(state, noted)
+            else:  # the log has grown as long as what it was added to
+                self.write(state, fingerprint.newest(self.read(state).unionByName(noted)), replaces=True)
         self.log[source] = success(source, self.batch_ts, sum(r["count"] for r in counts))
 
+    @property
+    def _follows(self) -> bool:
+        """Whether a fact depends on its source row and the versions at its event alone, so that unchanged rows need no look."""
+        return self.rules.refresh and self.rules.natural_keys and self.rules.asof == "event"
+
     def rentals(self) -> None:
         rules = self.rules
         rentals = cut_lineage(self.sources["rental_transaction"].select(
             "transaction_id", "customer_id", "vehicle_id", "employee_id", "rental_start_date", "rental_end_date"))
         payments = cut_lineage(self.sources["payment"].select("transaction_id", "amount", "payment_method"))
-        rows = facts.resolve_rentals(
-            rentals, payments, self._versions("dim_customer"), self._versions("dim_vehicle"),
-            self._versions("dim_employee"), self.read("dim_date"), self.batch_ts, rules.asof, rules.inclusive)
-        rows = rows.withColumn("payment_amount", F.col("payment_amount").cast(S.PRICE))
-        self._fact("rental_transaction", "fact_rental_transactions", rows, facts.RENTAL_KEY, "rental_start_date_id")
+
+        def resolve(ids: DataFrame | None) -> DataFrame:
+            some, paid = (_only(rows, ids, "transaction_id") for rows in (rentals, payments))
+            rows = facts.resolve_rentals(
+                some, paid, self._versions("dim_customer"), self._versions("dim_vehicle"),
+                self._versions("dim_employee"), self.read("dim_date"), self.batch_ts, rules.asof, rules.inclusive)
+            return rows.withColumn("payment_amount", F.col("payment_amount").cast(S.PRICE))
+
+        if self._follows:
+            prints = fingerprint.fingerprints(rentals, "transaction_id", "rental_start_date", payments)
+            self._follow("rental_transaction", "fact_rental_transactions", prints, resolve, "rental_start_date_id")
+        else:
+            self._fact("rental_transaction", "fact_rental_transactions", resolve(None), facts.RENTAL_KEY, "rental_start_date_id")
 
     def maintenance(self) -> None:
         rules = self.rules
-        rows = facts.resolve_maintenance(
-            cut_lineage(self.sources["maintenance"]), self._versions("dim_vehicle"), self.read("dim_date"), self.batch_ts,
-            rules.asof, rules.inclusive)
-        self._fact("maintenance", "fact_maintenance", rows, facts.MAINTENANCE_KEY, "maintenance_date_id")
+        services = cut_lineage(self.sources["maintenance"])
+
+        def resolve(ids: DataFrame | None) -> DataFrame:
+            return facts.resolve_maintenance(
+                _only(services, ids, "maintenance_id"), self._versions("dim_vehicle"), self.read("dim_date"), self.batch_ts,
+                rules.asof, rules.inclusive)
+
+        if self._follows:
+            prints = fingerprint.fingerprints(services, "maintenance_id", "service_date")
+            self._follow("maintenance", "fact_maintenance", prints, resolve, "maintenance_date_id")
+        else:
+            self._fact("maintenance", "fact_maintenance", resolve(None), facts.MAINTENANCE_KEY, "maintenance_date_id")
 
     def _versions(self, table: str) -> DataFrame:
         """The versions a fact may meet: at the batch time only the current ones."""
@@ -215,6 +283,13 @@ class Run:
         return log
 
 
+def _only(rows: DataFrame, ids: DataFrame | None, key: str) -> DataFrame:
+    """Rows whose key is among the ids; very many rows of one key don't meet in a task."""
+    if ids is None:
+        return rows
+    return lookup_join(rows, ids.select(F.col("source_id").alias(key), F.lit(True).alias("_due")), [key]).filter("_due").drop("_due")
+
+
 LOGGED = ("vehicle_type", "branch", "customer", "vehicle", "employee", "rental_transaction", "maintenance", FAILED_RUN)
 
 
@@ -247,3 +322,16 @@ def run_etl(warehouse: Warehouse, sources: dict[str, DataFrame], batch_ts: datet
         failed.log[FAILED_RUN] = failure(batch_ts, str(error))
         failed.commit()
         raise
+
+
+def reject_status(warehouse: Warehouse) -> DataFrame:
+    """The reject log, each row with ``open``: whether what it names still waits. Rows of feeds that keep no record of what
+    waits are open for good."""
+    waiting = [warehouse.read(name).select(F.lit(name.removeprefix("waiting_")).alias("feed"), F.col("source_id").alias("seq"))
+               for name in S.WAITING]
+    waiting += [fingerprint.newest(warehouse.read(name)).filter("open").select(
+        F.lit(name.removeprefix("state_")).alias("feed"), F.col("source_id").alias("seq")) for name in S.STATE]
+    told = [name.removeprefix("waiting_").removeprefix("state_") for name in (*S.WAITING, *S.STATE)]
+    still = reduce(DataFrame.unionByName, waiting).withColumn("_waits", F.lit(True))
+    marked = lookup_join(warehouse.read(S.REJECTS.name), still, ["feed", "seq"])
+    return marked.withColumn("open", F.coalesce("_waits", ~F.col("feed").isin(told))).drop("_waits")

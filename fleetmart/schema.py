@@ -172,3 +172,20 @@ STAR = {t.name: t for t in (
 REJECTS = Table("rejects", (
     _text("feed"), Col("seq", ID), _text("reason"), _text("raw"),
 ), "seq")
+
+
+def _state(name: str) -> Table:
+    """What the load knows of each source row of a fact: its fingerprint, and key, month and hash of its fact. ``open``: the
+    row is not in the facts as it stands, since some key is missing. A log; the last run that notes a row counts."""
+    return Table(name, (
+        Col("source_id", ID), Col("run", ID), Col("fingerprint", ID), Col("fact_id", ID), Col("fact_month", INT),
+        Col("fact_print", ID), Col("open", FLAG),
+    ), "source_id")
+
+
+STATE = {t.name: t for t in (_state("state_rental_transaction"), _state("state_maintenance"))}
+
+# Rows of a source that is read by watermark, as they came, which wait for a row they refer to.
+WAITING = {t.name: t for t in (
+    Table("waiting_vehicle", (_key("source_id"), *(c for c in VEHICLE.columns if c.name not in ("vehicle_id", "last_modified"))), "source_id"),
+)}

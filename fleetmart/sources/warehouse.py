@@ -9,7 +9,7 @@ replaces what that part held. One run writes at a time.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from .. import schema as S
 
@@ -30,7 +30,7 @@ def live(entries: list[tuple]) -> list[tuple]:
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, tables: dict[str, S.Table] | None = None):
-        self.spark, self.root, self.tables = spark, root.rstrip("/"), tables or S.STAR | {S.REJECTS.name: S.REJECTS}
+        self.spark, self.root, self.tables = spark, root.rstrip("/"), tables or S.STAR | {S.REJECTS.name: S.REJECTS} | S.STATE | S.WAITING
         self._log: list[tuple] | None = None
 
     def _commits(self) -> list[tuple]:
@@ -49,6 +49,11 @@ class Warehouse:
     def last_commit(self) -> int:
         return max((commit for commit, *_ in self._commits()), default=0)
 
+    def sizes(self, table: str) -> tuple[int, int]:
+        """Rows of a table that its last replacement holds, and rows added since, taken from the commits."""
+        held = [e for e in self._commits() if e[1] == table]
+        return sum(e[5] for e in held if e[3]), sum(e[5] for e in held if not e[3])
+
     def highest(self, table: str) -> int:
         """Greatest surrogate key committed, taken from the commits instead of the data."""
         return max((top for _, name, *_, top in self._commits() if name == table), default=0)
@@ -70,21 +75,28 @@ class Warehouse:
         """Write rows of a table by part; returns the entries to commit, none if there were no rows. Parts named in
         ``emptied`` that get no rows are replaced by nothing.
 
-        Rows are rebalanced by part at run time: few files for a small part, several tasks for a large one.
+        Rows are rebalanced by part at run time: few files for a small part, several tasks for a large one. Rows and
+        greatest key of a table in one part are counted by the write itself, those of several parts from what it wrote.
         """
         declared = self.tables[table]
         folder = f"{table}/batch={commit}-{'replace' if replaces else 'add'}"
         laid = rows.select(*declared.names, (F.lit(WHOLE) if part is None else part).cast("string").alias(PART))
         laid = laid.hint("rebalance", PART)
-        laid.write.mode("overwrite").partitionBy(PART).parquet(f"{self.root}/{folder}")
         key = declared.primary_key
-        stored = T.StructType([declared.struct[key], T.StructField(PART, T.StringType())])
-        written = self.spark.read.schema(stored).parquet(f"{self.root}/{folder}").groupBy(PART).agg(
-            F.count(F.lit(1)).alias("rows"), F.max(key).cast("long").alias("top"))
-        entries = [
-            (commit, table, r[PART], replaces, f"{folder}/{PART}={r[PART]}", r["rows"], r["top"])
-            for r in written.orderBy(PART).collect()
-        ]
+        counters = [F.count(F.lit(1)).alias("rows"), F.max(key).cast("long").alias("top"), F.min(PART).alias("low"),
+                    F.max(PART).alias("high")]
+        seen = Observation()  # behind the rebalancing, so in the stage that writes: a task run again counts once
+        laid.observe(seen, *counters).write.mode("overwrite").partitionBy(PART).parquet(f"{self.root}/{folder}")
+        found = seen.get
+        if not found["rows"]:
+            written = []
+        elif found["low"] == found["high"]:
+            written = [(found["low"], found["rows"], found["top"])]
+        else:
+            stored = T.StructType([declared.struct[key], T.StructField(PART, T.StringType())])
+            written = self.spark.read.schema(stored).parquet(f"{self.root}/{folder}").groupBy(PART).agg(
+                *counters[:2]).orderBy(PART).collect()
+        entries = [(commit, table, name, replaces, f"{folder}/{PART}={name}", rows, top) for name, rows, top in written]
         filled = {e[2] for e in entries}
         return entries + [(commit, table, p, True, "", 0, 0) for p in emptied if p not in filled]
 

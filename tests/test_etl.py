@@ -8,7 +8,9 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from fleetmart import schema as S
-from fleetmart.plans.etl import HISTORICAL, SOUND, run_etl
+from fleetmart.operators import facts
+from fleetmart.operators.fingerprint import newest
+from fleetmart.plans.etl import HISTORICAL, SOUND, reject_status, run_etl
 from fleetmart.sources.warehouse import Warehouse
 
 DAY = [datetime(2024, 6, d) for d in range(1, 6)]
@@ -261,3 +263,89 @@ def test_a_move_to_a_branch_that_comes_late(spark, tmp_path):
     tables["branch"] = tables["branch"].unionByName(spark.createDataFrame([(30, "b3", "l3", None)], S.OLTP["branch"].struct))
     assert counts(run_etl(wh, tables, DAY[2], SOUND))["vehicle"] == 2
     assert counts(run_etl(wh, tables, DAY[3], SOUND)) == NONE
+
+
+@pytest.fixture
+def resolved_counts(monkeypatch):
+    """Rentals and payments that each run resolves."""
+    seen, real = [], facts.resolve_rentals
+
+    def counted(rentals, payments, *others):
+        seen.append((rentals.count(), payments.count()))
+        return real(rentals, payments, *others)
+
+    monkeypatch.setattr(facts, "resolve_rentals", counted)
+    return seen
+
+
+def test_a_run_resolves_what_changed_alone(spark, tmp_path, resolved_counts):
+    wh, tables = Warehouse(spark, str(tmp_path)), oltp(spark)
+    for day in DAY[:2]:  # 93 lies before the calendar and is tried again
+        run_etl(wh, tables, day)
+    pay = lambda *p: tables["payment"].unionByName(spark.createDataFrame([p], S.PAYMENT.struct))
+    tables["payment"] = pay(3, 92, date(2024, 3, 1), Decimal("7.00"), "Cash")
+    assert counts(run_etl(wh, tables, DAY[2])) == NONE | {"rental_transaction": 1}
+    # two payments swap their methods: number and sum stay
+    tables = changed(tables, "payment", 1, payment_method="Debit Card")
+    assert counts(run_etl(wh, tables, DAY[3])) == NONE | {"rental_transaction": 1}
+    assert resolved_counts == [(4, 2), (1, 0), (2, 1), (2, 2)]
+    assert rows(wh.read("fact_rental_transactions"), "source_id", "payment_amount", "payment_method") == [
+        (91, Decimal("120.00"), "Debit Card"), (92, Decimal("7.00"), "Cash"), (94, None, None)]
+    state = newest(wh.read("state_rental_transaction"))
+    assert rows(state, "source_id", "fact_id", "fact_month", "open") == [(91, 1, 202401, False), (92, 2, 202402, False), (93, None, None, True), (94, 3, 202401, False)]
+
+
+def test_facts_without_a_state_are_taken_over(spark, tmp_path, resolved_counts):
+    wh, tables = Warehouse(spark, str(tmp_path)), oltp(spark)
+    run_etl(wh, tables, DAY[0])
+    wh.commit([(wh.last_commit() + 1, "state_rental_transaction", "all", True, "", 0, 0)])
+    assert counts(run_etl(wh, tables, DAY[1])) == NONE
+    assert counts(run_etl(wh, tables, DAY[2])) == NONE
+    assert resolved_counts == [(4, 2), (4, 2), (1, 0)]
+    assert wh.read("fact_rental_transactions").count() == 3
+
+
+def test_rentals_to_come_meet_later_versions(spark, tmp_path):
+    wh, tables = Warehouse(spark, str(tmp_path)), oltp(spark)
+    tables = changed(tables, "rental_transaction", 94, rental_start_date=date(2024, 7, 1), rental_end_date=date(2024, 7, 2))
+    run_etl(wh, tables, DAY[0])
+    tables = changed(tables, "customer", 51, DAY[0] + timedelta(hours=1), first_name="new")
+    assert counts(run_etl(wh, tables, DAY[1])) == NONE | {"customer": 2, "rental_transaction": 1}
+    last = wh.read("dim_customer").filter("source_id = 51 AND is_active").first()["customer_id"]
+    assert rows(wh.read("fact_rental_transactions").filter("customer_id > 2"), "source_id", "customer_id") == [(94, last)]
+
+
+def test_waiting_rows_close_when_what_they_wait_for_comes(spark, tmp_path):
+    wh, tables = Warehouse(spark, str(tmp_path)), oltp(spark)
+    tables = changed(tables, "vehicle", 72, branch_id=99)
+    run_etl(wh, tables, DAY[0])
+    assert rows(wh.read("waiting_vehicle"), "source_id", "branch_id") == [(72, 99)]
+    status = [("rental_transaction", 92, True), ("rental_transaction", 93, True), ("vehicle", 72, True)]
+    assert rows(reject_status(wh), "feed", "seq", "open") == status
+    late = tables | {"branch": tables["branch"].unionByName(spark.createDataFrame([(99, "b9", "l9", None)], S.BRANCH.struct))}
+    # the vehicle itself is not read again: it lies behind the watermark, and is gone from the source by now
+    late["vehicle"] = late["vehicle"].filter("vehicle_id <> 72")
+    assert counts(run_etl(wh, late, DAY[1])) == NONE | {"branch": 1, "vehicle": 1, "rental_transaction": 1}
+    assert wh.read("waiting_vehicle").isEmpty()
+    assert rows(reject_status(wh), "feed", "seq", "open") == [("rental_transaction", 92, False), ("rental_transaction", 93, True), ("vehicle", 72, False)]
+
+
+def test_state_log_is_merged_when_it_has_grown(spark, tmp_path):
+    wh, tables = Warehouse(spark, str(tmp_path)), oltp(spark)
+    run_etl(wh, tables, DAY[0])
+    assert wh.sizes("state_rental_transaction") == (4, 0)
+    seen = []
+    for k in range(1, 4):
+        tables = changed(tables, "rental_transaction", 91, rental_end_date=date(2024, 3, k))
+        tables = changed(tables, "rental_transaction", 92, rental_end_date=date(2024, 3, k))
+        run_etl(wh, tables, DAY[k])
+        seen.append(wh.sizes("state_rental_transaction"))
+    assert seen == [(4, 2), (4, 4), (4, 0)]
+
+
+def test_empty_and_many_part_writes_are_counted(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    days = spark.createDataFrame([(20240100 + k, None, k, None, None, None, None) for k in range(1, 7)], S.DIM_DATE.struct)
+    assert wh.write("dim_date", days.limit(0), 1) == []
+    assert [e[5:] for e in wh.write("dim_date", days, 2)] == [(6, 20240106)]
+    assert [(e[2], *e[5:]) for e in wh.write("dim_date", days, 3, F.col("day_of_month") % 2)] == [("0", 3, 20240106), ("1", 3, 20240105)]
