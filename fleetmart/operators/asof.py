@@ -11,6 +11,9 @@ from ..session import cut_lineage
 from .lookup import Step, any_null, fits_broadcast, prepare_lookup
 
 VERSIONS_PER_KEY = 64
+#: Versions and times of one key in one slice of time from which on the slice is cut where its times lie, and edges at most.
+SLICE_ROWS = 100_000
+MOST_EDGES = 1_000
 
 
 def valid_at(dim: DataFrame, at: datetime | str, inclusive: bool = True) -> DataFrame:
@@ -47,7 +50,8 @@ def prepare_at_event(base: DataFrame, dim: DataFrame, on: str, take: dict[str, s
     the distinct pairs of key and time in ``base`` are answered first: sorted together with the versions per key and
     time slice, each takes the last version before it, and the version a slice starts with is carried in from a summary
     of one row per key and slice. The rows then look up their answer. No row meets more than one version; a hot key
-    shrinks to its distinct times, these are spread over slices, and a hot pair is split off by the lookup.
+    shrinks to its distinct times, these are spread over slices, a slice with very many of them is cut at quantiles of its
+    times, and a hot pair is split off by the lookup.
     """
     lasting = F.col("valid_from") <= F.col("valid_to") if inclusive else F.col("valid_from") < F.col("valid_to")
     versions = dim.filter(lasting).select(
@@ -84,15 +88,36 @@ def _answers(base: DataFrame, versions: DataFrame, on: str, at: str, take: list[
     payload = F.struct("_to", *take)
     starts = versions.select(on, F.col("_from").alias("_t"), payload.alias("_version"))
     both = starts.unionByName(points, allowMissingColumns=True)
-    both = both.withColumn("_slice", F.date_trunc(grain, F.col("_t")).cast("timestamp_ntz"))
-    newest = F.max_by("_version", F.when(F.col(at).isNull(), F.struct("_t", "_version")))
-    earlier = Window.partitionBy(on).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = both.groupBy(on, "_slice").agg(newest.alias("_last")).select(
-        on, "_slice", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+    both = both.withColumn("_slice", F.date_trunc(grain, F.col("_t")).cast("timestamp_ntz")).withColumn("_cut", F.lit(0))
+    newest = F.max_by("_version", F.when(F.col(at).isNull(), F.struct("_t", "_version"))).alias("_last")
+    summary = cut_lineage(both.groupBy(on, "_slice", "_cut").agg(newest, F.count(F.lit(1)).alias("_n")))
+    crowded = summary.filter(F.col("_n") > SLICE_ROWS).select(on, "_slice", "_n")
+    if not crowded.isEmpty():
+        both = _cut_slices(both, crowded, on)
+        summary = both.groupBy(on, "_slice", "_cut").agg(newest)
+    earlier = Window.partitionBy(on).orderBy("_slice", "_cut").rowsBetween(Window.unboundedPreceding, -1)
+    carried = summary.select(on, "_slice", "_cut", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
     # At equal times the start of a version, which has no point, sorts before the point it covers.
-    running = Window.partitionBy(on, "_slice").orderBy("_t", F.asc_nulls_first(at), "_version").rowsBetween(
+    running = Window.partitionBy(on, "_slice", "_cut").orderBy("_t", F.asc_nulls_first(at), "_version").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     placed = both.withColumn("_here", F.last("_version", ignorenulls=True).over(running)).filter(F.col(at).isNotNull())
-    found = placed.join(carried, [on, "_slice"], "left").withColumn("_v", F.coalesce("_here", "_carried"))
+    found = placed.join(carried, [on, "_slice", "_cut"], "left").withColumn("_v", F.coalesce("_here", "_carried"))
     inside = (F.col("_t") <= F.col("_v._to")) if inclusive else (F.col("_t") < F.col("_v._to"))
     return found.filter(inside).select(on, at, *[F.col(f"_v.{n}").alias(n) for n in take])
+
+
+def _cut_slices(both: DataFrame, crowded: DataFrame, on: str) -> DataFrame:
+    """Rows with ``_cut``, their place among the quantiles of the times of their key and slice, if that is crowded. Equal times
+    stay together. The edges are gathered in a bounded state per task and key; crowded slices are few, as each has very many
+    rows, but their number is checked before they are broadcast."""
+    held = F.broadcast(crowded) if fits_broadcast(crowded) else crowded
+    parts = F.least(F.lit(MOST_EDGES), F.ceil(F.col("_n") / SLICE_ROWS)).cast("int")
+    every = both.join(held, [on, "_slice"]).groupBy(on, "_slice").agg(
+        F.percentile_approx("_t", [k / (MOST_EDGES + 1) for k in range(1, MOST_EDGES + 1)], 10 * MOST_EDGES).alias("_every"),
+        F.max("_n").alias("_n"))
+    step = F.greatest(F.lit(1), F.floor(F.lit(MOST_EDGES) / parts)).cast("int")
+    edges = cut_lineage(every.select(on, "_slice", F.array_distinct(
+        F.filter("_every", lambda e, i: (i + 1) % step == 0)).alias("_edges")))
+    edges = F.broadcast(edges) if fits_broadcast(edges, max_rows=10_000) else edges
+    place = F.coalesce(F.size(F.filter("_edges", lambda e: e <= F.col("_t"))), F.lit(0))
+    return both.join(edges, [on, "_slice"], "left").withColumn("_cut", F.when(F.col("_edges").isNull(), F.lit(0)).otherwise(place)).drop("_edges")

@@ -18,20 +18,16 @@ Step = Callable[[DataFrame], DataFrame]
 
 
 def _width(df: DataFrame) -> Column:
-    """Bytes of a row, about: the text as it is, 8 for everything else."""
-    parts = [F.coalesce(F.octet_length(c), F.lit(0)).cast("long") if kind == "string" else F.lit(8).cast("long")
-             for c, kind in df.dtypes]
-    return reduce(Column.__add__, parts, F.lit(16).cast("long"))
+    """Bytes of a row, about: texts and binaries as they are, 8 for everything else."""
+    sized = [c for c, kind in df.dtypes if kind in ("string", "binary")]
+    parts = [F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in sized]
+    return reduce(Column.__add__, parts, F.lit(16 + 8 * (len(df.columns) - len(sized))).cast("long"))
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether df has at most that many rows and bytes. Reads partitions one after another and stops past the limit of
-    rows, so a large table costs no more than its first partitions."""
-    if not df.select(F.lit(1).alias("one")).offset(max_rows).isEmpty():
-        return False
-    if not any(kind == "string" for _, kind in df.dtypes):
-        return True
-    return (df.agg(F.sum(_width(df))).first()[0] or 0) <= max_bytes
+    """Whether df has at most that many rows and bytes, by one aggregation over it."""
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_width(df)).alias("size")).first()
+    return found["n"] <= max_rows and (found["size"] or 0) <= max_bytes
 
 
 def any_null(names: list[str]) -> Column:

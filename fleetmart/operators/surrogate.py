@@ -6,13 +6,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import cut_lineage
 
-WIDTH = 1_000_000
+#: Values of a range: few enough for the rows of a small table to fill all tasks.
+WIDTH = 1 << 16
+#: Ranges of a block. A window over one task sees the blocks; 64-bit ids fill at most 8 million of them.
+BLOCK = 1 << 24
 
 
-def _offsets(sizes: DataFrame, width: int) -> DataFrame:
+def _offsets(sizes: DataFrame) -> DataFrame:
     """Rows before each range, from ranges with their row counts. Ids may be sparse, with nearly as many ranges as rows,
-    so the running sum is taken in blocks of ranges and then over the blocks: 64-bit ids fill few of those."""
-    blocked = sizes.withColumn("_block", F.expr(f"_range div {width}"))
+    so the running sum is taken in blocks of ranges and then over the blocks."""
+    blocked = sizes.withColumn("_block", F.expr(f"_range div {BLOCK}"))
     up_to = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocked.groupBy("_block").agg(F.sum("_n").alias("_n")).select(
         "_block", F.coalesce(F.sum("_n").over(up_to), F.lit(0)).alias("_blocks_before"))
@@ -40,7 +43,7 @@ def number_rows(rows: DataFrame, by: str, into: str, start: int = 0, where: Colu
     number = (F.col("_running") + F.col("_offset") + F.lit(start)).cast("long")
     if where is not None:
         number = F.when(where, number)
-    return running.join(_offsets(sizes, width), "_range").withColumn(into, number).drop("_range", "_running", "_offset")
+    return running.join(_offsets(sizes), "_range").withColumn(into, number).drop("_range", "_running", "_offset")
 
 
 def highest(table: DataFrame, key: str) -> int:
