@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.expressions import EPOCH, instant
+from .lookup import lookup_join
 
 
 def watermarks(control: DataFrame) -> DataFrame:
@@ -32,6 +33,31 @@ def changed_since(source: DataFrame, mark: datetime | str, overlap: str | None =
     return source.filter(F.col(stamp) > since)
 
 
+def boundary(rows: DataFrame, key: str, stamp: str = "last_modified", earlier: DataFrame | None = None) -> DataFrame:
+    """What to remember of rows that were read: the greatest stamp, and the keys read at it (``mark``, ``key``), with those an
+    ``earlier`` boundary holds at the same stamp. A few rows, unless very many rows carry the greatest stamp. No rows: the earlier
+    boundary."""
+    read = rows.select(F.col(stamp).alias("mark"), F.col(key).alias("key")).filter(F.col("mark").isNotNull())
+    if earlier is not None:
+        read = read.unionByName(earlier.select("mark", "key"))
+    greatest = read.agg(F.max("mark").alias("mark"))
+    return read.join(F.broadcast(greatest), "mark").distinct()
+
+
+def changed_from(source: DataFrame, mark: DataFrame, key: str, stamp: str = "last_modified") -> DataFrame:
+    """Rows stamped after a boundary, and those stamped at it that were not read then: a row that turns up late with the very
+    stamp of the last one read is not lost, and none is read twice. Without a boundary all rows that have a stamp.
+
+    The stamp is a literal, so the filter reaches the scan; only rows at the boundary itself look for their key."""
+    at = mark.agg(F.max("mark")).first()[0]
+    if at is None:
+        return source.filter(F.col(stamp).isNotNull())
+    read = mark.select(F.col("key").alias(key), F.lit(True).alias("_read")).distinct()
+    later = source.filter(F.col(stamp) > instant(at))
+    equal = lookup_join(source.filter(F.col(stamp) == instant(at)), read, [key]).filter(F.col("_read").isNull()).drop("_read")
+    return later.unionByName(equal)
+
+
 def apply_updates(base: DataFrame, updates: DataFrame, key: str, batch_ts: datetime | str,
                   stamp: str = "last_modified") -> DataFrame:
     """Set the columns of ``updates`` on the rows they name. A touched row gets the batch time as its stamp, even if no

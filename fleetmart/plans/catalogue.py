@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schema as S
 from ..functions.expressions import EPOCH, HIGH_DATE, availability, instant, money
-from ..operators import asof, facts, ingest, insights, quality, rollups, scd2
+from ..operators import asof, facts, ingest, insights, maintained, quality, rollups, scd2
 from ..operators.append import insert_if_absent, upsert
 from ..operators.calendar import date_rows
-from ..operators.changes import apply_updates, changed_since, watermark, watermarks
+from ..operators.changes import apply_updates, boundary, changed_from, changed_since, watermark, watermarks
 from ..operators.control import latest_runs
 from ..operators.dedupe import first_rows
 from ..operators.lookup import first_reason, in_turn, prepare_key
@@ -75,6 +75,45 @@ def payment_rollup(spark, folder):
     return rollups.payment_rollup(role(spark, folder, "r_payment"))
 
 
+@registered("""
+    , payments AS (
+        SELECT l_orderkey * 8 + l_linenumber AS payment_id, l_orderkey AS transaction_id, CAST(l_extendedprice AS DECIMAL(10,2)) AS amount,
+               'method ' || l_returnflag || l_linestatus AS payment_method
+        FROM lineitem
+    ), kept AS (
+        SELECT CASE WHEN payment_id % 11 = 3 THEN transaction_id + 1 ELSE transaction_id END AS transaction_id,
+               CASE WHEN payment_id % 5 = 2 THEN amount + 1 ELSE amount END AS amount,
+               CASE WHEN payment_id % 13 = 4 THEN 'corrected' ELSE payment_method END AS payment_method
+        FROM payments WHERE payment_id % 7 <> 0)
+    SELECT r.transaction_id, CAST(coalesce(sum(p.amount), 0) AS DECIMAL(24,2)) AS total_cost,
+           left(string_agg(DISTINCT p.payment_method, ', ' ORDER BY p.payment_method), 50) AS payment_method
+    FROM r_rental r LEFT JOIN kept p ON r.transaction_id = p.transaction_id
+    GROUP BY r.transaction_id""", "r_rental")
+def maintained_totals(spark, folder):
+    """Two thirds of the payments, then the rest with corrections, then retractions: the state after three batches, each
+    taken in by its changes alone, against the totals of the payments that are left."""
+    method = "'method ' || l_returnflag || l_linestatus"
+    amount = "CAST(l_extendedprice AS DECIMAL(10,2))"
+    log = given(spark, folder, "lineitem").selectExpr(
+        "l_orderkey * 8 + l_linenumber AS payment_id",
+        f"struct(l_orderkey AS transaction_id, {amount} AS amount, {method} AS payment_method) AS first",
+        f"""struct(if((l_orderkey * 8 + l_linenumber) % 11 = 3, l_orderkey + 1, l_orderkey) AS transaction_id,
+                   CAST(if((l_orderkey * 8 + l_linenumber) % 5 = 2, {amount} + 1, {amount}) AS DECIMAL(10,2)) AS amount,
+                   if((l_orderkey * 8 + l_linenumber) % 13 = 4, 'corrected', {method}) AS payment_method) AS then""")
+    none = F.lit(None)
+    batches = (
+        log.filter("payment_id % 3 <> 0").select(none.alias("old"), F.col("first").alias("new")),
+        log.filter("payment_id % 3 = 0 OR NOT first <=> then").select(
+            F.expr("if(payment_id % 3 = 0, NULL, first)").alias("old"), F.col("then").alias("new")),
+        log.filter("payment_id % 7 = 0").select(F.col("then").alias("old"), none.alias("new")))
+    state = None
+    for batch in batches:
+        kind = log.schema["first"].dataType
+        change = maintained.delta(maintained.signed(batch.select(F.col("old").cast(kind), F.col("new").cast(kind))))
+        state = cut_lineage(change if state is None else maintained.merged(state, change))
+    return maintained.maintained_totals(role(spark, folder, "r_rental"), state)
+
+
 _TOTALS = """
     totals AS (SELECT r.transaction_id, r.vehicle_id, r.rental_start_date, r.rental_end_date,
                       coalesce(sum(p.amount), 0) AS total_cost
@@ -563,6 +602,23 @@ def watermark_extract(spark, folder):
     return changed_since(rows, mark, stamp="o_orderdate").select("o_orderkey", "o_custkey")
 
 
+@registered("""
+    WITH mark AS (SELECT max(o_orderdate) AS m FROM orders WHERE o_orderkey % 4 <> 0 AND o_orderdate <= TIMESTAMP '1996-01-01 00:00:00')
+    SELECT o_orderkey, CAST(2 AS INTEGER) AS run FROM orders, mark
+    WHERE o_orderdate > m OR o_orderdate = m AND o_orderkey % 4 = 0
+    UNION ALL
+    SELECT o_orderkey, 1 FROM orders WHERE o_orderkey % 4 <> 0 AND o_orderdate <= TIMESTAMP '1996-01-01 00:00:00'""")
+def watermark_boundary(spark, folder):
+    """A first run sees three quarters of the orders up to a date; the second takes what came later, and the orders with the
+    very stamp of the boundary that only turned up since."""
+    orders = given(spark, folder, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"))
+    seen = orders.filter("o_orderkey % 4 <> 0 AND o_orderdate <= TIMESTAMP_NTZ '1996-01-01 00:00:00'")
+    first = cut_lineage(changed_from(seen, boundary(seen.limit(0), "o_orderkey", "o_orderdate"), "o_orderkey", "o_orderdate"))
+    mark = cut_lineage(boundary(first, "o_orderkey", "o_orderdate"))
+    second = changed_from(orders, mark, "o_orderkey", "o_orderdate")
+    return second.select("o_orderkey", F.lit(2).alias("run")).unionByName(first.select("o_orderkey", F.lit(1).alias("run")))
+
+
 @registered(f"""
     WITH {_CONTROL}
     SELECT source_table, strftime(max(last_etl_time), '%Y-%m-%d %H:%M:%S') AS last_etl_time
@@ -879,6 +935,54 @@ def constraint_report(spark, folder):
     )
 
 
+#: Rules over given tables, some of which they break.
+_DECLARED = {
+    "customer": S.Table("customer", (S.Col("c_custkey", S.ID, required=True), S.Col("c_name", S.TEXT, limit=17), S.Col("c_nationkey", S.ID)),
+                        "c_custkey", unique=(("c_name",), ("c_nationkey", "c_mktsegment")), foreign={"c_nationkey": ("nation", "n_nationkey")}),
+    "orders": S.Table("orders", (S.Col("o_orderkey", S.ID, required=True), S.Col("o_custkey", S.ID, required=True)), "o_orderkey",
+                      unique=(("o_custkey",),), foreign={"o_custkey": ("customer", "c_custkey")}),
+    "nation": S.Table("nation", (S.Col("n_nationkey", S.ID, required=True),), "n_nationkey"),
+}
+
+
+def _declared(spark, folder) -> dict[str, DataFrame]:
+    """The given tables; a tenth of the customers is left out, so that orders lack theirs."""
+    return {"customer": given(spark, folder, "customer").filter("c_custkey % 10 <> 0"), "orders": given(spark, folder, "orders"),
+            "nation": given(spark, folder, "nation").filter("n_nationkey < 20")}
+
+
+@registered("""
+    WITH c AS (SELECT * FROM customer WHERE c_custkey % 10 <> 0), n AS (SELECT * FROM nation WHERE n_nationkey < 20)
+    SELECT "table", rule, CAST(violations AS BIGINT) AS violations FROM (
+        SELECT 'customer' AS "table", 'not_null:c_custkey' AS rule, count(*) FILTER (c_custkey IS NULL) AS violations FROM c
+        UNION ALL SELECT 'customer', 'length:c_name', count(*) FILTER (length(c_name) > 17) FROM c
+        UNION ALL SELECT 'customer', 'primary_key:c_custkey', count(c_custkey) - count(DISTINCT c_custkey) FROM c
+        UNION ALL SELECT 'customer', 'unique:c_name', count(c_name) - count(DISTINCT c_name) FROM c
+        UNION ALL SELECT 'customer', 'unique:c_nationkey,c_mktsegment', coalesce(sum(k - 1), 0)
+                  FROM (SELECT count(*) AS k FROM c WHERE c_nationkey IS NOT NULL AND c_mktsegment IS NOT NULL GROUP BY c_nationkey, c_mktsegment)
+        UNION ALL SELECT 'customer', 'foreign_key:c_nationkey', count(c_nationkey) FILTER (c_nationkey NOT IN (SELECT n_nationkey FROM n)) FROM c
+        UNION ALL SELECT 'orders', 'not_null:o_orderkey', count(*) FILTER (o_orderkey IS NULL) FROM orders
+        UNION ALL SELECT 'orders', 'not_null:o_custkey', count(*) FILTER (o_custkey IS NULL) FROM orders
+        UNION ALL SELECT 'orders', 'primary_key:o_orderkey', count(o_orderkey) - count(DISTINCT o_orderkey) FROM orders
+        UNION ALL SELECT 'orders', 'unique:o_custkey', count(o_custkey) - count(DISTINCT o_custkey) FROM orders
+        UNION ALL SELECT 'orders', 'foreign_key:o_custkey', count(o_custkey) FILTER (o_custkey NOT IN (SELECT c_custkey FROM c)) FROM orders
+        UNION ALL SELECT 'nation', 'not_null:n_nationkey', count(*) FILTER (n_nationkey IS NULL) FROM n
+        UNION ALL SELECT 'nation', 'primary_key:n_nationkey', count(n_nationkey) - count(DISTINCT n_nationkey) FROM n)""")
+def declared_constraints(spark, folder):
+    return quality.constraint_report(_declared(spark, folder), _DECLARED)
+
+
+@registered("""
+    WITH c AS (SELECT * FROM customer WHERE c_custkey % 10 <> 0)
+    SELECT 'orders' AS "table", 'foreign_key:o_custkey' AS rule, CAST(o_custkey AS VARCHAR) AS "key", count(*) AS rows
+    FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM c) GROUP BY o_custkey
+    UNION ALL
+    SELECT 'orders', 'unique:o_custkey', CAST(o_custkey AS VARCHAR), count(*) FROM orders WHERE o_custkey IS NOT NULL
+    GROUP BY o_custkey HAVING count(*) > 1""")
+def declared_offenders(spark, folder):
+    return quality.offending_keys(_declared(spark, folder), _DECLARED).filter("`table` = 'orders'")
+
+
 @registered("""
     SELECT p_size AS branch_id, count(*) AS rows FROM part
     WHERE p_size NOT IN (SELECT n_nationkey FROM nation) GROUP BY p_size""")

@@ -7,11 +7,12 @@ from decimal import Decimal
 
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from fleetmart import schema as S
 from fleetmart.operators.ingest import ConstraintViolation
 from fleetmart.plans.feeds import Operations
-from fleetmart.sources.catalog import Split, jdbc_options, jdbc_tables, register
+from fleetmart.sources.catalog import Split, even_predicates, jdbc_options, jdbc_tables, register
 from fleetmart.sources.csv_feed import read_feed
 
 NOW = datetime(2024, 6, 1, 12)
@@ -253,3 +254,19 @@ def test_sample_files(spark, tmp_path):
     assert {r.payment_method: r["count"] for r in rental.groupBy("payment_method").count().collect()} == {
         "Credit Card, Debit Card": 14, "Cash, Credit Card": 14, "Cash, Debit Card": 9,
         "Cash, Credit Card, Debit Card": 1}
+
+
+def test_even_predicates_take_each_row_once(spark):
+    """Keys that lie in one dense and one sparse stretch: strides would give one task nearly all of them."""
+    keys = spark.range(10_000).select(F.when(F.col("id") % 10 > 0, F.col("id")).otherwise(F.col("id") * 1_000_000).alias("k"))
+    for parts in (1, 2, 16):
+        predicates = even_predicates(keys, "k", parts)
+        later = keys.union(spark.createDataFrame([(None,), (-5,), (10 ** 12,)], "k long"))
+        hit = later.select(*[F.coalesce(F.expr(p), F.lit(False)).cast("int").alias(f"p{i}") for i, p in enumerate(predicates)])
+        sizes = hit.agg(*[F.sum(c).alias(c) for c in hit.columns]).first()
+        assert len(predicates) == parts and sum(sizes) == 10_003 and max(sizes) <= 1.1 * 10_003 / parts + 3
+        assert hit.filter(" + ".join(hit.columns) + " <> 1").isEmpty()
+    days = spark.sql("SELECT explode(sequence(DATE '2024-01-01', DATE '2024-03-01')) AS d")
+    assert even_predicates(days, "d", 2) == ["d < '2024-01-31' OR d IS NULL", "d >= '2024-01-31'"]
+    assert even_predicates(days.limit(0), "d", 4) == ["1 = 1"]
+    assert even_predicates(spark.range(1).select(F.lit(7).alias("k")), "k", 4) == ["k < 7 OR k IS NULL", "k >= 7"]

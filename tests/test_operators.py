@@ -7,7 +7,7 @@ from helpers import plan_of, rows
 from pyspark.sql import functions as F
 
 from fleetmart import schema as S
-from fleetmart.operators import insights, quality, rollups
+from fleetmart.operators import asof, changes, insights, maintained, quality, rollups
 from fleetmart.operators.append import append_delta, insert_if_absent, upsert
 from fleetmart.operators.asof import prepare_at_batch, prepare_at_event
 from fleetmart.operators.changes import apply_updates, changed_since, watermark
@@ -15,7 +15,7 @@ from fleetmart.operators.control import control_rows, failure, latest_runs, succ
 from fleetmart.operators.dedupe import first_rows, mark_winners
 from fleetmart.operators import lookup as lookups
 from fleetmart.operators.lookup import fits_broadcast, lookup_join, natural_key
-from fleetmart.operators.surrogate import number_rows
+from fleetmart.operators.surrogate import WIDTH, number_rows
 
 
 # --- lookups --------------------------------------------------------------------------------------
@@ -324,3 +324,74 @@ def test_defaults_keep_given_nulls(spark):
     assert row.rental_availability is True and row.last_modified == datetime(2024, 1, 1)
     given = base.withColumn("rental_availability", F.lit(None).cast("boolean"))
     assert quality.apply_defaults(given, S.VEHICLE, datetime(2024, 1, 1)).first().rental_availability is None
+
+
+def payments_of(spark, values):
+    return spark.createDataFrame([(i, t, Decimal(a), m) for i, t, a, m in values],
+                                 "payment_id long, transaction_id long, amount decimal(10,2), payment_method string")
+
+
+def test_maintained_state_equals_a_full_computation(spark):
+    before = payments_of(spark, [(1, 1, "10.00", "cash"), (2, 1, "5.00", "card"), (3, 2, "7.00", "cash"), (4, 3, "1.00", None), (5, 4, "2.00", "cash")])
+    after = payments_of(spark, [(1, 1, "10.00", "cash"), (2, 2, "5.00", "card"), (3, 2, "8.00", "voucher"), (5, 4, "2.00", "cash"), (6, 9, "3.00", "cash")])
+    told = maintained.payment_changes(before, after)
+    assert rows(told, "payment_id", "kind") == [(2, "correct"), (3, "correct"), (4, "retract"), (6, "insert")]
+
+    def whole(payments):
+        return maintained.delta(payments.withColumn("sign", F.lit(1)))
+
+    kept = maintained.merged(whole(before), maintained.delta(maintained.signed(told)))
+    assert rows(kept, *maintained.STATE, "payments", "amount") == rows(whole(after), *maintained.STATE, "payments", "amount")
+    assert maintained.unfounded(kept).isEmpty()
+    again = maintained.merged(kept, maintained.delta(maintained.signed(told.filter("kind = 'retract'"))))
+    assert rows(maintained.unfounded(again), "transaction_id", "payments") == [(3, -1)]
+    rentals = spark.range(1, 5).withColumnRenamed("id", "transaction_id")
+    assert rows(maintained.maintained_totals(rentals, kept)) == [
+        (1, Decimal("10.00"), "cash"), (2, Decimal("13.00"), "card, voucher"), (3, Decimal("0.00"), None), (4, Decimal("2.00"), "cash")]
+
+
+def test_boundary_keeps_rows_of_equal_stamps(spark):
+    day = [datetime(2024, 1, d) for d in (1, 2, 3)]
+    make = lambda values: spark.createDataFrame(values, "k long, last_modified timestamp_ntz")
+    none = changes.boundary(make([]), "k")
+    first = changes.changed_from(make([(1, day[0]), (2, day[1]), (3, None)]), none, "k")
+    assert rows(first, "k") == [(1,), (2,)]
+    mark = changes.boundary(first, "k", earlier=none)
+    second = changes.changed_from(make([(1, day[0]), (2, day[1]), (4, day[1]), (5, day[2])]), mark, "k")
+    assert rows(second, "k") == [(4,), (5,)]
+    assert rows(changes.boundary(make([]), "k", earlier=mark)) == [(day[1], 2)]
+    more = changes.boundary(make([(4, day[1])]), "k", earlier=mark)
+    assert rows(more) == [(day[1], 2), (day[1], 4)]
+    assert changes.changed_from(make([(2, day[1]), (4, day[1])]), more, "k").isEmpty()
+
+
+@pytest.mark.parametrize("inclusive", [True, False])
+def test_crowded_slices_are_cut_where_their_times_lie(spark, monkeypatch, inclusive):
+    """One key with very many times in one day, and versions that begin, end and touch amid them."""
+    start = datetime(2024, 1, 1)
+    times = [(1, start + timedelta(seconds=7 * i)) for i in range(4000)] + [(2, start + timedelta(hours=i)) for i in range(60)] + [(None, start), (1, None)]
+    base = spark.createDataFrame(times, "k long, t timestamp_ntz").withColumn("row", F.monotonically_increasing_id())
+    versions = [(1, start + timedelta(minutes=20 * i), start + timedelta(minutes=20 * i + (15 if i % 3 else 20)), i) for i in range(-1, 25)]
+    versions += [(1, start + timedelta(minutes=40), start + timedelta(minutes=40), 99), (2, start, start + timedelta(days=1), 5)]
+    dim = spark.createDataFrame(versions, "source_id long, valid_from timestamp_ntz, valid_to timestamp_ntz, v int")
+
+    def answer(strategy):
+        return rows(asof.prepare_at_event(base, dim, "k", {"v": "v"}, "t", inclusive, strategy=strategy)(base), "row", "v")
+
+    want = answer("broadcast")
+    assert answer("carry") == want
+    monkeypatch.setattr(asof, "SLICE_ROWS", 50)
+    assert answer("carry") == want
+    both = base.filter("k IS NOT NULL AND t IS NOT NULL").select("k", F.col("t").alias("_t")).withColumn("_slice", F.date_trunc("DAY", "_t").cast("timestamp_ntz"))
+    crowded = both.groupBy("k", "_slice").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 50")
+    sizes = [r["count"] for r in asof._cut_slices(both, crowded, "k").filter("k = 1").groupBy("_cut").count().collect()]
+    assert len(sizes) >= 60 and max(sizes) <= 120
+
+
+def test_numbering_spreads_small_tables(spark):
+    ids = spark.range(600_000).withColumn("id", F.col("id") * 1)
+    sizes = ids.groupBy((F.col("id") / WIDTH).cast("long").alias("r")).count().collect()
+    assert len(sizes) >= 9 and max(r["count"] for r in sizes) <= WIDTH
+    sparse = spark.createDataFrame([(2 ** 62,), (5,), (-7,), (2 ** 40,), (WIDTH,), (-(2 ** 62),)], "id long")
+    assert rows(number_rows(sparse, "id", "n", start=10)) == sorted(
+        [(v, 11 + i) for i, v in enumerate(sorted([2 ** 62, 5, -7, 2 ** 40, WIDTH, -(2 ** 62)]))], key=str)
