@@ -1,8 +1,8 @@
 """Secret scans with a random forest against false findings.
 
 Method: candidates are runs of at least 12 characters that keys and tokens are made of, with a digit among them; a name before
-an equals sign is cut off and read as the neighbouring word. Runs of a known format, passwords in addresses and what is
-assigned to a credential word are candidates at any length. A random forest tells secrets from identifiers, numbers, addresses and paths by their length, character transitions, the share that
+an equals sign is cut off and read as the neighbouring word. Runs of a known format, passwords in addresses, bearer tokens, bodies
+of private keys and what is assigned to a credential word are candidates as wholes, at any length and with any characters. A random forest tells secrets from identifiers, numbers, addresses and paths by their length, character transitions, the share that
 words of the document cover, path shape and the neighbouring words. It is trained on labelled findings; where none are
 given, strict format rules label the clear cases of the corpus and leave the rest to the forest.
 
@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetmart.llm.staging import staged
 from fleetmart.llm.textarrays import Chunk, chunks, class_table, runs
 
 LEAST_LENGTH = 12
@@ -42,9 +43,15 @@ KNOWN_FORMATS = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}$|gh[pousr]_[0-9A-Za-z]{30
 WORD = re.compile(r"[^\W\d_]{4,}")
 FEATURES = ["length", "digits", "upper", "lower", "distinct", "entropy", "transitions", "common_pairs", "words_cover", "slashes",
             "dots", "dashes", "path", "after_scheme", "at_sign", "hex", "quoted", "assigned", "credential_before",
-            "harmless_before", "credential_after", "userinfo", "blank_before"]
-#: A user and a colon in an address, before the password.
-USERINFO = re.compile(r"://[^\s/@:]*:$")
+            "harmless_before", "credential_after", "userinfo", "blank_before", "framed"]
+#: What stands behind a sign of assignment: in quotes, behind an opening quote, or up to the next white space or quote.
+VALUE = re.compile(r"[=>]?\s{0,48}(?:\"([^\"\n]+)\"|'([^'\n]+)'|`([^`\n]+)`|[\"'`]([^\s\"'`]+)|([^\s\"'`]+))")
+ADDRESS = re.compile(r"[^\s\"'`<>]+")
+BEARER = re.compile(r"(?i:bearer)\s+([A-Za-z0-9\-._~+/]{8,}=*)")
+AUTHORIZATION = re.compile(r"authorization\W*$", re.I)
+PRIVATE_KEY = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----\s*([^-]+)")
+#: How a whole candidate was found.
+ASSIGNMENT, IN_ADDRESS, FRAMED = 1, 2, 3
 ASSIGNED = re.compile(r"[=:]\s*[\"'`]?$")
 SCHEMA = "doc_id long, start long, end long, score double, is_secret boolean"
 
@@ -62,14 +69,8 @@ def spans(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     long = end - begin >= LEAST_LENGTH
     digits = np.concatenate([[0], np.cumsum((cps >= 48) & (cps <= 57))])
     taken = long & (digits[end] > digits[begin])
-    # runs in which a known format may begin, and those behind an equals sign or a colon
-    known = long & np.isin(cps[begin], [ord(c) for c in "Agxse.-_"])
-    start = chunk.starts[np.searchsorted(chunk.starts, begin, "right") - 1]
-    blank = class_table(r"[\s\"'`]")[cps] == 1
-    last = np.maximum.accumulate(np.where(blank, -1, np.arange(cps.size)))  # the last other character up to here
-    before = np.where(begin > 0, last[begin - 1], -1)
-    assigned = (before >= start) & np.isin(cps[before], [ord("="), ord(":")])
-    taken |= known | assigned
+    # runs in which a known format may begin
+    taken |= long & np.isin(cps[begin], [ord(c) for c in "Agxse.-_"])
     return begin[taken], end[taken]
 
 
@@ -98,18 +99,69 @@ def _near(before: str) -> str:
     return " ".join(re.split(r"\W+", before.rstrip(" \t\"'`=:([{<>"))[-2:])
 
 
-def _password_in_address(before: str, after: str) -> bool:
-    return after[:1] == "@" and bool(USERINFO.search(before))
-
-
-def _by_evidence(text: str, begin: int, end: int) -> bool:
-    """Whether a run of any length is a candidate: a known format, a password in an address, or assigned to a credential word."""
-    before = text[max(0, begin - CONTEXT):begin]
-    return bool(KNOWN_FORMATS.match(text[begin:end])) or _password_in_address(before, text[end:end + 1]) or (
-        bool(ASSIGNED.search(before)) and bool(CREDENTIAL.search(_near(before))))
-
-
-def described(text: str, begin: int, end: int, words: Counter[str], pairs: Counter[str]) -> list[float]:
+def _password(token: str) -> tuple[int, int] | None:
+    """Begin and end of the password in an address, which is given from behind its `//`: from the first colon to the last `@` of
+    what stands before the path; a password with a slash ends at the last `@` of all."""
+    head = re.match(r"[^/?#]*", token)[0]
+    if "@" not in head:
+        if ":" not in head or "@" not in token or re.match(r":\d{1,5}$", head[head.index(":"):]):
+            return None
+        head = token
+    end, colon = head.rindex("@"), head.find(":")
+    return (colon + 1, end) if 0 <= colon < end - 1 else None
+
+
+def _assigned_value(text: str, sign: int, start: int, stop: int) -> tuple[int, int] | None:
+    """Begin and end of what a sign of assignment gives to a credential word."""
+    before = text[max(start, sign - CONTEXT):sign]
+    found = VALUE.match(text, sign + 1, stop) if CREDENTIAL.search(_near(before)) else None
+    if found is None:
+        return None
+    a, b = found.span(found.lastindex)
+    if found.lastindex == 5:
+        name = before.split()[-1] if before.split() else ""
+        # a parameter of an address, or one of several
+        b = a + re.search(r"[&#]|\Z" if "?" in name or "&" in name or "://" in name else r"&[\w.-]+=|\Z", text[a:b]).start()
+        b = a + len(text[a:b].rstrip(",;)]}>."))
+    return (a, b) if b > a else None
+
+
+def whole_candidates(chunk: Chunk, text: str) -> list[tuple[int, int, int, int]]:
+    """Row in the chunk, begin and end in its text, and kind of the candidates that what stands around them shows."""
+    cps = chunk.cps
+    found: dict[int, tuple[int, int]] = {}
+
+    def add(span: tuple[int, int] | None, kind: int) -> None:
+        if span is not None:
+            found[span[0]] = max(found.get(span[0], (0, 0)), (span[1], kind))
+
+    signs = np.flatnonzero((cps == ord("=")) | (cps == ord(":")))
+    rows = np.searchsorted(chunk.starts, signs, "right") - 1
+    for sign, start, stop in zip(signs.tolist(), chunk.starts[rows].tolist(), chunk.starts[rows + 1].tolist()):
+        if text.startswith("://", sign) and sign + 3 < stop:
+            token = ADDRESS.match(text, sign + 3, stop)
+            span = token and _password(token[0])
+            add(span and (sign + 3 + span[0], sign + 3 + span[1]), IN_ADDRESS)
+        else:
+            add(_assigned_value(text, sign, start, stop), ASSIGNMENT)
+    for pattern in (BEARER, PRIVATE_KEY):
+        for match in pattern.finditer(text):
+            row = np.searchsorted(chunk.starts, match.start(), "right") - 1
+            a, b = match.start(1), min(match.start(1) + len(match[1].rstrip()), int(chunk.starts[row + 1]))
+            value = text[a:b]
+            mixed = len(value) >= 16 and (any(c.isdigit() for c in value) or not value[1:].islower())
+            if b > a and (pattern is PRIVATE_KEY or mixed or AUTHORIZATION.search(text, int(chunk.starts[row]), match.start())):
+                add((a, b), FRAMED)
+    kept, last = [], 0
+    for a in sorted(found):
+        if a >= last:  # what begins inside another belongs to that
+            last, kind = found[a]
+            row = int(np.searchsorted(chunk.starts, a, "right")) - 1
+            kept.append((row, a - int(chunk.starts[row]), last - int(chunk.starts[row]), kind))
+    return kept
+
+
+def described(text: str, begin: int, end: int, words: Counter[str], pairs: Counter[str], kind: int = 0) -> list[float]:
     """The features of a candidate. words, pairs: how often the document has each word of 4 letters and more, and how many of
     these words each letter pair is in; what only the candidate itself brings in doesn't count."""
     value = text[begin:end]
@@ -139,17 +191,24 @@ def described(text: str, begin: int, end: int, words: Counter[str], pairs: Count
         float(after[:1] == "@" or before[-1:] == "@"), float(all(c in "0123456789abcdef" for c in low)),
         float(before[-1:] in ("\"", "'", "`") and after[:1] == before[-1:]), float(bool(ASSIGNED.search(before))),
         float(bool(CREDENTIAL.search(near))), float(bool(HARMLESS.search(near))),
-        float(any(CREDENTIAL.search(w) for w in next_words)), float(_password_in_address(before, after)),
-        float(before[-1:].isspace()),
+        float(any(CREDENTIAL.search(w) for w in next_words)), float(kind == IN_ADDRESS),
+        float(before[-1:].isspace()), float(kind == FRAMED),
     ]
 
 
+def is_format(value: str, described_as: list[float]) -> bool:
+    """Whether a candidate is a secret by its form alone: a known format, a password in an address, a bearer token or a private
+    key."""
+    f = dict(zip(FEATURES, described_as))
+    return bool(KNOWN_FORMATS.match(value) or f["userinfo"] or f["framed"])
+
+
 def rule_label(value: str, described_as: list[float]) -> int:
     """1 for clear secrets, 0 for clearly harmless findings, -1 for what only the forest decides."""
     f = dict(zip(FEATURES, described_as))
     random = f["entropy"] >= 3 and f["distinct"] * len(value) >= 8 and f["words_cover"] < 0.5
     given = f["credential_before"] and f["assigned"]
-    if KNOWN_FORMATS.match(value) or f["userinfo"] or (given and random and len(value) >= 20):
+    if is_format(value, described_as) or (given and random and len(value) >= 20):
         return 1
     if given:  # a short or plain password is open, a known word after a blank is prose
         return 0 if f["blank_before"] and not f["digits"] and f["words_cover"] >= 0.999 else -1
@@ -163,28 +222,36 @@ def findings(chunk: Chunk) -> Iterator[tuple[int, int, int, str, list[float]]]:
     """Row in the batch, start, end, value and features of every candidate."""
     begin, end = spans(chunk)
     owner = np.searchsorted(chunk.starts, begin, "right") - 1
+    every = chunk.cps.tobytes().decode("utf-32-le")
+    places: dict[int, list[tuple[int, int, int]]] = {}
+    for row, a, b, kind in whole_candidates(chunk, every):
+        places.setdefault(row, []).append((a, b, kind))
     # several empty rows share a start: the last of them is the one with text
-    for row in np.unique(owner):
-        start, stop = int(chunk.starts[row]), int(chunk.starts[row + 1])
-        text = chunk.bytes_of(start, stop).decode("utf-8")
-        ordinary = pairs = None
-        for a, b in zip(begin[owner == row] - start, end[owner == row] - start):
+    for row in np.union1d(owner, np.array(list(places), np.int64)).astype(int).tolist():
+        start = int(chunk.starts[row])
+        text = every[start:int(chunk.starts[row + 1])]
+        whole = places.get(row, [])
+        found = list(whole)
+        for a, b in zip((begin[owner == row] - start).tolist(), (end[owner == row] - start).tolist()):
             while b > a and text[b - 1] in ".-_/":
                 b -= 1
             while a < b and text[a] in ".-_":
                 a += 1
             value = text[a:b]
-            if len(value) >= LEAST_LENGTH and any(c.isdigit() for c in value) or value and _by_evidence(text, int(a), int(b)):
-                if ordinary is None:
-                    ordinary = Counter(WORD.findall(text.lower()))
-                    pairs = Counter(p for w in ordinary for p in _pairs(w))
-                yield chunk.first + int(row), int(a), int(b), value, described(text, int(a), int(b), ordinary, pairs)
+            if (len(value) >= LEAST_LENGTH and any(c.isdigit() for c in value) or KNOWN_FORMATS.match(value)) and not any(
+                    a < d and c < b for c, d, _ in whole):
+                found.append((a, b, 0))
+        if found:
+            ordinary = Counter(WORD.findall(text.lower()))
+            pairs = Counter(p for w in ordinary for p in _pairs(w))
+            for a, b, kind in sorted(found):
+                yield chunk.first + row, a, b, text[a:b], described(text, a, b, ordinary, pairs, kind)
 
 
 class Forest:
     """Trees of splits (feature, limit) on bootstrap samples with random features at each split; scores are mean shares."""
 
-    #: Whether the labels came from the format rules, whose clear secrets then stand.
+    #: Whether the labels came from the format rules. What is a secret by its form alone then stands, all else is the forest's.
     ruled = False
 
     def __init__(self, x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, seed: int = 7):
@@ -260,10 +327,15 @@ def learn(docs: DataFrame, labelled: DataFrame | None = None, learned_per_class:
     if labelled is not None:
         own = labelled.select("doc_id", "start", F.col("is_secret").cast("int").alias("given")).dropDuplicates(["doc_id", "start"])
         found = found.join(own, ["doc_id", "start"]).withColumn("label", F.col("given")).drop("given")
-    place = F.xxhash64("doc_id", "start", "features")
+    found = staged(found.where(F.col("label") >= 0).withColumn("place", F.xxhash64("doc_id", "start", "features")))
+    # of a class with many findings the ranking sees about twice as many as are wanted, picked by the same hash
+    sizes = {r["label"]: r["count"] for r in found.groupBy("label").count().collect()}
+    bound = F.lit(False)
+    for label, size in sizes.items():
+        share = min(1.0, (2 * learned_per_class + 100) / size)
+        bound = bound | (F.col("label") == label) & (F.col("place") <= int(min(2.0 ** 64 * share, 2 ** 64 - 1) - 2 ** 63))
     rank = F.row_number().over(Window.partitionBy("label").orderBy("place", "doc_id", "start"))
-    sample = (found.where(F.col("label") >= 0).withColumn("place", place).withColumn("rank", rank)
-              .where(F.col("rank") <= learned_per_class).withColumn("all", F.lit(0)))
+    sample = found.where(bound).withColumn("rank", rank).where(F.col("rank") <= learned_per_class).withColumn("all", F.lit(0))
     forests = sample.groupBy("all").applyInPandas(_trained, "forest binary").collect()
     forest = pickle.loads(forests[0]["forest"]) if forests else None
     if forest is not None:
@@ -274,11 +346,10 @@ def learn(docs: DataFrame, labelled: DataFrame | None = None, learned_per_class:
 def _judged(forest: Forest | None, found: list[tuple]) -> np.ndarray:
     if not found:
         return np.empty(0)
-    clear = np.array([float(rule_label(x[3], x[4]) == 1) for x in found])
     if forest is None:
-        return clear
+        return np.array([float(rule_label(x[3], x[4]) == 1) for x in found])
     score = forest.scores(np.array([x[4] for x in found]))
-    return np.maximum(score, clear) if forest.ruled else score
+    return np.maximum(score, [float(is_format(x[3], x[4])) for x in found]) if forest.ruled else score
 
 
 def _scanned(broadcast, threshold: float):
