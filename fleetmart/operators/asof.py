@@ -46,8 +46,8 @@ def prepare_at_event(base: DataFrame, dim: DataFrame, on: str, take: dict[str, s
     The answer is the last version of the key that starts no later than the row's time, if it still covers that time;
     of versions with one start the one with the later end, then the greater values in ``take``. So versions that
     overlap, touch or start together give one answer, and empty versions (half-open, start equal to end) none,
-    whichever way is taken. A dimension of checked size, with few versions per key, is broadcast. Otherwise
-    the distinct pairs of key and time in ``base`` are answered first: sorted together with the versions per key and
+    whichever way is taken. A dimension of checked size, with few versions per key, is broadcast. A larger one with few
+    versions per key is looked up by key, all versions of a key in one row. Otherwise the distinct pairs of key and time in ``base`` are answered first: sorted together with the versions per key and
     time slice, each takes the last version before it, and the version a slice starts with is carried in from a summary
     of one row per key and slice. The rows then look up their answer. No row meets more than one version; a hot key
     shrinks to its distinct times, these are spread over slices, a slice with very many of them is cut at quantiles of its
@@ -60,9 +60,8 @@ def prepare_at_event(base: DataFrame, dim: DataFrame, on: str, take: dict[str, s
     )
     if strategy == "auto":
         most = F.max("n") <= VERSIONS_PER_KEY
-        narrow = fits_broadcast(versions) and (
-            versions.groupBy(on).agg(F.count(F.lit(1)).alias("n")).agg(most).first()[0] is not False)
-        strategy = "broadcast" if narrow else "carry"
+        few = versions.groupBy(on).agg(F.count(F.lit(1)).alias("n")).agg(most).first()[0] is not False
+        strategy = ("broadcast" if fits_broadcast(versions) else "listed") if few else "carry"
     if strategy == "carry":
         answers = cut_lineage(_answers(base, versions, on, at, list(take), inclusive, grain))
         return prepare_lookup(base, answers, [on, at])
@@ -70,6 +69,8 @@ def prepare_at_event(base: DataFrame, dim: DataFrame, on: str, take: dict[str, s
     # A version counts up to the start of the next one; with equal starts only the last has any time left.
     following = F.lead("_from").over(Window.partitionBy(on).orderBy("_from", "_to", *take))
     apart = versions.withColumn("_next", following)
+    if strategy == "listed":
+        return _prepare_listed(base, apart, on, at, list(take), inclusive)
 
     def step(rows: DataFrame) -> DataFrame:
         moment = F.col(f"r.{at}").cast("timestamp_ntz")
@@ -82,6 +83,21 @@ def prepare_at_event(base: DataFrame, dim: DataFrame, on: str, take: dict[str, s
     return step
 
 
+def _prepare_listed(base: DataFrame, apart: DataFrame, on: str, at: str, take: list[str], inclusive: bool) -> Step:
+    """The step for few versions per key: rows look up the versions of their key and pick one."""
+    listed = cut_lineage(apart.groupBy(on).agg(F.collect_list(F.struct("_from", "_to", "_next", *take)).alias("_held")))
+    find = prepare_lookup(base, listed, [on], counted=apart)
+
+    def step(rows: DataFrame) -> DataFrame:
+        moment = F.col(at).cast("timestamp_ntz")
+        meant = F.filter("_held", lambda v: _covers(moment, v["_from"], v["_to"], inclusive) & (
+            v["_next"].isNull() | (moment < v["_next"])))
+        return find(rows).withColumn("_version", F.get(meant, F.lit(0))).select(
+            *rows.columns, *[F.col(f"_version.{n}").alias(n) for n in take])
+
+    return step
+
+
 def _answers(base: DataFrame, versions: DataFrame, on: str, at: str, take: list[str], inclusive: bool,
              grain: str) -> DataFrame:
     points = base.filter(~any_null([on, at])).select(on, at).distinct().withColumn("_t", F.col(at).cast("timestamp_ntz"))

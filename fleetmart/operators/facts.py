@@ -34,6 +34,13 @@ def resolve_rentals(rentals: DataFrame, payments: DataFrame, customers: DataFram
 
     ``asof='batch'`` takes the versions valid at the batch time, ``'event'`` those valid at the rental start.
     """
+    return resolve_paid(rentals, payment_rollup(payments), customers, vehicles, employees, dim_date, batch_ts, asof, inclusive)
+
+
+def resolve_paid(rentals: DataFrame, paid: DataFrame, customers: DataFrame, vehicles: DataFrame,
+                 employees: DataFrame, dim_date: DataFrame, batch_ts: datetime | str, asof: str = "batch",
+                 inclusive: bool = True) -> DataFrame:
+    """``resolve_rentals`` for payments that are rolled up already; ``paid`` may hold more rentals."""
     base = rentals.select(
         F.col("transaction_id").alias("source_id"), F.col("customer_id").alias("source_customer"),
         F.col("vehicle_id").alias("source_vehicle"), F.col("employee_id").alias("source_employee"),
@@ -48,8 +55,7 @@ def resolve_rentals(rentals: DataFrame, payments: DataFrame, customers: DataFram
         _prepare_date(base, dim_date, "rental_start_date", "rental_start_date_id"),
         _prepare_date(base, dim_date, "rental_end_date", "rental_end_date_id"),
     )
-    paid = payment_rollup(payments).withColumnRenamed("transaction_id", "source_id")
-    return rows.join(paid, "source_id", "left").withColumn(
+    return rows.join(paid.withColumnRenamed("transaction_id", "source_id"), "source_id", "left").withColumn(
         "unresolved", first_reason([(F.col(k).isNull(), k) for k in RENTAL_KEY]))
 
 

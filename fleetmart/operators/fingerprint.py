@@ -15,17 +15,21 @@ def _order_free(columns: list[str]) -> list[Column]:
     return [F.count(F.lit(1)), *[F.sum(p) for p in parts]]
 
 
-def fingerprints(rows: DataFrame, key: str, starts: str, parts: DataFrame | None = None) -> DataFrame:
-    """Per key of ``rows``: ``source_id``, a hash of its row and of its rows in ``parts`` (which hold the key, too), and
-    the date its event starts at. Parts of keys without a row are left out."""
+def fingerprints(rows: DataFrame, key: str, starts: str, parts: DataFrame | None = None,
+                 single: bool = False) -> DataFrame:
+    """Per key of ``rows``: ``source_id``, a hash of its row and of its rows in ``parts`` (which hold the key, too, once if
+    ``single``), and the date its event starts at. Parts of keys without a row are left out."""
     names = [c for c in rows.columns if c != key]
     own = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(*[c.alias(f"_own{i}") for i, c in enumerate(_order_free(names))], F.max(starts).alias("starts"))
     hashed = [f"_own{i}" for i in range(3)]
     if parts is not None:
-        held = parts.groupBy(key).agg(*[
-            c.alias(f"_part{i}") for i, c in enumerate(_order_free([c for c in parts.columns if c != key]))])
+        names = [c for c in parts.columns if c != key]
+        if single:
+            held = parts.select(key, F.xxhash64(*names).alias("_part0"))
+        else:
+            held = parts.groupBy(key).agg(*[c.alias(f"_part{i}") for i, c in enumerate(_order_free(names))])
         own = own.join(held, key, "left")
-        hashed += [f"_part{i}" for i in range(3)]
+        hashed += [c for c in held.columns if c != key]
     return own.select(F.col(key).alias("source_id"), F.xxhash64(*hashed).alias("fingerprint"), "starts")
 
 

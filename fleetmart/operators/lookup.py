@@ -13,6 +13,7 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 4  # a key is hot if it holds more than this part of what a task of the shuffle takes on average: 1 in 4
 SPREAD = 1 << 20
+KEY_GROUPS = 16  # keys are counted in groups first, so many for each hot key there can be; only those of large groups one by one
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -55,12 +56,14 @@ def prepare_lookup(base: DataFrame, lookup: DataFrame, on: list[str], bounded: b
     if bounded or fits_broadcast(lookup if counted is None else counted, max_rows):
         return lambda rows: rows.join(F.broadcast(lookup), on, "left")
     tasks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sizes = cut_lineage(base.filter(~any_null(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("_n")))
-    total = sizes.agg(F.sum("_n")).first()[0] or 0
-    hot = sizes.filter(F.col("_n") > max(1, total // (HOT_SHARE * tasks))).select(*on)
+    hot = _hot_keys(base, on, tasks)
     added = [c for c in lookup.columns if c not in on]
-    values = lookup.join(F.broadcast(hot), on, "left_semi").select(*on, *[F.col(c).alias(f"_hot_{c}") for c in added])
-    values = cut_lineage(hot.join(F.broadcast(values), on, "left").withColumn("_hot", F.lit(True)))
+    values = lookup.select(*on, *[F.col(c).alias(f"_hot_{c}") for c in added])
+    if hot is None:
+        values = values.withColumn("_hot", F.lit(True)).limit(0)
+    else:
+        values = values.join(F.broadcast(hot), on, "left_semi")
+        values = cut_lineage(hot.join(F.broadcast(values), on, "left").withColumn("_hot", F.lit(True)))
     # Always 0, but not as a literal: that would be folded into the join condition and no longer partition the rows.
     cold = lookup.withColumn("_spread", F.pmod(F.xxhash64(*on), F.lit(1)).cast("int"))
 
@@ -75,6 +78,19 @@ def prepare_lookup(base: DataFrame, lookup: DataFrame, on: list[str], bounded: b
     return step
 
 
+def _hot_keys(base: DataFrame, on: list[str], tasks: int) -> DataFrame | None:
+    """Keys with more rows than the hot share, None if there are none. A group of keys with no more rows holds no such key."""
+    keyed = base.filter(~any_null(on)).select(*on, F.pmod(F.xxhash64(*on), F.lit(KEY_GROUPS * HOT_SHARE * tasks)).alias("_group"))
+    groups = cut_lineage(keyed.groupBy("_group").agg(F.count(F.lit(1)).alias("_n")))
+    total = groups.agg(F.sum("_n")).first()[0] or 0
+    least = max(1, total // (HOT_SHARE * tasks))
+    large = groups.filter(F.col("_n") > least).select("_group")
+    if large.isEmpty():
+        return None
+    sizes = keyed.join(F.broadcast(large), "_group", "left_semi").groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    return cut_lineage(sizes.filter(F.col("_n") > least).select(*on))
+
+
 def lookup_join(rows: DataFrame, lookup: DataFrame, on: list[str], **options) -> DataFrame:
     """One lookup, prepared on the rows themselves."""
     return prepare_lookup(rows, lookup, on, **options)(rows)

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.expressions import money
+from ..session import cut_lineage
 
 METHOD_LIMIT = 50  # width of the payment_method column
 SEPARATOR = ", "
 # A list of distinct methods grows by at least one character and the separator with each further method, so only the
 # first ones in order can reach into the column.
 METHODS_NEEDED = METHOD_LIMIT // (1 + len(SEPARATOR)) + 2
+#: Rentals are counted in so many groups; one of a group of at most GROUP_PAYMENTS has few payments.
+GROUPS = 1 << 16
+GROUP_PAYMENTS = 100_000
 
 
 def rental_totals(rentals: DataFrame, payments: DataFrame) -> DataFrame:
@@ -34,8 +38,29 @@ def method_lists(payments: DataFrame) -> DataFrame:
     return shown.groupBy("transaction_id").agg(F.left(listed, F.lit(METHOD_LIMIT)).alias("payment_method"))
 
 
-def payment_rollup(payments: DataFrame) -> DataFrame:
-    """Per rental: sum of its payments and the list of its methods. A rental with very many payments is combined on the
-    map side in both branches; they meet partitioned by rental, which the join with the rentals uses again."""
-    sums = payments.groupBy("transaction_id").agg(money(F.sum("amount")).alias("payment_amount"))
-    return sums.join(method_lists(payments), "transaction_id", "left")
+def payment_rollup(payments: DataFrame, most: int = GROUP_PAYMENTS) -> DataFrame:
+    """Per rental: sum of its payments and the list of its methods.
+
+    Payments move once, as they are. Those of rentals that may have very many (more than
+    ``most`` in a group of rentals, and four times what a group has on average) take two ways, each combined on the map side:
+    the sums, and the methods under their rank limit.
+    """
+    group = F.pmod(F.xxhash64("transaction_id"), F.lit(GROUPS))
+    sizes = cut_lineage(payments.groupBy(group.alias("_group")).agg(F.count(F.lit(1)).alias("_n")))
+    least = max(most, 4 * (sizes.agg(F.sum("_n")).first()[0] or 0) // GROUPS)
+    crowded = sizes.filter(F.col("_n") > least).select("_group")
+    if crowded.isEmpty():
+        return _rolled_up(payments)
+    marked = payments.withColumn("_group", group)
+    calm, many = (marked.join(F.broadcast(crowded), "_group", how).drop("_group") for how in ("left_anti", "left_semi"))
+    sums = many.groupBy("transaction_id").agg(money(F.sum("amount")).alias("payment_amount"))
+    return _rolled_up(calm).unionByName(sums.join(method_lists(many), "transaction_id", "left"))
+
+
+def _rolled_up(payments: DataFrame) -> DataFrame:
+    """The rollup in one pass, for rentals with few payments. Those without a rental have a sum, but no list."""
+    grouped = payments.repartition("transaction_id").groupBy("transaction_id").agg(
+        money(F.sum("amount")).alias("payment_amount"), F.collect_set("payment_method").alias("_methods"))
+    listed = F.array_join(F.slice(F.array_sort("_methods"), 1, METHODS_NEEDED), SEPARATOR)
+    shown = F.when(F.col("transaction_id").isNotNull() & (F.size("_methods") > 0), F.left(listed, F.lit(METHOD_LIMIT)))
+    return grouped.select("transaction_id", "payment_amount", shown.alias("payment_method"))

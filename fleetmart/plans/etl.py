@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import schema as S
 from ..functions.expressions import EPOCH
@@ -17,8 +17,8 @@ from ..operators.append import append_delta
 from ..operators.calendar import date_span, missing_dates
 from ..operators.changes import changed_since, watermark
 from ..operators.control import FAILED_RUN, control_rows, failure, success
-from ..operators.dedupe import first_rows
-from ..operators.lookup import first_reason, lookup_join
+from ..operators.lookup import any_null, first_reason, lookup_join
+from ..operators.rollups import payment_rollup
 from ..operators.surrogate import number_rows
 from ..session import cut_lineage, staging
 from ..sources.warehouse import Warehouse
@@ -26,6 +26,8 @@ from ..sources.warehouse import Warehouse
 CURRENT, CLOSED = "current", "closed"
 CALENDAR_START = "2023-01-01"
 CALENDAR_AHEAD_MONTHS = 60
+#: Rows of a table in one part from which on they are written by the tasks that have them.
+MANY_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -75,8 +77,8 @@ class Run:
         return self.wh.read(table, parts, self.entries)
 
     def write(self, table: str, rows: DataFrame, part: Column | None = None, replaces: bool = False,
-              emptied: list[str] = ()) -> None:
-        self.entries += self.wh.write(table, rows, self.number, part, replaces, emptied)
+              emptied: list[str] = (), even: bool = True) -> None:
+        self.entries += self.wh.write(table, rows, self.number, part, replaces, emptied, even)
 
     def dates(self, start: str) -> None:
         end = F.add_months(F.lit(self.batch_ts.date()), CALENDAR_AHEAD_MONTHS)
@@ -128,8 +130,15 @@ class Run:
         """Log what was left out, once for each row and reason over all runs."""
         if self.left_out:
             found = reduce(DataFrame.unionByName, self.left_out)
-            known = self.read(S.REJECTS.name).select("feed", "seq", "reason")
-            self.write(S.REJECTS.name, found.join(known, ["feed", "seq", "reason"], "left_anti"))
+            key = ["feed", "seq", "reason"]
+            new = found.select(*key)
+            if sum(self.wh.sizes(S.REJECTS.name)):  # the rows themselves move only if there are new ones
+                new = cut_lineage(new.join(self.read(S.REJECTS.name).select(*key), key, "left_anti"))
+                same = reduce(Column.__and__, [F.col(f"f.{c}").eqNullSafe(F.col(f"n.{c}")) for c in key])
+                found = found.alias("f").join(new.distinct().alias("n"), same, "left_semi")
+            count = new.count()
+            if count:
+                self.write(S.REJECTS.name, found, even=count <= MANY_ROWS)
 
     def dimension(self, spec: scd2.Dimension) -> None:
         """Closed versions are only ever added; the current ones are rewritten only if some were closed."""
@@ -203,33 +212,37 @@ class Run:
                 F.min(key).alias("fact_id"), F.min_by(month, key).alias("fact_month"), F.min_by(fact_print, key).alias("fact_print"))
             known = known.withColumns({"fingerprint": F.lit(None).cast("long"), "open": F.lit(False)})
         due = cut_lineage(fingerprint.due(prints, known, F.lit(self.batch_ts.date())))
-        rows = cut_lineage(resolve(due.select("source_id") if held + added else None))
-        self.leave_out(source, rows.filter("unresolved IS NOT NULL").withColumn(
-            "unresolved", F.concat(F.lit("unresolved_"), "unresolved")), "unresolved",
-            [c for c in rows.columns if c not in ("source_id", "unresolved")])
-        batch = first_rows(facts.resolved(rows, list(declared.unique[0])).drop("unresolved"), ["source_id"], ["source_id"])
+        rows = resolve(due.select("source_id") if held + added else None)
+        given = [c for c in rows.columns if c not in ("source_id", "unresolved")]
         told = due.select("source_id", "fingerprint", "known_print", F.col("fact_id").alias("_old_key"), F.col("fact_month").alias("_old_month"),
                           F.col("fact_print").alias("_old_print"), F.col("open").alias("_old_open"))
-        found = batch.withColumns({"_new_month": month, "_new_print": fact_print, "_there": F.lit(True)})
-        paired = cut_lineage(told.join(found, "source_id", "left"))
+        place = F.row_number().over(Window.partitionBy("source_id").orderBy(F.desc("_there"), "source_id"))
+        every = rows.withColumn("_there", ~any_null(list(declared.unique[0]))).join(told, "source_id", "left")
+        every = cut_lineage(every.withColumn("_place", place))  # a source row that stands twice gives one fact
+        self.leave_out(source, every.filter("unresolved IS NOT NULL").withColumn(
+            "unresolved", F.concat(F.lit("unresolved_"), "unresolved")), "unresolved", given)
+        paired = every.filter("_place = 1 AND fingerprint IS NOT NULL").withColumns({
+            "_new_month": F.when(F.col("_there"), month), "_new_print": F.when(F.col("_there"), fact_print)})
         delta = paired.filter("_there AND (_old_key IS NULL OR NOT _old_print <=> _new_print)").withColumn(
             "refreshes", F.col("_old_key").isNotNull())
         counts = delta.groupBy("refreshes", F.col("_new_month").alias("month"), "_old_month").count().collect()
-        fresh = cut_lineage(number_rows(
-            delta.filter(~F.col("refreshes")).select(*[c for c in batch.columns]), "source_id", key, self.wh.highest(table)))
+        fresh = cut_lineage(number_rows(delta.filter(~F.col("refreshes")), "source_id", key, self.wh.highest(table)))
         self._write_facts(table, delta, fresh, counts, ["source_id"], month)
-        # rows as they were before are not noted again
-        noted = paired.join(fresh.select("source_id", F.col(key).alias("_fresh")), "source_id", "left").select(
-            "source_id", F.lit(self.number).cast("long").alias("run"), "fingerprint", F.coalesce("_fresh", "_old_key").alias("fact_id"),
+        noted = paired.filter("NOT _there OR _old_key IS NOT NULL").withColumn(key, F.col("_old_key")).unionByName(
+            fresh.drop("refreshes")).select(
+            "source_id", F.lit(self.number).cast("long").alias("run"), "fingerprint", F.col(key).alias("fact_id"),
             F.coalesce("_new_month", "_old_month").cast("int").alias("fact_month"), F.coalesce("_new_print", "_old_print").alias("fact_print"),
-            F.col("_there").isNull().alias("open"), "known_print", "_old_open", "_old_print", "_there")
+            (~F.col("_there")).alias("open"), "known_print", "_old_open", "_old_print")
+        # rows as they were before are not noted again
         noted = cut_lineage(noted.filter(
             "NOT (fingerprint <=> known_print AND open <=> _old_open AND (open OR fact_print <=> _old_print))").select(*S.STATE[state].names))
-        if not noted.isEmpty():
+        count = noted.count()
+        if count:
             if added < held:
-                self.write(state, noted)
+                self.write(state, noted, even=count <= MANY_ROWS)
             else:  # the log has grown as long as what it was added to
-                self.write(state, fingerprint.newest(self.read(state).unionByName(noted)), replaces=True)
+                log = fingerprint.newest(self.read(state).unionByName(noted)) if held + added else noted
+                self.write(state, log, replaces=True, even=held + added + count <= MANY_ROWS)
         self.log[source] = success(source, self.batch_ts, sum(r["count"] for r in counts))
 
     @property
@@ -242,16 +255,16 @@ class Run:
         rentals = cut_lineage(self.sources["rental_transaction"].select(
             "transaction_id", "customer_id", "vehicle_id", "employee_id", "rental_start_date", "rental_end_date"))
         payments = cut_lineage(self.sources["payment"].select("transaction_id", "amount", "payment_method"))
+        paid = cut_lineage(payment_rollup(payments))  # all a fact shows of its payments
 
         def resolve(ids: DataFrame | None) -> DataFrame:
-            some, paid = (_only(rows, ids, "transaction_id") for rows in (rentals, payments))
-            rows = facts.resolve_rentals(
-                some, paid, self._versions("dim_customer"), self._versions("dim_vehicle"),
+            rows = facts.resolve_paid(
+                _only(rentals, ids, "transaction_id"), paid, self._versions("dim_customer"), self._versions("dim_vehicle"),
                 self._versions("dim_employee"), self.read("dim_date"), self.batch_ts, rules.asof, rules.inclusive)
             return rows.withColumn("payment_amount", F.col("payment_amount").cast(S.PRICE))
 
         if self._follows:
-            prints = fingerprint.fingerprints(rentals, "transaction_id", "rental_start_date", payments)
+            prints = fingerprint.fingerprints(rentals, "transaction_id", "rental_start_date", paid, single=True)
             self._follow("rental_transaction", "fact_rental_transactions", prints, resolve, "rental_start_date_id")
         else:
             self._fact("rental_transaction", "fact_rental_transactions", resolve(None), facts.RENTAL_KEY, "rental_start_date_id")

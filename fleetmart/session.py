@@ -34,7 +34,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write df to the shared folder once, as Parquet, so later stages and lost executors re-read instead of recompute,
     and read only the columns they need."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/fleetmart/staged-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     with _lock:
         for scope in _scopes:
             scope.append(path)

@@ -71,22 +71,23 @@ class Warehouse:
         return self.spark.read.schema(declared.struct).parquet(*[f"{self.root}/{p}" for p in paths])
 
     def write(self, table: str, rows: DataFrame, commit: int, part: Column | None = None,
-              replaces: bool = False, emptied: list[str] = ()) -> list[tuple]:
+              replaces: bool = False, emptied: list[str] = (), even: bool = True) -> list[tuple]:
         """Write rows of a table by part; returns the entries to commit, none if there were no rows. Parts named in
         ``emptied`` that get no rows are replaced by nothing.
 
-        Rows are rebalanced by part at run time: few files for a small part, several tasks for a large one. Rows and
+        Rows are rebalanced by part at run time: few files for a small part, several tasks for a large one; not if ``even`` is
+        off, which saves moving very many rows of one part that come from tasks of about one size. Rows and
         greatest key of a table in one part are counted by the write itself, those of several parts from what it wrote.
         """
         declared = self.tables[table]
         folder = f"{table}/batch={commit}-{'replace' if replaces else 'add'}"
         laid = rows.select(*declared.names, (F.lit(WHOLE) if part is None else part).cast("string").alias(PART))
-        laid = laid.hint("rebalance", PART)
+        laid = laid.hint("rebalance", PART) if even else laid
         key = declared.primary_key
         counters = [F.count(F.lit(1)).alias("rows"), F.max(key).cast("long").alias("top"), F.min(PART).alias("low"),
                     F.max(PART).alias("high")]
         seen = Observation()  # behind the rebalancing, so in the stage that writes: a task run again counts once
-        laid.observe(seen, *counters).write.mode("overwrite").partitionBy(PART).parquet(f"{self.root}/{folder}")
+        laid.observe(seen, *counters).write.mode("overwrite").option("compression", "zstd").partitionBy(PART).parquet(f"{self.root}/{folder}")
         found = seen.get
         if not found["rows"]:
             written = []

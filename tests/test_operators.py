@@ -395,3 +395,35 @@ def test_numbering_spreads_small_tables(spark):
     sparse = spark.createDataFrame([(2 ** 62,), (5,), (-7,), (2 ** 40,), (WIDTH,), (-(2 ** 62),)], "id long")
     assert rows(number_rows(sparse, "id", "n", start=10)) == sorted(
         [(v, 11 + i) for i, v in enumerate(sorted([2 ** 62, 5, -7, 2 ** 40, WIDTH, -(2 ** 62)]))], key=str)
+
+
+def test_rollup_of_crowded_rentals_takes_the_same_values(spark):
+    table = spark.createDataFrame(
+        [(1, Decimal("1.00"), f"m{k % 30:02d}") for k in range(60)] + [(2, Decimal("2.00"), None), (None, Decimal("3.00"), "x"), (3, None, "y")],
+        "transaction_id long, amount decimal(10,2), payment_method string")
+    calm = rows(rollups.payment_rollup(table))
+    assert rows(rollups.payment_rollup(table, most=10)) == calm
+    assert (1, Decimal("60.00"), ", ".join(f"m{k:02d}" for k in range(30))[:50]) in calm
+    assert (None, Decimal("3.00"), None) in calm
+
+
+def test_rollup_moves_payments_once(spark, tmp_path):
+    spark.range(1000).selectExpr("id % 100 AS transaction_id", "CAST(id AS decimal(10,2)) AS amount", "'m' || id AS payment_method").write.parquet(
+        str(tmp_path / "payments"))
+    assert plan_of(rollups.payment_rollup(spark.read.parquet(str(tmp_path / "payments")))).count("Exchange") == 1
+
+
+def test_large_dimension_with_few_versions_is_looked_up_by_key(spark, monkeypatch):
+    base = spark.sql("SELECT id AS row, CASE WHEN id % 9 = 0 THEN NULL WHEN id % 3 = 0 THEN 7 ELSE id % 50 END AS k, "
+                     "date_add(DATE '2020-01-01', CAST(id % 40 AS int)) AS t FROM range(600)")
+    dim = spark.sql("SELECT k AS source_id, k * 10 + v AS v, TIMESTAMP_NTZ '2020-01-01 00:00:00' + make_interval(0, 0, 0, v * 10) AS valid_from, "
+                    "TIMESTAMP_NTZ '2020-01-06 00:00:00' + make_interval(0, 0, 0, v * 10) AS valid_to "
+                    "FROM (SELECT id % 45 AS k, CAST(id div 45 AS int) AS v FROM range(180))")
+    for inclusive in (True, False):
+        wanted = rows(asof.prepare_at_event(base, dim, "k", {"v": "v"}, "t", inclusive, strategy="broadcast")(base), "row", "v")
+        with monkeypatch.context() as small:
+            small.setattr(asof, "fits_broadcast", lambda df: False)
+            small.setattr("fleetmart.operators.lookup.BROADCAST_ROWS", 0)
+            small.setattr("fleetmart.operators.lookup.fits_broadcast", lambda *_: False)
+            small.setattr(asof, "_answers", lambda *_: pytest.fail("times are carried"))
+            assert rows(asof.prepare_at_event(base, dim, "k", {"v": "v"}, "t", inclusive)(base), "row", "v") == wanted
