@@ -527,7 +527,7 @@ def load_payments_csv(spark, folder):
     """The whole way of a feed: files, positional typed reading, line numbers, lookups, ids."""
     path = _scratch(spark, "payments")
     rows = role(spark, folder, "f_payment").orderBy(*FILE_ORDER).select(*S.PAYMENT_FEED.names)
-    rows.write.option("header", True).csv(path)
+    rows.write.option("header", True).option("compression", "gzip").csv(path)
     load = ingest.load_payments(
         read_feed(spark, path, S.PAYMENT_FEED), S.PAYMENT.empty(spark), role(spark, folder, "r_rental"),
         role(spark, folder, "r_vehicle"), BATCH)
