@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .dedupe import first_rows
+from .dedupe import first_of, first_rows
 
 
 def insert_if_absent(batch: DataFrame, target: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
@@ -42,6 +42,12 @@ def append_delta(batch: DataFrame, target: DataFrame, keys: list[str], order: li
     whose key is known with another value in a ``refresh`` column (NULL-safe). ``carried`` names what the target row
     gives along, NULL for new keys."""
     carried = carried or {}
+    if not refresh:  # only the keys of the target count
+        kinds = target.select(*[value.alias(name) for name, value in carried.items()]).schema
+        bare = len(order) == 1 and isinstance(order[0], str) and sorted([*keys, *order]) == sorted(batch.columns)
+        first = first_of(batch, keys, order[0]) if bare else first_rows(batch, keys, order)
+        return first.join(target.select(*keys), keys, "left_anti").select(
+            *batch.columns, F.lit(False).alias("refreshes"), *[F.lit(None).cast(kinds[c].dataType).alias(c) for c in carried])
     known = target.select(*keys, F.lit(True).alias("_known"), *[F.col(c).alias(f"_{c}") for c in refresh],
                           *[value.alias(name) for name, value in carried.items()])
     differs = reduce(Column.__or__, [~F.col(c).eqNullSafe(F.col(f"_{c}")) for c in refresh], F.lit(False))

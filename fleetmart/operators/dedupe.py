@@ -12,6 +12,12 @@ def first_rows(rows: DataFrame, keys: list[str], order: list[Column | str]) -> D
     return rows.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
+def first_of(rows: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """``first_rows`` for rows of nothing but the key and the column to order by: the least, without a sort."""
+    none = F.count(by) < F.count(F.lit(1))  # NULL comes first
+    return rows.groupBy(*keys).agg(F.when(~none, F.min(by)).alias(by)).select(*rows.columns)
+
+
 def winners(rows: DataFrame, keys: list[str], seq: str, existing: DataFrame | None = None) -> DataFrame:
     """``seq`` of the rows that win their key: least seq of the key, and the key is not in ``existing`` yet."""
     firsts = rows.groupBy(*keys).agg(F.min(seq).alias(seq))

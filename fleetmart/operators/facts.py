@@ -29,18 +29,20 @@ def _prepare_date(base: DataFrame, dim_date: DataFrame, on: str, into: str) -> S
 
 def resolve_rentals(rentals: DataFrame, payments: DataFrame, customers: DataFrame, vehicles: DataFrame,
                     employees: DataFrame, dim_date: DataFrame, batch_ts: datetime | str, asof: str = "batch",
-                    inclusive: bool = True) -> DataFrame:
+                    inclusive: bool = True, paid: DataFrame | None = None) -> DataFrame:
     """Every rental with its payments rolled up and its dimension keys; ``unresolved`` names the first missing key.
 
-    ``asof='batch'`` takes the versions valid at the batch time, ``'event'`` those valid at the rental start.
+    ``asof='batch'`` takes the versions valid at the batch time, ``'event'`` those valid at the rental start. ``paid`` are the
+    payments as they are rolled up already, if they are; it may hold more rentals.
     """
-    return resolve_paid(rentals, payment_rollup(payments), customers, vehicles, employees, dim_date, batch_ts, asof, inclusive)
+    paid = payment_rollup(payments) if paid is None else paid
+    rows = resolve_keys(rentals, customers, vehicles, employees, dim_date, batch_ts, asof, inclusive)
+    return unresolved(with_paid(rows, paid), RENTAL_KEY)
 
 
-def resolve_paid(rentals: DataFrame, paid: DataFrame, customers: DataFrame, vehicles: DataFrame,
-                 employees: DataFrame, dim_date: DataFrame, batch_ts: datetime | str, asof: str = "batch",
-                 inclusive: bool = True) -> DataFrame:
-    """``resolve_rentals`` for payments that are rolled up already; ``paid`` may hold more rentals."""
+def resolve_keys(rentals: DataFrame, customers: DataFrame, vehicles: DataFrame, employees: DataFrame, dim_date: DataFrame,
+                 batch_ts: datetime | str, asof: str = "batch", inclusive: bool = True) -> DataFrame:
+    """Every rental with its dimension keys, without its payments."""
     base = rentals.select(
         F.col("transaction_id").alias("source_id"), F.col("customer_id").alias("source_customer"),
         F.col("vehicle_id").alias("source_vehicle"), F.col("employee_id").alias("source_employee"),
@@ -48,15 +50,23 @@ def resolve_paid(rentals: DataFrame, paid: DataFrame, customers: DataFrame, vehi
     )
     roles = ((customers, "source_customer", "customer_id"), (vehicles, "source_vehicle", "vehicle_id"),
              (employees, "source_employee", "employee_id"))
-    rows = in_turn(
+    return in_turn(
         base,
         *[_prepare_version(base, dim, on, key, batch_ts, asof, "rental_start_date", inclusive)
           for dim, on, key in roles],
         _prepare_date(base, dim_date, "rental_start_date", "rental_start_date_id"),
         _prepare_date(base, dim_date, "rental_end_date", "rental_end_date_id"),
     )
-    return rows.join(paid.withColumnRenamed("transaction_id", "source_id"), "source_id", "left").withColumn(
-        "unresolved", first_reason([(F.col(k).isNull(), k) for k in RENTAL_KEY]))
+
+
+def with_paid(rows: DataFrame, paid: DataFrame) -> DataFrame:
+    """Rows of rentals with what is paid for them."""
+    return rows.join(paid.withColumnRenamed("transaction_id", "source_id"), "source_id", "left")
+
+
+def unresolved(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with ``unresolved``, the first of the keys that is missing."""
+    return rows.withColumn("unresolved", first_reason([(F.col(k).isNull(), k) for k in keys]))
 
 
 def resolve_maintenance(maintenance: DataFrame, vehicles: DataFrame, dim_date: DataFrame, batch_ts: datetime | str,
@@ -71,7 +81,7 @@ def resolve_maintenance(maintenance: DataFrame, vehicles: DataFrame, dim_date: D
         _prepare_version(base, vehicles, "source_vehicle", "vehicle_id", batch_ts, asof, "service_date", inclusive),
         _prepare_date(base, dim_date, "service_date", "maintenance_date_id"),
     )
-    return rows.withColumn("unresolved", first_reason([(F.col(k).isNull(), k) for k in MAINTENANCE_KEY[:2]]))
+    return unresolved(rows, MAINTENANCE_KEY[:2])
 
 
 def resolved(rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -41,7 +41,7 @@ def method_lists(payments: DataFrame) -> DataFrame:
 def payment_rollup(payments: DataFrame, most: int = GROUP_PAYMENTS) -> DataFrame:
     """Per rental: sum of its payments and the list of its methods.
 
-    Payments move once, as they are. Those of rentals that may have very many (more than
+    Payments move once, as they are, in one pass over their source after the groups are counted. Those of rentals that may have very many (more than
     ``most`` in a group of rentals, and four times what a group has on average) take two ways, each combined on the map side:
     the sums, and the methods under their rank limit.
     """
@@ -51,7 +51,7 @@ def payment_rollup(payments: DataFrame, most: int = GROUP_PAYMENTS) -> DataFrame
     crowded = sizes.filter(F.col("_n") > least).select("_group")
     if crowded.isEmpty():
         return _rolled_up(payments)
-    marked = payments.withColumn("_group", group)
+    marked = cut_lineage(payments.withColumn("_group", group))  # read by each of the ways
     calm, many = (marked.join(F.broadcast(crowded), "_group", how).drop("_group") for how in ("left_anti", "left_semi"))
     sums = many.groupBy("transaction_id").agg(money(F.sum("amount")).alias("payment_amount"))
     return _rolled_up(calm).unionByName(sums.join(method_lists(many), "transaction_id", "left"))

@@ -17,7 +17,7 @@ from ..operators.append import append_delta
 from ..operators.calendar import date_span, missing_dates
 from ..operators.changes import changed_since, watermark
 from ..operators.control import FAILED_RUN, control_rows, failure, success
-from ..operators.lookup import any_null, first_reason, lookup_join
+from ..operators.lookup import BROADCAST_ROWS, any_null, first_reason, lookup_join
 from ..operators.rollups import payment_rollup
 from ..operators.surrogate import number_rows
 from ..session import cut_lineage, staging
@@ -158,24 +158,29 @@ class Run:
                 self.write(table, versions, F.lit(CURRENT))
         self.log[spec.source.name] = success(spec.source.name, self.batch_ts, closed + opened)
 
-    def _fact(self, source: str, table: str, rows: DataFrame, keys: list[str], date: str) -> None:
+    def _fact(self, source: str, table: str, rows: DataFrame, keys: list[str], date: str,
+              pay: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None) -> None:
         """Append the facts the table lacks. Known facts whose source row or payments changed are replaced, in the month
-        they lay in and in the month they move to; no other month is read again."""
+        they lay in and in the month they move to; no other month is read again. ``pay`` adds what is paid to new facts, if the
+        rows come without it; it gets their ids, too, if they are few."""
         declared = S.STAR[table]
         key, month = declared.primary_key, F.expr(f"{date} div 100")
         if self.rules.natural_keys:
             keys = ["source_id"]
-        rows = cut_lineage(rows)
+        rows = cut_lineage(rows) if self.rules.report else rows  # else they are read once
         self.leave_out(source, rows.filter("unresolved IS NOT NULL").withColumn(
             "unresolved", F.concat(F.lit("unresolved_"), "unresolved")), "unresolved",
             [c for c in rows.columns if c not in ("source_id", "unresolved")])
-        batch = facts.resolved(rows, list(declared.unique[0])).drop("unresolved")
+        batch = facts.resolved(rows, list(declared.unique[0])).select(*[c for c in declared.names if c != key and c in rows.columns])
         refresh = [c for c in declared.names if c not in (key, "source_id")] if self.rules.refresh else []
         carried = {"_old_key": F.col(key), "_old_month": month}
         delta = cut_lineage(append_delta(batch, self.read(table), keys, ["source_id"], refresh, carried))
         counts = delta.groupBy("refreshes", month.alias("month"), "_old_month").count().collect()
         fresh = number_rows(
             delta.filter(~F.col("refreshes")).drop("_old_key", "_old_month"), "source_id", key, self.wh.highest(table))
+        if pay:
+            few = sum(r["count"] for r in counts) <= BROADCAST_ROWS
+            fresh = pay(fresh, delta.select("source_id").distinct() if few else None)
         self._write_facts(table, delta, fresh, counts, keys, month)
         self.log[source] = success(source, self.batch_ts, sum(r["count"] for r in counts))
         if sum(self.wh.sizes(f"state_{source}")):  # holds no longer; built again from the facts when it is wanted
@@ -254,14 +259,27 @@ class Run:
         rules = self.rules
         rentals = cut_lineage(self.sources["rental_transaction"].select(
             "transaction_id", "customer_id", "vehicle_id", "employee_id", "rental_start_date", "rental_end_date"))
-        payments = cut_lineage(self.sources["payment"].select("transaction_id", "amount", "payment_method"))
+        payments = self.sources["payment"].select("transaction_id", "amount", "payment_method")
+        dims = [self._versions(name) for name in ("dim_customer", "dim_vehicle", "dim_employee")]
+
+        def pay(new: DataFrame, ids: DataFrame | None) -> DataFrame:
+            """New facts with their payments; of few facts theirs alone are rolled up."""
+            due = payments if ids is None else cut_lineage(_only(payments, ids, "transaction_id", bounded=True))
+            return _priced(facts.with_paid(new, payment_rollup(due)))
+
+        if not rules.refresh and not rules.report:  # no fact follows its payments and no row is logged with them
+            keyed = facts.resolve_keys(rentals, *dims, self.read("dim_date"), self.batch_ts, rules.asof, rules.inclusive)
+            self._fact("rental_transaction", "fact_rental_transactions", facts.unresolved(keyed, facts.RENTAL_KEY),
+                       facts.RENTAL_KEY, "rental_start_date_id", pay)
+            return
         paid = cut_lineage(payment_rollup(payments))  # all a fact shows of its payments
 
         def resolve(ids: DataFrame | None) -> DataFrame:
-            rows = facts.resolve_paid(
-                _only(rentals, ids, "transaction_id"), paid, self._versions("dim_customer"), self._versions("dim_vehicle"),
-                self._versions("dim_employee"), self.read("dim_date"), self.batch_ts, rules.asof, rules.inclusive)
-            return rows.withColumn("payment_amount", F.col("payment_amount").cast(S.PRICE))
+            theirs = payments if ids is None else payments.join(
+                ids.select(F.col("source_id").alias("transaction_id")), "transaction_id", "left_semi")
+            return _priced(facts.resolve_rentals(
+                _only(rentals, ids, "transaction_id"), theirs, *dims, self.read("dim_date"), self.batch_ts, rules.asof,
+                rules.inclusive, paid))
 
         if self._follows:
             prints = fingerprint.fingerprints(rentals, "transaction_id", "rental_start_date", paid, single=True)
@@ -296,11 +314,15 @@ class Run:
         return log
 
 
-def _only(rows: DataFrame, ids: DataFrame | None, key: str) -> DataFrame:
+def _priced(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("payment_amount", F.col("payment_amount").cast(S.PRICE))
+
+
+def _only(rows: DataFrame, ids: DataFrame | None, key: str, bounded: bool = False) -> DataFrame:
     """Rows whose key is among the ids; very many rows of one key don't meet in a task."""
     if ids is None:
         return rows
-    return lookup_join(rows, ids.select(F.col("source_id").alias(key), F.lit(True).alias("_due")), [key]).filter("_due").drop("_due")
+    return lookup_join(rows, ids.select(F.col("source_id").alias(key), F.lit(True).alias("_due")), [key], bounded=bounded).filter("_due").drop("_due")
 
 
 LOGGED = ("vehicle_type", "branch", "customer", "vehicle", "employee", "rental_transaction", "maintenance", FAILED_RUN)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fleetmart import schema as S
 from fleetmart.operators import facts
 from fleetmart.operators.fingerprint import newest
+from fleetmart.plans import etl
 from fleetmart.plans.etl import HISTORICAL, SOUND, reject_status, run_etl
 from fleetmart.sources.warehouse import Warehouse
 
@@ -78,6 +79,23 @@ def test_historical_runs(spark, tmp_path):
     assert wh.read("etl_control").count() == 14
 
 
+@pytest.mark.parametrize("limit", [0, 200_000])
+def test_a_historical_run_rolls_up_payments_of_new_facts_alone(spark, tmp_path, monkeypatch, limit):
+    seen, real = [], etl.payment_rollup
+    monkeypatch.setattr(etl, "payment_rollup", lambda payments: seen.append(payments.count()) or real(payments))
+    monkeypatch.setattr(etl, "BROADCAST_ROWS", limit)
+    wh, tables = Warehouse(spark, str(tmp_path)), oltp(spark)
+    run_etl(wh, tables, DAY[0], HISTORICAL)
+    more = {"rental_transaction": [(95, 52, 72, 32, date(2024, 3, 1), date(2024, 3, 4), OLD)],
+            "payment": [(3, 95, date(2024, 3, 1), Decimal("7.00"), "Cash"), (4, 95, date(2024, 3, 1), Decimal("8.00"), None),
+                        (5, 92, date(2024, 3, 1), Decimal("9.00"), "Cash")]}
+    tables |= {n: tables[n].unionByName(spark.createDataFrame(r, S.OLTP[n].struct)) for n, r in more.items()}
+    assert counts(run_etl(wh, tables, DAY[1], HISTORICAL)) == NONE | {"rental_transaction": 1}
+    assert rows(wh.read("fact_rental_transactions"), "source_id", "payment_amount", "payment_method") == [
+        (91, Decimal("120.00"), "Cash, Debit Card"), (92, None, None), (95, Decimal("15.00"), "Cash")]
+    assert seen == ([2, 2] if limit else [2, 5])
+
+
 def test_historical_change_loses_the_version_of_watermarked_tables(spark, tmp_path):
     wh, tables = Warehouse(spark, str(tmp_path)), oltp(spark)
     run_etl(wh, tables, DAY[0], HISTORICAL)

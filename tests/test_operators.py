@@ -104,6 +104,17 @@ def test_insert_if_absent_twice(spark):
     assert insert_if_absent(batch, target.unionByName(fresh.select("k", "v")), ["k"], ["id"]).count() == 0
 
 
+def test_rows_of_a_key_and_an_order_are_not_sorted(spark):
+    table = spark.createDataFrame([(3, "a", 1), (1, "a", 1), (2, None, 1), (5, None, 1), (None, "b", 2), (4, "b", 2), (4, "b", 2)],
+                                  "id long, k string, g long")
+    target = spark.createDataFrame([("a", 1, 9), ("a", 1, 9)], "k string, g long, month long")
+    delta = append_delta(table, target, ["k", "g"], ["id"], [], {"_old_month": F.col("month")})
+    assert rows(delta) == sorted([(2, None, 1, False, None), (None, "b", 2, False, None)], key=str)
+    wider = append_delta(table.withColumn("more", F.lit(0)), target, ["k", "g"], ["id"], [], {"_old_month": F.col("month")})
+    assert rows(wider.drop("more")) == rows(delta) and "Window" in plan_of(wider) and "Window" not in plan_of(delta)
+    assert dict(delta.dtypes)["_old_month"] == "bigint"
+
+
 def test_append_delta_and_upsert(spark):
     batch = spark.createDataFrame(
         [(1, "a", 10), (2, "b", None), (3, "c", 12), (4, "d", None)], "id long, k string, v long")
