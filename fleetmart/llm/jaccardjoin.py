@@ -7,8 +7,8 @@ Two texts are linked if the sets of their five-word shingles have a Jaccard simi
    members that share the value meet in a child bucket. About two children of a bucket hold a pair of the wanted similarity,
    so a pair stays together on some path with high probability, and dissimilar sets part. Runs are repeated until a pair
    at the threshold is missed with less than 1 - RECALL.
-3. A bucket is no longer split when it is small, or hardly shrinks: its members are then compared by their hashes, in blocks
-   of bounded size. Texts that look alike (with a margin far below the threshold) form candidate components.
+3. A bucket is no longer split when it is small, or would hardly shrink: the members of its children are counted before they
+   are dealt. Its members are then compared by their hashes, in blocks of bounded size. Texts that look alike (with a margin far below the threshold) form candidate components.
 4. Inside each component all pairs are verified with the exact sets, in blocks. Only link counts and one edge per text and
    block leave a task, never the pairs.
 
@@ -37,7 +37,7 @@ COORDINATES = 64
 #: Children of a bucket in which a pair at the threshold is expected to meet again.
 BRANCHES = 2.0
 SMALL_BUCKET = 1024
-#: A large bucket that keeps this part of its parent is compared, not split further.
+#: A large bucket of which a child would keep this part is compared, not split.
 STANDS = 0.6
 DEEPEST = 12
 #: Texts compared at once: by their minimum hashes, and by their sets.
@@ -108,9 +108,30 @@ def _children(path: np.ndarray, minima: np.ndarray, chance: float) -> tuple[np.n
     return member, child
 
 
+def _chance(similarity: float) -> float:
+    return min(1.0, BRANCHES / (similarity * COORDINATES))
+
+
+def _child_sizes(similarity: float):
+    """Rows (first, size, child, n): members of the bucket in column path that would meet in a child, counted in each batch."""
+    chance = _chance(similarity)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            member, child = _children(batch.column("path").to_numpy().view(np.uint64), _matrix(batch.column("minima")), chance)
+            child, at, n = np.unique(child, return_index=True, return_counts=True)  # a child has one parent
+            first, size = (batch.column(c).to_numpy()[member[at]] for c in ("first", "size"))
+            yield pa.RecordBatch.from_arrays([pa.array(first), pa.array(size), pa.array(child.view(np.int64)), pa.array(n)],
+                                             ["first", "size", "child", "n"])
+
+    return task
+
+
 def _split(runs: int, similarity: float):
     """Rows (path, node) of child buckets. With runs, members of the root of each run; else of the bucket in column path."""
-    chance = min(1.0, BRANCHES / (similarity * COORDINATES))
+    chance = _chance(similarity)
     roots = mixed(np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,12 +139,10 @@ def _split(runs: int, similarity: float):
             if not batch.num_rows:
                 continue
             node, minima = batch.column("node").to_numpy(), _matrix(batch.column("minima"))
-            size = batch.column("size").to_numpy() if not runs else np.zeros(node.size, np.int64)
             for path in ([np.full(node.size, r, np.uint64) for r in roots] if runs else
                          [batch.column("path").to_numpy().view(np.uint64)]):
                 member, child = _children(path, minima, chance)
-                yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(node[member]), pa.array(size[member])],
-                                                 ["path", "node", "parent"])
+                yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(node[member])], ["path", "node"])
 
     return task
 
@@ -159,30 +178,35 @@ def candidates(nodes: DataFrame, similarity: float = SIMILARITY, recall: float =
 
     nodes: node (distinct, not null) and its minima.
     """
-    frontier = staged(nodes.mapInArrow(_split(runs_needed(recall), similarity), "path long, node long, parent long"))
+    frontier = staged(nodes.mapInArrow(_split(runs_needed(recall), similarity), "path long, node long"))
     found = None
     for level in range(1, DEEPEST + 1):
-        # buckets with the same members are compared as one; a combined hash stands for the members. To be split on they keep
-        # all their paths, as each may end without a child
-        stands = (F.col("size") <= SMALL_BUCKET) | (F.col("size") >= STANDS * F.col("parent")) & (F.col("parent") > 0)
-        if level == DEEPEST:
-            stands = F.lit(True)
-        buckets = (frontier.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.max("parent").alias("parent"),
-                                                F.bit_xor(F.xxhash64("node")).alias("members"))
+        # buckets with the same members are compared as one, named after the first path; a combined hash stands for the members.
+        # To be split on they keep all their paths, as each may end without a child
+        small = F.lit(level == DEEPEST) | (F.col("size") <= SMALL_BUCKET)
+        buckets = (frontier.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("members"))
                    .where(F.col("size") > 1)
-                   .groupBy("size", "members").agg(F.collect_list("path").alias("paths"), F.max("parent").alias("parent"))
-                   .select("size", "paths", stands.alias("stands")))
-        kept = F.when(F.col("stands"), F.array(F.array_min("paths"))).otherwise(F.col("paths"))
-        held = staged(frontier.select("path", "node")
-                      .join(buckets.select(F.explode(kept).alias("path"), "size", "stands"), "path")
+                   .groupBy("size", "members").agg(F.collect_list("path").alias("paths"))
+                   .select("size", "paths", F.array_min("paths").alias("first"), small.alias("small")))
+        kept = F.when(F.col("small"), F.array("first")).otherwise(F.col("paths"))
+        held = staged(frontier.join(buckets.select(F.explode(kept).alias("path"), "first", "size", "small"), "path")
                       .join(nodes, "node"))
-        edges = staged(blocks(held.where("stands").drop("stands"), "size", ["path"], ALIKE_BLOCK)
+        compared, large = held.where("small"), held.where("NOT small")
+        more = bool(large.limit(1).count())
+        if more:
+            counted = (large.select("path", "first", "size", "minima")
+                       .mapInArrow(_child_sizes(similarity), "first long, size long, child long, n long")
+                       .groupBy("first", "child").agg(F.sum("n").alias("n"), F.max("size").alias("size")))
+            crowds = staged(counted.groupBy("first").agg((F.max("n") >= STANDS * F.max("size")).alias("stands")))
+            told = large.join(crowds, "first", "left").withColumn("stands", F.coalesce("stands", F.lit(False)))
+            compared = compared.unionByName(told.where("stands AND path = first").drop("stands"))
+            split = told.where("NOT stands")
+        edges = staged(blocks(compared.select("path", "node", "minima", "size"), "size", ["path"], ALIKE_BLOCK)
                        .select("path", "i", "j", "node", "minima").mapInArrow(_looks_alike(similarity), "a long, b long"))
         found = edges if found is None else found.union(edges)
-        if not held.where("NOT stands").limit(1).count():
+        if not more:
             break
-        frontier = staged(held.where("NOT stands").select("path", "node", "minima", "size")
-                          .mapInArrow(_split(0, similarity), "path long, node long, parent long"))
+        frontier = staged(split.select("path", "node", "minima").mapInArrow(_split(0, similarity), "path long, node long"))
     return found
 
 
